@@ -1,6 +1,8 @@
-"""Queries by name, and their SQL."""
+"""All queries by name, and their SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from legispark.plans import on_bills, on_tables, on_votes
+from legispark.plans.bindings import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL", "on_bills", "on_tables", "on_votes"]
