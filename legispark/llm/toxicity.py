@@ -35,6 +35,8 @@ SAMPLE_ROWS, SAMPLE_BYTES = 8000, 1 << 16
 #: Mined voters and features at most; the least share of ones among a feature's texts, and standard deviations above chance.
 MOST_VOTERS, MOST_FEATURES, LEAST_SHARE, LEAST_SCORE = 100, 300, 0.85, 6.0
 THRESHOLD = 0.3
+#: How far the labels hold the posteriors from which chances are fitted; without them they drift.
+ANCHOR = 0.5
 
 
 def _features(words: pa.Array) -> list[tuple[str, pa.Array]]:
@@ -72,6 +74,7 @@ def posterior(votes: np.ndarray, y: np.ndarray, rounds: int = 10, least: float =
     prior = float(np.clip(y.mean(), 0.01, 0.99))
     q, odds = y.astype(float), np.zeros(votes.shape[1])
     for _ in range(rounds):
+        q = ANCHOR * y + (1 - ANCHOR) * q
         hit = np.clip((q @ votes + 0.1) / (q.sum() + 1), 1e-6, 1 - 1e-6)
         miss = np.clip(((1 - q) @ votes + 0.1) / ((1 - q).sum() + 1), 1e-6, 1 - 1e-6)
         odds = np.log(hit / miss)
