@@ -17,7 +17,7 @@ WORDS = r"[^\x20\x09-\x0D]+"
 #: Weights that sources get in turn, and the most epochs.
 WEIGHTS, MOST = (1, 2, 3), 3
 #: Documents of a source in a range of keys, about.
-RANGE_DOCS = 20_000
+RANGE_DOCS = 4_000
 #: Rows that are counted before they are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 10_000
 #: 52 bits of the hash make the uniform number; the least weight of a document.
