@@ -28,6 +28,8 @@ from legispark.llm.storage import written
 DEPTH = 4
 #: Text of a block, in characters as Spark counts them.
 BLOCK_CHARS = 16 << 20
+#: Bytes whose runs are counted or looked up at once.
+SLICE = 4 << 20
 #: Fixed value: the byte that stands before and after each text; UTF-8 has no such byte.
 EDGE = 0xFF
 GRAM, WORD = 0, 1
@@ -96,7 +98,7 @@ def count_block(table: pa.Table) -> pa.Table:
     block = table.column("block")[0].as_py()
     out = []
     kinds: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {GRAM: [], WORD: []}
-    for batch in T.slices(table.to_batches(), "text"):
+    for batch in T.slices(table.to_batches(), "text", SLICE):
         learn = batch.column("learn").to_numpy(zero_copy_only=False).astype(bool)
         text = T.strings(batch.column("text"))
         for kind, read in ((GRAM, runs), (WORD, _words)):
@@ -136,7 +138,7 @@ def _choices(byte: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def _level(node: np.ndarray, a: np.ndarray, b: np.ndarray, below: np.ndarray | None) -> Level:
     found, where = np.unique(node, return_inverse=True)
-    add = lambda v: np.bincount(where, weights=v, minlength=len(found))
+    add = lambda v: np.bincount(where, weights=v, minlength=len(found)).astype(float)  # noqa: E731  (whole numbers where all is empty)
     return Level(found, add(a), add(b), None if below is None else add(below))
 
 
@@ -191,7 +193,7 @@ def _low(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sum_below(node: np.ndarray, value: np.ndarray, found: np.ndarray) -> np.ndarray:
-    return np.bincount(np.searchsorted(found, node), weights=value, minlength=len(found))
+    return np.bincount(np.searchsorted(found, node), weights=value, minlength=len(found)).astype(float)
 
 
 def run_values(grams: DataFrame) -> DataFrame:
@@ -234,7 +236,7 @@ class Lookup:
 
 
 class RunLookup(Lookup):
-    MOST = 1 << 26
+    MOST = 1 << 25
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         super().__init__(keys, values)
@@ -257,7 +259,7 @@ def score_block(docs: pa.Table, values: pa.Table) -> pa.Table:
     kind, key, value = (values.column(c).to_numpy() for c in ("kind", "key", "value"))
     grams, words = RunLookup(key[kind == GRAM], value[kind == GRAM]), Lookup(key[kind == WORD], value[kind == WORD])
     out = []
-    for batch in T.slices(docs.to_batches(), "text"):
+    for batch in T.slices(docs.to_batches(), "text", SLICE):
         text = T.strings(batch.column("text"))
         keys, at = runs(text)
         score = T.sums(grams(keys).astype(np.float64), at)
