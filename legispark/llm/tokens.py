@@ -7,6 +7,7 @@ size and the low 32 bits of the XXH64 of its content. A reader takes the end of
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -14,6 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
 import zstandard
@@ -41,40 +43,55 @@ def _tokenizer(path: str):
 class WordEncoder:
     """Encodes each distinct white-space-separated word of a slice once.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are its words' ids in order. Words are
-    encoded many at a time with a special token between them, whose id marks where each ends.
+    The tokenizer drops white space and never joins across it, so a text's ids are its words' ids in order. Plain words
+    (printable ASCII and Latin-1 letters) are encoded many at a time with spaces between them: the last token of each
+    piece that the tokenizer cuts a word into ends in its mark for word ends, and a pattern tells the number of pieces.
+    Other words are encoded alone.
     """
 
+    PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+    PLAIN = "^[!-~À-ÖØ-öø-ÿ]+$"
+
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        added = self.tokenizer.get_added_tokens_decoder()
-        self.mark_id, self.mark = max((k, v.content) for k, v in added.items() if v.special and not (v.lstrip or v.rstrip or v.single_word))
-        self.special = [v.content for v in added.values()]
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, k in self.tokenizer.get_vocab().items():
+            self.ends[k] = token.endswith("</w>")
+        self.special = "|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values())
+
+    def _alone(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, np.uint32), *found]), np.array([len(f) for f in found], np.int64)
+
+    def _packed(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        known = words.to_pylist()
+        packs = [" ".join(known[i : i + JOINED]) for i in range(0, len(known), JOINED)]
+        ids, _ = self._alone(packs)
+        pieces = pc.count_substring_regex(pc.utf8_lower(words), self.PIECE).to_numpy(zero_copy_only=False)
+        ends = np.flatnonzero(self.ends[ids])
+        if len(ends) != pieces.sum():
+            return self._alone(known)
+        return ids, np.diff(ends[np.cumsum(pieces) - 1], prepend=-1)
 
     def distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the offset of each word's first and of the end."""
-        known = words.to_pylist()
-        odd = [i for i, w in enumerate(known) if "<|" in w and any(s in w for s in self.special)]
-        alone = {i: known[i] for i in odd}
-        for i in odd:
-            known[i] = "a"
-        packs = [self.mark.join(known[i : i + JOINED]) + self.mark for i in range(0, len(known), JOINED)]
-        out = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(packs, add_special_tokens=False)] if packs else []
-        ids = np.concatenate(out) if out else np.zeros(0, np.uint32)
-        ends = np.flatnonzero(ids == self.mark_id)
-        if len(ends) != len(known):
-            raise ValueError("the tokenizer lost a word's end")
-        lengths = np.diff(ends, prepend=-1) - 1
-        ids = np.delete(ids, ends)
-        if alone:
-            parts = np.split(ids, np.cumsum(lengths)[:-1])
-            for i, w in alone.items():
-                parts[i] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32)
-            ids, lengths = np.concatenate(parts), np.array([len(p) for p in parts])
-        return ids, np.concatenate([[0], np.cumsum(lengths)])
+        plain = pc.and_(pc.match_substring_regex(words, self.PLAIN), pc.invert(pc.match_substring_regex(words, self.special))).to_numpy(zero_copy_only=False)
+        if plain.all():
+            ids, n = self._packed(words)
+            return ids, np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+        where = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        a, n_a = self._packed(words.filter(pa.array(plain))) if plain.any() else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        b, n_b = self._alone(words.filter(pa.array(~plain)).to_pylist())
+        ids, n = np.concatenate([a, b]), np.concatenate([n_a, n_b])
+        back = np.empty(len(where), np.int64)
+        back[where] = np.arange(len(where))
+        starts = np.cumsum(n) - n
+        return ids[T.spread(starts[back], n[back])], np.concatenate([[0], np.cumsum(n[back], dtype=np.int64)])
 
     def __call__(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, an end id after each, and the offset of each text's first and of the end."""
+        if not pc.any(pc.match_substring_regex(text, f"(?i){self.special}")).as_py():  # the tokenizer lowers all but these
+            text = pc.ascii_lower(text)
         flat, at = T.split(text)
         code, words = T.coded(flat)
         ids, begin = self.distinct(words)
