@@ -176,11 +176,12 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
     new = {"n_words": "bigint", "n_hit": "bigint", "n_items": "bigint", "items_sha256": "string", "contaminated": "boolean"}
     kept = [c for c in docs.columns if c not in new and (keep_text or c != text_col)]
     parts = [spark.sparkContext.broadcast(b) for b in blocks(benchmark, window, item_col, item_text_col, block_bytes)]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").alias("_text"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], *([] if keep_text else [F.col(f"`{text_col}`").alias("_text")]))
+    column = text_col if keep_text else "_text"
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in T.slices(batches, "_text"):
-            flat, at = _words(T.strings(batch.column("_text")))
+        for batch in T.slices(batches, column):
+            flat, at = _words(T.strings(batch.column(column)))
             hit, found = np.zeros(int(at[-1]), bool), [set() for _ in range(batch.num_rows)]
             for part in parts:
                 more, ids = part.value.hits(flat, at)

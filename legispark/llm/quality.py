@@ -24,6 +24,8 @@ LONG, HALF, LAGS = 64, 32, range(2, 33)
 #: The bound of the sample: labelled rows, and bytes of each.
 SAMPLE_ROWS, SAMPLE_BYTES = 2000, 1 << 16
 THRESHOLD = 0.7
+#: Text that is scored at once, in bytes.
+SLICE = 2 << 20
 #: What each step takes off the filters, so that they keep what many texts share.
 DECAY = 3e-3
 #: How often the filters are there in training: without them the comparing ones have to tell.
@@ -56,16 +58,20 @@ def _padded(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def likeness(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     """For each text, over its long chunks, how far the largest share of bytes that equal the one some fixed distance earlier exceeds a half, in tenths."""
-    m = -(-len(data) // HALF) + 2
+    n = np.diff(at)
+    room = -(-n // HALF) * HALF + HALF  # each text starts a half of its own, after filling
+    to = np.concatenate([[0], np.cumsum(room)]) + HALF
+    line = np.full(int(to[-1]), FILL, np.uint8)
+    line[T.spread(to[:-1], n)] = data
+    m = len(line) // HALF
     best = np.zeros(m - 1, np.uint8)
-    same = np.zeros(m * HALF, bool)
+    same = np.zeros(len(line), bool)
     for lag in LAGS:
-        same[lag : len(data)] = data[lag:] == data[:-lag] if len(data) > lag else False
-        same[:lag] = False
+        same[lag:] = line[lag:] == line[:-lag]
         half = same.reshape(m, HALF).sum(axis=1, dtype=np.uint8)
         np.maximum(best, half[1:] + half[:-1], out=best)
     out = np.zeros(len(at) - 1)
-    first, last = -(-at[:-1] // HALF), at[1:] // HALF - 1  # chunks of two halves wholly within the text
+    first, last = to[:-1] // HALF, (to[:-1] + n) // HALF - 1  # chunks of two halves wholly within the text
     for k in np.flatnonzero(first < last):
         out[k] = best[first[k] : last[k]].max() / LONG
     return out
@@ -185,11 +191,12 @@ def scored(spark: SparkSession, docs: DataFrame, model: Network, threshold: floa
     """
     kept = [c for c in docs.columns if c not in ("score", "predicted") and (c != text_col or not drop_text)]
     shared = spark.sparkContext.broadcast(model)  # fixed size
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").alias("_text"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], *([F.col(f"`{text_col}`").alias("_text")] if drop_text else []))
+    column = "_text" if drop_text else text_col
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in T.slices(batches, "_text"):
-            score = shared.value.score(T.strings(batch.column("_text")))
+        for batch in T.slices(batches, column, SLICE):
+            score = shared.value.score(T.strings(batch.column(column)))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(score), pa.array((score >= threshold).astype(np.int32))], names=[*kept, "score", "predicted"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text"), "score double", "predicted int"])

@@ -8,26 +8,48 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 #: Text that one step of a task takes on, in bytes; a longer text is a step of its own.
 SLICE_BYTES = 8 << 20
 
+#: Rows of an Arrow batch between Spark and Python; texts are long, and each task holds a few batches.
+BATCH_ROWS = 1000
+
 #: Words of letters and digits are what is left between these bytes, A-Z lowered first.
 ALNUM = np.arange(256, dtype=np.uint8)
 ALNUM[0x41:0x5B] += 32
 ALNUM[[*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = 0x20
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches, cut where their text exceeds the limit."""
+    """The rows in batches of about so much text: small ones are joined, large ones cut."""
+    held, room = [], limit
     for batch in batches:
         if not batch.num_rows:
             continue
         size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        step = np.cumsum(size, dtype=np.int64) // limit
-        cuts = [0, *(np.flatnonzero(np.diff(step)) + 1), batch.num_rows]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            yield batch.slice(a, b - a)
+        total, a = np.cumsum(size, dtype=np.int64), 0
+        while a < batch.num_rows:
+            done = int(total[a - 1]) if a else 0
+            b = max(a + 1, int(np.searchsorted(total, done + room, "right")))
+            held.append(batch.slice(a, b - a))
+            room -= int(total[b - 1]) - done
+            a = b
+            if room <= 0 or a < batch.num_rows:
+                yield _joined(held)
+                held, room = [], limit
+    if held:
+        yield _joined(held)
+
+
+def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return batches[0] if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 
 
 def strings(column: pa.Array) -> pa.Array:
