@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from legispark.llm import text as T
 from legispark.llm.storage import written
 
-DEPTH = 4
+DEPTH = 5
 #: Text of a block, in characters as Spark counts them.
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 32 << 20
 #: Bytes whose runs are counted or looked up at once.
 SLICE = 4 << 20
 #: Fixed value: the byte that stands before and after each text; UTF-8 has no such byte.
@@ -225,39 +225,36 @@ def run_values(grams: DataFrame) -> DataFrame:
 
 
 class Lookup:
-    """Values by key; runs of three and two bytes are numbered first where the table of both fits."""
+    """Values by key, in a table of open addresses four times as large; sought keys must be there."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        order = np.argsort(keys)
-        self.keys, self.values = keys[order], values[order]
+        self.bits = np.uint64(64 - max(4, int(4 * len(keys)).bit_length()))
+        self.slots = np.full(1 << (64 - int(self.bits)), -1, np.int32)
+        self.keys, self.values = keys, values
+        left, probe = np.arange(len(keys)), 0
+        while len(left):
+            slot = self._slot(keys[left], probe)
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = left[free]
+            left, probe = left[self.slots[slot] != left], probe + 1
+
+    def _slot(self, keys: np.ndarray, probe: int) -> np.ndarray:
+        return (T.mixed(keys.view(np.uint64) + np.uint64(probe)) >> self.bits).astype(np.int64)
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
-        return self.values[np.searchsorted(self.keys, keys)]
-
-
-class RunLookup(Lookup):
-    MOST = 1 << 25
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        super().__init__(keys, values)
-        self.high, self.low = (np.zeros(1 << b, np.int32) for b in (24, 16))
-        high, low = np.unique(self.keys >> 16), np.unique(self.keys & 0xFFFF)
-        self.small = DEPTH == 4 and len(high) * len(low) <= self.MOST
-        if self.small:
-            self.high[high], self.low[low] = np.arange(len(high)) * len(low), np.arange(len(low))
-            self.table = np.zeros(len(high) * len(low), np.float32)
-            self.table[self.high[self.keys >> 16] + self.low[self.keys & 0xFFFF]] = self.values
-
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        if not self.small:
-            return super().__call__(keys)
-        return self.table[self.high[keys >> 16] + self.low[keys & 0xFFFF]]
+        at = self.slots[self._slot(keys, 0)]
+        left, probe = np.flatnonzero(self.keys[at] != keys) if len(self.keys) else np.arange(0), 1
+        while len(left):
+            found = self.slots[self._slot(keys[left], probe)]
+            at[left] = found
+            left, probe = left[self.keys[found] != keys[left]], probe + 1
+        return self.values[at]
 
 
 def score_block(docs: pa.Table, values: pa.Table) -> pa.Table:
     """The texts of a block and the values of its runs and words; returns id, held_out, n_tokens, n_known, logs, score."""
     kind, key, value = (values.column(c).to_numpy() for c in ("kind", "key", "value"))
-    grams, words = RunLookup(key[kind == GRAM], value[kind == GRAM]), Lookup(key[kind == WORD], value[kind == WORD])
+    grams, words = Lookup(key[kind == GRAM], value[kind == GRAM]), Lookup(key[kind == WORD], value[kind == WORD])
     out = []
     for batch in T.slices(docs.to_batches(), "text", SLICE):
         text = T.strings(batch.column("text"))

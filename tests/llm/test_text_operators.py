@@ -292,16 +292,22 @@ def brute_ctw(texts, learn):
     return [sum(step((line[i] >> (8 - k)) | (1 << k), line[i - depth : i], (line[i] >> (7 - k)) & 1) for i in range(depth, len(line)) for k in range(8)) for line in lines]
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_context_trees(spark, monkeypatch, small):
-    if not small:
-        monkeypatch.setattr(ctw.RunLookup, "MOST", 0)
+def test_lookup():
+    rng = np.random.default_rng(0)
+    for n in (1, 5, 1000):
+        keys = np.unique(rng.integers(-(1 << 62), 1 << 62, n))
+        find = ctw.Lookup(keys, np.arange(len(keys)))
+        sought = rng.integers(0, len(keys), 3000)
+        assert find(keys[sought]).tolist() == sought.tolist()
+
+
+def test_context_trees(spark):
     texts = ["abab abba", "Abab", "", None, "zé abab", "abab abba"]
     learn = [True, True, True, True, False, True]
     df = spark.createDataFrame([(i, t, on, "x") for i, (t, on) in enumerate(zip(texts, learn, strict=True))], "doc_id long, text string, on boolean, key string")
     got = sorted(collected(ctw.scores(spark, df, F.col("on"), block_chars=9)), key=lambda r: r["doc_id"])
     for r, want in zip(got, brute_ctw(texts, learn), strict=True):
-        assert math.isclose(r["score"], want, rel_tol=1e-5, abs_tol=1e-6)
+        assert math.isclose(r["score"], want, rel_tol=1e-9)
     words = [WORD.findall(lower(t)) + ["\n"] for t in texts]
     seen = Counter(w for ws, on in zip(words, learn, strict=True) if on for w in ws)
     n, v = sum(seen.values()), len(seen)
