@@ -8,9 +8,8 @@ may also be some whole lines of a message, so messages are listed by passages an
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from legispark.llm.storage import written
 
@@ -53,10 +52,12 @@ def reply_links(rows: DataFrame) -> DataFrame:
     """msg, parent (turn): the latest earlier turn of the conversation that a message's first linked passage quotes."""
     runs = passages(rows)
     own = runs.select("conv", "turn", "level", "hash").unionByName(rows.where("norm <> ''").select("conv", "turn", "level", F.sha2("norm", 256).alias("hash"))).distinct()
-    quoted = runs.where("level > 0").select("msg", "conv", "turn", "first", "level", "hash", (F.col("level") - 1).alias("from_level"))
-    origin = own.select("conv", "hash", F.col("level").alias("from_level"), F.col("turn").alias("from_turn"))
-    met = quoted.join(origin, ["conv", "hash", "from_level"]).where("from_turn < turn")
-    best = met.groupBy("msg").agg(F.max(F.struct(-F.col("level"), -F.col("first"), "from_turn")).alias("best"))  # the outermost quote, then the first
+    quoted = runs.where("level > 0").select("conv", "hash", (F.col("level") - 1).alias("from_level"), "turn", "msg", "level", "first", F.lit(None).cast("long").alias("from_turn"))
+    origin = own.select("conv", "hash", F.col("level").alias("from_level"), "turn", F.lit(None).cast("string").alias("msg"), F.lit(None).cast("int").alias("level"), F.lit(None).cast("int").alias("first"), F.col("turn").alias("from_turn"))
+    # the latest earlier turn in one sorted pass, as a common passage would join with all its quotes
+    earlier = Window.partitionBy("conv", "hash", "from_level").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
+    met = quoted.unionByName(origin).where("conv is not null and turn is not null").withColumn("from_turn", F.max("from_turn").over(earlier)).where("msg is not null and from_turn is not null")
+    best = met.groupBy("msg").agg(F.max(F.struct((-F.col("level")).alias("l"), (-F.col("first")).alias("f"), "from_turn")).alias("best"))  # the outermost quote, then the first
     return best.select("msg", F.col("best.from_turn").alias("parent"))
 
 
