@@ -28,6 +28,8 @@ BANDS, ROWS = 42, 6
 BINS = BANDS * ROWS
 #: Nodes of a bucket that are paired, and of a chunk.
 PAIRED, CHUNK = 8, 256
+#: Ids that are broadcast at most, of 8 bytes.
+BROADCAST_IDS = 1_000_000
 
 _ODD = T.mixed(np.arange(1, 4096, dtype=np.uint64)) | np.uint64(1)
 _SEEDS = T.mixed(np.arange(1, 2 * BINS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -188,10 +190,17 @@ def without_copies(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, perce
     found = written(near_duplicates(spark, docs, k, percent), "groups")
     gone = found.where("not kept").select("doc_id").distinct()
     again = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    stay = docs.join(gone, "doc_id", "left_anti")
+    stay = docs.join(_counted(gone), "doc_id", "left_anti")
+    if again.isEmpty():
+        return stay.select(docs.columns)
     first = Window.partitionBy("doc_id").orderBy("text")
-    twice = stay.join(again, "doc_id", "left_semi").withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
-    return stay.join(again, "doc_id", "left_anti").unionByName(twice).select(docs.columns)
+    twice = stay.join(_counted(again), "doc_id", "left_semi").withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    return stay.join(_counted(again), "doc_id", "left_anti").unionByName(twice).select(docs.columns)
+
+
+def _counted(ids: DataFrame) -> DataFrame:
+    """Ids to join with: broadcast if a count shows that they are few, else shuffled with the documents."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
