@@ -30,3 +30,31 @@ VOTE_OPTIONAL = ["bill_id", "bill_context", "party", "district", "member_id", "v
 
 #: Names in the vote feed and ours.
 VOTE_FEED = {"HG_NM": "member_name", "POLY_NM": "party", "ORIG_NM": "district", "MONA_CD": "member_id", "RESULT_VOTE_MOD": "vote", "BILL_ID": "bill_id", "VOTE_DATE": "date", "AGE": "term"}
+
+#: Party to broad bloc.
+BLOCS = {
+    "국민의힘": "conservative", "미래통합당": "conservative", "미래한국당": "conservative", "자유한국당": "conservative", "우리공화당": "conservative", "친박신당": "conservative", "바른미래당": "conservative",
+    "더불어민주당": "liberal", "열린민주당": "liberal", "민생당": "liberal", "민주평화당": "liberal", "새로운미래": "liberal",
+    "정의당": "progressive", "조국혁신당": "progressive", "진보당": "progressive", "민중당": "progressive", "기본소득당": "progressive", "사회민주당": "progressive",
+    "개혁신당": "centrist", "무소속": "independent", "국민의당": "centrist", "자유통일당": "conservative",
+}
+OTHER_BLOC = "other"
+
+#: Party to display family.
+FAMILIES = {
+    "더불어민주당": "더불어민주당", "열린민주당": "더불어민주당 계열", "국민의힘": "국민의힘", "미래통합당": "국민의힘 계열", "미래한국당": "국민의힘 계열", "자유한국당": "국민의힘 계열",
+    "정의당": "정의당", "조국혁신당": "조국혁신당", "진보당": "진보당", "개혁신당": "개혁신당", "무소속": "무소속",
+}
+
+#: Words that aren't names, in transcripts and in appendices.
+NOISE_INLINE = ["의원", "의장", "부의장", "위원", "위원장", "국회", "선포", "가결", "부결", "투표", "재석", "결과", "성명", "본회의", "한나라당", "민주당", "열린우리당", "자유선진당", "민주노동당", "창조한국당", "진보신당", "무소속", "국민의힘", "더불어민주당", "새누리당", "바른미래당", "정의당", "국민의당"]
+NOISE_APPENDIX = ["의원", "의장", "부의장", "위원", "위원장", "국회", "선포", "가결", "부결", "투표", "재석", "결과", "성명", "본회의", "한나라당", "민주당", "열린우리당", "자유선진당", "민주노동당", "새누리당", "통합민주당", "민주통합당", "새정치민주연합", "바른미래당", "정의당", "국민의당", "무소속", "진보신당", "창조한국당", "선진통일당", "자유한국당", "친박연대"]
+
+#: What a meeting says when its votes are in the appendix.
+APPENDIX_PHRASE = "성명은 끝에"
+
+#: Committees' former names and what they are called now.
+COMMITTEE_NAMES = {"환경노동위원회": "기후에너지환경노동위원회", "기획재정위원회": "재정경제기획위원회", "여성가족위원회": "성평등가족위원회"}
+
+#: The month in which each term begins.
+TERM_STARTS = {17: "2004-05-01", 18: "2008-05-01", 19: "2012-05-01", 20: "2016-05-01", 21: "2020-05-01", 22: "2024-05-01"}

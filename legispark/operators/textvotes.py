@@ -55,15 +55,19 @@ def names(rows: DataFrame, noise: Sequence[str], headers: dict[str, str]) -> Dat
 
 
 def contexts(t: DataFrame, rows: DataFrame, id_cols: Sequence[str], text: str, style: str, ends: Sequence[str] = V.AGENDA_ENDS) -> DataFrame:
-    """Per event: begin of its first header, bill_context and the announced totals from the text before it."""
+    """Per event: begin of its first header, bill_context and the announced totals from the text before it.
+
+    The context is in transcripts the last numbered agenda item, else the first phrase with such an ending; in
+    appendices the first numbered phrase with such an ending, its number included.
+    """
     first = rows.groupBy(*id_cols, "event").agg(F.min("begin").alias("begin"))
     joined = first.join(t.select(*id_cols, text), list(id_cols))
     before = lambda n: F.substring(F.col(text), F.greatest(F.col("begin") - n, F.lit(0)) + 1, F.least(F.col("begin"), F.lit(n)))
     tail = "(?:" + "|".join(ends) + ")"
-    numbered = F.regexp_extract_all(before(CONTEXT), F.lit(r"\d+\.\s*([^\n]+)" if style == "inline" else rf"\d+\.\s*([^\n]*?{tail})"), 1)
-    phrase = F.nullif(F.regexp_extract(before(CONTEXT), rf"([^\n.]+?{tail})", 1), F.lit(""))
+    numbered = F.regexp_extract_all(before(CONTEXT), F.lit(r"(?m)^\s*\d+\.\s+([^(\n]+)" if style == "inline" else rf"(\d+\.[^\n]+?{tail})"), 1)
+    phrase = F.nullif(F.regexp_extract(before(CONTEXT), rf"([가-힣\s]{{5,50}}{tail})", 1), F.lit(""))
     picked = F.coalesce(F.try_element_at(numbered, F.lit(-1)), phrase) if style == "inline" else F.get(numbered, 0)
-    totals = r"재석\s*(?:의원)?\s*(\d+)인\s*중\s*찬성\s*(\d+)인"
+    totals = r"재석\s*(\d+)\s*인\s*중\s*찬성\s*(\d+)\s*인"
     return joined.select(*id_cols, "event", "begin", F.substring(F.trim(picked), 1, MOST_CONTEXT).alias("bill_context"), F.regexp_extract(before(TOTALS), totals, 1).try_cast("int").alias("agg_total"), F.regexp_extract(before(TOTALS), totals, 2).try_cast("int").alias("agg_yes"))
 
 

@@ -51,6 +51,18 @@ def build_master(age: int, member_bills: DataFrame, receipts: DataFrame, reviews
     return out.withColumns({"days_to_proc": S.days_between("ppsl_dt", "proc_dt"), "days_to_committee": S.days_between("ppsl_dt", "committee_dt")})
 
 
+def harmonised(t: DataFrame, committee: str = "committee_nm") -> DataFrame:
+    """Committees under the names they have now."""
+    return tables.recode(t, committee, V.COMMITTEE_NAMES)
+
+
+def months_of_term(bills: DataFrame, kind: str = V.LAW_KIND) -> DataFrame:
+    """Per term: bills in each month from its first bill's to its last one's, empty ones too, and the month's number in the term."""
+    counts = stats.period_counts(bills.where(F.col("bill_kind") == kind), "ppsl_dt", "month", ["age"], fill=True)
+    start = S.recoded(F.col("age").cast("string"), {str(k): v for k, v in V.TERM_STARTS.items()}, keep=False).cast("date")
+    return counts.withColumn("month_of_term", S.months_from(F.year(start), F.month(start), "period"))
+
+
 def search_bills(bills: DataFrame, keyword: str | None = None, age: int | None = None, committee: str | None = None, proposer: str | None = None, status: str | None = None, kind: str | None = None, date_from: str | None = None, date_to: str | None = None, limit: int = 20) -> tuple[DataFrame, DataFrame]:
     """The newest bills that fit, and how many do; words are patterns without regard to case."""
     return tables.search(bills, {"bill_nm": keyword, "committee_nm": committee, "proposer_text": proposer}, {"age": age, "bill_kind": kind}, ("status", V.STATUS_GROUPS[status]) if status else None, ("ppsl_dt", date_from, date_to), limit, [F.desc_nulls_last("ppsl_dt"), "bill_id"])

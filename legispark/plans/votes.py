@@ -43,6 +43,26 @@ def parse_speeches(speeches: DataFrame, style: str, noise: list[str], plenary_on
     return rows.join(events, ["meeting_id", "speech_order", "event"]).drop("event", "section", "place")
 
 
+def appendix_meetings(speeches: DataFrame, term: int | None = None, phrase: str = V.APPENDIX_PHRASE) -> DataFrame:
+    """Plenary meetings that refer to an appendix: date and session of the first such speech, and how often they do."""
+    t = speeches.where((F.col("hearing_type") == V.PLENARY) & F.contains("speech_text", F.lit(phrase)))
+    t = t if term is None else t.where(F.col("term") == term)
+    times = F.sum(F.regexp_count("speech_text", F.lit(phrase))).cast("long")
+    return t.groupBy("meeting_id").agg(F.min_by("date", "speech_order").alias("date"), times.alias("n_vote_refs"), F.min_by("session", "speech_order").alias("session"))
+
+
+def with_blocs(t: DataFrame, party: str = "party") -> DataFrame:
+    """Adds party_bloc and party_family."""
+    return t.withColumns({"party_bloc": S.recoded(party, V.BLOCS, V.OTHER_BLOC), "party_family": S.recoded(party, V.FAMILIES)})
+
+
+def party_legend(points: DataFrame, party: str = "party") -> DataFrame:
+    """Parties with their number of member-terms, in display order: known families first, then by number and name."""
+    order = F.array_position(F.array(*map(F.lit, V.FAMILIES)), F.col(party))
+    counts = points.where(F.col(party).isNotNull()).groupBy(party).agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("place", F.when(order > 0, order).otherwise(len(V.FAMILIES) + 1)).orderBy("place", F.desc("n"), party)
+
+
 def legislator_profile(bills: DataFrame, points: DataFrame, members: DataFrame, name: str, age: int | None = None, mona: str | None = None) -> dict[str, DataFrame]:
     """record (bills led, enacted, reflected in others, median days), top (newest enacted), ranks, person.
 

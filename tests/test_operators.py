@@ -204,7 +204,7 @@ def test_appendix_votes(spark):
     text = f"3. 세법 일부개정법률안\n찬 성 의 원 （5 인）\n{names}\n기권의원 2인\n하나로 두나로"
     df = spark.createDataFrame([(1, text)], "id int, t string")
     got = rows(textvotes.parse_votes(df, ["id"], "t", "appendix").select("vote", "member_name", "bill_context"))
-    assert sum(g[0] == "찬성" for g in got) == 5 and sum(g[0] == "기권" for g in got) == 2 and {g[2] for g in got} == {"세법 일부개정법률안"}
+    assert sum(g[0] == "찬성" for g in got) == 5 and sum(g[0] == "기권" for g in got) == 2 and {g[2] for g in got} == {"3. 세법 일부개정법률안"}
     assert textvotes.mismatches(df, ["id"], "t", "appendix").count() == 0
 
 
@@ -333,6 +333,18 @@ def test_linkage(spark):
     assert sorted(rows(ids["coverage"].select("source", "n", "percent"))) == [("a", 1, 50.0), ("b", 2, 100.0)]
 
 
+def test_small_plans(spark):
+    text = "meeting_id string, term int, date string, session string, hearing_type string, speech_order int, speech_text string"
+    said = spark.createDataFrame([("m", 22, "d1", "s", V.PLENARY, 2, "성명은 끝에 실음. 성명은 끝에"), ("m", 22, "d0", "s", V.PLENARY, 1, "성명은 끝에"), ("n", 22, "d", "s", "소위", 1, "성명은 끝에")], text)
+    assert rows(P.appendix_meetings(said, 22)) == [("m", "d0", 3, "s")]
+    points = spark.createDataFrame([("국민의힘",), ("x",), ("더불어민주당",), ("x",), (None,)], "party string")
+    assert values(P.party_legend(points), "party") == ["더불어민주당", "국민의힘", "x"]
+    assert values(P.with_blocs(points), "party_bloc") == ["conservative", "other", "liberal", "other", "other"]
+    assert values(B.harmonised(spark.createDataFrame([("여성가족위원회",), ("법사위",)], "committee_nm string")), "committee_nm") == ["성평등가족위원회", "법사위"]
+    months = sorted(rows(B.months_of_term(bills(spark).withColumn("ppsl_dt", F.when(F.col("bill_id") == "PRC_2", F.to_date(F.lit("2024-08-09"))).otherwise(F.col("ppsl_dt")))).select("period", "n", "month_of_term")))
+    assert [m[1:] for m in months] == [(1, 1), (0, 2), (1, 3)]
+
+
 def test_ideology_table(spark):
     points = spark.createDataFrame([("a", 22, 0.5, "Kim", "Red"), ("b", 22, -0.5, "Lee", "Blue"), ("c", 21, 0.1, "Kim", None)], "member_id string, term int, aligned double, member_name string, party string")
     assert values(P.ideology_table(points, name="kim", term=22), "rank") == [1] and values(P.ideology_table(points, party="blue"), "member_id") == ["b"]
