@@ -51,6 +51,7 @@ class WordEncoder:
 
     PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
     PLAIN = "^[!-~À-ÖØ-öø-ÿ]+$"
+    TAIL = ".,;:!?"
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
@@ -73,14 +74,25 @@ class WordEncoder:
             return self._alone(known)
         return ids, np.diff(ends[np.cumsum(pieces) - 1], prepend=-1)
 
+    def _plain(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Plain words; what ends them after a letter or digit is a piece of its own, so it is encoded once."""
+        heads = pc.utf8_rtrim(words, self.TAIL)
+        heads = pc.if_else(pc.match_substring_regex(heads, "[A-Za-z0-9À-ÖØ-öø-ÿ]$"), heads, words)
+        tails = pc.if_else(pc.equal(heads, words), "", pc.replace_substring_regex(words, r"^.*[A-Za-z0-9À-ÖØ-öø-ÿ]", ""))
+        code, known = T.coded(heads)
+        ids, n = self._packed(known)
+        end_code, ends = T.coded(tails)
+        more, m = self._alone(ends.to_pylist())
+        every, size = np.concatenate([ids, more]), np.concatenate([n, m])
+        begin = np.cumsum(size) - size
+        order = np.column_stack([code, end_code + len(n)]).ravel()  # each head, then its tail
+        return every[T.spread(begin[order], size[order])], size[order].reshape(-1, 2).sum(axis=1)
+
     def distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the offset of each word's first and of the end."""
         plain = pc.and_(pc.match_substring_regex(words, self.PLAIN), pc.invert(pc.match_substring_regex(words, self.special))).to_numpy(zero_copy_only=False)
-        if plain.all():
-            ids, n = self._packed(words)
-            return ids, np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
         where = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
-        a, n_a = self._packed(words.filter(pa.array(plain))) if plain.any() else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        a, n_a = self._plain(words.filter(pa.array(plain))) if plain.any() else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
         b, n_b = self._alone(words.filter(pa.array(~plain)).to_pylist())
         ids, n = np.concatenate([a, b]), np.concatenate([n_a, n_b])
         back = np.empty(len(where), np.int64)
