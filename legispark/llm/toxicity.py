@@ -8,7 +8,6 @@ class explains count once. The classifier sees all words and word beginnings tha
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -31,7 +30,7 @@ LEXICON = {
 #: Lengths of word beginnings, in code points.
 BEGINNINGS = range(4, 9)
 #: The bound of the sample: labelled rows, and bytes of each.
-SAMPLE_ROWS, SAMPLE_BYTES = 8000, 1 << 16
+SAMPLE_ROWS, SAMPLE_BYTES = 6000, 1 << 16
 #: Mined voters and features at most; the least share of ones among a feature's texts, and standard deviations above chance.
 MOST_VOTERS, MOST_FEATURES, LEAST_SHARE, LEAST_SCORE = 100, 300, 0.85, 6.0
 THRESHOLD = 0.3
@@ -125,38 +124,52 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _texts_features(texts: list[str]) -> list[set[tuple[str, str]]]:
-    out: list[set[tuple[str, str]]] = [set() for _ in texts]
-    for begin in range(0, len(texts), 500):
-        code, words, at = _split(pa.array(texts[begin : begin + 500], pa.string()))
-        kinds = [(kind, v.to_pylist()) for kind, v in _features(words)]
-        for i, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)):
-            for w in np.unique(code[a:b]).tolist():
-                out[begin + i].update((kind, v[w]) for kind, v in kinds if v[w] is not None)
-    return out
-
-
-def _telling(sets: list[set[tuple[str, str]]], y: np.ndarray, most: int) -> list[tuple[str, str]]:
-    """Features that the texts with high y have and others don't, the strongest first; of those in the same texts, one."""
-    n, one = Counter(), Counter()
-    for s, p in zip(sets, y.tolist(), strict=True):
-        n.update(s)
-        if p > 0.01:
-            for f in s:
-                one[f] += p
-    prior = float(np.clip(y.mean(), 1e-6, 1 - 1e-6))
-    score = {f: (one[f] - prior * k) / np.sqrt(k * prior * (1 - prior)) for f, k in n.items() if one[f] >= LEAST_SHARE * k}
-    score = {f: z for f, z in score.items() if z >= LEAST_SCORE}
-    where: dict[tuple[str, str], list[int]] = {f: [] for f in score}
-    for i, s in enumerate(sets):
-        for f in s & score.keys():
-            where[f].append(i)
-    out, seen = [], set()
-    for f in sorted(score, key=lambda f: (-score[f], f[0] != "=", f)):
-        if (own := tuple(where[f])) not in seen:
-            seen.add(own)
-            out.append(f)
-    return out[:most]
+class Sample:
+    """Texts as numbered words; features are looked at one kind at a time, so no text's whole set of them is held."""
+
+    def __init__(self, texts: list[str]):
+        self.n = len(texts)
+        self.code, self.words, at = _split(pa.array(texts, pa.string()))
+        self.doc = np.repeat(np.arange(self.n), np.diff(at))
+
+    def pairs(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """values: a feature of each word, or null. Each text and feature that it has, once, and the features."""
+        both = values.dictionary_encode()
+        own = pc.fill_null(both.indices, -1).to_numpy(zero_copy_only=False).astype(np.int64)[self.code]
+        size = max(1, len(both.dictionary))
+        met = np.unique(self.doc[own >= 0] * size + own[own >= 0])
+        return met // size, met % size, both.dictionary
+
+    def having(self, words: list[str]) -> np.ndarray:
+        """The texts with any of the words."""
+        known = pc.is_in(self.words, value_set=pa.array(words, pa.string())).to_numpy(zero_copy_only=False)
+        return np.unique(self.doc[known[self.code]]) if len(self.code) else np.zeros(0, np.int64)
+
+    def telling(self, y: np.ndarray, most: int) -> list[tuple[str, str, np.ndarray]]:
+        """Features (kind, value, texts) that texts with high y have and others don't, the strongest first; of those in the same texts, one."""
+        prior = float(np.clip(y.mean(), 1e-6, 1 - 1e-6))
+        found = []
+        for kind, values in _features(self.words):
+            doc, feature, names = self.pairs(values)
+            n, one = np.bincount(feature, minlength=len(names)), np.bincount(feature, weights=y[doc], minlength=len(names))
+            score = (one - prior * n) / np.sqrt(np.maximum(n, 1) * prior * (1 - prior))
+            good = (one >= LEAST_SHARE * n) & (score >= LEAST_SCORE)
+            doc, feature = doc[good[feature]], feature[good[feature]]
+            order = np.argsort(feature, kind="stable")
+            for own in np.split(order, np.flatnonzero(np.diff(feature[order])) + 1) if len(order) else []:
+                k = int(feature[own[0]])
+                found.append((-float(score[k]), kind != "=", kind, names[k].as_py(), doc[own]))
+        found.sort(key=lambda x: x[:4])
+        out = {}
+        for _, _, kind, value, docs in found:
+            out.setdefault(docs.tobytes(), (kind, value, docs))
+        return list(out.values())[:most]
+
+    def matrix(self, columns: list[np.ndarray], kind: type) -> np.ndarray:
+        out = np.zeros((self.n, len(columns)), kind)
+        for k, docs in enumerate(columns):
+            out[docs, k] = 1
+        return out
 
 
 def train(texts: list[str], labels: list[int]) -> Model:
@@ -165,18 +178,14 @@ def train(texts: list[str], labels: list[int]) -> Model:
     share = (y.sum() + 0.5) / (len(y) + 1)
     if len(set(labels)) < 2:
         return Model({}, float(np.log(share / (1 - share))))
-    sets = _texts_features(texts)
-    groups = [{("=", w) for w in words} for words in LEXICON.values()]
-    mined = _telling(sets, y, MOST_VOTERS)
-    voters = [*groups, *({("=", w)} for words in LEXICON.values() for w in words), *({f} for f in mined)]
-    votes = np.array([[bool(s & v) for v in voters] for s in sets], bool)
-    votes = votes[:, votes.any(axis=0)]
-    q, _ = posterior(votes, y)
-    features = _telling(sets, q, MOST_FEATURES)
-    x = np.array([[f in s for f in features] for s in sets], np.float32).reshape(len(sets), len(features))
-    w, b = logistic(x, q)
+    known = Sample(texts)
+    lexicons = [known.having(words) for words in LEXICON.values()] + [known.having([w]) for words in LEXICON.values() for w in words]
+    voters = [d for d in lexicons if len(d)] + [d for _, _, d in known.telling(y, MOST_VOTERS)]
+    q, _ = posterior(known.matrix(voters, bool), y)
+    features = known.telling(q, MOST_FEATURES)
+    w, b = logistic(known.matrix([d for _, _, d in features], np.float32), q)
     kinds: dict[str, tuple[list[str], list[float]]] = {}
-    for (kind, value), weight in zip(features, w.tolist(), strict=True):
+    for (kind, value, _), weight in zip(features, w.tolist(), strict=True):
         kinds.setdefault(kind, ([], []))
         kinds[kind][0].append(value)
         kinds[kind][1].append(weight)
