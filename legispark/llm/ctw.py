@@ -23,11 +23,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from legispark.llm import text as T
-from legispark.llm.storage import written
+from legispark.llm.storage import let_go, written
 
 DEPTH = 5
 #: Text of a block, in characters as Spark counts them.
-BLOCK_CHARS = 32 << 20
+BLOCK_CHARS = 16 << 20
 #: Bytes whose runs are counted or looked up at once.
 SLICE = 4 << 20
 #: Fixed value: the byte that stands before and after each text; UTF-8 has no such byte.
@@ -282,6 +282,7 @@ def scores(spark: SparkSession, docs: DataFrame, learn: Column, id_col: str = "d
     blocks = max(1, -(-(size or 0) // block_chars))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id", F.substring("text", 1, 64)), F.lit(blocks)).cast("int")).select("block", "id", "learn", "text")
     counts = written(rows.groupBy("block").applyInArrow(count_block, "block int, kind int, key long, n long"), "counts")
+    let_go(spark)  # of the texts' first shuffle
     totals = counts.where(f"kind = {WORD}").groupBy("key").agg(F.sum("n").alias("n"))
     tokens, distinct = totals.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     end = trained or 0

@@ -49,7 +49,9 @@ def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     learn = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) != 2
-    return ctw.scores(spark, table(spark, sf_dir, "documents"), learn)
+    docs = table(spark, sf_dir, "documents")
+    small_batches(spark, 4000)  # runs and words are many small rows
+    return ctw.scores(spark, docs, learn)
 
 
 def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

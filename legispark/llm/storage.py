@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -22,6 +23,12 @@ def fresh(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def let_go(spark: SparkSession) -> None:
+    """Has the driver collect its garbage, so that Spark's cleaner removes the shuffle files of finished steps."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a written table: cuts the lineage, and survives lost executors."""
     spark = df.sparkSession

@@ -22,9 +22,9 @@ ALNUM[0x41:0x5B] += 32
 ALNUM[[*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = 0x20
 
 
-def small_batches(spark: SparkSession) -> None:
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bounds the session's Arrow batches."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
