@@ -9,7 +9,8 @@ texts, is a fixed mix of the estimates along the context's path:
 
 Counts of (DEPTH + 1)-byte runs are summed by key over the cluster. Nodes of two context bytes and more are worked out
 in tasks that each hold all runs with those two bytes; the at most 255 + 255 * 256 nodes above them are one broadcast.
-Documents are dealt in blocks of bounded size, and each block gets the values of its own runs and words only.
+Documents are dealt in blocks of bounded size, and each block gets the values of its own words, and of
+its own runs, or of all runs where a count shows that they are few.
 """
 
 from __future__ import annotations
@@ -27,9 +28,11 @@ from legispark.llm.storage import let_go, written
 
 DEPTH = 5
 #: Text of a block, in characters as Spark counts them.
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 24 << 20
 #: Bytes whose runs are counted or looked up at once.
 SLICE = 4 << 20
+#: Runs whose values are broadcast after a count, 16 bytes each; more are joined to the blocks that have them.
+BROADCAST_RUNS = 3_000_000
 #: Fixed value: the byte that stands before and after each text; UTF-8 has no such byte.
 EDGE = 0xFF
 GRAM, WORD = 0, 1
@@ -196,8 +199,8 @@ def _sum_below(node: np.ndarray, value: np.ndarray, found: np.ndarray) -> np.nda
     return np.bincount(np.searchsorted(found, node), weights=value, minlength=len(found)).astype(float)
 
 
-def run_values(grams: DataFrame) -> DataFrame:
-    """key, n (long) of all runs; returns key, value: log10 of the chance of the run's last byte after the others."""
+def run_values(grams: DataFrame) -> tuple[DataFrame, int]:
+    """key, n (long) of all runs; returns key, value: log10 of the chance of the run's last byte after the others; and how many."""
     spark = grams.sparkSession
     context = F.shiftrightunsigned("key", 8).bitwiseAND(F.lit(0xFFFF))
     low = written(grams.repartition(context).mapInArrow(_low, "key long, chances array<double>, node long, a double, b double, below double"), "runs")
@@ -221,7 +224,8 @@ def run_values(grams: DataFrame) -> DataFrame:
                 value += np.log10(zero.mix(prefix, bit, p))
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(value)], names=["key", "value"])
 
-    return low.where("key is not null").select("key", "chances").mapInArrow(top, "key long, value double")
+    low = low.where("key is not null").select("key", "chances")
+    return low.mapInArrow(top, "key long, value double"), low.count()
 
 
 class Lookup:
@@ -251,10 +255,21 @@ class Lookup:
         return self.values[at]
 
 
-def score_block(docs: pa.Table, values: pa.Table) -> pa.Table:
-    """The texts of a block and the values of its runs and words; returns id, held_out, n_tokens, n_known, logs, score."""
+_KEPT: list = []
+
+
+def _lookup(runs: tuple[np.ndarray, np.ndarray]) -> Lookup:
+    """The table of a broadcast, made once in each worker."""
+    if not _KEPT or _KEPT[0] is not runs:
+        _KEPT[:] = [runs, Lookup(*runs)]
+    return _KEPT[1]
+
+
+def score_block(docs: pa.Table, values: pa.Table, grams: Lookup | None = None) -> pa.Table:
+    """The texts of a block, and the values of its words and of its runs, if not of all; returns id, learn, n_tokens, n_known, logs, score."""
     kind, key, value = (values.column(c).to_numpy() for c in ("kind", "key", "value"))
-    grams, words = Lookup(key[kind == GRAM], value[kind == GRAM]), Lookup(key[kind == WORD], value[kind == WORD])
+    grams = grams or Lookup(key[kind == GRAM], value[kind == GRAM])
+    words = Lookup(key[kind == WORD], value[kind == WORD])
     out = []
     for batch in T.slices(docs.to_batches(), "text", SLICE):
         text = T.strings(batch.column("text"))
@@ -287,9 +302,19 @@ def scores(spark: SparkSession, docs: DataFrame, learn: Column, id_col: str = "d
     tokens, distinct = totals.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     end = trained or 0
     tokens, distinct = tokens + end, distinct + (end > 0)
-    runs_ = run_values(counts.where(f"kind = {GRAM}").groupBy("key").agg(F.sum("n").alias("n")))
-    known = totals.select(F.lit(WORD).alias("kind"), "key", F.col("n").cast("double").alias("value")).unionByName(runs_.select(F.lit(GRAM).alias("kind"), "key", "value"))
-    values = counts.select("block", "kind", "key").join(known, ["kind", "key"]).select("block", "kind", "key", "value")
-    found = rows.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(score_block, "id long, learn boolean, n_tokens long, n_known long, logs double, score double")
+    runs_, n_runs = run_values(counts.where(f"kind = {GRAM}").groupBy("key").agg(F.sum("n").alias("n")))
+    known = totals.select(F.lit(WORD).alias("kind"), "key", F.col("n").cast("double").alias("value"))
+    own, shared = counts.select("block", "kind", "key"), None
+    if n_runs <= BROADCAST_RUNS:
+        shared = spark.sparkContext.broadcast(tuple(runs_.toArrow().column(c).to_numpy() for c in ("key", "value")))
+        own = own.where(f"kind = {WORD}")
+    else:
+        known = known.unionByName(runs_.select(F.lit(GRAM).alias("kind"), "key", "value"))
+    values = own.join(known, ["kind", "key"]).select("block", "kind", "key", "value")
+
+    def score(docs: pa.Table, values: pa.Table) -> pa.Table:
+        return score_block(docs, values, _lookup(shared.value) if shared else None)
+
+    found = rows.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(score, "id long, learn boolean, n_tokens long, n_known long, logs double, score double")
     base = F.col("logs") + F.lit(float(np.log10(end + 1))) - F.col("n_tokens") * F.lit(float(np.log10(tokens + distinct + 1)))
     return found.select(F.col("id").alias("doc_id"), (~F.col("learn")).alias("held_out"), "n_tokens", (F.col("n_known") + F.lit(int(end > 0))).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"), "score")

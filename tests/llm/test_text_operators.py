@@ -301,7 +301,9 @@ def test_lookup():
         assert find(keys[sought]).tolist() == sought.tolist()
 
 
-def test_context_trees(spark):
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_context_trees(spark, monkeypatch, most):
+    monkeypatch.setattr(ctw, "BROADCAST_RUNS", most)
     texts = ["abab abba", "Abab", "", None, "zé abab", "abab abba"]
     learn = [True, True, True, True, False, True]
     df = spark.createDataFrame([(i, t, on, "x") for i, (t, on) in enumerate(zip(texts, learn, strict=True))], "doc_id long, text string, on boolean, key string")
