@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from legispark.llm import ctw, decontam, extract, mixing, neardup, quality, quotes, repetition, tokens, toxicity
 from legispark.llm.sql import ORACLES
+from legispark.llm.storage import reachable
 from legispark.llm.text import small_batches
 
 TOKENIZER = "word_bpe_49k.json"
@@ -19,6 +20,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reachable(spark)
     small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import gc
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,14 @@ def fresh(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def reachable(spark: SparkSession) -> None:
+    """Workers import this package from where the driver does, whatever folder the driver was started in."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def let_go(spark: SparkSession) -> None:
     """Has the driver collect its garbage, so that Spark's cleaner removes the shuffle files of finished steps."""
     gc.collect()
