@@ -89,7 +89,7 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
     """docs: id, text. Returns id, n_shingles, two hashes of the set, and the bands (null for an empty set)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in T.slices(batches, "text", 4 << 20):
+        for batch in T.slices(batches, "text", 2 << 20):
             n, h1, h2, keys = [], [], [], []
             for items in _sets(batch, k):
                 n.append(len(items))
@@ -222,7 +222,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, perc
     wanted = met.select("id").distinct()
 
     def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in T.slices(batches, "text", 4 << 20):
+        for batch in T.slices(batches, "text", 2 << 20):
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([s.tobytes() for s in _sets(batch, k)], pa.binary())], names=["id", "items"])
 
     sets = written(rows.join(wanted, "id", "left_semi").mapInArrow(whole, "id long, items binary"), "sets")

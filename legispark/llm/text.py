@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
 #: Text that one step of a task takes on, in bytes; a longer text is a step of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 #: Rows of an Arrow batch between Spark and Python; texts are long, and each task holds a few batches.
 BATCH_ROWS = 1000
@@ -46,6 +46,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
                 held, room = [], limit
     if held:
         yield _joined(held)
+    pa.default_memory_pool().release_unused()  # workers live on
 
 
 def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
