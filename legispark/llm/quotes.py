@@ -1,9 +1,9 @@
 """Conversations in reply order without quotes, by linking quoted passages to the messages they come from.
 
-A line's quote level is the number of `>` before its text. Neighbouring lines of a level are a passage; passages are
-normalised and hashed. A quoted passage joins, within its conversation, the messages that have the same passage one
-level nearer their own text (level 0 for a plain quote), and links to the latest of them before it. A quoted passage
-may also be some whole lines of a message, so messages are listed by passages and by lines.
+A line's quote level is the number of `>` before its text. Neighbouring lines of a level are a run, and its stretches
+without blank lines are paragraphs; runs, paragraphs and single lines are normalised and hashed. A quoted one joins, within
+its conversation, the earlier messages that have the same at any level nearer their own text, as a quote may be a part of a
+message and the message between may have left it out. The turn that has most of the quoted lines is the one replied to.
 """
 
 from __future__ import annotations
@@ -38,27 +38,42 @@ def lines(messages: DataFrame) -> DataFrame:
 
 
 def passages(rows: DataFrame) -> DataFrame:
-    """Runs of lines of one level that aren't blank, as msg, conv, turn, level, first (line), hash."""
+    """msg, conv, turn, level, hash, lines (numbers): runs of a level with blank lines left out, their paragraphs, and their lines."""
     order = Window.partitionBy("msg").orderBy("line")  # the lines of one message
     full = rows.where("norm <> ''")
-    full = full.withColumn("new", (F.lag("level").over(order) != F.col("level")).cast("int"))
-    full = full.withColumn("run", F.sum(F.coalesce("new", F.lit(1))).over(order))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "norm"))), lambda x: x["norm"]), " ")
-    runs = full.groupBy("msg", "conv", "turn", "level", "run").agg(F.min("line").alias("first"), text.alias("norm"))
-    return runs.select("msg", "conv", "turn", "level", "first", F.sha2("norm", 256).alias("hash"))
+    turned = F.lag("level").over(order) != F.col("level")
+    full = full.withColumn("new", turned.cast("int")).withColumn("gap", (turned | (F.lag("line").over(order) + 1 < F.col("line"))).cast("int"))
+    full = full.withColumn("run", F.sum(F.coalesce("new", F.lit(1))).over(order)).withColumn("part", F.sum(F.coalesce("gap", F.lit(1))).over(order))
+    inner = F.array_sort(F.collect_list(F.struct("line", "norm")))
+    parts = full.groupBy("msg", "conv", "turn", "level", "run", "part").agg(inner.alias("inner"))
+    runs = parts.groupBy("msg", "conv", "turn", "level", "run").agg(F.array_sort(F.flatten(F.collect_list("inner"))).alias("whole"), F.collect_list("inner").alias("parts"))
+    single = F.transform("whole", lambda x: F.array(x))
+    runs = runs.select("msg", "conv", "turn", "level", F.explode(F.array_distinct(F.concat(F.array("whole"), F.col("parts"), single))).alias("x"))
+    return runs.select("msg", "conv", "turn", "level", F.sha2(F.array_join(F.col("x.norm"), " "), 256).alias("hash"), F.col("x.line").alias("lines"))
 
 
 def reply_links(rows: DataFrame) -> DataFrame:
-    """msg, parent (turn): the latest earlier turn of the conversation that a message's first linked passage quotes."""
-    runs = passages(rows)
-    own = runs.select("conv", "turn", "level", "hash").unionByName(rows.where("norm <> ''").select("conv", "turn", "level", F.sha2("norm", 256).alias("hash"))).distinct()
-    quoted = runs.where("level > 0").select("conv", "hash", (F.col("level") - 1).alias("from_level"), "turn", "msg", "level", "first", F.lit(None).cast("long").alias("from_turn"))
-    origin = own.select("conv", "hash", F.col("level").alias("from_level"), "turn", F.lit(None).cast("string").alias("msg"), F.lit(None).cast("int").alias("level"), F.lit(None).cast("int").alias("first"), F.col("turn").alias("from_turn"))
+    """msg, parent (turn): the earlier turn of the conversation that a message quotes.
+
+    Each passage and line names the latest earlier turn for each level nearer to its own text. Of the turns named, the one
+    that has the outermost of the message's linked quotes is taken, then the one that has most of its quoted lines, then
+    the latest.
+    """
+    found = passages(rows).where("conv is not null and turn is not null")
+    own = found.select("conv", "turn", "level", "hash").distinct()
+    quoted = found.where("level > 0").select("conv", "hash", F.explode(F.sequence(F.lit(0), F.col("level") - 1)).alias("from_level"), "turn", "msg", "level", "lines", F.lit(None).cast("long").alias("from_turn"))
+    origin = own.select("conv", "hash", F.col("level").alias("from_level"), "turn", F.lit(None).cast("string").alias("msg"), F.lit(None).cast("int").alias("level"), F.lit(None).cast("array<int>").alias("lines"), F.col("turn").alias("from_turn"))
     # the latest earlier turn in one sorted pass, as a common passage would join with all its quotes
     earlier = Window.partitionBy("conv", "hash", "from_level").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    met = quoted.unionByName(origin).where("conv is not null and turn is not null").withColumn("from_turn", F.max("from_turn").over(earlier)).where("msg is not null and from_turn is not null")
-    best = met.groupBy("msg").agg(F.max(F.struct((-F.col("level")).alias("l"), (-F.col("first")).alias("f"), "from_turn")).alias("best"))  # the outermost quote, then the first
-    return best.select("msg", F.col("best.from_turn").alias("parent"))
+    met = written(quoted.unionByName(origin).withColumn("from_turn", F.max("from_turn").over(earlier)).where("msg is not null and from_turn is not null").drop("turn"), "quotes")
+    named = met.groupBy("msg").agg(F.collect_set("from_turn").alias("turns"))
+    # a message's own passages with the turns it names, not with all turns that have them
+    asked = met.select("conv", "msg", "hash", "level", "lines").distinct().join(named.where("size(turns) > 1").select("msg", F.explode("turns").alias("turn")), "msg")
+    has = own.groupBy("conv", "turn", "hash").agg(F.min("level").alias("nearest"))
+    had = asked.join(has, ["conv", "turn", "hash"]).where("nearest < level")
+    had = had.groupBy("msg", "turn").agg(F.min("level").alias("level"), F.size(F.array_distinct(F.flatten(F.collect_list("lines")))).alias("n"))
+    best = had.groupBy("msg").agg(F.max(F.struct((-F.col("level")).alias("l"), "n", "turn"))["turn"].alias("parent"))
+    return named.where("size(turns) = 1").select("msg", F.col("turns")[0].alias("parent")).unionByName(best)
 
 
 def threads(links: DataFrame) -> DataFrame:

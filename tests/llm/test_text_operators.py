@@ -533,6 +533,25 @@ def test_conversations(spark):
     assert quotes.conversations(spark, df.limit(0)).count() == 0
 
 
+def test_quotes_of_parts_of_messages(spark):
+    """Some lines, some paragraphs, lines that later turns repeat, and a nested quote whose carrier left it out."""
+    talks = {
+        1: ["a\nb\n\nc\nd", "> a\n> b\nanswer"],
+        2: ["a\nb\n\nc\nd", "x", "> b\n>\n> c\nanswer"],
+        3: ["a one\ntwo\n\nc\nd", "x", "> A one two\n\nanswer"],
+        4: ["x y", "first", "second", "> first\n>> x y\nthird"],
+        5: ["x y", "first", ">> x y\nthird"],
+        6: ["a\nb\nc\nd", "a", "b", "> a\n> b\n> c\nanswer"],
+        7: ["a\nb\nc", "mine", "> mine\n>> a\n>> b\n>> c\nanswer"],
+        8: ["a", "b", "> c\n> a", "> > c\n> > a\nanswer"],
+    }
+    want = {1: [None, 0], 2: [None, None, 0], 3: [None, None, 0], 4: [None, None, None, 1], 5: [None, None, 0], 6: [None, None, None, 0], 7: [None, None, 1], 8: [None, None, 0, 2]}
+    df = spark.createDataFrame([(c, k, "user", t) for c, texts in talks.items() for k, t in enumerate(texts)], "conv_id long, turn long, role string, text string")
+    got = {(r["conv_id"], r["turn"]): r for r in collected(quotes.conversations(spark, df))}
+    assert {c: [got[c, k]["reply_to"] for k in range(len(t))] for c, t in talks.items()} == want
+    assert got[1, 1]["text"] == "answer" and (got[1, 1]["thread"], got[1, 1]["depth"], got[1, 1]["position"]) == (0, 1, 1)
+
+
 # the pipeline
 
 
