@@ -21,15 +21,19 @@ from pyspark.sql import functions as F
 from legispark.llm import text as T
 
 # Names in the HTML standard.
-RAW = ["script", "style", "noscript", "template", "textarea", "select", "svg", "math", "iframe", "object", "canvas", "title"]
+RAW = ["script", "style", "textarea", "iframe", "noembed", "noframes", "title"]
+FOREIGN = {"svg", "math"}
+INTEGRATION = {"foreignobject", "annotation-xml", "mtext"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-BLOCKS = {"address", "article", "aside", "blockquote", "body", "br", "button", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
-CLOSES = {"p": {"p"}, "li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-NEVER = {"head", "button", "option", "label"}
+BLOCKS = {"address", "article", "aside", "blockquote", "body", "br", "button", "center", "dd", "desc", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hr", "html", "legend", "li", "main", "menu", "metadata", "nav", "ol", "optgroup", "option", "p", "pre", "section", "select", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
+CLOSES = {"p": {"p"}, "li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "optgroup": {"option", "optgroup"}}
+NEVER = {"head", "button", "option", "optgroup", "select", "label", "desc", "metadata"}
+#: Elements that any other block ends, and blocks that they may hold.
+LOOSE, HELD = FOREIGN | {"select"}, {"option", "optgroup", "desc", "metadata", "button", "legend", "hr", "br"}
 TEXT_BLOCKS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "blockquote"}
 
 #: Weights of the classifier: elements above a block, and words in their classes, ids and roles.
-PLACES = {"article": 4.0, "main": 3.0, "nav": -7.0, "footer": -7.0, "aside": -7.0, "form": -7.0, "menu": -7.0, "header": -3.0, "dialog": -6.0, "p": 0.8, "blockquote": 0.5, "pre": 0.8, "h1": 0.6, "h2": 0.3, "h3": 0.3, "li": -0.8, "td": -0.3, "figcaption": -0.5}
+PLACES = {"article": 4.0, "main": 3.0, "nav": -7.0, "footer": -7.0, "aside": -7.0, "form": -7.0, "menu": -7.0, "header": -3.0, "dialog": -6.0, "p": 0.8, "blockquote": 0.5, "pre": 0.8, "h1": 0.6, "h2": 0.3, "h3": 0.3, "li": -0.8, "td": -0.3, "figcaption": -0.5, "svg": -1.5, "canvas": -1.5, "object": -1.5, "noscript": -1.5, "template": -8.0}
 NAMES = {
     2.5: ["article", "content", "post", "story", "entry", "main", "text", "body"],
     -7.0: ["ad", "ads", "advert", "advertisement", "adverts", "banner", "sponsor", "sponsored", "promo", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "footer", "sidebar", "aside", "cookie", "cookies", "consent", "gdpr", "notice", "popup", "modal", "newsletter", "subscribe", "signup", "login", "share", "sharing", "social", "related", "recommended", "comment", "comments", "disqus", "reply", "replies", "toolbar", "widget", "pagination", "pager", "copyright", "search", "complementary", "contentinfo", "alert"],
@@ -75,7 +79,10 @@ def _weight(tag: str, attributes: str) -> float:
 
 
 def blocks(page: str) -> list[Block]:
-    """Runs of text between the tags of block elements, in page order; scripts, styles and comments left out."""
+    """Runs of text between the tags of block elements, in page order; scripts, styles, comments, titles, frames and typed texts left out.
+
+    Other elements are only weighed. Blocks end an open svg, math or select, so that a missing end tag takes nothing along.
+    """
     out: list[Block] = []
     stack: list[tuple[str, float, int]] = [("", 0.0, 0)]  # name, weight of it and all above, number
     count, links, at, current = 0, 0, 0, None
@@ -108,12 +115,19 @@ def blocks(page: str) -> list[Block]:
                     links -= stack.pop()[0] == "a"
                 links -= stack.pop()[0] == "a"
             continue
-        if name in RAW:
+        if name in RAW and not (m[3].endswith("/") and any(s[0] in FOREIGN for s in stack)):
             end = _END_OF[name].search(page, at)
             at = end.end() if end else len(page)
             continue
         if name in VOID:
             continue
+        if name in BLOCKS and name not in HELD:
+            for k in range(len(stack) - 1, 0, -1):
+                if stack[k][0] in INTEGRATION:
+                    break
+                if stack[k][0] in LOOSE:
+                    links -= sum(s[0] == "a" for s in stack[k:])
+                    del stack[k:]
         if name in CLOSES:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] in CLOSES[name]:

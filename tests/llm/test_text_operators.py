@@ -495,6 +495,14 @@ def test_main_text(page, want):
     assert extract.main_text(page or "") == want
 
 
+def test_elements_that_do_not_swallow_a_page():
+    """Self-closed and unclosed elements, formulas and fallback texts."""
+    pages = [(f"<article><p>A</p>{x}<p>B</p></article>", "A B") for x in ("<svg class=i />", "<math/>", "<svg>", "<svg><title/><g>", "<svg><desc>d", "<math><mi>", "<select>", "<select><optgroup><option>o", "<object data=x>", "<canvas>", "<noscript>", "<select><option>o</select>")]
+    pages += [("<article><p>A <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b.</p></article>", "A x=2 b."), ("<article><canvas>fallback</canvas><noscript><p>plain</p></noscript><object>else</object></article>", "fallback plain else"), ("<article><p>a <select><option>no</select> b</p></article>", "a b"), ("<article><p>a</p><script>no<p>no</p></script><style>no</style><p>b</p></article>", "a b")]
+    pages += [("<article><p>a</p><svg><title>no</title><desc>no</desc><metadata>no</metadata></svg><p>b</p></article>", "a b"), ("<article><p>a</p><svg/><p>b</p><svg></svg></article>", "a b")]
+    assert [extract.main_text(page) for page, _ in pages] == [want for _, want in pages]
+
+
 def test_minimum_cut_is_minimal():
     rng = random.Random(4)
     for _ in range(200):
