@@ -25,6 +25,7 @@ RAW = ["script", "style", "textarea", "iframe", "noembed", "noframes", "title"]
 FOREIGN = {"svg", "math"}
 INTEGRATION = {"foreignobject", "annotation-xml", "mtext"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+CONTAINERS = {"article", "main"}
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "br", "button", "center", "dd", "desc", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hr", "html", "legend", "li", "main", "menu", "metadata", "nav", "ol", "optgroup", "option", "p", "pre", "section", "select", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 CLOSES = {"p": {"p"}, "li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "optgroup": {"option", "optgroup"}}
 NEVER = {"head", "button", "option", "optgroup", "select", "label", "desc", "metadata"}
@@ -39,6 +40,12 @@ NAMES = {
     -7.0: ["ad", "ads", "advert", "advertisement", "adverts", "banner", "sponsor", "sponsored", "promo", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "footer", "sidebar", "aside", "cookie", "cookies", "consent", "gdpr", "notice", "popup", "modal", "newsletter", "subscribe", "signup", "login", "share", "sharing", "social", "related", "recommended", "comment", "comments", "disqus", "reply", "replies", "toolbar", "widget", "pagination", "pager", "copyright", "search", "complementary", "contentinfo", "alert"],
     -3.0: ["header", "masthead", "top", "meta", "byline", "tags", "links", "utility"],
 }
+#: Words after these in a name say what a layout has or lacks, not what the element is.
+MODIFIERS = {"has", "with", "no", "without"}
+#: Names and elements of lists of short texts, which may be articles themselves.
+LISTS = {"comment", "comments", "disqus", "reply", "replies", "related", "recommended", "promo", "sponsor", "sponsored", "ad", "ads", "advert", "adverts", "advertisement", "newsletter", "aside", "nav", "footer", "menu", "dialog"}
+#: An element of this weight or less, or hidden, is boilerplate whatever holds it.
+BOILERPLATE, HIDDEN, NOTHING = -6.0, -8.0, -20.0
 NAME_WEIGHT = {name: w for w, names in NAMES.items() for name in names}
 BIAS, PER_LINK, PER_WORD, MOST_WORDS, PER_STOP = -1.0, -5.0, 0.05, 40, 0.5
 ADJACENT, SIBLING = 0.6, 0.4
@@ -53,10 +60,10 @@ _STOP = re.compile(r"[.!?…:;](?:\s|$)")
 
 
 class Block:
-    __slots__ = ("parent", "parts", "linked", "weight", "tag")
+    __slots__ = ("parent", "node", "parts", "linked", "weight", "tag")
 
-    def __init__(self, parent: int, weight: float, tag: str):
-        self.parent, self.weight, self.tag = parent, weight, tag
+    def __init__(self, parent: int, node: int, tag: str):
+        self.parent, self.node, self.tag, self.weight = parent, node, tag, 0.0
         self.parts: list[str] = []
         self.linked = 0
 
@@ -64,18 +71,61 @@ class Block:
         return _SPACE.sub(" ", html.unescape("".join(self.parts))).strip()
 
 
-def _weight(tag: str, attributes: str) -> float:
-    w = PLACES.get(tag, 0.0)
+def _names(tag: str, attributes: str) -> set[str]:
+    """Known words of an element's classes, id and roles."""
+    names: set[str] = set()
     if "=" in attributes and tag not in ("html", "body"):
-        names = set()
         for m in _NAMED.finditer(attributes):
-            names.update(_PART.findall((m[1] or m[2] or m[3] or "").lower()))
-        known = [NAME_WEIGHT[n] for n in names if n in NAME_WEIGHT]
-        if known:
-            w += min(known) if min(known) < 0 else max(known)
-        if _HIDDEN.search(attributes):
-            w -= 8
-    return -20.0 if tag in NEVER else w
+            for word in (m[1] or m[2] or m[3] or "").lower().split():
+                parts = _PART.findall(word)
+                names.update(parts[: next((k for k, part in enumerate(parts) if part in MODIFIERS), len(parts))])
+    return names & NAME_WEIGHT.keys()
+
+
+def _wrappers(nodes: list[tuple[int, str, str]], names: list[set[str]], sizes: list[int]) -> set[int]:
+    """Elements that hold a main, or the longest article that isn't in a list and is half of the main it is in."""
+    inside, main = [False] * len(nodes), [0] * len(nodes)
+    for k, (up, tag, _) in enumerate(nodes):
+        inside[k] = inside[up] or tag in LISTS or not LISTS.isdisjoint(names[k])
+        main[k] = k if tag == "main" else main[up]
+    held = [k for k, n in enumerate(nodes) if n[1] == "main" and sizes[k]]
+    articles = [k for k, n in enumerate(nodes) if n[1] == "article" and sizes[k] and not inside[k]]
+    if articles:
+        longest = max(articles, key=lambda k: sizes[k])
+        if not main[longest] or 2 * sizes[longest] >= sizes[main[longest]]:
+            held.append(longest)
+    out: set[int] = set()
+    for k in held:
+        while (k := nodes[k][0]) and k not in out:
+            out.add(k)
+    return out
+
+
+def _weigh(nodes: list[tuple[int, str, str]], found: list[Block]) -> None:
+    """Sets the blocks' weights. The weights of elements add up, but what boilerplate holds has no more for being content."""
+    sizes = [0] * len(nodes)
+    for b in found:
+        sizes[b.node] += sum(map(len, b.parts))
+    for k in range(len(nodes) - 1, 0, -1):
+        sizes[nodes[k][0]] += sizes[k]
+    names = [_names(tag, attributes) for _, tag, attributes in nodes]
+    wrappers = _wrappers(nodes, names, sizes)
+    weights, bad = [0.0] * len(nodes), [False] * len(nodes)
+    for k, (up, tag, attributes) in enumerate(nodes[1:], 1):
+        place = PLACES.get(tag, 0.0)
+        known = [NAME_WEIGHT[n] for n in names[k]]
+        named = min(known) if known and min(known) < 0 else max(known, default=0.0)
+        if k in wrappers:
+            place, named = 0.0 if tag == "form" else place, max([w for w in known if w > 0], default=0.0)
+        hidden = HIDDEN if "=" in attributes and tag not in ("html", "body") and _HIDDEN.search(attributes) else 0.0
+        own = NOTHING if tag in NEVER else min(place, 0.0) + min(named, 0.0) + hidden
+        if tag in NEVER or min(place, named, hidden) <= BOILERPLATE:
+            weights[k], bad[k] = min(weights[up], 0.0) + own, True
+            continue
+        content = 0.0 if bad[up] and (named > 0 or tag in CONTAINERS) else max(place, 0.0) + max(named, 0.0)
+        weights[k], bad[k] = weights[up] + own + content, bad[up]
+    for b in found:
+        b.weight = weights[b.node]
 
 
 def blocks(page: str) -> list[Block]:
@@ -84,8 +134,9 @@ def blocks(page: str) -> list[Block]:
     Other elements are only weighed. Blocks end an open svg, math or select, so that a missing end tag takes nothing along.
     """
     out: list[Block] = []
-    stack: list[tuple[str, float, int]] = [("", 0.0, 0)]  # name, weight of it and all above, number
-    count, links, at, current = 0, 0, 0, None
+    nodes = [(0, "", "")]  # number of the element above, name, attributes
+    stack: list[tuple[str, int]] = [("", 0)]  # name, number
+    links, at, current = 0, 0, None
 
     def add(text: str) -> None:
         nonlocal current
@@ -95,7 +146,7 @@ def blocks(page: str) -> list[Block]:
             if text.isspace():
                 return
             near = next((s for s in reversed(stack) if s[0] in BLOCKS), stack[0])
-            current = Block(near[2], stack[-1][1], near[0])
+            current = Block(near[1], stack[-1][1], near[0])
             out.append(current)
         current.parts.append(text)
         if links:
@@ -138,10 +189,11 @@ def blocks(page: str) -> list[Block]:
                     break
         if m[3].endswith("/"):
             continue
-        count += 1
         links += name == "a"
-        stack.append((name, stack[-1][1] + _weight(name, m[3]), count))
+        nodes.append((stack[-1][1], name, m[3]))
+        stack.append((name, len(nodes) - 1))
     add(page[at:])
+    _weigh(nodes, out)
     return out
 
 

@@ -503,6 +503,27 @@ def test_elements_that_do_not_swallow_a_page():
     assert [extract.main_text(page) for page, _ in pages] == [want for _, want in pages]
 
 
+LONG = " ".join(["word"] * 40) + "."
+LAYOUTS = [
+    (f'<div class="content has-sidebar"><article><p>{LONG}</p><p>Short end.</p></article></div>', f"{LONG} Short end."),
+    (f'<div class="no-comments with-banner"><div id=sidebar-layout class="page menu"><main><p>{LONG}</p></main></div></div>', LONG),
+    (f'<form id=aspnet><div class="sidebar-left"><article><p>{LONG}</p></article></div></form>', LONG),
+    (f"<main><div class=sidebar-layout><article><p>{LONG}</p></article></div></main>", LONG),
+    (f'<main><article><p>{LONG}</p><section class=comments><p>I liked this very much. So did we all.</p><p>So did I.</p></section></article></main>', LONG),
+    (f'<main><article><p>{LONG}</p><div class=ad>Buy now.</div><p>Next one.</p></article></main>', f"{LONG} Next one."),
+    (f'<main><article><p>{LONG}</p></article><section class=comments><article class=comment><div class=content><p>{LONG} {LONG}</p></div></article></section></main>', LONG),
+    (f'<article><p>{LONG}</p></article><div class=sidebar><article><p>A teaser.</p></article></div><aside><article><p>{LONG} {LONG}</p></article></aside>', LONG),
+    (f'<main><p>{LONG}</p><div class=sidebar><article><p>A teaser.</p></article></div></main>', LONG),
+    (f'<main><article><p>{LONG}</p><p style="display:none">Not shown.</p></article></main>', LONG),
+    (f"<main><article><header><h1>A title</h1></header><p>{LONG}</p></article></main>", f"A title {LONG}"),
+]
+
+
+@pytest.mark.parametrize(("page", "want"), LAYOUTS)
+def test_layouts(page, want):
+    assert extract.main_text(page) == want
+
+
 def test_minimum_cut_is_minimal():
     rng = random.Random(4)
     for _ in range(200):
