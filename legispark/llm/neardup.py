@@ -183,19 +183,28 @@ def _chunked(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """docs with one row of each group: the row of its least doc_id; of rows that repeat that id, the least by text.
+    """docs with one row of each group: a row of its least doc_id. Rows that share an id but not a text are apart.
 
     Rows with a null doc_id stay.
     """
-    found = written(near_duplicates(spark, docs, k, percent), "groups")
-    gone = found.where("not kept").select("doc_id").distinct()
-    again = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    stay = docs.join(_counted(gone), "doc_id", "left_anti")
+    named = docs.where("doc_id is not null")
+    texts = named.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("a"), F.max(F.xxhash64("text")).alias("b")).where("a <> b")
+    apart = not texts.isEmpty()
+    node = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")) if apart else F.col("doc_id").cast("long")
+    rows = docs.withColumn("_node", node)
+    found = written(near_duplicates(spark, rows, k, percent, "_node"), "groups").where("doc_id is not null").withColumnRenamed("doc_id", "_node")
+    if apart:  # the least node of a group isn't that of its least doc_id
+        least = found.join(rows.where("_node is not null").select("_node", "doc_id").distinct(), "_node")
+        least = least.groupBy("component_id").agg(F.min(F.struct("doc_id", "_node"))["_node"].alias("least"))
+        found = written(found.join(least, "component_id").select("_node", (F.col("_node") == F.col("least")).alias("kept")), "groups")
+    gone = found.where("not kept").select("_node").distinct()
+    again = found.where("kept").groupBy("_node").count().where("count > 1").select("_node")
+    stay = rows.join(_counted(gone), "_node", "left_anti")
     if again.isEmpty():
         return stay.select(docs.columns)
-    first = Window.partitionBy("doc_id").orderBy("text")
-    twice = stay.join(_counted(again), "doc_id", "left_semi").withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
-    return stay.join(_counted(again), "doc_id", "left_anti").unionByName(twice).select(docs.columns)
+    first = Window.partitionBy("_node").orderBy("text")
+    twice = stay.join(_counted(again), "_node", "left_semi").withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    return stay.join(_counted(again), "_node", "left_anti").unionByName(twice).select(docs.columns)
 
 
 def _counted(ids: DataFrame) -> DataFrame:

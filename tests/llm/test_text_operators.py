@@ -217,6 +217,16 @@ def test_without_copies(spark, docs):
     assert ids == Counter({i: 1 for i, c in want.items() if c == i} | {None: 1}) and set(left[0]) == set(DOCS.names)
 
 
+def test_without_copies_of_shared_ids(spark):
+    """Texts that share an id are apart; a copy takes no other text of its id along."""
+    rng = random.Random(8)
+    a, b, c, d = (prose(rng, 60, 500) for _ in range(4))
+    items = [(1, a), (1, b), (2, a), (3, c), (3, c), (3, d), (0, d), (4, None), (4, ""), (5, b + " end"), (None, a)]
+    df = spark.createDataFrame(items, "doc_id long, text string")
+    got = Counter((r["doc_id"], r["text"]) for r in collected(neardup.without_copies(spark, df)))
+    assert got == Counter([(1, a), (1, b), (3, c), (0, d), (4, None), (4, ""), (None, a)])
+
+
 def test_sketch_estimates_and_fills():
     rng = np.random.default_rng(1)
     for n in (1, 2, 7, 300, 5000):
