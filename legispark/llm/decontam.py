@@ -105,14 +105,14 @@ class Tables:
 
 @dataclass
 class Block:
-    """The patterns of some items: their words, their ids as strings, tables by length."""
+    """The patterns of some items: their words, their ids as strings or None, tables by length."""
 
     words: pa.Array
-    ids: list[str]
+    ids: list[str | None]
     tables: list[Tables]
 
     @classmethod
-    def of(cls, ids: list[str], texts: list[str], window: int) -> Block:
+    def of(cls, ids: list[str | None], texts: list[str], window: int) -> Block:
         flat, at = _words(pa.array(texts, pa.string()))
         code, words = T.coded(flat)
         by_length: dict[int, dict[bytes, set[int]]] = {}
@@ -146,36 +146,37 @@ class Block:
             np.add.at(cover, starts, 1)
             np.add.at(cover, starts + table.length, -1)
             for d, p in set(zip(doc[starts].tolist(), patterns.tolist(), strict=True)):
-                found[d].update(self.ids[i] for i in table.items[p])
+                found[d].update(self.ids[i] for i in table.items[p] if self.ids[i] is not None)
         return np.cumsum(cover[:-1]) > 0, found
 
 
-def blocks(benchmark: DataFrame, window: int, id_col: str, text_col: str, limit: int) -> Iterator[Block]:
-    """The benchmark in parts of about the limit; items without id or words have no window."""
-    rows = benchmark.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).dropna()
+def blocks(benchmark: DataFrame, window: int, id_col: str, text_col: str, limit: int, unnamed: bool = False) -> Iterator[Block]:
+    """The benchmark in parts of about the limit; items without words have no window, nor have those without id unless `unnamed`."""
+    rows = benchmark.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).dropna(subset=["text"] if unnamed else ["id", "text"])
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-total * 2 // limit))
     for k in range(n):
-        part = rows.where(F.pmod(F.xxhash64("id"), F.lit(n)) == k).orderBy("id", "text").collect()
+        part = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).orderBy("id", "text").collect()
         yield Block.of([r.id for r in part], [r.text for r in part], window)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs without any hit, with all their columns."""
-    found = contamination(spark, docs, benchmark, keep_text=True)
+    """The rows of docs without any hit, also of items without an id, with all their columns."""
+    found = contamination(spark, docs, benchmark, keep_text=True, unnamed=True)
     return found.where("not contaminated").select(docs.columns)
 
 
-def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES, keep_text: bool = False) -> DataFrame:
+def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES, keep_text: bool = False, unnamed: bool = False) -> DataFrame:
     """docs' columns (the text only if asked for), and n_words, n_hit, n_items, items_sha256, contaminated.
 
     An item's windows are its runs of `window` words; an item of fewer words, but not none, is one window. Null or
     wordless texts have no words and no hits; so has every document where the benchmark is empty. Rows that repeat
-    give rows that repeat; items that share an id count once. New columns take the place of docs' columns of that name.
+    give rows that repeat; items that share an id count once. Items without an id
+    are left out, or, if `unnamed`, hit without being counted or listed. New columns take the place of docs' columns of that name.
     """
     new = {"n_words": "bigint", "n_hit": "bigint", "n_items": "bigint", "items_sha256": "string", "contaminated": "boolean"}
     kept = [c for c in docs.columns if c not in new and (keep_text or c != text_col)]
-    parts = [spark.sparkContext.broadcast(b) for b in blocks(benchmark, window, item_col, item_text_col, block_bytes)]
+    parts = [spark.sparkContext.broadcast(b) for b in blocks(benchmark, window, item_col, item_text_col, block_bytes, unnamed)]
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], *([] if keep_text else [F.col(f"`{text_col}`").alias("_text")]))
     column = text_col if keep_text else "_text"
 

@@ -139,6 +139,20 @@ def test_contamination(spark, docs, none, block_bytes):
     assert not any(r["contaminated"] for r in collected(decontam.contamination(spark, docs, bench.limit(0))))
 
 
+def test_items_without_an_id(spark):
+    """They clean the corpus without being listed; items that share an id are dealt over blocks."""
+    rng = random.Random(6)
+    texts = [prose(rng, 30, 900) for _ in range(20)]
+    bench = spark.createDataFrame([(None if k < 2 else 1, t) for k, t in enumerate(texts)], "item_id long, text string")
+    docs = spark.createDataFrame([(k, f"x {t} y") for k, t in enumerate(texts[:3])] + [(9, "clean")], "doc_id long, text string")
+    for size in (1 << 20, 2000):
+        got = {r["doc_id"]: (r["n_hit"], r["n_items"], r["contaminated"]) for r in collected(decontam.contamination(spark, docs, bench, block_bytes=size, unnamed=True))}
+        assert got == {0: (30, 0, True), 1: (30, 0, True), 2: (30, 1, True), 9: (0, 0, False)}
+    assert [r["doc_id"] for r in collected(decontam.without_benchmark(spark, docs, bench))] == [9]
+    dealt = [len(b.ids) for b in decontam.blocks(bench, 10, "item_id", "text", 2000, True)]
+    assert sum(dealt) == 20 and max(dealt) < 15
+
+
 def test_wu_manber_finds_all():
     rng = np.random.default_rng(0)
     for m in (1, 2, 3, 10):
