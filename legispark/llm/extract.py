@@ -1,22 +1,23 @@
 """The main text of web pages by a minimum cut over their blocks.
 
 A page's markup is cut into blocks of text. A logistic classifier on a block's place, links and words gives the cost of
-either label: the capacities to the two terminals. Edges of smoothness join each block to the one before it and to the
-last one with the same parent. The cheapest labelling is the minimum cut. A block whose own costs outweigh all its edges
-is labelled at once, which moves its edges into its neighbours' costs; a maximum flow settles what remains.
+either label: the capacities to the two terminals. Its weights are mild, so that a heading, a list item, a linked line
+or a table cell alone is in doubt. Edges of smoothness join each block to the one before it, the stronger the nearer the
+two stand in the tree of elements, and to the last one of the same kind under the same element. The cheapest labelling
+is the minimum cut, from a maximum flow. A block whose own costs outweigh all its edges is labelled at once, which moves
+its edges into its neighbours' costs.
 """
 
 from __future__ import annotations
 
 import html
-import math
 import re
-from collections import deque
-from collections.abc import Iterable, Iterator
+from collections import Counter, deque
+from collections.abc import Iterator
+from itertools import pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from legispark.llm import text as T
 
@@ -34,21 +35,24 @@ LOOSE, HELD = FOREIGN | {"select"}, {"option", "optgroup", "desc", "metadata", "
 TEXT_BLOCKS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "blockquote"}
 
 #: Weights of the classifier: elements above a block, and words in their classes, ids and roles.
-PLACES = {"article": 4.0, "main": 3.0, "nav": -7.0, "footer": -7.0, "aside": -7.0, "form": -7.0, "menu": -7.0, "header": -3.0, "dialog": -6.0, "p": 0.8, "blockquote": 0.5, "pre": 0.8, "h1": 0.6, "h2": 0.3, "h3": 0.3, "li": -0.8, "td": -0.3, "figcaption": -0.5, "svg": -1.5, "canvas": -1.5, "object": -1.5, "noscript": -1.5, "template": -8.0}
+PLACES = {"article": 1.2, "main": 0.8, "nav": -2.6, "footer": -2.6, "aside": -2.6, "form": -2.6, "menu": -2.6, "header": -0.8, "dialog": -2.4, "p": 0.35, "blockquote": 0.3, "pre": 0.35, "h1": 0.2, "h2": 0.1, "h3": 0.1, "li": -0.3, "td": -0.2, "figcaption": -0.3, "svg": -0.2, "canvas": -0.1, "object": -0.1, "noscript": -0.1, "template": -3.0}
 NAMES = {
-    2.5: ["article", "content", "post", "story", "entry", "main", "text", "body"],
-    -7.0: ["ad", "ads", "advert", "advertisement", "adverts", "banner", "sponsor", "sponsored", "promo", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "footer", "sidebar", "aside", "cookie", "cookies", "consent", "gdpr", "notice", "popup", "modal", "newsletter", "subscribe", "signup", "login", "share", "sharing", "social", "related", "recommended", "comment", "comments", "disqus", "reply", "replies", "toolbar", "widget", "pagination", "pager", "copyright", "search", "complementary", "contentinfo", "alert"],
-    -3.0: ["header", "masthead", "top", "meta", "byline", "tags", "links", "utility"],
+    0.6: ["article", "content", "post", "story", "entry", "main", "text", "body"],
+    -2.6: ["ad", "ads", "advert", "advertisement", "adverts", "banner", "sponsor", "sponsored", "promo", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "footer", "sidebar", "aside", "cookie", "cookies", "consent", "gdpr", "notice", "popup", "modal", "newsletter", "subscribe", "signup", "login", "share", "sharing", "social", "related", "recommended", "comment", "comments", "disqus", "reply", "replies", "toolbar", "widget", "pagination", "pager", "copyright", "search", "complementary", "contentinfo", "alert"],
+    -1.0: ["header", "masthead", "top", "meta", "byline", "tags", "links", "utility"],
 }
 #: Words after these in a name say what a layout has or lacks, not what the element is.
 MODIFIERS = {"has", "with", "no", "without"}
 #: Names and elements of lists of short texts, which may be articles themselves.
 LISTS = {"comment", "comments", "disqus", "reply", "replies", "related", "recommended", "promo", "sponsor", "sponsored", "ad", "ads", "advert", "adverts", "advertisement", "newsletter", "aside", "nav", "footer", "menu", "dialog"}
 #: An element of this weight or less, or hidden, is boilerplate whatever holds it.
-BOILERPLATE, HIDDEN, NOTHING = -6.0, -8.0, -20.0
+BOILERPLATE, HIDDEN, NOTHING = -2.4, -3.0, -20.0
+#: Log odds at most, of either sign.
+MOST_ODDS = 20.0
 NAME_WEIGHT = {name: w for w, names in NAMES.items() for name in names}
-BIAS, PER_LINK, PER_WORD, MOST_WORDS, PER_STOP = -1.0, -5.0, 0.05, 40, 0.5
-ADJACENT, SIBLING = 0.6, 0.4
+BIAS, PER_LINK, PER_WORD, MOST_WORDS, PER_STOP = -0.6, -1.6, 0.03, 40, 0.3
+#: Edges: to the block before, for steps between the two in the tree; what entering or leaving boilerplate counts as in steps; to the last of its kind.
+ADJACENT, BOUNDARY, KIN = 2.4, 8, 0.4
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _END_OF = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I) for name in RAW}
@@ -60,10 +64,12 @@ _STOP = re.compile(r"[.!?…:;](?:\s|$)")
 
 
 class Block:
-    __slots__ = ("parent", "node", "parts", "linked", "weight", "tag")
+    __slots__ = ("parent", "node", "parts", "linked", "weight", "tag", "above", "steps", "waste")
 
     def __init__(self, parent: int, node: int, tag: str):
         self.parent, self.node, self.tag, self.weight = parent, node, tag, 0.0
+        self.above = self.waste = 0  # the element above, and the nearest boilerplate one, 0 for none
+        self.steps = 1  # elements between it and the block before, along the tree
         self.parts: list[str] = []
         self.linked = 0
 
@@ -110,7 +116,7 @@ def _weigh(nodes: list[tuple[int, str, str]], found: list[Block]) -> None:
         sizes[nodes[k][0]] += sizes[k]
     names = [_names(tag, attributes) for _, tag, attributes in nodes]
     wrappers = _wrappers(nodes, names, sizes)
-    weights, bad = [0.0] * len(nodes), [False] * len(nodes)
+    weights, bad = [0.0] * len(nodes), [0] * len(nodes)
     for k, (up, tag, attributes) in enumerate(nodes[1:], 1):
         place = PLACES.get(tag, 0.0)
         known = [NAME_WEIGHT[n] for n in names[k]]
@@ -120,12 +126,24 @@ def _weigh(nodes: list[tuple[int, str, str]], found: list[Block]) -> None:
         hidden = HIDDEN if "=" in attributes and tag not in ("html", "body") and _HIDDEN.search(attributes) else 0.0
         own = NOTHING if tag in NEVER else min(place, 0.0) + min(named, 0.0) + hidden
         if tag in NEVER or min(place, named, hidden) <= BOILERPLATE:
-            weights[k], bad[k] = min(weights[up], 0.0) + own, True
+            weights[k], bad[k] = min(weights[up], 0.0) + own, k
             continue
         content = 0.0 if bad[up] and (named > 0 or tag in CONTAINERS) else max(place, 0.0) + max(named, 0.0)
         weights[k], bad[k] = weights[up] + own + content, bad[up]
+    depth = [0] * len(nodes)
+    for k, n in enumerate(nodes[1:], 1):
+        depth[k] = depth[n[0]] + 1
+    before = None
     for b in found:
-        b.weight = weights[b.node]
+        b.weight, b.waste, b.above = weights[b.node], bad[b.node], nodes[b.node][0]
+        if before:
+            x, y, steps = before.node, b.node, 0
+            while x != y:  # up from the deeper one; all blocks together climb no element more than twice
+                if depth[x] < depth[y]:
+                    x, y = y, x
+                x, steps = nodes[x][0], steps + 1
+            b.steps = max(1, steps) + (BOUNDARY if before.waste != b.waste else 0)
+        before = b
 
 
 def blocks(page: str) -> list[Block]:
@@ -136,7 +154,13 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     nodes = [(0, "", "")]  # number of the element above, name, attributes
     stack: list[tuple[str, int]] = [("", 0)]  # name, number
-    links, at, current = 0, 0, None
+    opened: Counter[str] = Counter()
+    at, current = 0, None
+
+    def close(k: int) -> None:
+        """Ends the k-th open element and all within it."""
+        opened.subtract(name for name, _ in stack[k:])
+        del stack[k:]
 
     def add(text: str) -> None:
         nonlocal current
@@ -149,7 +173,7 @@ def blocks(page: str) -> list[Block]:
             current = Block(near[1], stack[-1][1], near[0])
             out.append(current)
         current.parts.append(text)
-        if links:
+        if opened["a"]:
             current.linked += len(text)
 
     while m := _MARKUP.search(page, at):
@@ -161,10 +185,8 @@ def blocks(page: str) -> list[Block]:
         if name in BLOCKS:
             current = None
         if m[1]:
-            if any(s[0] == name for s in stack):
-                while stack[-1][0] != name:
-                    links -= stack.pop()[0] == "a"
-                links -= stack.pop()[0] == "a"
+            if opened[name]:
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name))
             continue
         if name in RAW and not (m[3].endswith("/") and any(s[0] in FOREIGN for s in stack)):
             end = _END_OF[name].search(page, at)
@@ -172,24 +194,20 @@ def blocks(page: str) -> list[Block]:
             continue
         if name in VOID:
             continue
-        if name in BLOCKS and name not in HELD:
+        if name in BLOCKS and name not in HELD and any(opened[x] for x in LOOSE):
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] in INTEGRATION:
                     break
                 if stack[k][0] in LOOSE:
-                    links -= sum(s[0] == "a" for s in stack[k:])
-                    del stack[k:]
-        if name in CLOSES:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in CLOSES[name]:
-                    links -= sum(s[0] == "a" for s in stack[k:])
-                    del stack[k:]
-                    break
-                if stack[k][0] in BLOCKS and stack[k][0] not in TEXT_BLOCKS:
-                    break
+                    close(k)
+        for k in range(len(stack) - 1, 0, -1) if name in CLOSES else ():
+            if stack[k][0] in CLOSES[name]:
+                close(k)
+            elif stack[k][0] in BLOCKS and stack[k][0] not in TEXT_BLOCKS:
+                break
         if m[3].endswith("/"):
             continue
-        links += name == "a"
+        opened[name] += 1
         nodes.append((stack[-1][1], name, m[3]))
         stack.append((name, len(nodes) - 1))
     add(page[at:])
@@ -224,54 +242,84 @@ def minimum_cut(gain: list[float], edges: list[tuple[int, int, float]]) -> list[
                 del near[j][k]
                 queue.append(j)
             near[k] = {}
-    rest = [k for k in range(len(gain)) if label[k] is None]
-    if rest:
-        for k, side in zip(rest, _source_side([gain[k] for k in rest], [{rest.index(j): w for j, w in near[k].items()} for k in rest]), strict=True):
+    for part in _parts(near, [k for k in range(len(gain)) if label[k] is None]):
+        place = {k: i for i, k in enumerate(part)}
+        for k, side in zip(part, _source_side([gain[k] for k in part], [{place[j]: w for j, w in near[k].items()} for k in part]), strict=True):
             label[k] = side
     return [bool(x) for x in label]
 
 
+def _parts(near: list[dict[int, float]], nodes: list[int]) -> Iterator[list[int]]:
+    """The nodes that edges connect, each set on its own."""
+    seen: set[int] = set()
+    for first in nodes:
+        if first not in seen:
+            seen.add(first)
+            part = [first]
+            for k in part:
+                fresh = [j for j in near[k] if j not in seen]
+                seen.update(fresh)
+                part += fresh
+            yield part
+
+
 def _source_side(gain: list[float], near: list[dict[int, float]]) -> list[bool]:
-    """Which nodes the source still reaches after a maximum flow along shortest paths."""
+    """Which nodes the source still reaches after a maximum flow: along all shortest paths at once, then along longer ones."""
     s, t = len(gain), len(gain) + 1
     room = [dict(n) for n in near] + [{}, {}]
     for k, g in enumerate(gain):
         a, b = (s, k) if g > 0 else (k, t)
         room[a][b], room[b][a] = abs(g), 0.0
     while True:
-        before = {s: s}
+        depth = {s: 0}
         queue = deque([s])
-        while queue and t not in before:
+        while queue:
             k = queue.popleft()
             for j, w in room[k].items():
-                if w > 1e-12 and j not in before:
-                    before[j] = k
+                if w > 1e-12 and j not in depth:
+                    depth[j] = depth[k] + 1
                     queue.append(j)
-        if t not in before:
-            return [k in before for k in range(len(gain))]
-        path, j = [], t
-        while j != s:
-            path.append((before[j], j))
-            j = before[j]
-        flow = min(room[a][b] for a, b in path)
-        for a, b in path:
-            room[a][b] -= flow
-            room[b][a] = room[b].get(a, 0.0) + flow
+        if t not in depth:
+            return [k in depth for k in range(len(gain))]
+        left = [iter(list(r)) for r in room]  # each edge is given up at most once in a phase
+        path = [s]
+        while path:
+            k = path[-1]
+            if k == t:
+                flow = min(room[a][b] for a, b in pairwise(path))
+                for a, b in pairwise(path):
+                    room[a][b] -= flow
+                    room[b][a] = room[b].get(a, 0.0) + flow
+                cut = next(i for i, (a, b) in enumerate(pairwise(path)) if room[a][b] <= 1e-12)
+                del path[cut + 1 :]
+                continue
+            for j in left[k]:
+                if room[k][j] > 1e-12 and depth.get(j) == depth[k] + 1:
+                    path.append(j)
+                    break
+            else:
+                path.pop()
 
 
-def main_text(page: str) -> str:
-    """The content blocks of a page, joined by spaces; empty if there are none."""
-    found = [(b, t) for b in blocks(page) if (t := b.text())]
-    gain = [max(-math.log1p(1e9), min(20.0, chance(b, t))) for b, t in found]
-    last: dict[int, int] = {}
+def network(found: list[tuple[Block, str]]) -> tuple[list[float], list[tuple[int, int, float]]]:
+    """The blocks' log odds and the edges between them."""
+    gain = [max(-MOST_ODDS, min(MOST_ODDS, chance(b, t))) for b, t in found]
+    last: dict[tuple[int, str], int] = {}
     edges = []
     for k, (b, _) in enumerate(found):
         if k:
-            edges.append((k - 1, k, ADJACENT))
-        if b.parent in last:
-            edges.append((last[b.parent], k, SIBLING))
-        last[b.parent] = k
-    return " ".join(t for (_, t), keep in zip(found, minimum_cut(gain, edges), strict=True) if keep)
+            edges.append((k - 1, k, ADJACENT / b.steps))
+        kind = (b.parent if b.parent != b.node else b.above, b.tag)
+        if kind in last and found[last[kind]][0].waste == b.waste:
+            edges.append((last[kind], k, KIN))
+        last[kind] = k
+    return gain, edges
+
+
+def main_text(page: str) -> str:
+    """The content blocks of a page, joined by spaces; empty if there are none."""
+    found = [(b, t) for b in blocks(page) if (t := b.text())]
+    return " ".join(t for (_, t), keep in zip(found, minimum_cut(*network(found)), strict=True) if keep)
 
 
 def extracted(pages: DataFrame, html_col: str = "html") -> DataFrame:
@@ -280,13 +328,9 @@ def extracted(pages: DataFrame, html_col: str = "html") -> DataFrame:
     Null, empty and textless markup give an empty text; markup that breaks off ends its open elements. Rows that repeat
     are each extracted; an empty table gives an empty result. Columns named like the new ones are replaced.
     """
-    kept = [c for c in pages.columns if c not in ("text", "n_chars", html_col)]
-    rows = pages.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{html_col}`").alias("_html"))
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in T.slices(batches, "_html"):
-            text = [main_text(p) for p in T.strings(batch.column("_html")).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(text, pa.string()), pa.array(map(len, text), pa.int64())], names=[*kept, "text", "n_chars"])
+    def values(pages: pa.Array) -> list:
+        text = [main_text(p) for p in pages.to_pylist()]
+        return [pa.array(text, pa.string()), pa.array(map(len, text), pa.int64())]
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_html"), "text string", "n_chars bigint"])
-    return rows.mapInArrow(run, schema)
+    return T.annotated(pages, html_col, {"text": "string", "n_chars": "bigint"}, values)

@@ -1,14 +1,15 @@
 """A byte-level convolutional network that tells a text's quality.
 
-Filters over one-hot bytes are tables: a filter's answer on a chunk is the sum of one entry for each of its bytes.
-Chunks overlap and cover the whole text; each filter's largest answer is kept, and one logistic unit combines them. A
-bank of fixed comparing filters adds how far a chunk equals itself some bytes earlier. Trained with Adam in numpy on a
-bounded sample of labelled rows, applied in Arrow batches.
+Filters over one-hot bytes are tables: a filter's answer on a chunk is the sum of one entry for each of its bytes. A
+second bank looks at longer chunks through the shares of bytes that equal the one some distance earlier, a channel for
+each distance; its weights and the levels from which a channel counts are learned like those of the first. Chunks
+overlap and cover the whole text; each filter's largest answer is kept, and one logistic unit combines them. Trained
+with Adam in numpy on a bounded sample of labelled rows, applied in Arrow batches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 from legispark.llm import text as T
 
 WIDTH, STRIDE, FILTERS = 8, 4, 16
-#: Bytes of the longer chunks, their step, and the distances at which they are compared.
-LONG, HALF, LAGS = 64, 32, range(2, 33)
+#: Bytes of the longer chunks, their step, the distances of their channels, and filters over these.
+LONG, HALF, LAGS, COMPARING = 64, 32, range(2, 33), 4
 #: The bound of the sample: labelled rows, and bytes of each.
 SAMPLE_ROWS, SAMPLE_BYTES = 2000, 1 << 16
 THRESHOLD = 0.7
@@ -28,8 +29,6 @@ THRESHOLD = 0.7
 SLICE = 2 << 20
 #: What each step takes off the filters, so that they keep what many texts share.
 DECAY = 3e-3
-#: How often the filters are there in training: without them the comparing ones have to tell.
-KEPT = 0.6
 #: The byte that fills short texts up; UTF-8 has no such byte.
 FILL = 0xFF
 
@@ -56,31 +55,35 @@ def _padded(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, to
 
 
-def likeness(data: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """For each text, over its long chunks, how far the largest share of bytes that equal the one some fixed distance earlier exceeds a half, in tenths."""
+def likeness(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each long chunk of each text and each distance, the share of bytes that equal the one so far earlier, and offsets.
+
+    Chunks lie within their text; one of fewer than LONG bytes has one chunk, of all its bytes.
+    """
     n = np.diff(at)
     room = -(-n // HALF) * HALF + HALF  # each text starts a half of its own, after filling
     to = np.concatenate([[0], np.cumsum(room)]) + HALF
     line = np.full(int(to[-1]), FILL, np.uint8)
     line[T.spread(to[:-1], n)] = data
     m = len(line) // HALF
-    best = np.zeros(m - 1, np.uint8)
+    first, count = to[:-1] // HALF, np.maximum(1, n // HALF - 1)
+    where = T.spread(first, count)
+    out = np.empty((len(where), len(LAGS)), np.float32)
     same = np.zeros(len(line), bool)
-    for lag in LAGS:
-        same[lag:] = line[lag:] == line[:-lag]
+    full = line != FILL
+    for i, lag in enumerate(LAGS):
+        same[lag:] = (line[lag:] == line[:-lag]) & full[lag:]
         half = same.reshape(m, HALF).sum(axis=1, dtype=np.uint8)
-        np.maximum(best, half[1:] + half[:-1], out=best)
-    out = np.zeros(len(at) - 1)
-    first, last = to[:-1] // HALF, (to[:-1] + n) // HALF - 1  # chunks of two halves wholly within the text
-    for k in np.flatnonzero(first < last):
-        out[k] = best[first[k] : last[k]].max() / LONG
-    return out
+        out[:, i] = (half[:-1] + half[1:])[where] / np.float32(LONG)
+    return out, np.concatenate([[0], np.cumsum(count)])
 
 
 @dataclass
 class Network:
     tables: np.ndarray  # WIDTH, 256, FILTERS
-    weights: np.ndarray  # FILTERS + 1
+    lags: np.ndarray  # distances, COMPARING
+    levels: np.ndarray  # distances
+    weights: np.ndarray  # FILTERS + COMPARING
     bias: float
 
     def answers(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -89,15 +92,19 @@ class Network:
             out += self.tables[k][data[starts + k]]
         return out
 
+    def compared(self, shares: np.ndarray) -> np.ndarray:
+        return np.maximum(shares - self.levels, 0) @ self.lags
+
     def pooled(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         starts, to = _chunks(data, at)
-        out = np.empty((len(at) - 1, FILTERS + 1))
         top = [np.maximum.reduceat(self.answers(data, starts[to[a] : to[b]]), to[a:b] - to[a]) for a, b in _steps(to)]
-        out[:, :FILTERS] = np.maximum(np.concatenate(top), 0) if top else 0
-        out[:, FILTERS] = likeness(data, at)
-        return out
+        shares, to = likeness(data, at)
+        more = [np.maximum.reduceat(self.compared(shares[to[a] : to[b]]), to[a:b] - to[a]) for a, b in _steps(to)]
+        return np.maximum(np.column_stack([np.concatenate(top), np.concatenate(more)]), 0)
 
     def score(self, text: pa.Array) -> np.ndarray:
+        if not len(text):
+            return np.zeros(0)
         data, at = _padded(text)
         z = self.pooled(data, at) @ self.weights + self.bias
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -127,49 +134,67 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, batch: int = 32
     y = np.array(labels, float)
     share = (y.sum() + 0.5) / (len(y) + 1)
     rng = np.random.default_rng(seed)
-    net = Network(rng.normal(0, 0.1, (WIDTH, 256, FILTERS)).astype(np.float32), np.append(rng.normal(0, 0.1, FILTERS), -0.5), float(np.log(share / (1 - share))))
+    net = Network(
+        rng.normal(0, 0.1, (WIDTH, 256, FILTERS)).astype(np.float32),
+        np.abs(rng.normal(0, 1, (len(LAGS), COMPARING))).astype(np.float32),
+        np.full(len(LAGS), 0.3, np.float32),
+        np.append(rng.normal(0, 0.1, FILTERS), np.full(COMPARING, -0.5)),
+        float(np.log(share / (1 - share))),
+    )
     if len(set(labels)) < 2:
         net.weights[:] = 0
         return net
     data, at = _padded(pa.array(texts, pa.string()))
-    alike = likeness(data, at)
+    shares, per = likeness(data, at)
     starts, to = _chunks(data, at)
     adam = Adam(0.02)
     for _ in range(epochs):
         order = rng.permutation(len(y))
         for own in np.split(order, range(batch, len(order), batch)):
-            h, where = np.zeros((len(own), FILTERS + 1)), np.zeros((len(own), FILTERS), np.int64)
+            h, where = np.zeros((len(own), FILTERS + COMPARING)), np.zeros((len(own), FILTERS), np.int64)
+            seen = np.zeros((len(own), COMPARING), np.int64)
             for i, d in enumerate(own):
                 s = starts[to[d] : to[d + 1]]
                 z = net.answers(data, s)
                 k = z.argmax(axis=0)
                 h[i, :FILTERS], where[i] = z[k, np.arange(FILTERS)], s[k]
-                h[i, FILTERS] = alike[d]
-            on = (h[:, :FILTERS] > 0) * (rng.random((len(own), 1)) < KEPT) / KEPT  # without the filters now and then
-            h[:, :FILTERS] *= on
+                z = net.compared(shares[per[d] : per[d + 1]])
+                k = z.argmax(axis=0)
+                h[i, FILTERS:], seen[i] = z[k, np.arange(COMPARING)], per[d] + k
+            on = h > 0
+            h *= on
             p = 1 / (1 + np.exp(-np.clip(h @ net.weights + net.bias, -30, 30)))
             g = (p - y[own]) / len(own)
-            back = g[:, None] * net.weights[None, :FILTERS] * on
+            back = g[:, None] * net.weights[None, :] * on
             grad = np.zeros_like(net.tables)
             for k in range(WIDTH):
-                np.add.at(grad[k], (data[where + k], np.arange(FILTERS)[None, :].repeat(len(own), 0)), back.astype(np.float32))
+                np.add.at(grad[k], (data[where + k], np.arange(FILTERS)[None, :].repeat(len(own), 0)), back[:, :FILTERS].astype(np.float32))
+            above = np.maximum(shares[seen] - net.levels, 0)  # text, filter, distance
+            late = back[:, FILTERS:, None]
+            down = -(late * net.lags.T[None] * (above > 0)).sum(axis=(0, 1))
             adam.step += 1
             net.tables = (adam("tables", net.tables, grad) * (1 - DECAY)).astype(np.float32)
+            net.lags = adam("lags", net.lags, (late * above).sum(axis=0).T).astype(np.float32)
+            net.levels = adam("levels", net.levels, down).astype(np.float32)
             net.weights = adam("weights", net.weights, h.T @ g + 1e-4 * net.weights)
             net.bias = float(adam("bias", np.array(net.bias), np.array(g.sum())))
     return net
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows: int, most_bytes: int) -> list:
+def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows: int, most_bytes: int, unlabelled: int = 0) -> list:
     """At most `rows` labelled texts, the same ones each time: by a hash of the id, of those for which `learn` is true.
 
-    Texts of more than `most_bytes` bytes are not learned from. Null labels, ids and texts are left out; an id with
-    several labels has its least.
+    With `unlabelled`, at most so many more that have no label, which is null then. Texts of more than `most_bytes` bytes
+    are not learned from. Null ids and texts are left out; an id with several labels has its least.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & learn).groupBy("doc_id").agg(F.min(label).alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    found = docs.select("doc_id", "text").where(F.octet_length("text") <= most_bytes).join(F.broadcast(chosen), "doc_id")  # `rows` rows at most
-    return found.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows).collect()
+    if unlabelled:
+        ids = docs.where(F.col("doc_id").isNotNull() & learn).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows + unlabelled)
+        more = ids.distinct().join(labels.where(F.col(label).isNotNull()), "doc_id", "left_anti").orderBy(F.xxhash64("doc_id"), "doc_id").limit(unlabelled)
+        chosen = chosen.unionByName(more.withColumn("label", F.lit(None).cast("int")), allowMissingColumns=True)
+    found = docs.select("doc_id", "text").where(F.octet_length("text") <= most_bytes).join(F.broadcast(chosen), "doc_id")  # so many rows at most
+    return found.orderBy(F.col("label").isNull(), F.xxhash64("doc_id"), "doc_id", "text").limit(rows + unlabelled).collect()
 
 
 def trainable(id_col: str = "doc_id") -> Column:
@@ -183,21 +208,16 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most_bytes:
     return train([r.text for r in found], [int(r.label) for r in found])
 
 
-def scored(spark: SparkSession, docs: DataFrame, model: Network, threshold: float = THRESHOLD, text_col: str = "text", drop_text: bool = True) -> DataFrame:
+def scored(spark: SparkSession, docs: DataFrame, model: Network, threshold: float = THRESHOLD, text_col: str = "text", drop_text: bool = True, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
     """docs' columns (the text only if asked for), and score (0 to 1, higher: label 1 likelier), predicted.
 
     Null and empty texts are scored as filled up to one chunk. Rows that repeat get equal scores; an empty table gives
-    an empty result. Columns of docs that are named like the new ones are replaced.
+    an empty result. The new columns, whose names may be given, replace columns of docs that have them.
     """
-    kept = [c for c in docs.columns if c not in ("score", "predicted") and (c != text_col or not drop_text)]
     shared = spark.sparkContext.broadcast(model)  # fixed size
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], *([F.col(f"`{text_col}`").alias("_text")] if drop_text else []))
-    column = "_text" if drop_text else text_col
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in T.slices(batches, column, SLICE):
-            score = shared.value.score(T.strings(batch.column(column)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(score), pa.array((score >= threshold).astype(np.int32))], names=[*kept, "score", "predicted"])
+    def values(text: pa.Array) -> list:
+        score = shared.value.score(text)
+        return [pa.array(score), pa.array((score >= threshold).astype(np.int32))]
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text"), "score double", "predicted int"])
-    return rows.mapInArrow(run, schema)
+    return T.annotated(docs, text_col, dict(zip(names, ("double", "int"), strict=True)), values, not drop_text, SLICE)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as K
 
 #: Text that one step of a task takes on, in bytes; a longer text is a step of its own.
 SLICE_BYTES = 4 << 20
@@ -27,6 +29,38 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def col(name: str) -> Column:
+    """The column of that very name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def unused(columns: Iterable[str], name: str) -> str:
+    """The name, with underscores before it until no column has it; Spark tells no case apart."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def annotated(docs: DataFrame, text_col: str, new: dict[str, str], values: Callable[[pa.Array], list], keep_text: bool = False, limit: int | None = None) -> DataFrame:
+    """docs' columns (the text only if asked for) and new ones (name: type), whose values a function gives for an array of texts.
+
+    Null texts come as empty ones. New columns take the place of docs' columns of that name; all others stay as they are.
+    """
+    taken = {n.lower() for n in new}
+    kept = [c for c in docs.columns if c.lower() not in taken and (keep_text or c != text_col)]
+    own = unused([*kept, *new], "_text")
+    column = text_col if keep_text and text_col in kept else own
+    rows = docs.select(*map(col, kept), *([col(text_col).alias(own)] if column == own else []))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, column, limit or SLICE_BYTES):
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *values(strings(batch.column(column)))], names=[*kept, *new])
+
+    added = K.StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in new.items()))
+    return rows.mapInArrow(run, K.StructType([*rows.schema.fields[: len(kept)], *added.fields]))
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows in batches of about so much text: small ones are joined, large ones cut."""
     held, room = [], limit

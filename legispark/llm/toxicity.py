@@ -1,21 +1,24 @@
 """Toxicity by weak supervision: many voters, a generative label model, a linear classifier on its posterior labels.
 
-Voters are lexicons of words and patterns of word beginnings; some are given, more are mined from the labelled rows
-that may be learned from. The label model holds a latent class that each voter fires on with its own chances; they are
-estimated by expectation and maximisation from where the labels put them. Voters that fire together beyond what the
-class explains count once. The classifier sees all words and word beginnings that tell the posterior labels apart.
+Voters are lexicons of words and patterns (beginnings of words, shouting). Some are given; more are induced from the
+labelled rows that may be learned from, as the given lexicon covers one language. Labels serve for that, for the share
+of toxic texts and for nothing else: the label model sees the votes alone, on labelled and unlabelled texts alike.
+
+It is a factor graph over a text's hidden label y and its votes v: exp(sum of b_j v_j + a_j v_j y + c_jk v_j v_k). The
+accuracies a_j and correlations c_jk are fitted by expectation and maximisation of the votes' pseudo-likelihood (each
+vote given the others and y). The first rounds have no correlations; pairs that then still fire together beyond what the
+label explains get one, so that they don't count twice. The classifier sees all words and word beginnings that tell the
+posterior labels apart.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from legispark.llm import text as T
 from legispark.llm.quality import sample, trainable
@@ -29,13 +32,15 @@ LEXICON = {
 }
 #: Lengths of word beginnings, in code points.
 BEGINNINGS = range(4, 9)
-#: The bound of the sample: labelled rows, and bytes of each.
-SAMPLE_ROWS, SAMPLE_BYTES = 6000, 1 << 16
-#: Mined voters and features at most; the least share of ones among a feature's texts, and standard deviations above chance.
+#: The bound of the sample: labelled rows, unlabelled ones, and bytes of each.
+SAMPLE_ROWS, UNLABELLED_ROWS, SAMPLE_BYTES = 4000, 2000, 1 << 16
+#: Induced voters and features at most; the least share of ones among a feature's texts, and standard deviations above chance.
 MOST_VOTERS, MOST_FEATURES, LEAST_SHARE, LEAST_SCORE = 100, 300, 0.85, 6.0
 THRESHOLD = 0.3
-#: How far the labels hold the posteriors from which chances are fitted; without them they drift.
-ANCHOR = 0.5
+#: What a voter's accuracy is taken to be before its votes are seen (log odds), how firmly (texts), and the correlation of what the label leaves from which a pair gets a factor.
+PRIOR_ODDS, FIRMNESS, RELATED = 7.0, 4.0, 0.7
+#: Rounds of expectation and maximisation without and with correlations, steps of each maximisation.
+FREE_ROUNDS, ROUNDS, STEPS = 4, 8, 60
 
 
 def _features(words: pa.Array) -> list[tuple[str, pa.Array]]:
@@ -53,42 +58,72 @@ def _split(text: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return code, words, at
 
 
-def _groups(close: np.ndarray, least: float) -> np.ndarray:
-    """Numbers the groups of voters that correlations of at least so much connect."""
-    group = np.arange(len(close))
-    for a, b in zip(*np.nonzero(np.triu(close >= least, 1)), strict=True):
-        group[group == group[b]] = group[a]
-    return np.unique(group, return_inverse=True)[1]
+@dataclass
+class LabelModel:
+    """bias and accuracy of each voter, correlation of each pair (symmetric, no diagonal), and the offset of the label's log odds."""
+
+    bias: np.ndarray
+    accuracy: np.ndarray
+    correlation: np.ndarray
+    offset: float = 0.0
+
+    def odds(self, votes: np.ndarray) -> np.ndarray:
+        """The label's log odds; the correlations are the same for either label and cancel."""
+        return votes @ self.accuracy + self.offset
+
+    def calibrated(self, votes: np.ndarray, share: float) -> np.ndarray:
+        """The posteriors, with the offset at which they make up the given share."""
+        z, low, high = votes @ self.accuracy, -60.0, 60.0
+        for _ in range(60):
+            self.offset = (low + high) / 2
+            q = 1 / (1 + np.exp(-np.clip(z + self.offset, -40, 40)))
+            low, high = (self.offset, high) if q.mean() < share else (low, self.offset)
+        return q
 
 
-def posterior(votes: np.ndarray, y: np.ndarray, rounds: int = 10, least: float = 0.3) -> tuple[np.ndarray, np.ndarray]:
-    """votes: whether each voter fires on each text; y: labels of the rows to learn from, where the chances start.
+def label_model(votes: np.ndarray, share: float) -> tuple[LabelModel, np.ndarray]:
+    """votes: whether each voter fires on each text; share: of texts with label 1. Returns the model and the posteriors.
 
-    A voter that doesn't fire abstains; one more voter fires where all others abstain. The chances of firing in either
-    class are fitted in turn with the posteriors, the class's own share is given. Voters that correlate given the class
-    by `least` or more form a group, which counts with its strongest vote. Returns each text's chance of class 1, and
-    the voters' log odds.
+    A voter that doesn't fire abstains. No labels are seen: a voter is taken to speak for label 1 until its votes say
+    otherwise, and the posteriors start from whether any voter fires.
     """
-    votes = np.column_stack([votes, ~votes.any(axis=1)]).astype(float)
-    prior = float(np.clip(y.mean(), 0.01, 0.99))
-    q, odds = y.astype(float), np.zeros(votes.shape[1])
-    for _ in range(rounds):
-        q = ANCHOR * y + (1 - ANCHOR) * q
-        hit = np.clip((q @ votes + 0.1) / (q.sum() + 1), 1e-6, 1 - 1e-6)
-        miss = np.clip(((1 - q) @ votes + 0.1) / ((1 - q).sum() + 1), 1e-6, 1 - 1e-6)
-        odds = np.log(hit / miss)
-        odds[:-1] = np.maximum(odds[:-1], 0)  # such a voter speaks for class 1 or not at all
-        left = votes - q[:, None] * hit - (1 - q)[:, None] * miss
-        size = np.sqrt((left**2).sum(axis=0)) + 1e-9
-        close = (left.T @ left) / size[:, None] / size[None, :]
-        close[-1], close[:, -1] = 0, 0
-        group = _groups(close, least)
-        z = np.full(len(q), np.log(prior / (1 - prior)))
-        for g in range(group.max() + 1):
-            own = votes[:, group == g] * odds[group == g]
-            z += np.where(own.max(axis=1) > 0, own.max(axis=1), own.min(axis=1))
-        q = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-    return q, odds
+    v = votes.astype(np.float64)
+    n, m = v.shape
+    share = float(np.clip(share, 0.005, 0.995))
+    start = v.any(axis=1)
+    q = np.where(start, min(0.95, share / max(start.mean(), 1e-9)), 0.01) if m else np.full(n, share)
+    rate = np.clip(v.mean(axis=0), 1e-4, 1 - 1e-4) if n else np.full(m, 0.5)
+    model = LabelModel(np.log(rate / (1 - rate)) - PRIOR_ODDS * 0.5, np.full(m, PRIOR_ODDS), np.zeros((m, m)))
+    if not m or not n:
+        return model, model.calibrated(v, share)
+    paired, prior = np.zeros((m, m)), model.accuracy
+    for k in range(FREE_ROUNDS + ROUNDS):
+        if k == FREE_ROUNDS:
+            base = model.bias + v @ model.correlation
+            left = v - q[:, None] / (1 + np.exp(-base - model.accuracy)) - (1 - q[:, None]) / (1 + np.exp(-base))
+            size = np.sqrt((left**2).sum(axis=0)) + 1e-9
+            paired = (left.T @ left / size[:, None] / size[None, :] >= RELATED) & ~np.eye(m, dtype=bool)
+            beside = (paired * (v.T @ v)).sum(axis=0) / np.maximum(v.sum(axis=0), 1)
+            prior = PRIOR_ODDS / (1 + beside)  # related voters that fire together share what one is taken to tell
+            model.accuracy = np.minimum(model.accuracy, prior)
+        first, second, t = {}, {}, 0
+        for _ in range(STEPS):
+            t += 1
+            base = model.bias + v @ model.correlation
+            p0, p1 = (1 / (1 + np.exp(-np.clip(x, -30, 30))) for x in (base, base + model.accuracy))
+            left1 = q[:, None] * (v - p1)
+            left = left1 + (1 - q)[:, None] * (v - p0)
+            pull = v.T @ left / n
+            pull = (pull + pull.T) * paired
+            up = {"bias": left.sum(axis=0) / n, "accuracy": left1.sum(axis=0) / n - FIRMNESS * (model.accuracy - prior) / n, "correlation": pull}
+            for name, g in up.items():
+                first[name] = 0.9 * first.get(name, 0) + 0.1 * g
+                second[name] = 0.99 * second.get(name, 0) + 0.01 * g * g
+                step = 0.1 * (first[name] / (1 - 0.9**t)) / (np.sqrt(second[name] / (1 - 0.99**t)) + 1e-6)
+                setattr(model, name, getattr(model, name) + step)
+            model.accuracy = np.maximum(model.accuracy, 0)  # such a voter speaks for label 1 or not at all
+        q = model.calibrated(v, share)
+    return model, q
 
 
 def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 300, rate: float = 0.1, decay: float = 1e-4) -> tuple[np.ndarray, float]:
@@ -145,6 +180,17 @@ class Sample:
         known = pc.is_in(self.words, value_set=pa.array(words, pa.string())).to_numpy(zero_copy_only=False)
         return np.unique(self.doc[known[self.code]]) if len(self.code) else np.zeros(0, np.int64)
 
+    def with_features(self, wanted: list[tuple[str, str]]) -> list[np.ndarray]:
+        """The texts with each feature (kind, value)."""
+        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(wanted)
+        for kind, values in _features(self.words):
+            place = {value: k for k, (own, value) in enumerate(wanted) if own == kind}
+            if place and len(self.code):
+                at = pc.fill_null(pc.index_in(values, value_set=pa.array(list(place), pa.string()), skip_nulls=True), -1).to_numpy(zero_copy_only=False).astype(np.int64)[self.code]
+                for i, k in enumerate(place.values()):
+                    out[k] = np.unique(self.doc[at == i])
+        return out
+
     def telling(self, y: np.ndarray, most: int) -> list[tuple[str, str, np.ndarray]]:
         """Features (kind, value, texts) that texts with high y have and others don't, the strongest first; of those in the same texts, one."""
         prior = float(np.clip(y.mean(), 1e-6, 1 - 1e-6))
@@ -172,18 +218,21 @@ class Sample:
         return out
 
 
-def train(texts: list[str], labels: list[int]) -> Model:
-    """Without texts of both labels, the share of ones alone."""
-    y = np.array(labels, float)
+def train(texts: list[str], labels: list[int | None]) -> Model:
+    """labels: 0, 1, or None for an unlabelled text. Without labelled texts of both kinds, the share of ones alone."""
+    order = sorted(range(len(texts)), key=lambda k: labels[k] is None)  # the labelled ones first
+    y = np.array([labels[k] for k in order if labels[k] is not None], float)
     share = (y.sum() + 0.5) / (len(y) + 1)
-    if len(set(labels)) < 2:
+    if len(set(y.tolist())) < 2:
         return Model({}, float(np.log(share / (1 - share))))
-    known = Sample(texts)
-    lexicons = [known.having(words) for words in LEXICON.values()] + [known.having([w]) for words in LEXICON.values() for w in words]
-    voters = [d for d in lexicons if len(d)] + [d for _, _, d in known.telling(y, MOST_VOTERS)]
-    q, _ = posterior(known.matrix(voters, bool), y)
-    features = known.telling(q, MOST_FEATURES)
-    w, b = logistic(known.matrix([d for _, _, d in features], np.float32), q)
+    known = Sample([texts[k] for k in order[: len(y)]])
+    found = known.telling(y, MOST_VOTERS)
+    every = Sample([texts[k] for k in order])
+    voters = [every.having(words) for words in LEXICON.values()] + [every.having([w]) for words in LEXICON.values() for w in words] + every.with_features([(kind, value) for kind, value, _ in found])
+    voters = list({d.tobytes(): d for d in voters if len(d)}.values())  # those that always agree are one
+    _, q = label_model(every.matrix(voters, bool), share)
+    features = every.telling(q, MOST_FEATURES)
+    w, b = logistic(every.matrix([d for _, _, d in features], np.float32), q)
     kinds: dict[str, tuple[list[str], list[float]]] = {}
     for (kind, value, _), weight in zip(features, w.tolist(), strict=True):
         kinds.setdefault(kind, ([], []))
@@ -192,10 +241,10 @@ def train(texts: list[str], labels: list[int]) -> Model:
     return Model({k: (pa.array(v, pa.string()), np.array(u)) for k, (v, u) in kinds.items()}, b)
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most_bytes: int = SAMPLE_BYTES) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, unlabelled: int = UNLABELLED_ROWS, most_bytes: int = SAMPLE_BYTES) -> Model:
     """The model, from a bounded sample on the driver."""
-    found = sample(docs, labels, "toxic", trainable(), rows, most_bytes)
-    return train([r.text for r in found], [int(r.label) for r in found])
+    found = sample(docs, labels, "toxic", trainable(), rows, most_bytes, unlabelled)
+    return train([r.text for r in found], [r.label if r.label is None else int(r.label) for r in found])
 
 
 def scored(spark: SparkSession, docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
@@ -204,14 +253,10 @@ def scored(spark: SparkSession, docs: DataFrame, model: Model, threshold: float
     Null, empty and wordless texts get the bias's score. Rows that repeat get equal scores; an empty table gives an
     empty result. Columns of docs that are named like the new ones are replaced.
     """
-    kept = [c for c in docs.columns if c not in ("score", "predicted", text_col)]
     shared = spark.sparkContext.broadcast(model)  # MOST_FEATURES at most
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").alias("_text"))
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in T.slices(batches, "_text"):
-            score = shared.value.score(T.strings(batch.column("_text")))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(score), pa.array((score >= threshold).astype(np.int32))], names=[*kept, "score", "predicted"])
+    def values(text: pa.Array) -> list:
+        score = shared.value.score(text)
+        return [pa.array(score), pa.array((score >= threshold).astype(np.int32))]
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text"), "score double", "predicted int"])
-    return rows.mapInArrow(run, schema)
+    return T.annotated(docs, text_col, {"score": "double", "predicted": "int"}, values)

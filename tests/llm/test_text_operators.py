@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -464,7 +465,7 @@ def test_quality_learns():
 
 
 def test_quality_sees_the_whole_text():
-    model = quality.Network(np.zeros((quality.WIDTH, 256, quality.FILTERS), np.float32), np.zeros(quality.FILTERS + 1), 2.0)
+    model = quality.Network(np.zeros((quality.WIDTH, 256, quality.FILTERS), np.float32), np.zeros((len(quality.LAGS), quality.COMPARING)), np.ones(len(quality.LAGS)), np.zeros(quality.FILTERS + quality.COMPARING), 2.0)
     model.tables[:, ord("%"), 0] = 1
     model.weights[0] = -3
     for n in (1, 7, 8, 9, 50, 1003):
@@ -483,12 +484,72 @@ def test_toxicity_learns():
     assert 0 < toxicity.train(["a"], [0]).score(pa.array(["x"]))[0] < 0.5
 
 
-def test_label_model_ranks_voters():
-    rng = np.random.default_rng(0)
-    y = rng.random(2000) < 0.2
-    votes = np.column_stack([rng.random(2000) < np.where(y, 0.7, 0.01), rng.random(2000) < np.where(y, 0.3, 0.2), rng.random(2000) < np.where(y, 0.5, 0.02)])
-    q, odds = toxicity.posterior(votes, np.where(rng.random(2000) < 0.1, 1 - y, y).astype(float))
-    assert odds[0] > odds[1] and odds[2] > odds[1] and ((q > 0.5) == y).mean() > 0.9
+def test_quality_scores_by_definition():
+    """Scores equal those of the network's formula, text by text, chunk by chunk."""
+    rng = random.Random(8)
+    texts = [prose(rng, rng.randrange(1, 60)) for _ in range(40)] + ["ab " * 50, "%%% " * 30]
+    model = quality.train(texts, [i % 3 > 0 for i in range(len(texts))], epochs=2)
+    assert (model.weights != 0).all()
+
+    def brute(text):
+        data = text.encode() + b"\xff" * (quality.WIDTH - len(text.encode()))
+        starts = sorted({*range(0, len(data) - quality.WIDTH, quality.STRIDE), len(data) - quality.WIDTH})
+        h = [max(0, max(sum(model.tables[k, data[s + k], f] for k in range(quality.WIDTH)) for s in starts)) for f in range(quality.FILTERS)]
+        chunks = range(0, max(1, len(data) // quality.HALF - 1) * quality.HALF, quality.HALF)
+        share = [[sum(data[i] == data[i - lag] for i in range(max(c, lag), min(c + quality.LONG, len(data)))) / quality.LONG for lag in quality.LAGS] for c in chunks]
+        over = np.maximum(np.array(share, np.float32) - model.levels, 0) @ model.lags
+        z = np.dot([*h, *np.maximum(over.max(axis=0), 0)], model.weights) + model.bias
+        return 1 / (1 + math.exp(-z))
+
+    assert np.allclose(model.score(pa.array(texts)), [brute(t) for t in texts], atol=1e-4)
+
+
+def planted_votes(rng, n=6000):
+    """Labels of a fifth of the texts, five voters, of which the last two repeat the first, and one that tells nothing."""
+    y = rng.random(n) < 0.2
+    free = [rng.random(n) < np.where(y, hit, miss) for hit, miss in ((0.6, 0.01), (0.5, 0.02), (0.4, 0.05))]
+    same = [free[2] ^ (rng.random(n) < 0.01) for _ in range(2)]
+    return y, np.column_stack([*free, *same, rng.random(n) < 0.1])
+
+
+def test_label_model_finds_accuracies_without_labels():
+    y, votes = planted_votes(np.random.default_rng(0))
+    model, q = toxicity.label_model(votes, y.mean())
+    assert abs(q.mean() - y.mean()) < 1e-3 and ((q > 0.5) == y).mean() > 0.9
+    assert model.accuracy[5] < 1 < model.accuracy[:2].min()
+    c = model.correlation
+    assert np.allclose(c, c.T) and not c.diagonal().any() and min(c[2, 3], c[2, 4]) > 1.0  # the copies hang on the third
+    assert max(abs(c[0, 1]), abs(c[0, 5]), abs(c[1, 5])) < 1.0
+    # copies of a voter don't outvote the others: apart they would count thrice
+    apart = [np.log(votes[y, k].mean() / votes[~y, k].mean() * (1 - votes[~y, k].mean()) / (1 - votes[y, k].mean())) for k in range(5)]
+    assert model.accuracy[2:5].sum() < 0.8 * sum(apart[2:5])
+
+
+def test_label_model_posterior_is_the_factor_graph_s():
+    """Against the joint distribution over all votes and both labels, summed up by hand."""
+    rng = np.random.default_rng(3)
+    m = 4
+    c = np.triu(rng.normal(0, 1, (m, m)), 1)
+    model = toxicity.LabelModel(rng.normal(-1, 1, m), rng.uniform(0, 3, m), c + c.T, 0.0)
+    every = np.array([[k >> i & 1 for i in range(m)] for k in range(1 << m)], float)
+    weight = lambda v, y: math.exp(v @ model.bias + y * (v @ model.accuracy) + v @ c @ v)
+    joint = np.array([[weight(v, 0), weight(v, 1)] for v in every])
+    odds = np.log(joint[:, 1] / joint[:, 0])
+    assert np.allclose(odds - odds[0], model.odds(every) - model.odds(every)[0])
+    q = model.calibrated(every, 0.3)
+    assert abs(q.mean() - 0.3) < 1e-6 and np.allclose(np.log(q / (1 - q)) - odds, model.offset, atol=1e-6)
+
+
+def test_toxicity_learns_from_unlabelled_texts():
+    """A word of unlabelled texts alone is a feature, by the posterior labels that their other words give them."""
+    rng = random.Random(4)
+    clean = [prose(rng, rng.randrange(20, 60)) for _ in range(300)]
+    bad = [prose(rng, 20) + rng.choice([" idiot", ""]) + f" zorgel{c} " + prose(rng, 20) for c in "abcdefghij" * 3]
+    more = [prose(rng, 20) + f" zorgel{c} " + rng.choice(["blafasel ", ""]) + prose(rng, 20) for c in "abcdefghij" * 3]
+    texts, labels = [*clean, *bad, *more], [0] * 150 + [None] * 150 + [1] * 30 + [None] * 30
+    model = toxicity.train(texts, labels)
+    score = model.score(pa.array([prose(rng, 30) + " zorgelz", prose(rng, 30)]))
+    assert score[0] >= 0.3 > score[1] and any("blafasel" in known.to_pylist() or "blaf" in known.to_pylist() for known, _ in model.weights.values())
 
 
 @needs_data
@@ -548,6 +609,71 @@ def test_layouts(page, want):
     assert extract.main_text(page) == want
 
 
+def noisy_page(rng):
+    """A page with a nested article and noise around and within it, its main text, and how many blocks are in doubt alone."""
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9)))
+    line = lambda n, stop=".": " ".join(word() for _ in range(n)) + stop
+    out, want = [], []
+    def keep(markup, text):
+        out.append(markup.replace("@", text.replace("&", "&amp;"))); want.append(text)
+    def noise():
+        t = line(rng.randrange(1, 30), rng.choice([".", ""]))
+        out.append(rng.choice([f'<div class="ad">{t}</div>', f"<aside><p>{t}</p></aside>", f'<div class="share-bar"><a href="/x">{t}</a></div>', f'<section class="related"><h3>{line(2, "")}</h3><ul><li><a href="/y">{t}</a></li></ul></section>', f"<form><label>{t}</label><input><button>Send</button></form>", f"<script>var x = '{t}';</script>", f'<div id="newsletter"><p>{t}</p></div>']))
+    def body(depth):
+        for _ in range(rng.randrange(2, 6)):
+            k = rng.randrange(9)
+            if k < 3:
+                keep("<p>@</p>", line(rng.randrange(1, 60)))
+            elif k == 3: keep("<h2>@</h2>", line(rng.randrange(1, 4), ""))
+            elif k == 4:
+                out.append("<ul>")
+                for _ in range(rng.randrange(1, 4)): keep("<li>@</li>", line(rng.randrange(1, 6), ""))
+                out.append("</ul>")
+            elif k == 5: keep('<p><a href="/z">@</a></p>', line(rng.randrange(2, 9)))
+            elif k == 6: keep("<table><tr><td>@</td></tr></table>", line(rng.randrange(1, 4), ""))
+            elif k == 7: keep("<blockquote>@</blockquote>", line(rng.randrange(3, 20)))
+            elif depth < 3:
+                out.append(rng.choice(["<div>", "<section>", '<div class="inner">'])); n = len(out); body(depth + 1); out.append("</div>" if "div" in out[n - 1] else "</section>")
+            if rng.random() < 0.15: noise()
+        keep("<p>@</p>", line(rng.randrange(5, 40)))
+    out.append("<!DOCTYPE html><html><head><title>no</title><style>p{}</style></head><body>")
+    out.append('<nav><ul>' + "".join(f'<li><a href="/{i}">{line(rng.randrange(1, 3), "")}</a></li>' for i in range(rng.randrange(2, 7))) + "</ul></nav>")
+    if rng.random() < 0.5: out.append(f'<header class="site-header"><div>{line(2, "")}</div></header>')
+    if rng.random() < 0.5: noise()
+    out.append("<main>" if rng.random() < 0.5 else "<div>"); close = "</main>" if out[-1] == "<main>" else "</div>"
+    out.append("<article>")
+    keep("<h1>@</h1>", line(rng.randrange(1, 8), "")); body(0)
+    out.append("</article>")
+    if rng.random() < 0.5: out.append('<section class="comments">' + "".join(f"<div class=comment><p>{line(rng.randrange(3, 50))}</p></div>" for _ in range(rng.randrange(1, 4))) + "</section>")
+    out.append(close); out.append(f"<footer><p>&copy; {line(rng.randrange(1, 20))}</p></footer></body></html>")
+    return "".join(out), " ".join(want)
+
+
+def test_noisy_pages():
+    """Main texts of nested pages; the classifier alone gets fewer right than the cut."""
+    rng = random.Random(1)
+    right = alone = changed = 0
+    for _ in range(200):
+        page, want = noisy_page(rng)
+        found = [(b, t) for b in extract.blocks(page) if (t := b.text())]
+        gain, edges = extract.network(found)
+        label = extract.minimum_cut(gain, edges)
+        right += extract.main_text(page) == want
+        alone += " ".join(t for (_, t), g in zip(found, gain, strict=True) if g > 0) == want
+        changed += sum((g > 0) != x for g, x in zip(gain, label, strict=True))
+    assert right >= 190 and alone <= right - 30 and changed >= 30
+
+
+def test_long_pages():
+    """Tens of thousands of blocks, nested, unclosed or all in doubt, in time that grows with them."""
+    for page in ("<div>x" * 20_000, "<p>word word.</p>" * 20_000, "<article>" + "<li>a b</li><p><a href=x>link text here</a></p>" * 10_000, "<table>" + "<tr><td>a<td>b." * 10_000, "<b>x " * 20_000, "</i>" * 20_000 + "<i>" * 20_000):
+        begun = time.perf_counter()
+        extract.main_text(page)
+        assert time.perf_counter() - begun < 20
+    text = "word " * 300_000
+    assert extract.main_text(f"<article><p>{text}</p></article>") == text.strip()
+
+
 def test_minimum_cut_is_minimal():
     rng = random.Random(4)
     for _ in range(200):
