@@ -2,25 +2,29 @@
 
 Patterns are windows of words; those of one length are searched together. A shift table over hashed pairs of words
 tells how far a position may skip; where it says zero, the window's suffix hash picks a bucket of patterns, a prefix
-hash narrows it, and a comparison word by word confirms. Stretches of text advance side by side in numpy.
+hash narrows it, and a comparison word by word confirms. Stretches of text advance side by side in numpy. The tables of
+a benchmark are built in tasks, in blocks of bounded size, and kept as files in the shared folder; a search task has
+one block in memory at a time.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from legispark.llm import text as T
+from legispark.llm.storage import fresh, opened
 
 WINDOW = 10
-#: Benchmark text that one broadcast holds; a larger benchmark is searched in several blocks.
+#: Benchmark text whose tables a task holds at once; a larger benchmark is searched in several blocks.
 BLOCK_BYTES = 16 << 20
 #: Word positions that one cursor walks over.
 STRETCH = 256
@@ -150,51 +154,82 @@ class Block:
         return np.cumsum(cover[:-1]) > 0, found
 
 
-def blocks(benchmark: DataFrame, window: int, id_col: str, text_col: str, limit: int, unnamed: bool = False) -> Iterator[Block]:
-    """The benchmark in parts of about the limit; items without words have no window, nor have those without id unless `unnamed`."""
-    rows = benchmark.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).dropna(subset=["text"] if unnamed else ["id", "text"])
+def _write_blocks(benchmark: DataFrame, directory: str, window: int, id_col: str, text_col: str, limit: int) -> int:
+    """Builds the benchmark's tables in blocks of about so many bytes of text, a file each; returns their number."""
+    rows = benchmark.select(T.col(id_col).cast("string").alias("id"), T.col(text_col).alias("text")).where("text is not null")
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-total * 2 // limit))
-    for k in range(n):
-        part = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).orderBy("id", "text").collect()
-        yield Block.of([r.id for r in part], [r.text for r in part], window)
+    rows = rows.select(F.pmod(F.xxhash64("id", "text"), F.lit(n)).cast("int").alias("block"), "id", "text")
+
+    def build(table: pa.Table) -> pa.Table:
+        from pyspark import TaskContext
+
+        k = table.column("block")[0].as_py()
+        table = table.sort_by([("id", "ascending"), ("text", "ascending")])
+        block = Block.of(table.column("id").to_pylist(), table.column("text").to_pylist(), window)
+        fs, base = opened(directory)
+        fs.create_dir(base, recursive=True)
+        part = f"{base}/part-{k}.{TaskContext.get().taskAttemptId()}"
+        with fs.open_output_stream(part, compression=None) as stream:  # a name of the task's own, so that a rerun replaces the same file
+            stream.write(pickle.dumps(block, protocol=5))
+        fs.move(part, f"{base}/block-{k}")
+        return pa.table({"block": pa.array([k], pa.int32())})
+
+    rows.groupBy("block").applyInArrow(build, "block int").count()
+    return n
+
+
+_KEPT: dict[str, Block | None] = {}
+
+
+def _block(directory: str, k: int) -> Block | None:
+    """A block's tables; the last one stays in the worker. None if no item fell into the block."""
+    path = f"{directory}/block-{k}"
+    if path not in _KEPT:
+        _KEPT.clear()
+        fs, base = opened(directory)
+        if fs.get_file_info(f"{base}/block-{k}").type == pafs.FileType.NotFound:
+            _KEPT[path] = None
+        else:
+            with fs.open_input_file(f"{base}/block-{k}") as stream:
+                _KEPT[path] = pickle.loads(stream.read())  # written by _write_blocks
+    return _KEPT[path]
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs without any hit, also of items without an id, with all their columns."""
-    found = contamination(spark, docs, benchmark, keep_text=True, unnamed=True)
-    return found.where("not contaminated").select(docs.columns)
+    """The rows of docs without any hit, with all their columns as they are, whatever they are named."""
+    names = {n: T.unused(docs.columns, n) for n in NEW}
+    found = contamination(spark, docs, benchmark, keep_text=True, names=names)
+    return found.where(~T.col(names["contaminated"])).select(*map(T.col, docs.columns))
+
 
+#: The new columns.
+NEW = {"n_words": "bigint", "n_hit": "bigint", "n_items": "bigint", "items_sha256": "string", "contaminated": "boolean"}
 
-def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES, keep_text: bool = False, unnamed: bool = False) -> DataFrame:
+
+def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES, keep_text: bool = False, names: dict[str, str] | None = None) -> DataFrame:
     """docs' columns (the text only if asked for), and n_words, n_hit, n_items, items_sha256, contaminated.
 
     An item's windows are its runs of `window` words; an item of fewer words, but not none, is one window. Null or
     wordless texts have no words and no hits; so has every document where the benchmark is empty. Rows that repeat
-    give rows that repeat; items that share an id count once. Items without an id
-    are left out, or, if `unnamed`, hit without being counted or listed. New columns take the place of docs' columns of that name.
+    give rows that repeat; items that share an id count once. Items without an id hit words as others do, but can be
+    neither counted nor listed. New columns, whose names may be given, take the place of docs' columns of that name.
     """
-    new = {"n_words": "bigint", "n_hit": "bigint", "n_items": "bigint", "items_sha256": "string", "contaminated": "boolean"}
-    kept = [c for c in docs.columns if c not in new and (keep_text or c != text_col)]
-    parts = [spark.sparkContext.broadcast(b) for b in blocks(benchmark, window, item_col, item_text_col, block_bytes, unnamed)]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], *([] if keep_text else [F.col(f"`{text_col}`").alias("_text")]))
-    column = text_col if keep_text else "_text"
-
-    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in T.slices(batches, column):
-            flat, at = _words(T.strings(batch.column(column)))
-            hit, found = np.zeros(int(at[-1]), bool), [set() for _ in range(batch.num_rows)]
-            for part in parts:
-                more, ids = part.value.hits(flat, at)
+    directory = fresh(spark, "benchmark")
+    n = _write_blocks(benchmark, directory, window, item_col, item_text_col, block_bytes)
+
+    def search(text: pa.Array) -> list:
+        flat, at = _words(text)
+        hit, found = np.zeros(int(at[-1]), bool), [set() for _ in range(len(text))]
+        for k in range(n):
+            block = _block(directory, k)
+            if block:
+                more, ids = block.hits(flat, at)
                 hit |= more
                 for a, b in zip(found, ids, strict=True):
                     a |= b
-                if len(parts) > 1:  # one block in memory at a time; the next use loads it again
-                    vars(part).pop("_value", None)
-            n_hit = T.sums(hit.astype(np.int64), at)
-            sha = [hashlib.sha256(",".join(sorted(f)).encode()).hexdigest() for f in found]
-            out = [*(batch.column(c) for c in kept), pa.array(np.diff(at)), pa.array(n_hit), pa.array([len(f) for f in found], pa.int64()), pa.array(sha), pa.array(n_hit > 0)]
-            yield pa.RecordBatch.from_arrays(out, names=[*kept, *new])
-
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text"), *(f"{k} {v}" for k, v in new.items())])
-    return rows.mapInArrow(search, schema)
+        n_hit = T.sums(hit.astype(np.int64), at)
+        sha = [hashlib.sha256(",".join(sorted(f)).encode()).hexdigest() for f in found]
+        return [pa.array(np.diff(at)), pa.array(n_hit), pa.array([len(f) for f in found], pa.int64()), pa.array(sha, pa.string()), pa.array(n_hit > 0)]
+
+    return T.annotated(docs, text_col, {(names or {}).get(k, k): v for k, v in NEW.items()}, search, keep_text)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from legispark.llm.storage import written
+from legispark.llm.storage import removed, written
 
 #: Alternations after which something is wrong: the paths' lengths halve or better each time.
 MOST_ROUNDS = 64
@@ -19,19 +19,22 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     else:
         both = both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    if large:  # a table of its own, so that the join below has two shuffles and a node with many links is split at run time
+        least = written(least, "least")
     joined = both.join(least, "u")
     if large:
-        out = joined.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    else:
-        out = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
+        out = written(joined.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct(), "stars")
+        removed(least)
+        return out
+    out = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
     return out.where("a <> b").distinct()
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """links: a, b (long). Returns node, component: the least node that it reaches, for every node but those.
 
-    Large and small stars alternate (Kiveris and others, 2014) until nothing changes; each round is a written table. A
-    node with many links is counted before it is shuffled, and its links are joined, not gathered.
+    Large and small stars alternate (Kiveris and others, 2014) until nothing changes; each step is a written table, and
+    those before it are removed. A node's links are counted down before they are shuffled, and joined, not gathered.
     """
     edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
     before = None
@@ -40,5 +43,9 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         if not n or (n, digest) == before:
             break
         before = (n, digest)
-        edges = written(_stars(_stars(edges, True), False), name)
+        half = _stars(edges, True)
+        new = written(_stars(half, False), name)
+        removed(half)
+        removed(edges)
+        edges = new
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))

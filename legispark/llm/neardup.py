@@ -183,28 +183,31 @@ def _chunked(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """docs with one row of each group: a row of its least doc_id. Rows that share an id but not a text are apart.
+    """docs, with all columns as they are, with one row of each group: a row of its least doc_id.
 
-    Rows with a null doc_id stay.
+    Rows that share an id but not a text are apart. Rows with a null doc_id stay. Null and wordless texts stay, but rows
+    that repeat an id and such a text are one.
     """
+    node, number = T.unused(docs.columns, "_node"), T.unused([*docs.columns, "_node"], "_n")
     named = docs.where("doc_id is not null")
     texts = named.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("a"), F.max(F.xxhash64("text")).alias("b")).where("a <> b")
     apart = not texts.isEmpty()
-    node = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")) if apart else F.col("doc_id").cast("long")
-    rows = docs.withColumn("_node", node)
-    found = written(near_duplicates(spark, rows, k, percent, "_node"), "groups").where("doc_id is not null").withColumnRenamed("doc_id", "_node")
+    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")) if apart else F.col("doc_id").cast("long")
+    rows = docs.withColumn(node, key)
+    found = near_duplicates(spark, rows.select(F.col(node).alias("id"), "text"), k, percent, "id")
+    found = written(found.select(F.col("doc_id").alias(node), "component_id", "kept"), "groups").where(T.col(node).isNotNull())
     if apart:  # the least node of a group isn't that of its least doc_id
-        least = found.join(rows.where("_node is not null").select("_node", "doc_id").distinct(), "_node")
-        least = least.groupBy("component_id").agg(F.min(F.struct("doc_id", "_node"))["_node"].alias("least"))
-        found = written(found.join(least, "component_id").select("_node", (F.col("_node") == F.col("least")).alias("kept")), "groups")
-    gone = found.where("not kept").select("_node").distinct()
-    again = found.where("kept").groupBy("_node").count().where("count > 1").select("_node")
-    stay = rows.join(_counted(gone), "_node", "left_anti")
-    if again.isEmpty():
-        return stay.select(docs.columns)
-    first = Window.partitionBy("_node").orderBy("text")
-    twice = stay.join(_counted(again), "_node", "left_semi").withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
-    return stay.join(_counted(again), "_node", "left_anti").unionByName(twice).select(docs.columns)
+        least = found.join(rows.where(T.col(node).isNotNull()).select(node, "doc_id").distinct(), node)
+        least = least.groupBy("component_id").agg(F.min(F.struct("doc_id", node))[node].alias("least"))
+        found = written(found.join(least, "component_id").select(node, (T.col(node) == F.col("least")).alias("kept")), "groups")
+    gone = found.where("not kept").select(node).distinct()
+    again = found.where("kept").groupBy(node).count().where("count > 1").select(node)
+    stay = rows.join(_counted(gone), node, "left_anti")
+    if not again.isEmpty():
+        first = Window.partitionBy(node).orderBy("text")
+        twice = stay.join(_counted(again), node, "left_semi").withColumn(number, F.row_number().over(first)).where(T.col(number) == 1).drop(number)
+        stay = stay.join(_counted(again), node, "left_anti").unionByName(twice)
+    return stay.select(*map(T.col, docs.columns))
 
 
 def _counted(ids: DataFrame) -> DataFrame:
@@ -220,7 +223,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, perc
     node with the links of all its texts; a null id reaches nothing: its component_id is null and it is kept. An empty
     table gives an empty result. Other columns are ignored.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(T.col(id_col).cast("long").alias("id"), T.col(text_col).alias("text"))
     all_ = written(sketches(rows, k), "sketches")
     known = all_.where("id is not null and n_shingles > 0")
     classes = known.groupBy("h1", "h2", "n_shingles").agg(F.min(F.struct("id", "bands")).alias("least"))
@@ -236,9 +239,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, perc
 
     sets = written(rows.join(wanted, "id", "left_semi").mapInArrow(whole, "id long, items binary"), "sets")
     links = _paired(met.where(F.col("in_bucket") <= PAIRED), sets, percent).unionByName(_chunked(met.where(F.col("in_bucket") > PAIRED), sets, percent))
-    same = known.select("id", "h1", "h2", "n_shingles").join(classes.drop("bands"), ["h1", "h2", "n_shingles"])
-    copies = same.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    found = components(links.unionByName(copies), "links")
-    out = all_.select("id", "n_shingles").join(found.withColumnRenamed("node", "id"), "id", "left")
-    component = F.coalesce("component", "id")
+    reps = all_.select("id", "n_shingles", "h1", "h2").join(classes.drop("bands"), ["h1", "h2", "n_shingles"], "left").select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("rep")).alias("rep"))
+    reps = written(reps, "reps")
+    # copies need no links: a class is one node; an id with several texts ties their classes
+    several = reps.where("rep is not null").groupBy("id").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most")
+    ties = reps.join(several.select("id", "least"), "id").where("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
+    found = components(links.unionByName(ties), "links")
+    out = reps.join(found.withColumnRenamed("node", "rep"), "rep", "left")
+    component = F.coalesce("component", "rep", "id")
     return out.select(F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

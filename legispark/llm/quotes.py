@@ -98,7 +98,7 @@ def conversations(spark: SparkSession, messages: DataFrame) -> DataFrame:
     turn share its links and each have a row. An empty table gives an empty result. Other columns are ignored.
     """
     rows = messages.select(F.col("conv_id").cast("long").alias("conv"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    rows = rows.withColumn("msg", F.sha2(F.concat_ws(":", F.coalesce(F.col("conv").cast("string"), F.lit("")), F.coalesce(F.col("turn").cast("string"), F.lit("")), F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))), 256))
+    rows = rows.withColumn("msg", F.sha2(F.to_json(F.struct("conv", "turn", "role", "text")), 256))  # no two rows of different fields have one
     all_lines = lines(rows.groupBy("msg", "conv", "turn").agg(F.first("text").alias("text")))
     parents = reply_links(all_lines).join(rows.select("msg", "conv", "turn").distinct(), "msg")
     parents = parents.groupBy("conv", "turn").agg(F.max("parent").alias("parent"))

@@ -7,13 +7,10 @@ repeated run of `min_words` words or more is covered.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from legispark.llm import text as T
 
@@ -94,27 +91,22 @@ def rules(docs: DataFrame, text_col: str = "text", min_words: int = MIN_REPEAT,
     Null and wordless texts count 0 everywhere and fail by their few words. Rows that repeat are each judged alone.
     New columns take the place of docs' columns of that name.
     """
-    new = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_covered", "longest_repeat"]
-    kept = [c for c in docs.columns if c != text_col and c not in [*new, "base_failed", "kept"]]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").alias("_text"))
-
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in T.slices(batches, "_text", SLICE):
-            text = T.strings(batch.column("_text"))
-            flat, at = T.split(text)
-            code, words = T.coded(flat)
-            repeat = longest_repeats(code, at)
-            chars = pc.utf8_length(words).to_numpy(zero_copy_only=False)[code] if len(code) else np.zeros(0, np.int64)
-            lines = [_dup_lines(x) if "\n" in x else 0 for x in text.to_pylist()]
-            top = np.zeros(batch.num_rows, np.int64)
-            full = np.flatnonzero(np.diff(at))
-            if len(full):
-                top[full] = np.maximum.reduceat(repeat, at[full])
-            values = [np.diff(at), T.sums(chars, at), pc.count_substring_regex(text, SYMBOLS), lines, T.sums(covered(repeat, REPEAT_WORDS, True).astype(np.int64), at), T.sums(covered(repeat, min_words).astype(np.int64), at), top]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *(pa.array(v, pa.int64()) if not isinstance(v, pa.Array) else v.cast(pa.int64()) for v in values)], names=[*kept, *new])
-
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text"), *(f"{c} bigint" for c in new)])
-    n = F.col("n_words")
-    failed = (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * n)
-    verdict = (F.col("n_covered") <= max_covered * n) & (F.col("longest_repeat") <= max_longest)
-    return rows.mapInArrow(count, schema).withColumn("base_failed", failed).withColumn("kept", ~failed & verdict)
+
+    def count(text: pa.Array) -> list:
+        flat, at = T.split(text)
+        code, words = T.coded(flat)
+        repeat = longest_repeats(code, at)
+        chars = pc.utf8_length(words).to_numpy(zero_copy_only=False)[code] if len(code) else np.zeros(0, np.int64)
+        lines = [_dup_lines(x) if "\n" in x else 0 for x in text.to_pylist()]
+        top = np.zeros(len(text), np.int64)
+        full = np.flatnonzero(np.diff(at))
+        if len(full):
+            top[full] = np.maximum.reduceat(repeat, at[full])
+        values = [np.diff(at), T.sums(chars, at), pc.count_substring_regex(text, SYMBOLS), lines, T.sums(covered(repeat, REPEAT_WORDS, True).astype(np.int64), at), T.sums(covered(repeat, min_words).astype(np.int64), at)]
+        n = values[0]
+        failed = (n < MIN_WORDS) | (100 * values[4] > MAX_REPEATED * n)
+        kept = ~failed & (values[5] <= max_covered * n) & (top <= max_longest)
+        return [*(pa.array(v, pa.int64()) if not isinstance(v, pa.Array) else v.cast(pa.int64()) for v in [*values, top]), pa.array(failed), pa.array(kept)]
+
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_covered", "longest_repeat"]
+    return T.annotated(docs, text_col, {**dict.fromkeys(names, "bigint"), "base_failed": "boolean", "kept": "boolean"}, count, limit=SLICE)

@@ -30,13 +30,13 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_co
 FROM m"""
 
 OP5 = rf"""
-WITH iw AS (SELECT item_id, {ALNUM} AS ws FROM benchmark WHERE item_id IS NOT NULL),
+WITH iw AS (SELECT item_id, {ALNUM} AS ws FROM benchmark),
 win AS (SELECT DISTINCT item_id, m, array_to_string(ws[s : s + m - 1], ' ') AS w FROM (SELECT item_id, ws, m, unnest(range(1, len(ws) - m + 2)) AS s FROM (SELECT *, least(10, len(ws)) AS m FROM iw WHERE len(ws) > 0))),
 d AS (SELECT row_number() OVER () AS rid, doc_id, {ALNUM} AS ws FROM documents),
 spot AS (SELECT rid, m, i, array_to_string(ws[i : i + m - 1], ' ') AS w FROM (SELECT rid, ws, unnest(range(1, len(ws) + 1)) AS i FROM d), (SELECT DISTINCT m FROM win) WHERE i + m - 1 <= len(ws)),
 hit AS (SELECT rid, i, m, item_id FROM spot JOIN win USING (m, w)),
 words AS (SELECT rid, count(DISTINCT pos) AS n FROM (SELECT rid, unnest(range(i, i + m)) AS pos FROM hit) GROUP BY rid),
-items AS (SELECT rid, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT rid, item_id::VARCHAR AS id FROM hit) GROUP BY rid)
+items AS (SELECT rid, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT rid, item_id::VARCHAR AS id FROM hit WHERE item_id IS NOT NULL) GROUP BY rid)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)"""
 

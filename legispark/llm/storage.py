@@ -8,13 +8,16 @@ import tempfile
 import uuid
 from pathlib import Path
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests), a new local one is set."""
+    """The folder in spark.checkpoint.dir. Where that is unset, a new local one is set in local mode, else it is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -39,9 +42,23 @@ def let_go(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def opened(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system and path of a URI that every executor can reach."""
+    return pafs.FileSystem.from_uri(uri)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a written table: cuts the lineage, and survives lost executors."""
     spark = df.sparkSession
     path = fresh(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def removed(df: DataFrame) -> None:
+    """Removes a written table that nothing reads any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.written_to)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

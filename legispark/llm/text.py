@@ -49,16 +49,17 @@ def annotated(docs: DataFrame, text_col: str, new: dict[str, str], values: Calla
     """
     taken = {n.lower() for n in new}
     kept = [c for c in docs.columns if c.lower() not in taken and (keep_text or c != text_col)]
-    own = unused([*kept, *new], "_text")
-    column = text_col if keep_text and text_col in kept else own
-    rows = docs.select(*map(col, kept), *([col(text_col).alias(own)] if column == own else []))
+    inner = {c: f"c{i}" for i, c in enumerate(kept)}  # on the way through Arrow, so that no names clash
+    column = inner.get(text_col, "text")
+    rows = docs.select(*(col(c).alias(i) for c, i in inner.items()), *([col(text_col).alias("text")] if column == "text" else []))
+    added = K.StructType.fromDDL(", ".join(f"n{i} {t}" for i, t in enumerate(new.values())))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, column, limit or SLICE_BYTES):
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *values(strings(batch.column(column)))], names=[*kept, *new])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in inner.values()), *values(strings(batch.column(column)))], names=[*inner.values(), *added.names])
 
-    added = K.StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in new.items()))
-    return rows.mapInArrow(run, K.StructType([*rows.schema.fields[: len(kept)], *added.fields]))
+    out = rows.mapInArrow(run, K.StructType([*rows.schema.fields[: len(inner)], *added.fields]))
+    return out.select(*(F.col(i).alias(c) for c, i in inner.items()), *(F.col(f"n{i}").alias(n) for i, n in enumerate(new)))
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

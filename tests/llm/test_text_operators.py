@@ -115,14 +115,14 @@ def brute_hits(text, items, window):
     words, hit, found = ALNUM.findall(lower(text)), set(), set()
     for item, t in items:
         own = ALNUM.findall(lower(t))
-        if item is None or not own:
+        if not own:
             continue
         m = min(window, len(own))
         wins = {tuple(own[i : i + m]) for i in range(len(own) - m + 1)}
         for i in range(len(words) - m + 1):
             if tuple(words[i : i + m]) in wins:
                 hit.update(range(i, i + m))
-                found.add(str(item))
+                found.update([] if item is None else [str(item)])
     return len(words), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
 
 
@@ -147,10 +147,12 @@ def test_items_without_an_id(spark):
     bench = spark.createDataFrame([(None if k < 2 else 1, t) for k, t in enumerate(texts)], "item_id long, text string")
     docs = spark.createDataFrame([(k, f"x {t} y") for k, t in enumerate(texts[:3])] + [(9, "clean")], "doc_id long, text string")
     for size in (1 << 20, 2000):
-        got = {r["doc_id"]: (r["n_hit"], r["n_items"], r["contaminated"]) for r in collected(decontam.contamination(spark, docs, bench, block_bytes=size, unnamed=True))}
+        got = {r["doc_id"]: (r["n_hit"], r["n_items"], r["contaminated"]) for r in collected(decontam.contamination(spark, docs, bench, block_bytes=size))}
         assert got == {0: (30, 0, True), 1: (30, 0, True), 2: (30, 1, True), 9: (0, 0, False)}
     assert [r["doc_id"] for r in collected(decontam.without_benchmark(spark, docs, bench))] == [9]
-    dealt = [len(b.ids) for b in decontam.blocks(bench, 10, "item_id", "text", 2000, True)]
+    directory = fresh(spark, "benchmark")
+    n = decontam._write_blocks(bench, directory, 10, "item_id", "text", 2000)
+    dealt = [len(b.ids) for k in range(n) if (b := decontam._block(directory, k))]
     assert sum(dealt) == 20 and max(dealt) < 15
 
 
@@ -420,7 +422,6 @@ def test_targets(spark):
 
 
 def test_mix(spark, docs, none, monkeypatch):
-    monkeypatch.setattr(mixing, "RANGE_DOCS", 3)
     got = collected(mixing.mix(docs))
     assert len(got) == len(rows()) and got[0].keys() >= {"doc_id", "text", "_times"}
     for source in {r["source"] for r in got}:
@@ -441,6 +442,45 @@ def test_mix(spark, docs, none, monkeypatch):
     assert again == +want
 
 
+def test_mix_in_order(spark):
+    """Against sorting each source whole: heavy and light weights, repeated rows at any place, sizes of 0."""
+    rng = random.Random(12)
+    rows_ = [(i, None if i % 17 == 0 else prose(rng, rng.randrange(0, 30)) + " ###" * rng.randrange(3), "abc"[i % 3 if i % 2 else 0]) for i in range(300)]
+    for k in rng.sample(range(300), 12):
+        rows_ += [rows_[k]] * 40
+    got = collected(mixing.mix(spark.createDataFrame(rows_, "doc_id long, text string, source string")))
+
+    def key(row):
+        text = row[1] or ""
+        mark = hashlib.md5(f"mix:{row[0]}:{hashlib.md5(text.encode()).hexdigest()}".encode()).hexdigest()
+        symbols = len(re.findall(r"[#*$%&|<>]", text))
+        return -math.log((int(mark[:13], 16) + 0.5) / 16**13) / (max(0.1, 1 - 10 * symbols / len(text)) if text else 0.1), mark
+
+    goal = {r["source"]: r["_target"] for r in got}
+    want = Counter()
+    for source, target in goal.items():
+        own = sorted((r for r in rows_ if r[2] == source), key=key)
+        sizes = [len(WORD.findall(r[1] or "")) for r in own]
+        epochs, running = int(target // sum(sizes)), 0
+        rest = target - epochs * sum(sizes)
+        for r, n in zip(own, sizes, strict=True):
+            want[r[0]] += epochs + (running < rest and running + n - rest <= rest - running)
+            running += n
+    have = Counter()
+    for r in got:
+        have[r["doc_id"]] += r["_times"]
+    assert have == want
+
+
+def test_mix_sorts_small_steps(spark):
+    """With all weights at the least, the step that is sorted has few documents of a source."""
+    df = spark.range(200_000).select(F.col("id").alias("doc_id"), F.lit("#").alias("text"), F.lit("s").alias("source"))
+    keys = mixing.Keys("doc_id", "text", "source", None, "mix")
+    place = F.log2("_key") * mixing.STEPS
+    steps = keys.of(df).groupBy(F.floor(place), F.floor((place - F.floor(place)) * mixing.FINER)).count()
+    assert steps.agg(F.max("count")).first()[0] < 50
+
+
 def test_mix_prefers_weight(spark):
     df = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"), F.when(F.col("id") < 2000, "s").otherwise("t").alias("source"))
     out = mixing.mix(df, weight=F.when(F.col("doc_id") % 2 == 0, 4.0).otherwise(1.0)).where("source = 's'")
@@ -731,6 +771,133 @@ def test_quotes_of_parts_of_messages(spark):
     assert got[1, 1]["text"] == "answer" and (got[1, 1]["thread"], got[1, 1]["depth"], got[1, 1]["position"]) == (0, 1, 1)
 
 
+def brute_links(talk):
+    """talk: (turn, text). reply_to of each turn, by the rule that the docstrings state, with lists and dictionaries."""
+    norm = lambda t: re.sub(r"\s+", " ", t.lower()).strip()
+    parsed = []
+    for turn, text in talk:
+        rows_ = []
+        for k, line in enumerate(re.split(r"\r?\n|\r", text or "")):
+            marks = re.match(r"[ \t]*(?:>[ \t]?)+", line)
+            rows_.append((k, marks[0].count(">") if marks else 0, norm(line[len(marks[0]) :] if marks else line)))
+        full, found = [r for r in rows_ if r[2]], []
+        for level_rows in _split_where(full, lambda a, b: a[1] != b[1]):
+            pieces = [level_rows, *_split_where(level_rows, lambda a, b: a[0] + 1 < b[0]), *([r] for r in level_rows)]
+            found += [(level_rows[0][1], " ".join(r[2] for r in piece), frozenset(r[0] for r in piece)) for piece in pieces]
+        parsed.append((turn, set(found)))
+    has = {}
+    for turn, found in parsed:
+        for level, passage, _ in found:
+            has.setdefault(turn, {}).setdefault(passage, set()).add(level)
+    best = {}
+    for turn, found in parsed:
+        named, met = set(), []
+        for level, passage, own in found:
+            turns = [max(earlier) for nearer in range(level) if (earlier := [t for t in has if t < turn and nearer in has[t].get(passage, ())])]
+            named.update(turns)
+            met += [(level, passage, own)] * bool(turns)
+        scored = []
+        for t in named:
+            had = [(level, own) for level, passage, own in met if min(has[t].get(passage, {99})) < level]
+            scored.append((-min(level for level, _ in had), len(frozenset().union(*(own for _, own in had))), t))
+        if scored:
+            best[turn] = max(best.get(turn, -1), max(scored)[2])
+    return best
+
+
+def _split_where(items, cut):
+    out = []
+    for x in items:
+        if out and not cut(out[-1][-1], x):
+            out[-1].append(x)
+        else:
+            out.append([x])
+    return out
+
+
+def talk(rng, n):
+    """Messages that quote some or all of earlier ones, also nested, trimmed and repeated."""
+    out = []
+    for turn in range(n):
+        body = []
+        for _ in range(rng.randrange(0, 3) if turn else 0):
+            source = rng.choice(out)[1].split("\n")
+            a = rng.randrange(len(source))
+            part = source[a : a + rng.randrange(1, 4)] if rng.random() < 0.7 else source
+            body += [rng.choice(["> ", ">", "  > "]) + (x.upper() if rng.random() < 0.2 else x) for x in part if rng.random() < 0.9]
+            if rng.random() < 0.3:
+                body.append("")
+        body += [rng.choice(["yes", "no", "thanks a lot", prose(rng, rng.randrange(1, 8))]) if rng.random() < 0.9 else "" for _ in range(rng.randrange(1, 5))]
+        out.append((turn, "\n".join(body)))
+        if rng.random() < 0.1:
+            out.append((turn, rng.choice(out)[1]))
+    return out
+
+
+def test_quotes_against_brute_force(spark):
+    rng = random.Random(21)
+    talks = {c: talk(rng, rng.randrange(2, 14)) for c in range(60)}
+    talks[60] = [(0, "needle in here\n" + "\n".join(prose(rng, 12) for _ in range(6000))), (1, "> needle in here\nfound"), (2, "\n".join(f"> line {i}" for i in range(3000)))]
+    rows_ = [(c, t, "user", x) for c, own in talks.items() for t, x in own]
+    df = spark.createDataFrame(rows_ + rows_[:40], "conv_id long, turn long, role string, text string")
+    got = collected(quotes.conversations(spark, df))
+    assert len(got) == len(rows_) + 40
+    linked = 0
+    for c, own in talks.items():
+        want = brute_links(own)
+        mine = [r for r in got if r["conv_id"] == c]
+        linked += len(want)
+        for r in mine:
+            assert r["reply_to"] == want.get(r["turn"]), (c, r)
+            up, depth = r["turn"], 0
+            while up in want:
+                up, depth = want[up], depth + 1
+            assert (r["thread"], r["depth"]) == (up, depth)
+            assert not any(line.lstrip(" \t").startswith(">") for line in r["text"].split("\n"))
+        assert sorted(r["position"] for r in mine) == list(range(len(mine)))
+        order = sorted(mine, key=lambda r: (r["thread"], r["turn"]))
+        assert [r["turn"] for r in order] == [r["turn"] for r in sorted(mine, key=lambda r: r["position"])]
+    assert linked > 150
+
+
+def test_messages_of_fields_that_join_alike(spark):
+    df = spark.createDataFrame([(1, 0, "a", "b:c"), (1, 0, "a:b", "c"), (1, 0, None, "d"), (1, 0, "", "d"), (1, 0, "e", None), (1, 0, "e", "")], "conv_id long, turn long, role string, text string")
+    assert sorted((r["role"] or "-", r["text"]) for r in collected(quotes.conversations(spark, df))) == [("-", "d"), ("-", "d"), ("a", "b:c"), ("a:b", "c"), ("e", ""), ("e", "")]
+
+
+# clashing names
+
+
+CLASHES = ["_text", "_html", "_row", "_n", "_node", "_in", "_key", "_print", "_times", "_copy", "id", "n", "items", "msg", "conv", "key", "block", "h1", "bands", "score", "predicted", "n_words", "n_hit", "contaminated", "kept", "a.b", "select"]
+
+
+@pytest.fixture(scope="module")
+def clashing(spark):
+    own = [(i, "w1 w2 w3 w4 w5 w6 " * (1 + i % 3) + prose(random.Random(i), 40), "en", "ab"[i % 2], i) for i in range(12)] + [(None, None, None, None, None)]
+    base = spark.createDataFrame(own, "doc_id long, text string, lang string, source string, n_chars long")
+    return base.withColumns({c: F.lit(f"own {c}") for c in CLASHES if "." not in c}).withColumn("a.b", F.lit("own a.b"))
+
+
+def test_operators_leave_clashing_columns(spark, clashing):
+    """Columns of any name pass through, but for those that an operator's own new columns replace."""
+    bench, pages = spark.createDataFrame([(1, "none of these")], "item_id long, text string"), clashing.withColumnRenamed("text", "html")
+    quiet = quality.train(["a b", "%%% %%%"], [1, 0], epochs=1)
+    mild = toxicity.train(["a b", "idiot"] * 4, [0, 1] * 4)
+    results = {
+        "op1": quality.scored(spark, clashing, quiet), "op2": toxicity.scored(spark, clashing, mild), "op3": repetition.rules(clashing), "op4": extract.extracted(pages),
+        "op5": decontam.contamination(spark, clashing, bench), "op8": mixing.mix(clashing),
+        "op6": ctw.scores(spark, clashing, F.lit(True)), "op7": tokens.tokens(spark, clashing, tokenizer_path()), "op9": neardup.near_duplicates(spark, clashing),
+    }
+    new = {"op1": {"score", "predicted"}, "op2": {"score", "predicted"}, "op3": {"n_words", "kept"}, "op4": set(), "op5": {"n_words", "n_hit", "contaminated"}, "op8": {"_times"}}
+    for name, df in results.items():
+        got = collected(df)
+        assert len(got) == 13, name
+        for c in CLASHES if name in new else []:
+            assert c in new[name] or all(r[c] == f"own {c}" for r in got), (name, c)
+    talks = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "user", "> hi\nyes")], "conv_id long, turn long, role string, text string").withColumns({c: F.lit("x") for c in CLASHES if c != "a.b"})
+    assert [r["reply_to"] for r in sorted(collected(quotes.conversations(spark, talks)), key=lambda r: r["turn"])] == [None, 0]
+
+
 # the pipeline
 
 
@@ -754,5 +921,24 @@ def test_pipeline(spark):
     assert len(set(brute_components([(i, texts[i]) for i in final], 5, 80).values())) == len(final)
 
 
+def test_stages_keep_clashing_columns_and_edge_rows(spark, clashing):
+    """Every stage but the last returns the columns it was given, as they were; nulls, empty and repeated texts and empty tables pass."""
+    import corpus_pipeline as P
+
+    prose_ = table(spark, DATA, "documents").limit(60)
+    extra = prose_.withColumns({c: F.lit(f"own {c}") for c in CLASHES if "." not in c}).withColumn("a.b", F.lit("own a.b"))
+    odd = spark.createDataFrame([(9001, None, None, None, None), (9002, "", "en", "a", 0), (None, "words of a text without an id", "en", "a", 1), (9003, "one two three", "en", "a", 1), (9003, "one two three", "en", "a", 1)], prose_.schema)
+    left = extra.unionByName(odd, allowMissingColumns=True)
+    for name, stage in P.STAGES[:-1]:
+        left = stage(spark, left, DATA)
+        got = [r.asDict() for r in left.collect()]
+        assert left.columns == extra.columns and len(got) > 30, name
+        assert all(r[c] == f"own {c}" for r in got for c in CLASHES if r["doc_id"] is not None and r["doc_id"] < 9000), name
+        assert stage(spark, extra.limit(0), DATA).count() == 0, name
+    out = collected(P.STAGES[-1][1](spark, left, DATA))
+    assert len(out) == len(got)
+    assert P.STAGES[-1][1](spark, extra.limit(0), DATA).count() == 0
+
+
 def test_shared_dir_is_the_session_s(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
