@@ -7,6 +7,8 @@ size and the low 32 bits of the XXH64 of its content. A reader takes the end of
 
 from __future__ import annotations
 
+import json
+import os
 import re
 import struct
 import zlib
@@ -16,49 +18,62 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.fs as pafs
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from legispark.llm import text as T
-from legispark.llm.storage import fresh
+from legispark.llm.storage import fresh, opened, written
 
 #: Fixed values of the seekable format and of skippable frames.
 SKIPPABLE_SEEK, SKIPPABLE_OWN, SEEKABLE = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1
 CHECKSUMS = 0x80
 END_ID = 2
-#: Distinct words that are encoded at once.
-JOINED = 1024
+#: Tasks that read files, at most.
+READERS = 4096
+#: Distinct words that are encoded at once, and that a worker remembers with their ids.
+JOINED, REMEMBERED = 1024, 400_000
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
+def encoder(path: str) -> WordEncoder:
+    """A worker's encoder of a tokenizer's file; tasks after the first find it ready."""
+    return WordEncoder(path)
 
 
 class WordEncoder:
-    """Encodes each distinct white-space-separated word of a slice once.
+    """Encodes each distinct white-space-separated word once, and remembers a bounded number of them.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are its words' ids in order. Plain words
-    (printable ASCII and Latin-1 letters) are encoded many at a time with spaces between them: the last token of each
-    piece that the tokenizer cuts a word into ends in its mark for word ends, and a pattern tells the number of pieces.
-    Other words are encoded alone.
+    That holds for tokenizers of one form (FORM), which drop white space and never join across it: a text's ids are its
+    words' ids in order. Texts of any other tokenizer are encoded whole. Plain words (printable ASCII and Latin-1
+    letters) are encoded many at a time with spaces between them: the last token of each piece that the tokenizer cuts a
+    word into ends in its mark for word ends, and a pattern tells the number of pieces. Each word's tokens must make up
+    its bytes; if one's don't, all are encoded alone, as other words are.
     """
 
+    # The form of tokenizer for which words may be encoded apart.
+    FORM = {
+        "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+        "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    }
     PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
     PLAIN = "^[!-~À-ÖØ-öø-ÿ]+$"
-    TAIL = ".,;:!?"
+    TAIL, MARK = ".,;:!?", "</w>"
 
     def __init__(self, path: str):
-        self.tokenizer = _tokenizer(path)
-        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        for token, k in self.tokenizer.get_vocab().items():
-            self.ends[k] = token.endswith("</w>")
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        form = json.loads(self.tokenizer.to_str())
+        self.apart = form["model"].get("end_of_word_suffix") == self.MARK and all(form[k] == v for k, v in self.FORM.items()) and form["post_processor"] is None
+        n = self.tokenizer.get_vocab_size()
+        self.ends, self.bytes = np.zeros(n, bool), np.zeros(n, np.int64)
+        for token, k in self.tokenizer.get_vocab().items():  # a token has a character for each byte
+            self.ends[k], self.bytes[k] = token.endswith(self.MARK), len(token.removesuffix(self.MARK))
         self.special = "|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.words, self.ids, self.begin = pa.array([], pa.string()), np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def _alone(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -72,7 +87,11 @@ class WordEncoder:
         ends = np.flatnonzero(self.ends[ids])
         if len(ends) != pieces.sum():
             return self._alone(known)
-        return ids, np.diff(ends[np.cumsum(pieces) - 1], prepend=-1)
+        n = np.diff(ends[np.cumsum(pieces) - 1], prepend=-1)
+        own = np.add.reduceat(self.bytes[ids], np.cumsum(n) - n) if len(n) else n
+        if (own != pc.binary_length(pc.utf8_lower(words)).to_numpy(zero_copy_only=False)).any():
+            return self._alone(known)
+        return ids, n
 
     def _plain(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Plain words; what ends them after a letter or digit is a piece of its own, so it is encoded once."""
@@ -100,21 +119,46 @@ class WordEncoder:
         starts = np.cumsum(n) - n
         return ids[T.spread(starts[back], n[back])], np.concatenate([[0], np.cumsum(n[back], dtype=np.int64)])
 
+    def known(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As distinct(), as the ids and each word's first and number; remembers new words while there is room."""
+        at = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        fresh = words.filter(pa.array(at < 0))
+        ids, begin = self.distinct(fresh) if len(new) else (np.zeros(0, np.uint32), np.zeros(1, np.int64))
+        every = np.concatenate([self.ids, ids])
+        starts, n = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        old = np.flatnonzero(at >= 0)
+        starts[old], n[old] = self.begin[at[old]], np.diff(self.begin)[at[old]]
+        starts[new], n[new] = len(self.ids) + begin[:-1], np.diff(begin)
+        room = min(len(new), REMEMBERED - len(self.words))
+        if room > 0:
+            self.words = pa.concat_arrays([self.words, fresh.slice(0, room)])
+            self.begin = np.concatenate([self.begin, len(self.ids) + begin[1 : room + 1]])
+            self.ids = every[: self.begin[-1]]
+        return every, starts, n
+
+    def _whole(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        ids, n = self._alone(text.to_pylist())
+        ends = np.cumsum(n + 1)
+        return np.insert(ids, np.cumsum(n), END_ID).astype(np.uint32), np.concatenate([[0], ends])
+
     def __call__(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, an end id after each, and the offset of each text's first and of the end."""
-        if not pc.any(pc.match_substring_regex(text, f"(?i){self.special}")).as_py():  # the tokenizer lowers all but these
+        if not self.apart:
+            return self._whole(text)
+        if not self.special or not pc.any(pc.match_substring_regex(text, f"(?i){self.special}")).as_py():  # the tokenizer lowers all but these
             text = pc.ascii_lower(text)
         flat, at = T.split(text)
         code, words = T.coded(flat)
-        ids, begin = self.distinct(words)
-        n = (begin[1:] - begin[:-1])[code] if len(code) else np.zeros(0, np.int64)
+        ids, first, size = self.known(words)
+        n = size[code] if len(code) else np.zeros(0, np.int64)
         sizes = T.sums(n, at) + 1
         ends = np.cumsum(sizes)
         out = np.full(int(ends[-1]) if len(ends) else 0, END_ID, np.uint32)
         body = np.ones(len(out), bool)
         body[ends - 1] = False
         if len(code):
-            out[body] = ids[T.spread(begin[:-1][code], n)]
+            out[body] = ids[T.spread(first[code], n)]
         return out, np.concatenate([[0], ends])
 
 
@@ -172,11 +216,6 @@ class FrameReader:
         return np.frombuffer(content, "<u4")
 
 
-def opened(uri: str):
-    """The file system and path of a URI that every executor can reach."""
-    return pafs.FileSystem.from_uri(uri)
-
-
 def write_tokens(docs: DataFrame, directory: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes files in ascending id order; returns a row per file: shard, path, first_id, n_docs, n_tokens.
 
@@ -184,7 +223,7 @@ def write_tokens(docs: DataFrame, directory: str, tokenizer: str, id_col: str =
     text. A task writes under a name of its own and renames, so a rerun of a lost task replaces the same file. An empty
     table gives no file. Other columns are ignored.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(T.col(id_col).cast("long").alias("doc_id"), T.col(text_col).alias("text"))
     rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +234,7 @@ def write_tokens(docs: DataFrame, directory: str, tokenizer: str, id_col: str =
         fs, base = opened(directory)
         final = f"{base}/shard-{shard:06d}.zst"
         part = f"{final}.{task.taskAttemptId()}"
-        encode = WordEncoder(tokenizer)
+        encode = encoder(tokenizer)
         for batch in T.slices(batches, "text"):
             if writer is None:
                 fs.create_dir(base, recursive=True)
@@ -232,12 +271,12 @@ def read_tokens(files: DataFrame, directory: str) -> DataFrame:
                 begin = start + np.cumsum([0, *n])[:-1]
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array(reader.docs, pa.int64()), "start": begin, "n_tokens": pa.array(n, pa.int64()), "ids_crc32": pa.array(crc, pa.int64())})
 
-    spread = files.repartition(F.col("shard"))
+    spread = files.repartition(max(1, min(files.count(), READERS)))  # a number of its own, or the small list would be one task
     return spread.select("path", "before").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, tokenizer: str, directory: str | None = None) -> DataFrame:
     """Writes the documents' ids to files in the shared folder and reads them back."""
     directory = directory or fresh(spark, "tokens")
-    return read_tokens(write_tokens(docs, directory, tokenizer), directory)
+    return read_tokens(written(write_tokens(docs, directory, tokenizer), "files"), directory)
 
