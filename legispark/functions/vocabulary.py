@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 LAW_KIND = "법률안"
+MEMBER_KIND, GOVERNMENT_KIND = "의원", "정부"
 PASSED = ["원안가결", "수정가결", "대안반영폐기"]
 ENACTED = ["원안가결", "수정가결"]
 PENDING = ["계류중"]
@@ -58,3 +59,8 @@ COMMITTEE_NAMES = {"환경노동위원회": "기후에너지환경노동위원
 
 #: The month in which each term begins.
 TERM_STARTS = {17: "2004-05-01", 18: "2008-05-01", 19: "2012-05-01", 20: "2016-05-01", 21: "2020-05-01", 22: "2024-05-01"}
+
+# Columns of the feed of all members, under our names; the second group holds lists, one entry for each term.
+MEMBER_FEED = {"NAAS_CD": "mona_cd", "NAAS_NM": "member_name", "NAAS_CH_NM": "member_name_hanja", "NAAS_EN_NM": "member_name_eng", "NTR_DIV": "sex", "BIRDY_DT": "birth_date", "RLCT_DIV_NM": "reelection", "NAAS_EMAIL_ADDR": "email", "NAAS_HP_URL": "homepage", "NAAS_PIC": "photo_url"}
+MEMBER_LISTS = {"PLPT_NM": "party", "ELECD_NM": "district", "ELECD_DIV_NM": "election_type", "BLNG_CMIT_NM": "committee"}
+MEMBER_TERMS = "GTELT_ERACO"

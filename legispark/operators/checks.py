@@ -34,12 +34,45 @@ def null_profile(t: DataFrame, cols: Sequence[str], over: float = 0.05) -> DataF
 
 
 def agreement(t: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Per pair of columns: rows where both agree, differ, or only one is there."""
-    rows = []
-    for a, b in pairs:
+    """Per pair of columns: rows where both agree, differ, or only one is there; all pairs in one pass."""
+    names = ["n_equal", "n_different", "n_left_only", "n_right_only"]
+    counts = []
+    for i, (a, b) in enumerate(pairs):
         x, y = F.col(a), F.col(b)
-        rows.append(t.agg(F.count_if(x == y).alias("n_equal"), F.count_if(x != y).alias("n_different"), F.count_if(x.isNotNull() & y.isNull()).alias("n_left_only"), F.count_if(x.isNull() & y.isNotNull()).alias("n_right_only")).select(F.lit(f"{a}/{b}").alias("pair"), "n_equal", "n_different", "n_left_only", "n_right_only"))
-    return reduce(DataFrame.unionByName, rows)
+        tests = [x == y, x != y, x.isNotNull() & y.isNull(), x.isNull() & y.isNotNull()]
+        counts += [F.count_if(test).alias(f"{n}{i}") for n, test in zip(names, tests, strict=True)]
+    each = [F.struct(F.lit(f"{a}/{b}").alias("pair"), *[F.col(f"{n}{i}").alias(n) for n in names]) for i, (a, b) in enumerate(pairs)]
+    return t.agg(*counts).select(F.explode(F.array(*each)).alias("_r")).select("_r.*")
+
+
+def validate(tables: Mapping[str, DataFrame], expected: Mapping[str, int], key: str, many: Sequence[str] = (), tol: float = 0.10, over: float = 0.05) -> DataFrame:
+    """table_name, check, column_name, n, share, verdict: each table's rows against what is expected, nulls and repeats of its key, columns with many nulls.
+
+    Tables without an expected number are OK if they have rows. Repeats aren't counted in tables that have `many` rows
+    for a key; a table without the key has no key checks. A table's figures come from one pass over it.
+    """
+    out = []
+    for name, t in tables.items():
+        aim = expected.get(name)
+        found = next((c for c in t.columns if c.lower() == key.lower()), None)
+        aggs = [F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_null{i}") for i, c in enumerate(t.columns)]]
+        if found:
+            aggs.append(F.countDistinct(F.col(f"`{found}`")).alias("_distinct"))
+        row = t.agg(*aggs)
+        near = F.abs(F.col("_n") - aim) < tol * aim if aim is not None else F.col("_n") > 0
+        verdict = F.when(F.col("_n") == 0, "MISSING").when(near, "OK").otherwise("CHECK")
+        entry = lambda check, column, n, verdict: F.struct(F.lit(check).alias("check"), F.lit(column).cast("string").alias("column_name"), n.cast("long").alias("n"), S.share(n, F.col("_n")).alias("share"), verdict.alias("verdict"))
+        entries = [entry("rows", None, F.col("_n"), verdict)]
+        if found:
+            null = F.col(f"_null{t.columns.index(found)}")
+            entries.append(F.when(null > 0, entry("key nulls", found, null, F.lit("CHECK"))))
+            if name not in many:
+                again = F.col("_n") - F.col("_distinct")
+                entries.append(F.when(again > 0, entry("key repeats", found, again, F.lit("CHECK"))))
+        entries += [F.when(F.col(f"_null{i}") > over * F.col("_n"), entry("nulls", c, F.col(f"_null{i}"), F.lit("CHECK"))) for i, c in enumerate(t.columns)]
+        rows = row.select(F.lit(name).alias("table_name"), F.explode(F.array_compact(F.array(*entries))).alias("_e"))
+        out.append(rows.select("table_name", "_e.*"))
+    return reduce(DataFrame.unionByName, out)
 
 
 def dedup_accounting(before: DataFrame, after: DataFrame) -> DataFrame:

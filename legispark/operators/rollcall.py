@@ -50,10 +50,12 @@ def bridging(t: DataFrame, member: str, term: str) -> DataFrame:
 
 
 def _kept(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a table in the folder that spark.checkpoint.dir names; a local one is set where it is unset."""
+    """Cuts the lineage with a table in the folder that spark.checkpoint.dir names; in local mode a local one is set where it is unset."""
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-scaling-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/scaling-{uuid.uuid4().hex}"
@@ -71,7 +73,7 @@ def scale_1d(t: DataFrame, member: str, item: str, yes: str, iters: int = 6, anc
     cells = t.where(F.col(yes).isNotNull()).select(member, item, (2.0 * F.col(yes) - 1).alias("_v"))
     centre = cells.groupBy(item).agg(F.avg("_v").alias("_m"))
     cells = _kept(cells.join(centre, item).select(member, item, (F.col("_v") - F.col("_m")).alias("_v")))
-    first = keep_first(cells.groupBy(member).agg(F.count("_v").alias("_n")).withColumn("_g", F.lit(1)), ["_g"], [F.desc("_n"), member]).select(member) if anchor is None else anchor.select(member).distinct()
+    first = cells.groupBy(member).agg(F.count("_v").alias("_n")).orderBy(F.desc("_n"), member).limit(1).select(member) if anchor is None else anchor.select(member).distinct()
     start = cells.groupBy(item).agg(F.sum(F.col("_v") * (F.pmod(F.xxhash64(member), F.lit(1009)) / 1009.0 - 0.5)).alias("_w"))
     lead = cells.join(first, member, "left_semi").groupBy(item).agg(F.avg("_v").alias("_l"))
     weights = start.join(lead, item, "left").select(item, (F.col("_w") * 1e-3 + F.coalesce("_l", F.lit(0.0))).alias("_w"))
@@ -94,3 +96,19 @@ def align_terms(scores: DataFrame, member: str, term: str, score: str, base: int
     fit = scores.join(ref, member).groupBy(term).agg(F.regr_slope("_b", score).alias("_k"), F.regr_intercept("_b", score).alias("_c"))
     out = scores.join(F.broadcast(fit), term, "left")  # a row per term
     return out.withColumn("aligned", F.when(F.col("_k").isNull(), F.col(score)).otherwise(F.col("_k") * F.col(score) + F.col("_c"))).drop("_k", "_c")
+
+
+def with_parties(scores: DataFrame, sat: DataFrame, member: str, term: str, party: str) -> DataFrame:
+    """scores with parties and terms of each member (sorted, joined by / and ,) and the party of the term.
+
+    sat: member, term, party, repeated at will. The party is the term's own (the least of several), else the scores'
+    own if they have one, else the member's parties.
+    """
+    sat = sat.select(F.col(member).alias("_m"), F.col(term).alias("_t"), F.col(party).alias("_p")).distinct()
+    joined = lambda c, mark: F.array_join(F.array_sort(F.collect_set(c)).cast("array<string>"), mark)
+    person = sat.groupBy("_m").agg(joined("_p", "/").alias("parties"), joined("_t", ",").alias("terms"))
+    here = sat.groupBy("_m", "_t").agg(F.min("_p").alias("_p"))
+    rows = scores.withColumnsRenamed({party: "_own"}) if party in scores.columns else scores.withColumn("_own", F.lit(None).cast("string"))
+    rows = rows.join(person, F.col(member) == F.col("_m"), "left").drop("_m")
+    rows = rows.join(here, (F.col(member) == F.col("_m")) & (F.col(term) == F.col("_t")), "left")
+    return rows.withColumn(party, F.coalesce("_p", "_own", F.nullif("parties", F.lit("")))).drop("_m", "_t", "_p", "_own")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,7 +11,6 @@ from pyspark.sql import functions as F
 from legispark.functions import scalar as S
 
 
-
 def rate_table(t: DataFrame, by: Sequence[str], flags: Sequence[str], min_n: int = 0, means: Sequence[str] = ()) -> DataFrame:
     """Per group without null keys: n, each flag's sum and share, means of more columns; groups under min_n are left out."""
     t = t.dropna(subset=list(by)) if by else t
@@ -20,6 +20,17 @@ def rate_table(t: DataFrame, by: Sequence[str], flags: Sequence[str], min_n: int
     return out.where(F.col("n") >= min_n) if min_n else out
 
 
+def with_overall(groups: DataFrame, t: DataFrame, flags: Sequence[str]) -> DataFrame:
+    """groups with the mean of each flag over all rows of t (overall_ and its name): the line that groups are held against."""
+    means = t.agg(*[F.avg(f).alias(f"overall_{f}") for f in flags])
+    return groups.crossJoin(F.broadcast(means))  # one row
+
+
+def span(t: DataFrame, term: str, date: str) -> DataFrame:
+    """One row: n, terms (sorted), the first and last date."""
+    return t.agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set(term)).alias("terms"), F.min(date).alias("first_date"), F.max(date).alias("last_date"))
+
+
 def rollup_counts(t: DataFrame, by: str, flags: Sequence[str]) -> DataFrame:
     """rate_table per group and, with a null key and is_total = 1, over all rows."""
     out = t.where(F.col(by).isNotNull()).rollup(by).agg(F.grouping(by).cast("int").alias("is_total"), F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(F.col(f).cast("long")), F.lit(0)).alias(f"n_{f}") for f in flags])
@@ -28,9 +39,11 @@ def rollup_counts(t: DataFrame, by: str, flags: Sequence[str]) -> DataFrame:
     return out
 
 
-def funnel(t: DataFrame, stages: Sequence[tuple[str, Sequence[str]]], exclude_mode_of: str | None = None, least_share: float = 0.3) -> DataFrame:
+def funnel(t: DataFrame, stages: Sequence[tuple[str, Sequence[str]]], exclude_mode_of: str | None = None, least_share: float = 0.3, bar: int | None = None) -> DataFrame:
     """Per stage: number, label, rows with any of its dates, share of the first stage, share and loss from the one before.
 
+    With bar, also the length of a bar of so many cells at most.
+
     With exclude_mode_of: if one date makes up more than least_share of that column's dates, it is the end of a term and
     rows that have it in the column don't count there.
     """
@@ -45,7 +58,8 @@ def funnel(t: DataFrame, stages: Sequence[tuple[str, Sequence[str]]], exclude_mo
     rows = counts.selectExpr("s0 AS base", f"stack({len(stages)}, {stack}) AS (stage, label, n)")
     before = F.lag("n").over(Window.orderBy("stage"))  # a row per stage
     rows = rows.withColumn("before", before)
-    return rows.select("stage", "label", "n", S.share(F.col("n"), F.col("base")).alias("share_of_base"), F.try_divide("n", "before").alias("survival"), (F.col("before") - F.col("n")).alias("loss"))
+    bars = [] if bar is None else [F.floor(F.coalesce(F.try_divide("n", "base"), F.lit(0)) * bar).cast("int").alias("bar")]
+    return rows.select("stage", "label", "n", S.share(F.col("n"), F.col("base")).alias("share_of_base"), F.try_divide("n", "before").alias("survival"), (F.col("before") - F.col("n")).alias("loss"), *bars)
 
 
 def pivot_counts(t: DataFrame, by: Sequence[str], on: str, values: Sequence[object], normalise: bool = False) -> DataFrame:
@@ -100,10 +114,17 @@ def value_counts(t: DataFrame, cols: Sequence[str]) -> DataFrame:
     return t.select(pairs.alias("_p")).select("_p.*").where("value is not null").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def group_spread(t: DataFrame, by: Sequence[str], value: str, min_n: int = 1) -> DataFrame:
-    """Per group: n, mean, median, sample deviation, quartiles, least and greatest."""
+def _percentile(col: str, p: float | list[float], exact: bool) -> Column:
+    return F.percentile(col, p) if exact else F.percentile_approx(col, p, 100_000)
+
+
+def group_spread(t: DataFrame, by: Sequence[str], value: str, min_n: int = 1, exact: bool = True) -> DataFrame:
+    """Per group: n, mean, median, sample deviation, quartiles, least and greatest.
+
+    exact interpolates and keeps each group's distinct values in memory; else percentile_approx is used.
+    """
     t = t.dropna(subset=[*by, value])
-    out = t.groupBy(*by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.median(value).alias("median"), F.stddev_samp(value).alias("sd"), F.percentile(value, 0.25).alias("p25"), F.percentile(value, 0.75).alias("p75"), F.min(value).alias("least"), F.max(value).alias("greatest"))
+    out = t.groupBy(*by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), _percentile(value, 0.5, exact).alias("median"), F.stddev_samp(value).alias("sd"), _percentile(value, 0.25, exact).alias("p25"), _percentile(value, 0.75, exact).alias("p75"), F.min(value).alias("least"), F.max(value).alias("greatest"))
     return out.where(F.col("n") >= min_n)
 
 
@@ -114,11 +135,24 @@ def gap(t: DataFrame, by: str, group: str, a: object, b: object, value: str) ->
 
 
 def rank_avg_trunc(t: DataFrame, partition: Sequence[str], order: str, ascending: bool = True) -> DataFrame:
-    """Adds rank (ties share their mean rank, cut to a whole number) and group_size; null orders have no rank."""
-    way = F.col(order).asc_nulls_last() if ascending else F.col(order).desc_nulls_last()
-    peers = F.count(F.lit(1)).over(Window.partitionBy(*partition, order))
-    rank = F.floor(F.rank().over(Window.partitionBy(*partition).orderBy(way)) + (peers - 1) / 2)
-    return t.withColumns({"rank": F.when(F.col(order).isNotNull(), rank), "group_size": F.count(order).over(Window.partitionBy(*partition))})
+    """Adds rank (ties share their mean rank, cut to a whole number) and group_size; null orders have no rank.
+
+    Ranks come from the counts of each distinct value, so no group's rows are sorted in one task, only its values.
+    """
+    keys = [*partition, order]
+    counts = t.where(F.col(order).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
+    own = Window.partitionBy(*partition)
+    before = F.coalesce(F.sum("_c").over(own.orderBy(F.col(order).asc() if ascending else F.col(order).desc()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranks = counts.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], F.floor(before + 1 + (F.col("_c") - 1) / 2).alias("rank"))
+    sizes = counts.groupBy(*partition).agg(F.sum("_c").alias("group_size")).select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(partition)], "group_size")
+    out = t.drop("rank", "group_size")
+    for small, names in ((ranks, keys), (sizes, partition)):
+        if names:
+            same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(names)])
+            out = out.join(small, same, "left").drop(*[f"_k{i}" for i in range(len(names))])
+        else:
+            out = out.crossJoin(F.broadcast(small))  # one row
+    return out.withColumn("group_size", F.coalesce("group_size", F.lit(0)))
 
 
 def shift(t: DataFrame, key: str, order: str, value: str) -> DataFrame:
@@ -139,9 +173,12 @@ def correlation(t: DataFrame, key: str, order: str, value: str, a: object, b: ob
     return wide.dropna().agg(F.count(F.lit(1)).alias("n"), F.corr("x", "y").alias("correlation"))
 
 
-def quantile_bins(t: DataFrame, col: str, n: int = 10) -> DataFrame:
-    """Adds bin, from 0: by n quantiles, equal edges merged, each bin closed on its right and the first on both sides; null has none."""
-    edges = t.agg(F.array_distinct(F.percentile(col, [i / n for i in range(n + 1)])).alias("_edges"))
+def quantile_bins(t: DataFrame, col: str, n: int = 10, exact: bool = True) -> DataFrame:
+    """Adds bin, from 0: by n quantiles, equal edges merged, each bin closed on its right and the first on both sides; null has none.
+
+    exact interpolates and keeps all distinct values in memory; else percentile_approx is used.
+    """
+    edges = t.agg(F.array_distinct(_percentile(col, [i / n for i in range(n + 1)], exact)).alias("_edges"))
     below = F.size(F.filter("_edges", lambda e: e < F.col(col)))
     return t.crossJoin(F.broadcast(edges)).withColumn("bin", F.when(F.col(col).isNotNull(), F.greatest(below - 1, F.lit(0)))).drop("_edges")  # one row
 

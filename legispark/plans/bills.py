@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from legispark.functions import scalar as S
 from legispark.functions import vocabulary as V
 from legispark.operators import stats, tables
+from legispark.sources.scan import SCHEMAS
 
 DETAIL = {"jrcmit_cmmt_dt": "jrcmit_cmmt_dt", "law_cmmt_dt": "law_cmmt_dt", "law_prsnt_dt": "law_prsnt_dt", "law_proc_dt": "law_proc_dt", "law_proc_rslt": "law_proc_rslt", "rgs_prsnt_dt": "rgs_prsnt_dt", "rgs_rsln_dt": "rgs_rsln_dt", "rgs_conf_nm": "rgs_conf_nm", "rgs_conf_rslt": "rgs_conf_rslt", "gvrn_trsf_dt": "gvrn_trsf_dt", "prom_dt": "prom_dt", "prom_no": "prom_no", "prom_law_nm": "prom_law_nm"}
 REVIEW = {"jrcmit_nm": "jrcmit_nm", "bdg_cmmt_dt": "bdg_cmmt_dt", "jrcmit_prsnt_dt": "jrcmit_prsnt_dt", "jrcmit_proc_dt": "jrcmit_proc_dt", "jrcmit_proc_rslt": "jrcmit_proc_rslt"}
 TALLY = {"proc_result_cd": "vote_result_cd", "member_tcnt": "vote_member_total", "vote_tcnt": "vote_total", "yes_tcnt": "vote_yes", "no_tcnt": "vote_no", "blank_tcnt": "vote_abstain"}
+#: Columns of the feeds that the bills' table doesn't keep.
+HELPERS = {"eraco", "bill_kind_cd"}
 
 
 def lower(t: DataFrame) -> DataFrame:
@@ -28,7 +31,7 @@ def build_master(age: int, member_bills: DataFrame, receipts: DataFrame, reviews
     """
     label = F.col("eraco") == f"제{age}대"
     base = lower(member_bills).withColumnsRenamed({"bill_name": "bill_nm", "propose_dt": "ppsl_dt", "proc_result": "proc_rslt", "proposer": "proposer_text", "committee": "committee_nm", "detail_link": "link_url"})
-    base = base.withColumns({"bill_kind": F.lit(V.LAW_KIND), "ppsr_kind": F.lit("의원"), "age": F.lit(age)})
+    base = base.withColumns({"bill_kind": F.lit(V.LAW_KIND), "ppsr_kind": F.lit(V.MEMBER_KIND), "age": F.lit(age)})
     extra = lower(receipts).where(label).drop("eraco").withColumn("age", F.lit(age))
     out = tables.append_missing(base, extra, "bill_id")
     order = lambda t: sorted(c for c in t.columns if c != "bill_id") if dedup else None
@@ -51,6 +54,32 @@ def build_master(age: int, member_bills: DataFrame, receipts: DataFrame, reviews
     return out.withColumns({"days_to_proc": S.days_between("ppsl_dt", "proc_dt"), "days_to_committee": S.days_between("ppsl_dt", "committee_dt")})
 
 
+def build_term(age: int, feeds: Mapping[str, DataFrame], committee_meetings: DataFrame, judiciary_meetings: DataFrame, **how: object) -> dict[str, DataFrame]:
+    """bills, committee_meetings and judiciary_meetings of a term; feeds and how are those of build_master.
+
+    Bills have their known columns in the order of the tables' schema, others behind them, without helper columns. The
+    meetings' tagged key becomes bill_id where they have none of their own; a bill has as many meetings as the feed has.
+    """
+    master = build_master(age, **feeds, **how)
+    known = [c for c in SCHEMAS["bills"].names if c in master.columns]
+    rest = [c for c in master.columns if c not in known and c not in HELPERS and not c.endswith(("_judge", "_detail"))]
+    out = {"bills": master.select(*known, *rest)}
+    for name, meetings in (("committee_meetings", committee_meetings), ("judiciary_meetings", judiciary_meetings)):
+        t = lower(meetings)
+        t = t.withColumnRenamed("_bill_id", "bill_id_tagged" if "bill_id" in t.columns else "bill_id")
+        dates = {c: S.safe_date(F.col(c).cast("string")) for c in t.columns if c.endswith("_dt")}
+        out[name] = t.withColumns({**dates, "age": F.lit(age)})
+    return out
+
+
+def lite_summary(bills: DataFrame) -> DataFrame:
+    """Per term: total, bills of members and of the government, passed, enacted, and the percent passed."""
+    kind = lambda k: F.count_if(F.col("ppsr_kind") == k)
+    flag = lambda c: F.coalesce(F.sum(F.col(c).cast("long")), F.lit(0))
+    out = bills.groupBy("age").agg(F.count(F.lit(1)).alias("total"), kind(V.MEMBER_KIND).alias("member"), kind(V.GOVERNMENT_KIND).alias("govt"), flag("passed").alias("passed"), flag("enacted").alias("enacted"))
+    return out.withColumn("passed_percent", S.percent(F.col("passed"), F.col("total")))
+
+
 def harmonised(t: DataFrame, committee: str = "committee_nm") -> DataFrame:
     """Committees under the names they have now."""
     return tables.recode(t, committee, V.COMMITTEE_NAMES)

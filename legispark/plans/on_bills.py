@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from legispark.functions import vocabulary as V
 from legispark.operators import checks, models, stats, tables
-from legispark.plans.bills import timeline
-from legispark.plans.bindings import BILLS, COMMITTEE, LAW, LIFE, bills, committee, lifecycle, query, read, rounded
+from legispark.plans.bills import lite_summary, timeline
+from legispark.plans.bindings import BILLS, COMMITTEE, LAW, LIFE, SCORES, bills, committee, lifecycle, query, read, rounded, scores
 
 KINDS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 STATUS = ["F", "O", "P"]
@@ -131,13 +132,13 @@ def monthly_counts(spark, d):
     return stats.period_counts(bills(spark, d), "ppsl_dt", "month")
 
 
-@query(f"WITH {BILLS}, c AS (SELECT sponsor % 7 AS grp, date_trunc('month', ppsl_dt)::DATE AS period, count(*) AS n FROM bills WHERE price > 300000 GROUP BY ALL), g AS (SELECT grp, unnest(generate_series(min(period)::TIMESTAMP, max(period)::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS period FROM c GROUP BY grp) SELECT grp, period, coalesce(n, 0)::BIGINT AS n, ((year(period) - year(min(period) OVER (PARTITION BY grp))) * 12 + month(period) - month(min(period) OVER (PARTITION BY grp)))::INT AS month_index FROM g LEFT JOIN c USING (grp, period)")
+@query(f"WITH {BILLS}, c AS (SELECT sponsor % 7 AS grp, date_trunc('month', ppsl_dt)::DATE AS period, count(*) AS n FROM bills GROUP BY ALL), g AS (SELECT grp, unnest(generate_series(min(period)::TIMESTAMP, max(period)::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS period FROM c GROUP BY grp) SELECT grp, period, coalesce(n, 0)::BIGINT AS n, ((year(period) - year(min(period) OVER (PARTITION BY grp))) * 12 + month(period) - month(min(period) OVER (PARTITION BY grp)))::INT AS month_index FROM g LEFT JOIN c USING (grp, period)")
 def monthly_gapfilled(spark, d):
     from pyspark.sql import Window
 
     from legispark.functions.scalar import months_from
 
-    rows = bills(spark, d).where("price > 300000").withColumn("grp", F.col("sponsor") % 7)
+    rows = bills(spark, d).withColumn("grp", F.col("sponsor") % 7)
     first = F.min("period").over(Window.partitionBy("grp"))
     out = stats.period_counts(rows, "ppsl_dt", "month", ["grp"], fill=True).withColumn("_first", first)
     return out.withColumn("month_index", months_from(F.year("_first"), F.month("_first"), "period")).drop("_first")
@@ -259,3 +260,54 @@ def adhoc_sql(spark, d):
 
     register({"legis_bills": bills(spark, d), "legis_committee": committee(spark, d)})
     return sql(spark, "SELECT party, 'all' AS scope, count(*) AS n, sum(passed) AS n_passed, sum(enacted) AS n_enacted, round(avg(passed), 6) AS passed_rate, round(avg(enacted), 6) AS enacted_rate FROM legis_bills JOIN legis_committee USING (sponsor) GROUP BY party")
+
+
+@query(f"WITH {LIFE} SELECT *, floor(n::DOUBLE / first_value(n) OVER (ORDER BY stage) * 30)::INT AS bar FROM (" + _funnel_sql(STAGE_COLS, "life") + ")")
+def funnel_bars(spark, d):
+    return rounded(stats.funnel(lifecycle(spark, d), [(f"stage {i}", [c]) for i, c in enumerate(STAGE_COLS)], bar=30))
+
+
+@query(f"WITH {BILLS} SELECT count(*) AS n, string_agg(DISTINCT term::VARCHAR, ',' ORDER BY term::VARCHAR) AS terms, min(ppsl_dt) AS first_date, max(ppsl_dt) AS last_date FROM bills")
+def combined_overview(spark, d):
+    return stats.span(bills(spark, d), "term", "ppsl_dt").withColumn("terms", F.array_join(F.col("terms").cast("array<string>"), ","))
+
+
+@query(f"WITH {BILLS}, {COMMITTEE} SELECT committee, {RATES}, (SELECT round(avg(passed), 6) FROM bills) AS overall_passed, (SELECT round(avg(enacted), 6) FROM bills) AS overall_enacted FROM bills JOIN committee USING (sponsor) GROUP BY committee")
+def rates_with_overall(spark, d):
+    t = bills(spark, d)
+    groups = stats.rate_table(t.join(committee(spark, d), "sponsor"), ["committee"], ["passed", "enacted"])
+    return rounded(stats.with_overall(groups, t, ["passed", "enacted"]))
+
+
+@query(f"WITH {BILLS} SELECT term AS age, count(*) AS total, count(*) FILTER (bill_kind = '1-URGENT') AS member, count(*) FILTER (bill_kind = '2-HIGH') AS govt, sum(passed)::BIGINT AS passed, sum(enacted)::BIGINT AS enacted, round(100.0::DOUBLE * sum(passed) / count(*), 6) AS passed_percent FROM bills GROUP BY term")
+def lite_term_summary(spark, d):
+    kind = F.when(F.col("bill_kind") == "1-URGENT", V.MEMBER_KIND).when(F.col("bill_kind") == "2-HIGH", V.GOVERNMENT_KIND)
+    return rounded(lite_summary(bills(spark, d).withColumns({"age": F.col("term"), "ppsr_kind": kind})))
+
+
+@query(f"WITH {LIFE}, {SCORES}, x AS (SELECT abs(aligned - 5) AS extremism, enacted, days_to_proc FROM life JOIN scores ON scores.member = life.sponsor AND scores.term = life.term), e AS (SELECT list_distinct(list_transform(range(0, 11), lambda i: CASE i " + " ".join(f"WHEN {i} THEN q[{i + 1}]" for i in range(11)) + " END)) AS edges FROM (SELECT quantile_cont(extremism, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]) AS q FROM x)) SELECT greatest(len(list_filter(edges, lambda v: v < extremism)) - 1, 0)::INT AS bin, count(*) AS n, round(avg(extremism), 6) AS mean_extremism, round(avg(enacted), 6) AS enacted_rate, round(median(days_to_proc), 6) AS median_days FROM x, e GROUP BY ALL")
+def sponsor_extremism(spark, d):
+    """Bills with their sponsor's score of the same term, by how far it is from the middle."""
+    points = scores(spark, d).select(F.col("member").alias("sponsor"), "term", F.abs(F.col("aligned") - 5).alias("extremism"))
+    rows = lifecycle(spark, d).join(points, ["sponsor", "term"])
+    out = stats.quantile_bins(rows, "extremism", 10).groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.avg("extremism").alias("mean_extremism"), F.avg("enacted").alias("enacted_rate"), F.median("days_to_proc").alias("median_days"))
+    return rounded(out)
+
+
+@query(f"WITH {BILLS} SELECT count(*) AS led, sum(enacted)::BIGINT AS enacted, (sum(passed) - sum(enacted))::BIGINT AS reflected, sponsor::VARCHAR AS mona_cd, round(100.0::DOUBLE * sum(enacted) / count(*), 6) AS enacted_rate FROM bills WHERE sponsor = 37 GROUP BY sponsor")
+def legislator_record(spark, d):
+    """The record of the profile's plan, of the sponsor with this name."""
+    from legispark.plans.votes import legislator_profile
+
+    code = F.col("sponsor").cast("string")
+    t = lifecycle(spark, d).withColumns({"rst_proposer": F.concat(F.lit("M"), code), "rst_mona_cd": code, "age": F.col("term"), "proc_dt": F.col("s7")})
+    points = scores(spark, d).withColumn("member_id", F.col("member").cast("string"))
+    people_ = committee(spark, d).select(F.col("sponsor").cast("string").alias("mona_cd"), F.concat(F.lit("M"), F.col("sponsor").cast("string")).alias("member_name"), F.lit(1).alias("age"))
+    return rounded(legislator_profile(t, points, people_, "M37")["record"].select("led", "enacted", "reflected", "mona_cd", "enacted_rate"))
+
+
+@query("SELECT 'lineitem' AS table_name, 'rows' AS \"check\", NULL::VARCHAR AS column_name, count(*) AS n, 1.0::DOUBLE AS share, CASE WHEN abs(count(*) - 60000) < 6000 THEN 'OK' ELSE 'CHECK' END AS verdict FROM lineitem UNION ALL SELECT 'lineitem', 'key repeats', 'l_orderkey', count(*) - count(DISTINCT l_orderkey), round((count(*) - count(DISTINCT l_orderkey)) / count(*), 6), 'CHECK' FROM lineitem UNION ALL SELECT 'orders', 'rows', NULL, count(*), 1.0, 'OK' FROM orders")
+def validation(spark, d):
+    lines, orders = read(spark, d, "lineitem"), read(spark, d, "orders")
+    both = [checks.validate({"lineitem": lines}, {"lineitem": 60_000}, "L_ORDERKEY"), checks.validate({"orders": orders}, {}, "o_orderkey")]
+    return rounded(both[0].unionByName(both[1]))

@@ -9,10 +9,10 @@ from legispark.plans.bindings import BILLS, STAGES, bills, query, read, rounded,
 from legispark.sources.scan import flatten_envelope
 
 
-@query("SELECT c_custkey AS key, c_name AS name, c_mktsegment AS segment FROM customer WHERE c_custkey % 3 = 0 UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier WHERE s_suppkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0)")
+@query("SELECT DISTINCT o_custkey AS key, NULL AS name, 'sponsor' AS segment FROM orders UNION ALL SELECT c_custkey, c_name, NULL FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
 def antijoin_append(spark, d):
-    base = read(spark, d, "customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
-    extra = read(spark, d, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"))
+    base = read(spark, d, "orders").select(F.col("o_custkey").alias("key"), F.lit("sponsor").alias("segment")).distinct()
+    extra = read(spark, d, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"))
     return tables.append_missing(base, extra, "key")
 
 

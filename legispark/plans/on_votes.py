@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from legispark.functions.scalar import share
 from legispark.operators import people, rollcall, stats, tables, textvotes
 from legispark.plans.bindings import SCORES, VOTES, query, read, rounded, scores, votes
+from legispark.plans.votes import parsed_summary
 
 ITEMS = "items AS (SELECT item, count(yes) AS n, coalesce(avg(yes), 0.0) AS yes_share FROM votes GROUP BY item), contested AS (SELECT item, n, yes_share, CASE WHEN n > 0 THEN least(yes_share, 1 - yes_share) ELSE 0.0 END AS minority FROM items)"
 
@@ -34,9 +35,9 @@ def vote_matrix(spark, d):
     return rollcall.matrix(votes(spark, d), "member", "item", "vote", {"A": 1, "N": 6, "R": 9}, ["line", "date", "part", "price", "vote"])
 
 
-@query(f"WITH {VOTES} SELECT array_to_string(list_transform(terms, lambda x: x::VARCHAR), ',') AS terms, len(terms)::INT AS n_terms, len(terms) >= 2 AS is_bridge, member FROM (SELECT member, list_sort(list(DISTINCT term)) AS terms FROM votes WHERE part % 50 = 0 GROUP BY member)")
+@query(f"WITH {VOTES} SELECT array_to_string(list_transform(terms, lambda x: x::VARCHAR), ',') AS terms, len(terms)::INT AS n_terms, len(terms) >= 2 AS is_bridge, member FROM (SELECT member, list_sort(list(DISTINCT term)) AS terms FROM votes GROUP BY member)")
 def bridging_members(spark, d):
-    return rollcall.bridging(votes(spark, d).where("part % 50 = 0"), "member", "term").withColumn("terms", F.array_join(F.col("terms").cast("array<string>"), ","))
+    return rollcall.bridging(votes(spark, d), "member", "term").withColumn("terms", F.array_join(F.col("terms").cast("array<string>"), ","))
 
 
 @query(f"WITH {VOTES} SELECT item, member, line, vote, source, date, part, price FROM (SELECT *, row_number() OVER (PARTITION BY item, line, member ORDER BY date, part, price, vote, source) AS n FROM votes) WHERE n = 1")
@@ -113,10 +114,10 @@ def rank_in_term(spark, d):
     return stats.rank_avg_trunc(scores(spark, d), ["term"], "aligned").select("member", "term", "aligned", "rank", "group_size")
 
 
-@query(f"WITH {SCORES} SELECT member, term, party, aligned, floor(rank() OVER (PARTITION BY term ORDER BY aligned DESC) + (count(*) OVER (PARTITION BY term, aligned) - 1) / 2)::BIGINT AS rank FROM scores QUALIFY contains(lower(party), 'an') AND term = 1998")
+@query(f"WITH {SCORES} SELECT member, term, party, aligned, floor(rank() OVER (PARTITION BY term ORDER BY aligned DESC) + (count(*) OVER (PARTITION BY term, aligned) - 1) / 2)::BIGINT AS rank FROM scores QUALIFY contains(lower(party), 'nation_1') AND term = 1998")
 def ideology_search(spark, d):
     t = stats.rank_avg_trunc(scores(spark, d), ["term"], "aligned", ascending=False)
-    return t.where(F.contains(F.lower("party"), F.lit("an")) & (F.col("term") == 1998)).select("member", "term", "party", "aligned", "rank")
+    return t.where(F.contains(F.lower("party"), F.lit("nation_1")) & (F.col("term") == 1998)).select("member", "term", "party", "aligned", "rank")
 
 
 @query(f"WITH {SCORES}, s AS (SELECT term, aligned - lag(aligned) OVER (PARTITION BY member ORDER BY term) AS shift FROM scores) SELECT term, count(shift) AS n, round(avg(abs(shift)), 6) AS mean_shift, round(median(abs(shift)), 6) AS median_shift FROM s WHERE shift IS NOT NULL GROUP BY term")
@@ -150,6 +151,7 @@ def legislator_profile(spark, d):
 
 
 HEADERS = {"VOTEYES": "A", "VOTENO": "N", "VOTEABS": "R"}
+NOISE = ["결의안", "재석", "찬성"]
 RENDER = {"A": "VOTEYES", "N": "VOTENO", "R": "VOTEABS"}
 
 
@@ -172,10 +174,49 @@ def vote_text_roundtrip(spark, d):
     return out.groupBy("item", "vote", "member_name", "bill_context", "agg_total", "agg_yes").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH {VOTES} SELECT item, 'VOTEYES' AS header, count(*) FILTER (vote = 'A')::INT AS expected, 1::BIGINT AS event, 0 AS n_off FROM votes GROUP BY item HAVING count(*) FILTER (vote = 'A') > 0")
+@query(f"WITH {VOTES} SELECT item, CASE vote WHEN 'A' THEN 'VOTEYES' WHEN 'N' THEN 'VOTENO' ELSE 'VOTEABS' END AS header, count(*)::INT AS expected, 1::BIGINT AS event, 0 AS n_off FROM votes GROUP BY item, vote")
 def vote_sections(spark, d):
     rows = textvotes.names(textvotes.sections(vote_texts(spark, d), ["item"], "text", "appendix", list(HEADERS)), [], HEADERS)
-    return rows.where("header = 'VOTEYES'").select("item", "header", "expected", "event", (F.col("n_found") - F.col("expected")).alias("n_off"))
+    return rows.select("item", "header", "expected", "event", (F.col("n_found") - F.col("expected")).alias("n_off"))
+
+
+def event_texts(spark, d):
+    """Each item's votes as a text with an event for each source, far apart; abstentions are announced as one, noes as ten more than there are."""
+    t = votes(spark, d)
+    name = F.translate(F.lpad(F.col("member").cast("string"), 4, "0"), "0123456789", "가나다라마바사아자차")
+    groups = t.groupBy("item", "source", "vote").agg(F.array_join(F.array_sort(F.collect_list(name)), " ").alias("names"), F.count(F.lit(1)).alias("n"))
+    header = F.element_at(F.create_map(*[F.lit(x) for kv in RENDER.items() for x in kv]), F.col("vote"))
+    said = F.when(F.col("vote") == "R", 1).when(F.col("vote") == "N", F.col("n") + 10).otherwise(F.col("n"))
+    line = F.concat(header, F.lit("("), said.cast("string"), F.lit("인)\n"), F.col("names"))
+    lines = groups.groupBy("item", "source").agg(F.array_join(F.array_sort(F.collect_list(F.struct("vote", line.alias("line")))).getField("line"), "\n").alias("body"))
+    body = F.concat(F.lit("7. "), "source", F.lit(" 결의안\n재석 8인 중 찬성 "), F.when(F.col("source") == "F", "3").otherwise("4"), F.lit("인\n"), "body", F.lit("\n" + "- " * 1600))
+    return lines.groupBy("item").agg(F.array_join(F.array_sort(F.collect_list(F.struct("source", body.alias("body")))).getField("body"), "\n").alias("text"))
+
+
+EVENTS = "named AS (SELECT item, source, vote, translate(lpad(member::VARCHAR, 4, '0'), '0123456789', '가나다라마바사아자차') AS member_name FROM votes), placed AS (SELECT *, row_number() OVER (PARTITION BY item, source, vote ORDER BY member_name) AS place, dense_rank() OVER (PARTITION BY item ORDER BY source) AS event FROM named)"
+
+
+@query(f"WITH {VOTES}, {EVENTS} SELECT item, event, vote, member_name, source || ' 결의안' AS bill_context, 8 AS agg_total, CASE source WHEN 'F' THEN 3 ELSE 4 END AS agg_yes, count(*) AS n FROM placed WHERE vote <> 'R' OR place = 1 GROUP BY ALL")
+def vote_text_events(spark, d):
+    """Several events in a text: grouped by the gaps between headers, each with its own context; more names than announced are cut."""
+    out = textvotes.parse_votes(event_texts(spark, d), ["item"], "text", "inline", NOISE, HEADERS)
+    return out.groupBy("item", "event", "vote", "member_name", "bill_context", "agg_total", "agg_yes").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {VOTES}, {EVENTS} SELECT item, event, 'VOTENO' AS header, (count(*) + 10)::INT AS expected, count(*)::INT AS n_found FROM placed WHERE vote = 'N' GROUP BY item, event UNION ALL SELECT item, event, 'VOTEABS', 1, count(*) FROM placed WHERE vote = 'R' GROUP BY item, event HAVING count(*) > 6")
+def vote_text_mismatches(spark, d):
+    return textvotes.mismatches(event_texts(spark, d), ["item"], "text", "inline", NOISE, HEADERS)
+
+
+@query(f"WITH {VOTES} SELECT term, count(DISTINCT line) AS vote_events, count(member) AS total_records, count(DISTINCT member) AS unique_members FROM votes GROUP BY term")
+def parsed_vote_summary(spark, d):
+    return parsed_summary(votes(spark, d), "term", "line", "member")
+
+
+@query(f"WITH {SCORES}, {VOTES}, sat AS (SELECT DISTINCT member, term, source AS party FROM votes), p AS (SELECT member, string_agg(DISTINCT party, '/' ORDER BY party) AS parties, string_agg(DISTINCT term::VARCHAR, ',' ORDER BY term::VARCHAR) AS terms FROM sat GROUP BY member), h AS (SELECT member, term, min(party) AS here FROM sat GROUP BY ALL) SELECT s.member, s.term, aligned, parties, terms, coalesce(here, s.party) AS party FROM scores s LEFT JOIN p USING (member) LEFT JOIN h ON h.member = s.member AND h.term = s.term")
+def scores_with_parties(spark, d):
+    sat = votes(spark, d).select("member", "term", F.col("source").alias("party"))
+    return rollcall.with_parties(scores(spark, d).drop("bloc"), sat, "member", "term", "party")
 
 
 @query("SELECT role, count(*) FILTER (contains(text, 'the')) AS the_texts, coalesce(sum((length(text) - length(replace(text, 'the', ''))) / 3), 0)::BIGINT AS the_times, count(*) FILTER (contains(text, 'tion')) AS tion_texts, coalesce(sum((length(text) - length(replace(text, 'tion', ''))) / 4), 0)::BIGINT AS tion_times FROM conversations GROUP BY role")

@@ -103,6 +103,19 @@ def id_mapping(sources: Mapping[str, DataFrame], code: str, name: str) -> dict[s
     return {"mapping": out, "coverage": coverage}
 
 
+def members_of_term(feed: DataFrame, age: int) -> DataFrame:
+    """The members of a term out of the feed of all members, with their party and seat of that term; by party, then name. Missing texts are empty."""
+    rows = people.member_history(feed, V.MEMBER_TERMS, {new: old for old, new in V.MEMBER_LISTS.items()}, f"제{age}대")
+    texts = [F.coalesce(F.col(old), F.lit("")).alias(new) for old, new in V.MEMBER_FEED.items()]
+    lists = [F.coalesce(F.col(new), F.lit("")).alias(new) for new in V.MEMBER_LISTS.values()]
+    return rows.select(*texts, F.lit(age).alias("age"), *lists).orderBy("party", "member_name", "mona_cd")
+
+
+def parsed_summary(parsed: DataFrame, term: str = "term", event: str = "vote_event", member: str = "member_name") -> DataFrame:
+    """Per term of parsed votes: events (distinct numbers), records and members."""
+    return parsed.groupBy(term).agg(F.countDistinct(event).alias("vote_events"), F.count(member).alias("total_records"), F.countDistinct(member).alias("unique_members"))
+
+
 def ideal_points(votes: DataFrame, terms: list[int], base: int, iters: int = 6) -> DataFrame:
     """member_id, term, score, aligned out of roll calls: per-term scaling, then alignment over bridging members."""
     out = None

@@ -33,9 +33,13 @@ SCHEMAS: dict[str, T.StructType] = {
     "committee_meetings": _struct(**_strings("bill_id jrcmit_conf_nm"), jrcmit_conf_dt=T.DateType(), jrcmit_conf_rslt=_S, age=T.IntegerType()),
     "judiciary_meetings": _struct(**_strings("bill_id lwcmit_conf_nm"), lwcmit_conf_dt=T.DateType(), lwcmit_conf_rslt=_S, age=T.IntegerType()),
     "bill_texts": _struct(**_strings("bill_id propose_reason")),
+    "assets": _struct(**_strings("mona_cd member_name"), year=T.IntegerType(), assembly=T.IntegerType(), net_worth=T.DoubleType(), total_realestate=T.DoubleType(), total_stocks=T.DoubleType()),
+    "legislator_map": _struct(**_strings("mona_cd member_name")),
 }
+#: Tables that have more columns than those named here (wealth variables, flags of sources): the others are given as they are.
+OPEN = {"assets", "legislator_map"}
 #: The column that a table's files are partitioned by.
-PARTITIONS = {"bills": "age", "roll_calls": "term", "members": "age", "committee_meetings": "age", "judiciary_meetings": "age"}
+PARTITIONS = {"bills": "age", "roll_calls": "term", "members": "age", "committee_meetings": "age", "judiciary_meetings": "age", "assets": "assembly"}
 
 
 def empty(spark: SparkSession, table: str) -> DataFrame:
@@ -65,7 +69,11 @@ def scan(spark: SparkSession, root: str, table: str, terms: Sequence[int] | None
     if not exists(spark, path):
         df = empty(spark, table)
     else:
-        df = conformed(spark.read.option("mergeSchema", "true").parquet(path), schema)
+        found = spark.read.option("mergeSchema", "true").parquet(path)
+        if table in OPEN:
+            known = {n.lower() for n in schema.names}
+            schema = T.StructType([*schema.fields, *(T.StructField(f.name.lower(), f.dataType) for f in found.schema if f.name.lower() not in known)])
+        df = conformed(found, schema)
     if terms is not None and table in PARTITIONS:
         df = df.where(F.col(PARTITIONS[table]).isin(*terms))
     known = [c for c in columns or [] if c in schema.names]

@@ -396,3 +396,86 @@ def test_landing_goes_on_where_it_stopped(spark, tmp_path):
     run()
     run()
     assert sorted(rows(spark.read.parquet(f"{tmp_path}/out").select("bill_id", "A"))) == [("1", "x"), ("2", "y")]
+
+
+# whole plans
+
+
+def test_build_term(spark):
+    """Ordered columns without helpers, both kinds of meetings, a bill's meetings all kept."""
+    text = lambda data, names: spark.createDataFrame(data, ", ".join(f"{n} string" for n in names.split()))
+    feeds = {
+        "member_bills": text([("PRC_1", "1", "가법", "2024-06-01", "원안가결", "2024-08-01", "extra")], "BILL_ID BILL_NO BILL_NAME PROPOSE_DT PROC_RESULT PROC_DT MORE"),
+        "receipts": text([("제22대", "PRC_2", "2", "나법", "x")], "ERACO BILL_ID BILL_NO BILL_NM BILL_KIND_CD"),
+        "reviews": text([("제22대", "PRC_1", "법사위")], "ERACO BILL_ID JRCMIT_NM"),
+        "votes": text([("PRC_1", "300", "250")], "BILL_ID MEMBER_TCNT YES_TCNT"),
+        "processed": text([("PRC_2", "정부")], "BILL_ID PROPOSER_KIND"),
+        "details": text([("PRC_1", "2024-07-20")], "BILL_ID RGS_RSLN_DT"),
+    }
+    own = text([("PRC_1", "m1", "2024-06-05"), ("PRC_1", "m2", "0")], "_BILL_ID JRCMIT_CONF_NM JRCMIT_CONF_DT")
+    both = text([("PRC_1", "tag", "j")], "BILL_ID _BILL_ID LWCMIT_CONF_NM")
+    got = B.build_term(22, feeds, own, both)
+    names = got["bills"].columns
+    known = [c for c in scan.SCHEMAS["bills"].names if c in names]
+    assert names[: len(known)] == known and names[len(known) :] == ["more"]
+    assert sorted(rows(got["committee_meetings"].select("bill_id", "jrcmit_conf_dt", "age")), key=str) == [("PRC_1", None, 22), ("PRC_1", dt.date(2024, 6, 5), 22)]
+    assert rows(got["judiciary_meetings"].select("bill_id", "bill_id_tagged")) == [("PRC_1", "tag")]
+    assert rows(B.lite_summary(got["bills"])) == [(22, 2, 1, 1, 1, 1, 50.0)]
+
+
+def test_members_of_term(spark):
+    names = [*V.MEMBER_FEED, *V.MEMBER_LISTS, V.MEMBER_TERMS]
+    feed = [("c1", "나", *[None] * 8, "x/y", "p", "", "k1/k2/k3", "제20대, 제22대"), ("c2", "가", *["t"] * 8, "y", "q/r", "z", "k", "제22대"), ("c3", "다", *["t"] * 8, "y", "q", "z", "k", "제21대"), ("c4", None, *["t"] * 8, None, "q", "z", "k", None)]
+    got = rows(P.members_of_term(spark.createDataFrame(feed, ", ".join(f"{n} string" for n in names)), 22).select("mona_cd", "member_name", "sex", "party", "district", "committee", "age"))
+    assert got == [("c2", "가", "t", "y", "q", "k", 22), ("c1", "나", "", "y", "p", "k2", 22)]
+
+
+def test_validation(spark):
+    t = spark.createDataFrame([("a", None), ("a", 1), (None, None), ("b", 2)], "Bill_ID string, x int")
+    got = sorted(rows(checks.validate({"one": t, "none": t.limit(0), "many": t}, {"one": 40, "many": 4}, "BILL_ID", many=["many"])), key=str)
+    assert [(r[0], r[1], r[2], r[3], r[5]) for r in got] == [
+        ("many", "key nulls", "Bill_ID", 1, "CHECK"), ("many", "nulls", "Bill_ID", 1, "CHECK"), ("many", "nulls", "x", 2, "CHECK"), ("many", "rows", None, 4, "OK"), ("none", "rows", None, 0, "MISSING"),
+        ("one", "key nulls", "Bill_ID", 1, "CHECK"), ("one", "key repeats", "Bill_ID", 2, "CHECK"), ("one", "nulls", "Bill_ID", 1, "CHECK"), ("one", "nulls", "x", 2, "CHECK"), ("one", "rows", None, 4, "CHECK"),
+    ]
+
+
+def test_scores_with_parties(spark):
+    points = spark.createDataFrame([("a", 21, 0.1), ("a", 22, 0.2), ("b", 22, 0.3), ("c", 22, 0.4)], "m string, t int, x double")
+    sat = spark.createDataFrame([("a", 21, "q"), ("a", 21, "q"), ("a", 20, "p"), ("b", 22, "r"), ("b", 22, None)], "m string, t int, p string")
+    got = sorted(rows(rollcall.with_parties(points, sat, "m", "t", "p").select("m", "t", "parties", "terms", "p")))
+    assert got == [("a", 21, "p/q", "20,21", "q"), ("a", 22, "p/q", "20,21", "p/q"), ("b", 22, "r", "22", "r"), ("c", 22, None, None, None)]
+    own = rollcall.with_parties(points.withColumn("p", F.lit("own")), sat, "m", "t", "p")
+    assert sorted(rows(own.select("m", "t", "p"))) == [("a", 21, "q"), ("a", 22, "own"), ("b", 22, "r"), ("c", 22, "own")]
+
+
+def test_ideal_points_of_terms(spark):
+    """Planted places come back in order in each term, and the terms line up by the members they share."""
+    rng = random.Random(9)
+    place = {m: rng.uniform(-1, 1) for m in range(40)}
+    cells = []
+    for term in (21, 22):
+        for item in range(60):
+            cut, way = rng.uniform(-0.7, 0.7), rng.choice([-1, 1])
+            cells += [(term, f"b{item}", f"m{m}", V.YES if way * (x - cut) + rng.gauss(0, 0.2) > 0 else V.NO) for m, x in place.items() if (m + term) % 8]
+    t = spark.createDataFrame(cells, "term int, bill_id string, member_id string, vote string")
+    got = rows(P.ideal_points(t, [21, 22], 22, 5).select("member_id", "term", "aligned"))
+    for term in (21, 22):
+        own = {int(m[1:]): x for m, t_, x in got if t_ == term}
+        order, want = sorted(own, key=own.get), sorted(own, key=place.get)
+        d = sum((order.index(m) - want.index(m)) ** 2 for m in own)
+        n = len(own)
+        assert abs(1 - 6 * d / (n * (n**2 - 1))) > 0.9
+    both = {m: [x for m_, _, x in got if m_ == m] for m, _, _ in got}
+    pairs = [v for v in both.values() if len(v) == 2]
+    assert len(pairs) > 20 and sum(abs(a - b) for a, b in pairs) / len(pairs) < 0.5
+
+
+def test_open_tables(spark, tmp_path):
+    """Wealth variables and source flags are given as they are; a table that isn't there is empty."""
+    root = str(tmp_path)
+    spark.createDataFrame([("c1", 2020, 21, 5.0, 7.0), ("c2", 2016, 20, 6.0, None)], "MONA_CD string, year int, assembly int, net_worth double, Jewels double").write.parquet(f"{root}/assets")
+    got = scan.scan(spark, root, "assets", [21])
+    assert rows(got.select("mona_cd", "net_worth", "total_stocks", "jewels")) == [("c1", 5.0, None, 7.0)]
+    assert scan.scan(spark, root, "legislator_map").columns == ["mona_cd", "member_name"] and scan.scan(spark, root, "legislator_map").count() == 0
+    spark.createDataFrame([("c1", "n", True)], "mona_cd string, member_name string, in_bills boolean").write.parquet(f"{root}/legislator_map")
+    assert rows(scan.scan(spark, root, "legislator_map")) == [("c1", "n", True)]
