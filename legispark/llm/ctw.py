@@ -266,7 +266,7 @@ def _lookup(runs: tuple[np.ndarray, np.ndarray]) -> Lookup:
 
 
 def score_block(docs: pa.Table, values: pa.Table, grams: Lookup | None = None) -> pa.Table:
-    """The texts of a block, and the values of its words and of its runs, if not of all; returns id, learn, n_tokens, n_known, logs, score."""
+    """The texts of a block, and the values of its words and of its runs, if not of all; returns id, learn, n_tokens, n_known, logs, score, n_bytes (with the end)."""
     kind, key, value = (values.column(c).to_numpy() for c in ("kind", "key", "value"))
     grams = grams or Lookup(key[kind == GRAM], value[kind == GRAM])
     words = Lookup(key[kind == WORD], value[kind == WORD])
@@ -274,25 +274,25 @@ def score_block(docs: pa.Table, values: pa.Table, grams: Lookup | None = None) -
     for batch in T.slices(docs.to_batches(), "text", SLICE):
         text = T.strings(batch.column("text"))
         keys, at = runs(text)
-        score = T.sums(grams(keys).astype(np.float64), at)
+        score, n_bytes = T.sums(grams(keys).astype(np.float64), at), np.diff(at)
         keys, at = _words(text)
         count = words(keys) if len(keys) else np.zeros(0)
         n = np.diff(at) + 1
         known = T.sums((count > 0).astype(np.int64), at)
-        out.append(pa.RecordBatch.from_arrays([batch.column("id"), batch.column("learn"), pa.array(n), pa.array(known), pa.array(T.sums(np.log10(count + 1), at)), pa.array(score)], names=["id", "learn", "n_tokens", "n_known", "logs", "score"]))
-    schema = pa.schema([("id", pa.int64()), ("learn", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("logs", pa.float64()), ("score", pa.float64())])
+        out.append(pa.RecordBatch.from_arrays([batch.column("id"), batch.column("learn"), pa.array(n), pa.array(known), pa.array(T.sums(np.log10(count + 1), at)), pa.array(score), pa.array(n_bytes)], names=["id", "learn", "n_tokens", "n_known", "logs", "score", "n_bytes"]))
+    schema = pa.schema([("id", pa.int64()), ("learn", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("logs", pa.float64()), ("score", pa.float64()), ("n_bytes", pa.int64())])
     return pa.Table.from_batches(out).cast(schema) if out else schema.empty_table()
 
 
 def scores(spark: SparkSession, docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """A row for each row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+    """A row for each row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     Learns from the rows where `learn` is true; null counts as false. Tokens are the words between ASCII white space,
     A-Z lowered, and one end. base_score adds one to every count; score is log10 of the trees' chance of the lowered
-    text's bytes and its end. Null and empty texts have the end alone. Nothing to learn from leaves all estimates even.
+    text's bytes and its end, bits_per_byte the code length that this is for each of them. Null and empty texts have the end alone. Nothing to learn from leaves all estimates even.
     Rows that repeat are scored, and learned from, each time. An empty table gives an empty result.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(learn, F.lit(False)).alias("learn"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(T.col(id_col).cast("long").alias("id"), F.coalesce(learn, F.lit(False)).alias("learn"), F.coalesce(T.col(text_col), F.lit("")).alias("text"))
     n, size, trained = rows.agg(F.count(F.lit(1)), F.sum(F.length("text")), F.sum(F.col("learn").cast("long"))).first()
     blocks = max(1, -(-(size or 0) // block_chars))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id", F.substring("text", 1, 64)), F.lit(blocks)).cast("int")).select("block", "id", "learn", "text")
@@ -315,6 +315,6 @@ def scores(spark: SparkSession, docs: DataFrame, learn: Column, id_col: str = "d
     def score(docs: pa.Table, values: pa.Table) -> pa.Table:
         return score_block(docs, values, _lookup(shared.value) if shared else None)
 
-    found = rows.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(score, "id long, learn boolean, n_tokens long, n_known long, logs double, score double")
+    found = rows.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(score, "id long, learn boolean, n_tokens long, n_known long, logs double, score double, n_bytes long")
     base = F.col("logs") + F.lit(float(np.log10(end + 1))) - F.col("n_tokens") * F.lit(float(np.log10(tokens + distinct + 1)))
-    return found.select(F.col("id").alias("doc_id"), (~F.col("learn")).alias("held_out"), "n_tokens", (F.col("n_known") + F.lit(int(end > 0))).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
+    return found.select(F.col("id").alias("doc_id"), (~F.col("learn")).alias("held_out"), "n_tokens", (F.col("n_known") + F.lit(int(end > 0))).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"), "score", (F.col("score") * F.lit(-1 / float(np.log10(2))) / F.col("n_bytes")).alias("bits_per_byte"))

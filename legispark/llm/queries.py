@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from legispark.llm import ctw, decontam, extract, mixing, neardup, quality, quotes, repetition, tokens, toxicity
@@ -25,16 +25,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out() -> Column:
+    """Rows that no labels are learned from; those without an id are among them."""
+    return F.coalesce(~quality.trainable(), F.lit(True))
+
+
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
     out = quality.scored(spark, docs, quality.fit(docs, labels))
-    return out.select("doc_id", (~quality.trainable()).alias("held_out"), "score", "predicted")
+    return out.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
     out = toxicity.scored(spark, docs, toxicity.fit(docs, labels))
-    return out.select("doc_id", (~quality.trainable()).alias("held_out"), "score", "predicted")
+    return out.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
 def op3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -351,6 +351,40 @@ def test_context_trees_edges(spark, docs, none):
     assert ctw.scores(spark, none, F.lit(True)).count() == 0
     untaught = collected(ctw.scores(spark, docs.where("doc_id = 7"), F.lit(False)))
     assert all(math.isclose(r["score"], 8 * 8 * math.log10(0.5), rel_tol=1e-6) and r["n_known"] == 0 for r in untaught)
+    assert all(math.isclose(r["bits_per_byte"], 8.0, rel_tol=1e-6) for r in untaught)
+    texts = dict((r[0], r[1]) for r in rows())
+    assert all(math.isclose(r["bits_per_byte"] * (len((texts[r["doc_id"]] or "").encode()) + 1), -r["score"] / math.log10(2), rel_tol=1e-9) for r in got)
+
+
+def test_rows_without_an_id_are_held_out(spark):
+    from legispark.llm.queries import held_out
+
+    df = spark.createDataFrame([(None,), *((i,) for i in range(9))], "doc_id long")
+    assert {r.doc_id: r.h for r in df.select("doc_id", held_out().alias("h")).collect()} == {None: True, **{i: zlib.crc32(str(i).encode()) % 4 == 2 for i in range(9)}}
+
+
+def test_word_encoder_of_other_tokenizers(monkeypatch):
+    """A tokenizer of another form encodes whole texts; one that doesn't hold to its marks is found out word by word; memory is bounded."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer_path())
+    texts = ["the thinking of others, isn't it?", "", "Number 42 and ideas", "the of others"]
+    want = [[*library.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+
+    def got(own):
+        ids, at = own(pa.array(texts))
+        return [ids[at[k] : at[k + 1]].tolist() for k in range(len(texts))]
+
+    own = tokens.WordEncoder(tokenizer_path())
+    assert own.apart and got(own) == want == got(own)
+    own.apart = False
+    assert got(own) == want
+    monkeypatch.setattr(tokens, "REMEMBERED", 3)
+    few = tokens.WordEncoder(tokenizer_path())
+    assert got(few) == want == got(few) and len(few.words) == 3
+    off = tokens.WordEncoder(tokenizer_path())
+    off.bytes = off.bytes + 1  # every word seems wrong, so each is encoded alone
+    assert got(off) == want
 
 
 # tokens
