@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
 import uuid
@@ -36,22 +35,25 @@ def reachable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *known])
 
 
-def let_go(spark: SparkSession) -> None:
-    """Has the driver collect its garbage, so that Spark's cleaner removes the shuffle files of finished steps."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def opened(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system and path of a URI that every executor can reach."""
     return pafs.FileSystem.from_uri(uri)
 
 
+#: The setting by which Spark removes the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a written table: cuts the lineage, and survives lost executors."""
+    """df as a written table: cuts the lineage, and survives lost executors; the shuffle files behind it go at once."""
     spark = df.sparkSession
     path = fresh(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
     return out
