@@ -189,7 +189,7 @@ def event_texts(spark, d):
     said = F.when(F.col("vote") == "R", 1).when(F.col("vote") == "N", F.col("n") + 10).otherwise(F.col("n"))
     line = F.concat(header, F.lit("("), said.cast("string"), F.lit("인)\n"), F.col("names"))
     lines = groups.groupBy("item", "source").agg(F.array_join(F.array_sort(F.collect_list(F.struct("vote", line.alias("line")))).getField("line"), "\n").alias("body"))
-    body = F.concat(F.lit("7. "), "source", F.lit(" 결의안\n재석 8인 중 찬성 "), F.when(F.col("source") == "F", "3").otherwise("4"), F.lit("인\n"), "body", F.lit("\n" + "- " * 1600))
+    body = F.concat(F.lit("7. "), "source", F.lit(" 결의안\n재석 8인 중 찬성 "), F.when(F.col("source") == "F", "3").otherwise("4"), F.lit("인\n"), "body", F.lit("\n" + "-" * 1510))
     return lines.groupBy("item").agg(F.array_join(F.array_sort(F.collect_list(F.struct("source", body.alias("body")))).getField("body"), "\n").alias("text"))
 
 
