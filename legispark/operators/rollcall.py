@@ -60,7 +60,15 @@ def _kept(df: DataFrame) -> DataFrame:
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/scaling-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def _removed(df: DataFrame) -> None:
+    """Removes a table that nothing reads any more."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_to)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def scale_1d(t: DataFrame, member: str, item: str, yes: str, iters: int = 6, anchor: DataFrame | None = None) -> DataFrame:
@@ -81,7 +89,9 @@ def scale_1d(t: DataFrame, member: str, item: str, yes: str, iters: int = 6, anc
     for _ in range(iters):
         raw = cells.join(weights, item).groupBy(member).agg(F.avg(F.col("_v") * F.col("_w")).alias("_s"))
         norm = raw.agg(F.avg("_s").alias("_a"), F.stddev_pop("_s").alias("_d"))
-        scores = _kept(raw.crossJoin(F.broadcast(norm)).select(member, S.share(F.col("_s") - F.col("_a"), F.col("_d")).alias("_s")))  # one row
+        last, scores = scores, _kept(raw.crossJoin(F.broadcast(norm)).select(member, S.share(F.col("_s") - F.col("_a"), F.col("_d")).alias("_s")))  # one row
+        if last is not None:
+            _removed(last)
         weights = cells.join(scores, member).groupBy(item).agg(F.avg(F.col("_v") * F.col("_s")).alias("_w"))
     sign = scores.join(first, member, "left_semi").agg(F.when(F.avg("_s") < 0, -1.0).otherwise(1.0).alias("_sign"))
     return scores.crossJoin(F.broadcast(sign)).select(member, (F.col("_s") * F.col("_sign")).alias("score"))

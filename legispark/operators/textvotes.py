@@ -26,10 +26,11 @@ def _header(style: str, headers: Sequence[str]) -> str:
 
 
 def sections(t: DataFrame, id_cols: Sequence[str], text: str, style: str, headers: Sequence[str] = V.VOTE_HEADERS) -> DataFrame:
-    """A row per vote header: id columns, section (from 1), header, expected, begin (offset from 0), body, event.
+    """A row per vote header: id columns, section (from 1), header, expected, begin (offset from 0), body, event, before.
 
     body runs to the next header of any event, the last one's LAST characters at most. Headers whose distance stays
-    under the gap are one event.
+    under the gap are one event. before has the CONTEXT characters ahead of an event's first header, and is null at its
+    others; no gap is shorter than that, so one piece of text holds them.
     """
     marked = F.regexp_replace(F.translate(F.col(text), CUT + END, ""), _header(style, headers), f"{CUT}$0{END}")
     rows = t.select(*id_cols, F.posexplode(F.split(marked, CUT)).alias("section", "piece"))
@@ -37,12 +38,14 @@ def sections(t: DataFrame, id_cols: Sequence[str], text: str, style: str, header
     size = F.length(F.col("piece")) - F.when(F.col("section") > 0, 1).otherwise(0)
     rows = rows.withColumn("begin", F.coalesce(F.sum(size).over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     rows = rows.withColumn("is_last", F.lead("section").over(own).isNull())
+    rows = rows.withColumn("before", F.lag(F.right(F.translate("piece", END, ""), F.lit(CONTEXT))).over(own))
     rows = rows.where("section > 0")
     head = F.substring_index("piece", END, 1)
     body = F.substring("piece", F.length(head) + 2, F.length("piece"))
     rows = rows.withColumns({"header": F.regexp_replace(F.regexp_extract(head, _header(style, headers), 1), r"\s+", ""), "expected": F.regexp_extract(head, r"(\d+)", 1).try_cast("int"), "body": F.when(F.col("is_last"), F.substring(body, 1, LAST[style])).otherwise(body)})
     new = F.coalesce(F.col("begin") - F.lag("begin").over(own) >= GAPS[style], F.lit(True)).cast("int")
-    return rows.withColumn("_new", new).withColumn("event", F.sum("_new").over(own)).drop("_new", "is_last", "piece")
+    rows = rows.withColumn("_new", new).withColumn("event", F.sum("_new").over(own))
+    return rows.withColumn("before", F.when(F.col("_new") == 1, F.col("before"))).drop("_new", "is_last", "piece")
 
 
 def names(rows: DataFrame, noise: Sequence[str], headers: dict[str, str]) -> DataFrame:
@@ -54,36 +57,35 @@ def names(rows: DataFrame, noise: Sequence[str], headers: dict[str, str]) -> Dat
     return rows.withColumns({"names": F.when(over, F.slice("names", 1, F.greatest("expected", F.lit(1)))).otherwise(F.col("names")), "is_mismatch": F.abs(F.col("n_found") - F.col("expected")) > MISMATCH})
 
 
-def contexts(t: DataFrame, rows: DataFrame, id_cols: Sequence[str], text: str, style: str, ends: Sequence[str] = V.AGENDA_ENDS) -> DataFrame:
-    """Per event: begin of its first header, bill_context and the announced totals from the text before it.
+def with_contexts(rows: DataFrame, id_cols: Sequence[str], style: str, ends: Sequence[str] = V.AGENDA_ENDS) -> DataFrame:
+    """Adds bill_context and the announced totals of each section's event, from the text before its first header.
 
     The context is in transcripts the last numbered agenda item, else the first phrase with such an ending; in
     appendices the first numbered phrase with such an ending, its number included.
     """
-    first = rows.groupBy(*id_cols, "event").agg(F.min("begin").alias("begin"))
-    joined = first.join(t.select(*id_cols, text), list(id_cols))
-    before = lambda n: F.substring(F.col(text), F.greatest(F.col("begin") - n, F.lit(0)) + 1, F.least(F.col("begin"), F.lit(n)))
+    near = F.right("before", F.lit(TOTALS))
     tail = "(?:" + "|".join(ends) + ")"
-    numbered = F.regexp_extract_all(before(CONTEXT), F.lit(r"(?m)^\s*\d+\.\s+([^(\n]+)" if style == "inline" else rf"(\d+\.[^\n]+?{tail})"), 1)
-    phrase = F.nullif(F.regexp_extract(before(CONTEXT), rf"([가-힣\s]{{5,50}}{tail})", 1), F.lit(""))
+    numbered = F.regexp_extract_all("before", F.lit(r"(?m)^\s*\d+\.\s+([^(\n]+)" if style == "inline" else rf"(\d+\.[^\n]+?{tail})"), 1)
+    phrase = F.nullif(F.regexp_extract("before", rf"([가-힣\s]{{5,50}}{tail})", 1), F.lit(""))
     picked = F.coalesce(F.try_element_at(numbered, F.lit(-1)), phrase) if style == "inline" else F.get(numbered, 0)
     totals = r"재석\s*(\d+)\s*인\s*중\s*찬성\s*(\d+)\s*인"
-    return joined.select(*id_cols, "event", "begin", F.substring(F.trim(picked), 1, MOST_CONTEXT).alias("bill_context"), F.regexp_extract(before(TOTALS), totals, 1).try_cast("int").alias("agg_total"), F.regexp_extract(before(TOTALS), totals, 2).try_cast("int").alias("agg_yes"))
+    about = F.struct(F.substring(F.trim(picked), 1, MOST_CONTEXT).alias("bill_context"), F.regexp_extract(near, totals, 1).try_cast("int").alias("agg_total"), F.regexp_extract(near, totals, 2).try_cast("int").alias("agg_yes"))
+    rows = rows.withColumn("_about", F.when(F.col("before").isNotNull(), about))
+    own = Window.partitionBy(*id_cols).orderBy("section")  # the order that sections are in already
+    return rows.withColumn("_about", F.last("_about", ignorenulls=True).over(own)).select(*rows.drop("_about", "before").columns, "_about.*")
 
 
 def parse_votes(t: DataFrame, id_cols: Sequence[str], text: str, style: str = "inline", noise: Sequence[str] = (), headers: dict[str, str] | None = None, ends: Sequence[str] = V.AGENDA_ENDS) -> DataFrame:
     """A row per member and vote: id columns, event, vote, member_name, place, bill_context, agg_total, agg_yes.
 
     headers maps the section headers that count to votes; an event ends where the next one's first header stands. Texts
-    that are null or have no header give no rows.
+    that are null or have no header give no rows. Texts are read once and shuffled once, by their ids.
     """
     headers = headers or V.VOTE_LABELS
     every = list(dict.fromkeys([*headers, V.SKIPPED_HEADER])) if headers is V.VOTE_LABELS else list(headers)
     rows = sections(t.where(F.col(text).isNotNull()), id_cols, text, style, every)
-    found = names(rows, noise, headers)
-    about = contexts(t, rows, id_cols, text, style, ends).drop("begin")
-    out = found.select(*id_cols, "event", "section", recoded("header", headers).alias("vote"), F.posexplode("names").alias("place", "member_name"))
-    return out.join(about, [*id_cols, "event"])
+    found = names(with_contexts(rows, id_cols, style, ends), noise, headers)
+    return found.select(*id_cols, "event", "section", recoded("header", headers).alias("vote"), F.posexplode("names").alias("place", "member_name"), "bill_context", "agg_total", "agg_yes")
 
 
 def mismatches(t: DataFrame, id_cols: Sequence[str], text: str, style: str, noise: Sequence[str] = (), headers: dict[str, str] | None = None) -> DataFrame:
