@@ -154,6 +154,12 @@ def test_contested_and_active(spark):
     assert rows(rollcall.active(many, "m", "yes")) == [("a", 20)]
 
 
+def test_bridging_members(spark):
+    df = spark.createDataFrame([("one", 20), ("one", 20), ("two", 21), ("two", 20), ("none", None), (None, 20), (None, 21)], "m string, term int")
+    assert sorted(rows(rollcall.bridging(df, "m", "term"))) == [("one", [20], 1, False), ("two", [20, 21], 2, True)]
+    assert rows(rollcall.bridging(df.limit(0), "m", "term")) == []
+
+
 def test_scaling_recovers_planted_positions(spark):
     rng = random.Random(3)
     place = {m: rng.uniform(-1, 1) for m in range(50)}
@@ -199,6 +205,16 @@ def test_sections_offsets_and_gaps(spark):
         assert [g[0] for g in sorted(got)] == [m.start() for m in re.finditer("(?:찬성|반대)의원", text)] and max(g[1] for g in got) == events
 
 
+def test_contexts_of_events(spark):
+    far = "1. 먼 동의안\n" + "x" * 500
+    near = "\n2. 가까운 동의안\n재석 9인 중 찬성 5인\n"
+    text = far + "찬성의원(1인) 김가나\n반대의원(1인) 이다라\n" + "y" * 1500 + near + "찬성의원(1인) 박마바"
+    df = spark.createDataFrame([(1, text), (2, "찬성의원(1인) 김가나"), (3, None), (4, "")], "id int, t string")
+    got = sorted(rows(textvotes.parse_votes(df, ["id"], "t").select("id", "event", "member_name", "bill_context", "agg_total", "agg_yes")), key=repr)
+    second = (1, 2, "박마바", "가까운 동의안", 9, 5)
+    assert got == [(1, 1, "김가나", None, None, None), (1, 1, "이다라", None, None, None), second, (2, 1, "김가나", None, None, None)]
+
+
 def test_appendix_votes(spark):
     names = " ".join(f"가나{c}" for c in "다라마바사아자차카타")
     text = f"3. 세법 일부개정법률안\n찬 성 의 원 （5 인）\n{names}\n기권의원 2인\n하나로 두나로"
