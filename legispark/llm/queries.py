@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legispark.llm import ctw, decontam, extract, mixing, neardup, quality, quotes, repetition, tokens, toxicity
+from legispark.llm import audit, ctw, decontam, extract, mixing, neardup, quality, quotes, repetition, resample, substring, tokens, toxicity
 from legispark.llm.sql import ORACLES
 from legispark.llm.storage import reachable
 from legispark.llm.text import small_batches
@@ -78,11 +78,25 @@ def op10_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.conversations(spark, table(spark, sf_dir, "conversations"))
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = resample.resampled(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.deduplicated(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_toxicity, op3_repetition, op4_extract, op5_decontam, op6_ctw, op7_tokens, op8_mix, op9_neardup, op10_quotes, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_toxicity, op3_repetition, op4_extract, op5_decontam, op6_ctw, op7_tokens, op8_mix, op9_neardup, op10_quotes, op11_resample, op12_audit, op13_substring, pipeline)}
 SQL = ORACLES

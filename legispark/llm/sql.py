@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from legispark.llm.audit import REPEAT
 from legispark.llm.mixing import HEX_DIGITS, LEAST_WEIGHT, MOST, WEIGHTS
 from legispark.llm.repetition import MAX_COVERED, MAX_LONGEST, MAX_REPEATED, MIN_REPEAT, MIN_WORDS, REPEAT_WORDS
+from legispark.llm.resample import BUCKETS, LONGEST, MIN_WORDS as DRAWN_WORDS, PERCENT, POLYNOMIAL, SEED
+from legispark.llm.substring import WINDOW
 
 WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -65,4 +68,68 @@ c AS (SELECT node, min(seen) AS least FROM reach GROUP BY node)
 SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(least, doc_id)::BIGINT AS component_id, coalesce(doc_id = coalesce(least, doc_id), true) AS kept
 FROM d LEFT JOIN n USING (rid) LEFT JOIN c ON c.node = doc_id"""
 
-ORACLES = {"op3_repetition": OP3, "op5_decontam": OP5, "op8_mix": OP8, "op9_neardup": OP9}
+
+def _crc_step(n: int) -> int:
+    for _ in range(4):
+        n = (n >> 1) ^ (POLYNOMIAL if n & 1 else 0)
+    return n
+
+
+_NIBBLES = f"({[_crc_step(n) for n in range(16)]}::BIGINT[])"
+_ONE = f"xor(c // 16, {_NIBBLES}[(c & 15) + 1])"
+#: CRC-32 of a string, half a byte a step.
+CRC32 = f"""xor(4294967295, list_reduce(list_transform(range(0, octet_length(encode(gram))), lambda i: ('0x' || substr(hex(encode(gram)), 2 * i + 1, 2))::BIGINT), lambda a, b: list_reduce([xor(a, b), 0, 0], lambda c, z: {_ONE}), 4294967295::BIGINT))"""
+
+
+def _grams(table: str) -> str:
+    runs = " UNION ALL ".join(f"SELECT rid, unnest(list_transform(range(1, len(ws) - {m - 2}), lambda i: array_to_string(ws[i : i + {m - 1}], ' '))) AS gram FROM {table} WHERE len(ws) >= {m}" for m in range(1, LONGEST + 1))
+    return f"SELECT rid, gram, count(*) AS n FROM ({runs}) GROUP BY rid, gram"
+
+
+OP11 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce({ALNUM}, []) AS ws FROM documents),
+b AS (SELECT row_number() OVER () AS rid, coalesce({ALNUM}, []) AS ws FROM benchmark),
+dg AS ({_grams("d")}), bg AS ({_grams("b")}),
+code AS (SELECT gram, {CRC32} % {BUCKETS} AS bucket FROM (SELECT gram FROM dg UNION SELECT gram FROM bg)),
+s AS (SELECT bucket, sum(n)::BIGINT AS s FROM dg JOIN code USING (gram) GROUP BY bucket),
+t AS (SELECT bucket, sum(n)::BIGINT AS t FROM bg JOIN code USING (gram) GROUP BY bucket),
+whole AS (SELECT (SELECT coalesce(sum(s), 0) FROM s)::DOUBLE + {BUCKETS} AS src, (SELECT coalesce(sum(t), 0) FROM t)::DOUBLE + {BUCKETS} AS tgt),
+g AS (SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * src) / ((s + 1)::DOUBLE * tgt)))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket), whole),
+w AS (SELECT rid, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM dg JOIN code USING (gram) JOIN g USING (bucket) GROUP BY rid),
+x AS (SELECT rid, doc_id, len(ws) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+  (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('{SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score FROM d LEFT JOIN w USING (rid)),
+r AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank, count(*) OVER () AS able FROM x WHERE n_words >= {DRAWN_WORDS})
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= {PERCENT} * able // 100 THEN rank END AS rank FROM x LEFT JOIN r USING (rid)"""
+
+_LETTERS = "ABCD" + REPEAT
+_AT = "coalesce(list_min(list_transform(failing, lambda f: instr(filter_order, f))), 6)"
+_HERE = "substr(filter_order, step, 1)"
+OP12 = rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, coalesce({WORDS}, []) AS ws FROM documents),
+l AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS bad FROM labels GROUP BY doc_id),
+least AS (SELECT text, min(doc_id) AS first_id FROM d GROUP BY text),
+f AS (SELECT part, coalesce(good, false) AS good, coalesce(bad, false) AS bad, list_filter([
+    CASE WHEN len(ws) < 200 THEN 'A' END, CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' END, CASE WHEN 100 * len(regexp_extract_all(d.text, '[A-Z]')) > 3 * length(d.text) THEN 'C' END,
+    CASE WHEN regexp_matches(d.text, '[#$%&*|]') THEN 'D' END, CASE WHEN d.doc_id > first_id THEN 'E' END], lambda x: x IS NOT NULL) AS failing
+  FROM d JOIN least USING (text) LEFT JOIN l USING (doc_id)),
+cells AS (SELECT part, good, bad, failing, count(*) AS n FROM f GROUP BY ALL),
+letter AS (SELECT unnest(string_split('{_LETTERS}', '')) AS x),
+orders AS (SELECT a.x || b.x || c.x || e.x || g.x AS filter_order FROM letter a, letter b, letter c, letter e, letter g WHERE len(list_distinct([a.x, b.x, c.x, e.x, g.x])) = 5),
+steps AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders),
+r AS (SELECT part, filter_order, step::INT AS step,
+  coalesce(sum(n) FILTER ({_AT} > step), 0)::BIGINT AS kept, coalesce(sum(n) FILTER ({_AT} = step), 0)::BIGINT AS removed,
+  coalesce(sum(n) FILTER ({_AT} < step AND list_contains(failing, {_HERE})), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (failing = [{_HERE}]), 0)::BIGINT AS unique_fails,
+  coalesce(sum(n) FILTER ({_AT} = step AND good), 0)::BIGINT AS good_lost, coalesce(sum(n) FILTER ({_AT} = step AND bad), 0)::BIGINT AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step)
+SELECT *, sum(removed) OVER (PARTITION BY part, {_HERE})::BIGINT AS shapley FROM r"""
+
+OP13 = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce({WORDS}, []) AS ws FROM documents),
+win AS (SELECT rid, doc_id, unnest(range(1, len(ws) - {WINDOW - 2})) AS i, unnest(list_transform(range(1, len(ws) - {WINDOW - 2}), lambda i: array_to_string(ws[i : i + {WINDOW - 1}], ' '))) AS win FROM d WHERE len(ws) >= {WINDOW}),
+gone AS (SELECT rid, i FROM (SELECT rid, i, doc_id, min(doc_id) OVER (PARTITION BY win) AS least FROM win) WHERE doc_id > least),
+pos AS (SELECT rid, list(DISTINCT p) AS gone FROM (SELECT rid, unnest(range(i, i + {WINDOW})) AS p FROM gone) GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(list_transform(list_filter(list_zip(ws, range(1, len(ws) + 1)), lambda x: NOT list_contains(coalesce(gone, []), x[2])), lambda x: x[1]), ' ')) AS kept_sha256
+FROM d LEFT JOIN pos USING (rid)"""
+
+ORACLES = {"op3_repetition": OP3, "op5_decontam": OP5, "op8_mix": OP8, "op9_neardup": OP9, "op11_resample": OP11, "op12_audit": OP12, "op13_substring": OP13}
