@@ -42,19 +42,21 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     """sources: source, source_size (a row each). Adds target: least(most * source_size, level * weight).
 
     Sources take the weights in turn, by code point, null last. The level shares out all sizes; where a target would
-    pass `most` times its source's size it stops there and the rest is shared anew, which ends at one level for all.
-    Sources with nothing have the target 0.
+    pass `most` times its source's size it stops there and the rest is shared anew, which ends at one level for all:
+    that of the first source, by the level at which it fills up, then by code point, that the rest doesn't fill. Running
+    sums over a row per source, in one task. Sources with nothing have the target 0.
     """
     turn = Window.orderBy(F.col("source").asc_nulls_last())  # a row per source
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod(F.row_number().over(turn) - 1, F.lit(len(weights))) + 1).cast("int"))
     rows = sources.withColumn("weight", weight).withColumn("cap", most * F.col("source_size"))
-    filling = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    before, after = filling.rowsBetween(Window.unboundedPreceding, -1), filling.rowsBetween(0, Window.unboundedFollowing)
-    every = Window.partitionBy()
-    level = (F.sum("source_size").over(every) - F.coalesce(F.sum("cap").over(before), F.lit(0))) / F.sum("weight").over(after)
+    place = F.row_number().over(Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last()))
+    rows = rows.withColumn("_place", place)
+    before, every = Window.orderBy("_place").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
+    filled, passed = (F.coalesce(F.sum(c).over(before), F.lit(0)) for c in ("cap", "weight"))
+    level = F.try_divide(F.sum("source_size").over(every) - filled, F.sum("weight").over(every) - passed)
     rows = rows.withColumn("level", level)
-    final = F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.struct(F.col("cap") / F.col("weight"), "level"))).over(every)
-    return rows.withColumn("level", final["level"]).select("source", "source_size", "weight", F.least(F.col("cap").cast("double"), F.col("level") * F.col("weight")).alias("target"))
+    first = F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.struct("_place", "level"))).over(every)
+    return rows.withColumn("level", first["level"]).select("source", "source_size", "weight", F.least(F.col("cap").cast("double"), F.col("level") * F.col("weight")).alias("target"))
 
 
 def _attached(rows: DataFrame, small: DataFrame, on: list[str], n: int) -> DataFrame:

@@ -50,7 +50,7 @@ k AS (SELECT *, -ln((('0x' || substr(print, 1, {HEX_DIGITS}))::BIGINT + 0.5::DOU
 s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS r FROM d GROUP BY source),
 c AS (SELECT *, ({list(WEIGHTS)})[((r - 1) % {len(WEIGHTS)} + 1)::INT]::BIGINT AS weight, {MOST} * source_size AS cap FROM s),
 l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE / (sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level FROM c),
-f AS (SELECT level FROM l WHERE level * weight <= cap ORDER BY cap / weight, level LIMIT 1),
+f AS (SELECT level FROM l WHERE level * weight <= cap ORDER BY cap / weight, source NULLS LAST LIMIT 1),
 t AS (SELECT source, source_size, least(cap::DOUBLE, f.level * weight) AS target, coalesce(floor(least(cap::DOUBLE, f.level * weight) / nullif(source_size, 0)), 0)::BIGINT AS epochs FROM l, f),
 g AS (SELECT k.*, source_size, target, epochs, target - epochs * source_size AS rest, coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY key, print ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS running
   FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source)

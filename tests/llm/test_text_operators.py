@@ -437,22 +437,42 @@ def test_word_encoder_equals_whole_texts():
 # mixing
 
 
-def test_targets(spark):
-    rows_ = [("b", 100), ("a", 1), ("c", 50), (None, 10), ("é", 0)]
-    got = {r["source"]: r for r in collected(mixing.targets(spark.createDataFrame(rows_, "source string, source_size long")))}
-    order = ["a", "b", "c", "é", None]
+def shared_out(sizes):
+    """Targets by the rule in words: share by weight, stop sources at three times their size, share the excess anew."""
+    order = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
     weight = {s: [1, 2, 3][i % 3] for i, s in enumerate(order)}
-    size, goal, total = dict(rows_), {}, 161.0
-    free = set(order)
+    goal, total, free = {}, float(sum(sizes.values())), set(order)
     while free:
         level = (total - sum(goal.values())) / sum(weight[s] for s in free)
-        over = {s for s in free if level * weight[s] > 3 * size[s]}
+        over = {s for s in free if level * weight[s] > 3 * sizes[s] + 1e-9}
         if not over:
-            goal |= {s: level * weight[s] for s in free}
-            break
-        goal |= {s: 3.0 * size[s] for s in over}
+            return goal | {s: level * weight[s] for s in free}
+        goal |= {s: 3.0 * sizes[s] for s in over}
         free -= over
-    assert all(math.isclose(got[s]["target"], goal[s], abs_tol=1e-9) for s in order)
+    return goal
+
+
+@pytest.mark.parametrize("sizes", [
+    {"b": 100, "a": 1, "c": 50, None: 10, "é": 0}, {"a": 10, "b": 20}, {"a": 10, "b": 21}, {"a": 10, "b": 20, "c": 30}, {"a": 7, "b": 7, "c": 7, "d": 7}, {"a": 1, "b": 2, "c": 3, "d": 1, "e": 2, "f": 300},
+    {"a": 0, "b": 0}, {"a": 5}, {"a": 1, "b": 2, "c": 100, "d": 1, None: 2},
+])
+def test_targets(spark, sizes):
+    got = {r["source"]: r["target"] for r in collected(mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")))}
+    want = shared_out(sizes)
+    assert got.keys() == want.keys() and all(math.isclose(got[s], want[s], abs_tol=1e-9) for s in sizes)
+    assert math.isclose(sum(got.values()), sum(sizes.values()), abs_tol=1e-9)
+
+
+def test_targets_of_many_sources(spark):
+    many = spark.range(100_000).select(F.format_string("s%06d", "id").alias("source"), (F.col("id") % 97 + 1).alias("source_size"))
+    out = mixing.targets(many).agg(F.sum("target"), F.sum("source_size"), F.count("target"), F.min("target")).first()
+    assert math.isclose(out[0], out[1], rel_tol=1e-9) and out[2] == 100_000 and out[3] > 0
+
+
+def test_mix_of_equal_sources(spark):
+    same = spark.createDataFrame([(i, "one two three", "a" if i < 2 else "b") for i in range(6)], "doc_id long, text string, source string")
+    got = collected(mixing.mix(same))
+    assert {r["source"]: r["_target"] for r in got} == {"a": 6.0, "b": 12.0} and sum(r["_times"] * r["_size"] for r in got) == 18
 
 
 def test_mix(spark, docs, none, monkeypatch):
