@@ -198,7 +198,7 @@ def deduplicated(spark: SparkSession, docs: DataFrame, window: int = WINDOW, id_
     kept = [c for c in docs.columns if c.lower() not in new and c != text_col]
     inner = {c: f"c{i}" for i, c in enumerate(kept)}
     rows = docs.select(*(T.col(c).alias(i) for c, i in inner.items()), T.col(id_col).cast("long").alias("id"), F.crc32(F.coalesce(T.col(text_col), F.lit("")).cast("binary")).alias("print"), T.col(text_col).alias("text"))
-    rows = rows.join(spans, ["id", "print"], "left").drop("id", "print")
+    rows = rows.join(spans.hint("merge"), ["id", "print"], "left").drop("id", "print")  # texts and spans both grow with the corpus
     types = K.StructType([*[rows.schema[i] for i in inner.values()], *K.StructType.fromDDL("text string, n_words long, n_removed long, " + _INTERVALS.split(", ", 2)[2]).fields])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
