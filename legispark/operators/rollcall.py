@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from legispark.functions import scalar as S
 from legispark.operators.tables import keep_first
+from legispark.sources.kept import kept, kept_path, removed
+from legispark.sources.sinks import bucketed, dropped
 
+#: A term's scores have converged when a round adds a smaller share to what they explain; rounds after which none goes on.
+TOLERANCE, MOST_ROUNDS = 1e-4, 60
 
-def matrix(votes: DataFrame, member: str, item: str, vote: str, codes: Mapping[str, int], order: list[str]) -> DataFrame:
-    """member, item, code: one cell each (the first in the order), cells without member, item or vote left out."""
-    t = keep_first(votes.dropna(subset=[member, item, vote]), [member, item], order)
-    return t.select(member, item, S.coded(vote, codes).alias("code"))
+
+def matrix(votes: DataFrame, member: str, item: str, vote: str, codes: Mapping[str, int], order: list[str], by: Sequence[str] = ()) -> DataFrame:
+    """by, member, item, code: one cell each (the first in the order), cells without member, item or vote left out."""
+    t = keep_first(votes.dropna(subset=[member, item, vote]), [*by, member, item], order)
+    return t.select(*by, member, item, S.coded(vote, codes).alias("code"))
 
 
 def contested(t: DataFrame, item: str, yes: str, min_minority: float = 0.025) -> DataFrame:
@@ -26,16 +31,16 @@ def contested(t: DataFrame, item: str, yes: str, min_minority: float = 0.025) ->
     return out.withColumn("is_contested", F.col("minority") >= min_minority)
 
 
-def active(t: DataFrame, member: str, yes: str, min_votes: int = 20) -> DataFrame:
-    """Members with so many yes or no votes, and how many."""
-    return t.groupBy(member).agg(F.count(yes).alias("n_votes")).where(F.col("n_votes") >= min_votes)
+def active(t: DataFrame, member: str, yes: str, min_votes: int = 20, by: Sequence[str] = ()) -> DataFrame:
+    """Members (of each group) with so many yes or no votes, and how many."""
+    return t.groupBy(*by, member).agg(F.count(yes).alias("n_votes")).where(F.col("n_votes") >= min_votes)
 
 
-def prepared(t: DataFrame, member: str, item: str, yes: str, min_minority: float = 0.025, min_votes: int = 20) -> DataFrame:
-    """The cells of contested items, then of members who are active on those."""
+def prepared(t: DataFrame, member: str, item: str, yes: str, min_minority: float = 0.025, min_votes: int = 20, by: Sequence[str] = ()) -> DataFrame:
+    """The cells of contested items, then of members who are active on those, within each group."""
     items = contested(t, item, yes, min_minority).where("is_contested").select(item)
     t = t.join(items, item, "left_semi")
-    return t.join(active(t, member, yes, min_votes).select(member), member, "left_semi")
+    return t.join(active(t, member, yes, min_votes, by).select(*by, member), [*by, member], "left_semi")
 
 
 def matrix_summary(t: DataFrame, member: str, item: str, yes: str, min_minority: float = 0.025) -> DataFrame:
@@ -49,61 +54,108 @@ def bridging(t: DataFrame, member: str, term: str) -> DataFrame:
     return out.withColumn("n_terms", F.size("terms")).withColumn("is_bridge", F.col("n_terms") >= 2)
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a table in the folder that spark.checkpoint.dir names; in local mode a local one is set where it is unset."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if spark.sparkContext.master.split("[")[0] != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="spark-scaling-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/scaling-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.written_to = path
+def scale_terms(t: DataFrame, group: str, member: str, item: str, yes: str, anchor: DataFrame | None = None, tol: float = TOLERANCE, most_rounds: int = MOST_ROUNDS) -> DataFrame:
+    """group, member, score, rounds: in every group the leading dimension of the item-centred votes, mean 0 and deviation 1.
+
+    One power iteration for all groups: a round averages scores to item weights and weights to scores. The cells stand
+    in two saved tables, bucketed by item and by member, so a round moves sums of members and of items, never cells.
+    It ends when in every group what the scores explain grows by a smaller share than tol; rounds is null where a group
+    isn't that far after most_rounds. The sign makes the anchor's members (member column) positive on average; without
+    one, the group's member with the most votes (the least of them). Items are of one group. A group in which nobody
+    differs has scores of 0; cells that are neither yes nor no, or lack a key, are left out.
+    """
+    spark = t.sparkSession
+    cells = t.where(F.col(yes).isNotNull()).dropna(subset=[group, member, item]).select(F.col(group).alias("_g"), F.col(member).alias("_m"), F.col(item).alias("_i"), (2.0 * F.col(yes) - 1).alias("_v"))
+    centre = cells.groupBy("_g", "_i").agg(F.avg("_v").alias("_c"))
+    cells = cells.join(centre, ["_g", "_i"]).select("_g", "_m", "_i", (F.col("_v") - F.col("_c")).alias("_v"))
+    name, n = f"cells_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by_item = bucketed(cells, f"{name}_items", ["_g", "_i"], n, kept_path(spark, name))
+    by_member = bucketed(by_item, f"{name}_members", ["_g", "_m"], n, kept_path(spark, name))
+    lead = _anchors(by_member, member, anchor)
+    start = F.avg(F.col("_v") * (1e-3 * (F.pmod(F.xxhash64("_m"), F.lit(1009)) / 1009.0 - 0.5) + F.coalesce("_lead", F.lit(0))))
+    weights = by_member.join(lead, ["_g", "_m"], "left").groupBy("_g", "_i").agg(start.alias("_w"))
+    scores, explained, done = None, {}, {}
+    for k in range(1, most_rounds + 1):
+        raw = by_item.join(weights, ["_g", "_i"]).groupBy("_g", "_m").agg(F.avg(F.col("_v") * F.col("_w")).alias("_s"))
+        raw = kept(raw, "scaling")
+        norm = raw.groupBy("_g").agg(F.avg("_s").alias("_a"), F.stddev_pop("_s").alias("_d"))  # a row per group
+        now = {g: d for g, _, d in norm.collect()}
+        done |= {g: k for g, d in now.items() if g not in done and (not d or g in explained and abs(d - explained[g]) <= tol * d)}
+        if scores is not None:
+            removed(scores)
+        scores, explained = raw, now
+        level = raw.join(F.broadcast(norm), "_g").select("_g", "_m", S.share(F.col("_s") - F.col("_a"), F.col("_d")).alias("_s"))
+        if len(done) == len(now):
+            break
+        weights = by_member.join(level, ["_g", "_m"]).groupBy("_g", "_i").agg(F.avg(F.col("_v") * F.col("_s")).alias("_w"))
+    sign = level.join(lead, ["_g", "_m"]).groupBy("_g").agg(F.when(F.avg("_s") < 0, -1.0).otherwise(1.0).alias("_sign"))
+    rounds = F.create_map(*[F.lit(x) for item in done.items() for x in item])[F.col("_g")] if done else F.lit(None).cast("int")
+    out = level.join(F.broadcast(sign), "_g", "left").select(F.col("_g").alias(group), F.col("_m").alias(member), (F.col("_s") * F.coalesce("_sign", F.lit(1.0))).alias("score"), rounds.alias("rounds"))
+    out = kept(out, "scaled")
+    for table in ("items", "members"):
+        dropped(spark, f"{name}_{table}")
     return out
 
 
-def _removed(df: DataFrame) -> None:
-    """Removes a table that nothing reads any more."""
-    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_to)
-    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+def _anchors(cells: DataFrame, member: str, anchor: DataFrame | None) -> DataFrame:
+    """_g, _m, _lead (1): the members of each group who are to be positive."""
+    votes = cells.groupBy("_g", "_m").agg(F.count(F.lit(1)).alias("_n"))
+    if anchor is not None:
+        return votes.join(anchor.select(F.col(member).alias("_m")).distinct(), "_m", "left_semi").select("_g", "_m", F.lit(1).alias("_lead"))
+    return votes.groupBy("_g").agg(F.min_by("_m", F.struct(-F.col("_n"), "_m")).alias("_m"), F.lit(1).alias("_lead"))
 
 
 def scale_1d(t: DataFrame, member: str, item: str, yes: str, iters: int = 6, anchor: DataFrame | None = None) -> DataFrame:
-    """member, score: the leading dimension of the item-centred votes by power iteration, mean 0 and deviation 1.
+    """member, score: scale_terms of one group, by so many rounds."""
+    return scale_terms(t.withColumn("_one", F.lit(1)), "_one", member, item, yes, anchor, 0.0, iters).select(member, "score")
+
+
+def _links(scores: DataFrame, member: str, term: str, score: str) -> list:
+    """A row per ordered pair of terms that share members: their number, sums, and the line from the first term's scores to the second's."""
+    t = scores.select(F.col(member).alias("_m"), F.col(term).alias("_t"), F.col(score).cast("double").alias("_x")).dropna()
+    pairs = t.join(t.select("_m", F.col("_t").alias("_u"), F.col("_x").alias("_y")), "_m")
+    x, y = F.col("_x"), F.col("_y")
+    sums = {"n": F.count(F.lit(1)), "x": F.sum(x), "y": F.sum(y), "xx": F.sum(x * x), "yy": F.sum(y * y), "xy": F.sum(x * y), "slope": F.regr_slope(y, x), "start": F.regr_intercept(y, x)}
+    return pairs.groupBy("_t", "_u").agg(*[c.alias(k) for k, c in sums.items()]).collect()  # terms squared at most
+
+
+def _chained(links: list, lines: dict) -> dict:
+    """Lines of the terms that chains of shared members lead to, fitted at once: every pair of terms should agree on its members.
 
-    Each round averages scores to item weights and weights to scores: two aggregates over the cells. The sign makes the
-    anchor's members (member column) positive on average; without one, the member with the most votes (the least of
-    them) is positive.
+    lines has those that are given; the least squares of all pairs that aren't both given decide the rest.
     """
-    cells = t.where(F.col(yes).isNotNull()).select(member, item, (2.0 * F.col(yes) - 1).alias("_v"))
-    centre = cells.groupBy(item).agg(F.avg("_v").alias("_m"))
-    cells = _kept(cells.join(centre, item).select(member, item, (F.col("_v") - F.col("_m")).alias("_v")))
-    first = cells.groupBy(member).agg(F.count("_v").alias("_n")).orderBy(F.desc("_n"), member).limit(1).select(member) if anchor is None else anchor.select(member).distinct()
-    start = cells.groupBy(item).agg(F.sum(F.col("_v") * (F.pmod(F.xxhash64(member), F.lit(1009)) / 1009.0 - 0.5)).alias("_w"))
-    lead = cells.join(first, member, "left_semi").groupBy(item).agg(F.avg("_v").alias("_l"))
-    weights = start.join(lead, item, "left").select(item, (F.col("_w") * 1e-3 + F.coalesce("_l", F.lit(0.0))).alias("_w"))
-    scores = None
-    for _ in range(iters):
-        raw = cells.join(weights, item).groupBy(member).agg(F.avg(F.col("_v") * F.col("_w")).alias("_s"))
-        norm = raw.agg(F.avg("_s").alias("_a"), F.stddev_pop("_s").alias("_d"))
-        last, scores = scores, _kept(raw.crossJoin(F.broadcast(norm)).select(member, S.share(F.col("_s") - F.col("_a"), F.col("_d")).alias("_s")))  # one row
-        if last is not None:
-            _removed(last)
-        weights = cells.join(scores, member).groupBy(item).agg(F.avg(F.col("_v") * F.col("_s")).alias("_w"))
-    sign = scores.join(first, member, "left_semi").agg(F.when(F.avg("_s") < 0, -1.0).otherwise(1.0).alias("_sign"))
-    return scores.crossJoin(F.broadcast(sign)).select(member, (F.col("_s") * F.col("_sign")).alias("score"))
+    apart = lambda n, a, aa: n * aa - a * a > 1e-9 * max(1.0, n * aa)
+    usable = [p for p in links if p["_t"] != p["_u"] and p["n"] >= 2 and apart(p["n"], p["x"], p["xx"]) and apart(p["n"], p["y"], p["yy"])]
+    reached = set(lines)
+    while more := {p["_t"] for p in usable if p["_u"] in reached} - reached:
+        reached |= more
+    place = {t: 2 * i for i, t in enumerate(sorted(reached - set(lines)))}
+    a, b = np.zeros((2 * len(place), 2 * len(place))), np.zeros(2 * len(place))
+    for p in usable:  # each pair comes both ways; a term's own equations are those in which it is the first
+        if p["_t"] not in place or p["_u"] not in reached:
+            continue
+        i = place[p["_t"]]
+        a[i : i + 2, i : i + 2] += [[p["xx"], p["x"]], [p["x"], p["n"]]]
+        other = np.array([[p["xy"], p["x"]], [p["y"], p["n"]]])
+        if p["_u"] in place:
+            j = place[p["_u"]]
+            a[i : i + 2, j : j + 2] -= other
+        else:
+            b[i : i + 2] += other @ lines[p["_u"]]
+    found = np.linalg.lstsq(a, b, rcond=None)[0] if place else b
+    return {t: (float(found[i]), float(found[i + 1])) for t, i in place.items()}
 
 
 def align_terms(scores: DataFrame, member: str, term: str, score: str, base: int) -> DataFrame:
-    """Adds aligned: each term's scores put on the base term's line by the members of both.
+    """Adds aligned: each term's scores put on the base term's line by members of several terms.
 
-    Terms that share under two members with the base, or in which these don't differ, only get the base's sign or stay.
+    A term that shares members with the base goes by these; the others by all chains of shared members that lead there,
+    fitted at once. Two members at least must be shared, and differ in both terms. Terms without such a chain stay.
     """
-    ref = scores.where(F.col(term) == base).select(member, F.col(score).alias("_b"))
-    fit = scores.join(ref, member).groupBy(term).agg(F.regr_slope("_b", score).alias("_k"), F.regr_intercept("_b", score).alias("_c"))
+    links = _links(scores, member, term, score)
+    lines = {p["_t"]: (p["slope"], p["start"]) for p in links if p["_u"] == base and p["slope"] is not None} | {base: (1.0, 0.0)}
+    lines |= _chained(links, lines)
+    fit = scores.sparkSession.createDataFrame([(t, *line) for t, line in lines.items()], f"{term} {scores.schema[term].dataType.simpleString()}, _k double, _c double")
     out = scores.join(F.broadcast(fit), term, "left")  # a row per term
     return out.withColumn("aligned", F.when(F.col("_k").isNull(), F.col(score)).otherwise(F.col("_k") * F.col(score) + F.col("_c"))).drop("_k", "_c")
 

@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from legispark.functions import scalar as S
+from legispark.operators.ranks import distribution, joined, percentiles, value_places
+
+#: Sketches of distinct values have 2 to this power counters.
+SKETCH_LG = 12
 
 
 def rate_table(t: DataFrame, by: Sequence[str], flags: Sequence[str], min_n: int = 0, means: Sequence[str] = ()) -> DataFrame:
@@ -83,11 +87,15 @@ def coverage_profile(t: DataFrame, cols: Sequence[str], by: Sequence[str] = ())
 def duration_stats(t: DataFrame, by: Sequence[str], days: str | Column, probs: Sequence[float] = (0.25, 0.5, 0.75), exact: bool = True) -> DataFrame:
     """Per group: n, min, max, mean and percentiles of a number of days, nulls left out.
 
-    exact interpolates and keeps each group's distinct values in memory; else percentile_approx is used.
+    exact interpolates (see ranks.distribution); else percentile_approx is used, in one pass.
     """
     t = t.select(*by, S.column(days).alias("_d")).where("_d is not null")
-    find = (lambda p: F.percentile("_d", p)) if exact else (lambda p: F.percentile_approx("_d", p).cast("double"))
-    return t.groupBy(*by).agg(F.count("_d").alias("n"), F.min("_d").alias("min_days"), F.max("_d").alias("max_days"), F.avg("_d").alias("mean_days"), *[find(p).alias(f"p{round(100 * p)}") for p in probs])
+    names = [f"p{round(100 * p)}" for p in probs]
+    if exact:
+        found = distribution(t, by, "_d", probs)
+        return found.select(*by, "n", F.col("least").alias("min_days"), F.col("greatest").alias("max_days"), F.col("mean").alias("mean_days"), *[F.col("percentiles")[i].alias(n) for i, n in enumerate(names)])
+    plain = [F.count("_d").alias("n"), F.min("_d").alias("min_days"), F.max("_d").alias("max_days"), F.avg("_d").alias("mean_days")]
+    return t.groupBy(*by).agg(*plain, *[F.percentile_approx("_d", p).cast("double").alias(n) for p, n in zip(probs, names, strict=True)])
 
 
 def period_counts(t: DataFrame, ts: str, unit: str, by: Sequence[str] = (), fill: bool = False) -> DataFrame:
@@ -114,18 +122,24 @@ def value_counts(t: DataFrame, cols: Sequence[str]) -> DataFrame:
     return t.select(pairs.alias("_p")).select("_p.*").where("value is not null").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _percentile(col: str, p: float | list[float], exact: bool) -> Column:
-    return F.percentile(col, p) if exact else F.percentile_approx(col, p, 100_000)
-
-
 def group_spread(t: DataFrame, by: Sequence[str], value: str, min_n: int = 1, exact: bool = True) -> DataFrame:
     """Per group: n, mean, median, sample deviation, quartiles, least and greatest.
 
-    exact interpolates and keeps each group's distinct values in memory; else percentile_approx is used.
+    exact interpolates (see ranks.distribution); else percentile_approx is used, in one pass.
     """
     t = t.dropna(subset=[*by, value])
-    out = t.groupBy(*by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), _percentile(value, 0.5, exact).alias("median"), F.stddev_samp(value).alias("sd"), _percentile(value, 0.25, exact).alias("p25"), _percentile(value, 0.75, exact).alias("p75"), F.min(value).alias("least"), F.max(value).alias("greatest"))
-    return out.where(F.col("n") >= min_n)
+    if exact:
+        out = distribution(t, by, value, [0.5, 0.25, 0.75])
+    else:
+        three = F.percentile_approx(value, [0.5, 0.25, 0.75], 100_000).alias("percentiles")
+        out = t.groupBy(*by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"), F.min(value).alias("least"), F.max(value).alias("greatest"), three)
+    parts = [F.col("percentiles")[i].alias(name) for i, name in enumerate(("median", "p25", "p75"))]
+    return out.where(F.col("n") >= min_n).select(*by, "n", "mean", parts[0], "sd", *parts[1:], "least", "greatest")
+
+
+def with_median(groups: DataFrame, t: DataFrame, by: Sequence[str], value: str, name: str) -> DataFrame:
+    """groups with the exact median of t's values in each group, null where there is none."""
+    return joined(groups, percentiles(t, by, value, [0.5]).select(*by, F.col("percentiles")[0].alias(name)), by)
 
 
 def gap(t: DataFrame, by: str, group: str, a: object, b: object, value: str) -> DataFrame:
@@ -137,21 +151,12 @@ def gap(t: DataFrame, by: str, group: str, a: object, b: object, value: str) ->
 def rank_avg_trunc(t: DataFrame, partition: Sequence[str], order: str, ascending: bool = True) -> DataFrame:
     """Adds rank (ties share their mean rank, cut to a whole number) and group_size; null orders have no rank.
 
-    Ranks come from the counts of each distinct value, so no group's rows are sorted in one task, only its values.
+    Ranks come from the places of each distinct value (ranks.value_places): no task holds a group's rows or values.
     """
-    keys = [*partition, order]
-    counts = t.where(F.col(order).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
-    own = Window.partitionBy(*partition)
-    before = F.coalesce(F.sum("_c").over(own.orderBy(F.col(order).asc() if ascending else F.col(order).desc()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranks = counts.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)], F.floor(before + 1 + (F.col("_c") - 1) / 2).alias("rank"))
-    sizes = counts.groupBy(*partition).agg(F.sum("_c").alias("group_size")).select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(partition)], "group_size")
-    out = t.drop("rank", "group_size")
-    for small, names in ((ranks, keys), (sizes, partition)):
-        if names:
-            same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(names)])
-            out = out.join(small, same, "left").drop(*[f"_k{i}" for i in range(len(names))])
-        else:
-            out = out.crossJoin(F.broadcast(small))  # one row
+    places = value_places(t, partition, order, ascending)
+    ranks = places.select(*partition, order, F.floor(F.col("n_before") + 1 + (F.col("n_equal") - 1) / 2).alias("rank"))
+    sizes = places.groupBy(*partition).agg(F.sum("n_equal").alias("group_size"))
+    out = joined(joined(t.drop("rank", "group_size"), ranks, [*partition, order]), sizes, partition)
     return out.withColumn("group_size", F.coalesce("group_size", F.lit(0)))
 
 
@@ -163,8 +168,8 @@ def shift(t: DataFrame, key: str, order: str, value: str) -> DataFrame:
 
 def shift_summary(t: DataFrame, key: str, order: str, value: str) -> DataFrame:
     """Mean and median of the changes' sizes, by the later row's order."""
-    size = F.abs("shift")
-    return shift(t, key, order, value).groupBy(order).agg(F.count("shift").alias("n"), F.avg(size).alias("mean_shift"), F.median(size).alias("median_shift"))
+    rows = shift(t, key, order, value).select(order, F.abs("shift").alias("_size"))
+    return distribution(rows, [order], "_size", [0.5]).select(order, "n", F.col("mean").alias("mean_shift"), F.col("percentiles")[0].alias("median_shift"))
 
 
 def correlation(t: DataFrame, key: str, order: str, value: str, a: object, b: object) -> DataFrame:
@@ -176,11 +181,13 @@ def correlation(t: DataFrame, key: str, order: str, value: str, a: object, b: ob
 def quantile_bins(t: DataFrame, col: str, n: int = 10, exact: bool = True) -> DataFrame:
     """Adds bin, from 0: by n quantiles, equal edges merged, each bin closed on its right and the first on both sides; null has none.
 
-    exact interpolates and keeps all distinct values in memory; else percentile_approx is used.
+    exact interpolates (see ranks.distribution); else percentile_approx is used.
     """
-    edges = t.agg(F.array_distinct(_percentile(col, [i / n for i in range(n + 1)], exact)).alias("_edges"))
+    probs = [i / n for i in range(n + 1)]
+    found = percentiles(t, [], col, probs) if exact else t.agg(F.percentile_approx(col, probs, 100_000).alias("percentiles"))
+    edges = found.select(F.array_distinct("percentiles").alias("_edges"))
     below = F.size(F.filter("_edges", lambda e: e < F.col(col)))
-    return t.crossJoin(F.broadcast(edges)).withColumn("bin", F.when(F.col(col).isNotNull(), F.greatest(below - 1, F.lit(0)))).drop("_edges")  # one row
+    return joined(t, edges, []).withColumn("bin", F.when(F.col(col).isNotNull(), F.greatest(below - 1, F.lit(0)))).drop("_edges")
 
 
 def trend(t: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
@@ -194,6 +201,33 @@ def histogram(t: DataFrame, col: str, low: float, high: float, bins: int) -> Dat
     return t.where(F.col(col).between(low, high)).groupBy(at.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def distinct_sketches(t: DataFrame, by: Sequence[str], col: str, lg_k: int = SKETCH_LG) -> DataFrame:
+    """Per group: sketch, which stands for the distinct values of a column (text, bytes or whole numbers) in some kilobytes.
+
+    Kept per term, sketches of old terms are merged with a new one's instead of reading their rows again.
+    """
+    return t.groupBy(*by).agg(F.hll_sketch_agg(col, lg_k).alias("sketch"))
+
+
+def distinct_estimates(sketches: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per group of sketches: n_distinct of what they stand for together; its standard error is sketch_error of itself."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_distinct"))
+
+
+def sketch_error(lg_k: int = SKETCH_LG) -> float:
+    """The relative standard error of an estimate."""
+    return 1.04 / 2 ** (lg_k / 2)
+
+
+def new_id_estimates(sources: Sequence[tuple[str, DataFrame]], key: str, lg_k: int = SKETCH_LG) -> DataFrame:
+    """tables.new_ids by sketches: per source, in the order given, about how many distinct ids it has, and how many that no earlier one has."""
+    rows = [t.agg(F.hll_sketch_agg(key, lg_k).alias("sketch")).select(F.lit(i).alias("_rank"), F.lit(s).alias("source"), "sketch") for i, (s, t) in enumerate(sources)]
+    every = reduce(DataFrame.unionByName, rows)
+    so_far = F.hll_sketch_estimate(F.hll_union_agg("sketch").over(Window.orderBy("_rank")))  # a row per source
+    rows = every.select("_rank", "source", F.hll_sketch_estimate("sketch").alias("n_ids"), so_far.alias("_all"))
+    return rows.select("source", "n_ids", F.greatest(F.lit(0), F.col("_all") - F.coalesce(F.lag("_all").over(Window.orderBy("_rank")), F.lit(0))).alias("n_new"))
+
+
 def unpivoted(t: DataFrame, keys: Sequence[str], cols: Sequence[str], name: str = "measure", value: str = "value") -> DataFrame:
     return t.unpivot(list(keys), list(cols), name, value)
 

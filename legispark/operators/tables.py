@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -10,13 +11,8 @@ from pyspark.sql import functions as F
 
 from legispark.functions import scalar as S
 
-#: Rows up to which a counted lookup is broadcast.
-BROADCAST_ROWS = 100_000
-
-
-def small(t: DataFrame) -> DataFrame:
-    """Marked for broadcast if a count shows that it is small; else as it is, for a shuffled join."""
-    return F.broadcast(t) if t.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else t
+#: How Spark names a sort order of a column.
+ORDERED = re.compile(r"Column<'(.*) (ASC|DESC) NULLS (FIRST|LAST)'>", re.DOTALL)
 
 
 def keyword_filter(t: DataFrame, col: str, pattern: str | None) -> DataFrame:
@@ -34,10 +30,36 @@ def derive_outcome(t: DataFrame, result: str, term: str, passed: Sequence[str],
     return t.withColumns({"status": status, "passed": S.in_group(status, passed), "enacted": S.in_group(status, enacted)})
 
 
+def _place(order: Sequence[Column | str], columns: Sequence[str]) -> tuple[Column, bool] | None:
+    """A struct that compares as the order does, and whether the first row has the greatest one; None if directions are mixed."""
+    parts = []
+    for o in order:
+        found = None if isinstance(o, str) else ORDERED.fullmatch(str(o))
+        if found and found[1] not in columns:
+            raise ValueError(f"{o}: sort orders are taken of plain columns")
+        x = F.col(o) if isinstance(o, str) else F.col(found[1]) if found else o
+        parts.append((x, bool(found) and found[2] == "DESC", found[3] == "LAST" if found else False))
+    down = {d for _, d, _ in parts}
+    if len(down) > 1:
+        return None
+    down = down.pop()
+    fields = [f for x, _, last in parts for f in ([x.isNull(), x] if last != down else [x])]  # nulls are least by themselves
+    return F.struct(*[f.alias(f"o{i}") for i, f in enumerate(fields)]), down
+
+
 def keep_first(t: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """The first row of each key in an order that must be total; null keys are keys."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return t.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    """The first row of each key in an order that must be total; null keys are keys.
+
+    An aggregate that keeps one row of a key: repeats go before the shuffle, and no key's rows are gathered. Only an
+    order that mixes directions needs a window.
+    """
+    place = _place(order, t.columns)
+    if place is None:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return t.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    row, best = F.struct(*[F.col(f"`{c}`") for c in t.columns]), F.max_by if place[1] else F.min_by
+    first = t.groupBy(*keys).agg(best(row, place[0]).alias("_row"))
+    return first.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in t.columns])  # the keys' own columns: they tell how rows are partitioned
 
 
 def align_union(*tables: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

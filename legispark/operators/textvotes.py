@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from legispark.functions import vocabulary as V
@@ -25,27 +25,34 @@ def _header(style: str, headers: Sequence[str]) -> str:
     return rf"({spaced})\s*[(（]?\s*(\d+)\s*인\s*[)）]?"
 
 
+def _sums(values: str | Column) -> Column:
+    """The running sums of an array of whole numbers, from 0 on: one more than there are numbers."""
+    return F.aggregate(values, F.array(F.lit(0)), lambda sums, x: F.array_append(sums, F.element_at(sums, -1) + x))
+
+
 def sections(t: DataFrame, id_cols: Sequence[str], text: str, style: str, headers: Sequence[str] = V.VOTE_HEADERS) -> DataFrame:
     """A row per vote header: id columns, section (from 1), header, expected, begin (offset from 0), body, event, before.
 
     body runs to the next header of any event, the last one's LAST characters at most. Headers whose distance stays
-    under the gap are one event. before has the CONTEXT characters ahead of an event's first header, and is null at its
-    others; no gap is shorter than that, so one piece of text holds them.
+    under the gap are one event. before has the CONTEXT characters ahead of the first header of the section's event; no
+    gap is shorter than that, so one piece of text holds them. All is folded over the pieces of a text within its row:
+    texts aren't shuffled, and only sections leave the row.
     """
-    marked = F.regexp_replace(F.translate(F.col(text), CUT + END, ""), _header(style, headers), f"{CUT}$0{END}")
-    rows = t.select(*id_cols, F.posexplode(F.split(marked, CUT)).alias("section", "piece"))
-    own = Window.partitionBy(*id_cols).orderBy("section")  # one text
-    size = F.length(F.col("piece")) - F.when(F.col("section") > 0, 1).otherwise(0)
-    rows = rows.withColumn("begin", F.coalesce(F.sum(size).over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    rows = rows.withColumn("is_last", F.lead("section").over(own).isNull())
-    rows = rows.withColumn("before", F.lag(F.right(F.translate("piece", END, ""), F.lit(CONTEXT))).over(own))
-    rows = rows.where("section > 0")
+    marked = F.regexp_replace(F.regexp_replace(F.col(text), f"[{CUT}{END}]", ""), _header(style, headers), f"{CUT}$0{END}")
+    rows = t.select(*id_cols, F.split(marked, CUT).alias("_pieces"))
+    rows = rows.withColumn("_begins", _sums(F.transform("_pieces", lambda p, i: F.length(p) - (i > 0).cast("int"))))
+    places = F.slice(F.sequence(F.lit(0), F.size("_pieces") - 1), F.lit(2), F.size("_pieces"))  # from 1, none without a header
+    far = lambda i: (F.get("_begins", i) - F.get("_begins", i - 1) >= GAPS[style]) | (i == 1)
+    rows = rows.withColumn("_firsts", F.filter(places, far)).withColumn("_events", _sums(F.transform(places, lambda i: far(i).cast("int"))))
+    section = lambda i: F.struct(
+        i.alias("section"), F.get("_pieces", i).alias("piece"), F.get("_begins", i).alias("begin"), F.get("_events", i).alias("event"), (i == F.size("_pieces") - 1).alias("is_last"),
+        F.right(F.regexp_replace(F.right(F.get("_pieces", F.get("_firsts", F.get("_events", i) - 1) - 1), F.lit(CONTEXT + 1)), END, ""), F.lit(CONTEXT)).alias("before"),
+    )
+    rows = rows.select(*id_cols, F.explode(F.transform(places, section)).alias("_s")).select(*id_cols, "_s.*")
     head = F.substring_index("piece", END, 1)
     body = F.substring("piece", F.length(head) + 2, F.length("piece"))
     rows = rows.withColumns({"header": F.regexp_replace(F.regexp_extract(head, _header(style, headers), 1), r"\s+", ""), "expected": F.regexp_extract(head, r"(\d+)", 1).try_cast("int"), "body": F.when(F.col("is_last"), F.substring(body, 1, LAST[style])).otherwise(body)})
-    new = F.coalesce(F.col("begin") - F.lag("begin").over(own) >= GAPS[style], F.lit(True)).cast("int")
-    rows = rows.withColumn("_new", new).withColumn("event", F.sum("_new").over(own))
-    return rows.withColumn("before", F.when(F.col("_new") == 1, F.col("before"))).drop("_new", "is_last", "piece")
+    return rows.drop("is_last", "piece")
 
 
 def names(rows: DataFrame, noise: Sequence[str], headers: dict[str, str]) -> DataFrame:
@@ -57,7 +64,7 @@ def names(rows: DataFrame, noise: Sequence[str], headers: dict[str, str]) -> Dat
     return rows.withColumns({"names": F.when(over, F.slice("names", 1, F.greatest("expected", F.lit(1)))).otherwise(F.col("names")), "is_mismatch": F.abs(F.col("n_found") - F.col("expected")) > MISMATCH})
 
 
-def with_contexts(rows: DataFrame, id_cols: Sequence[str], style: str, ends: Sequence[str] = V.AGENDA_ENDS) -> DataFrame:
+def with_contexts(rows: DataFrame, style: str, ends: Sequence[str] = V.AGENDA_ENDS) -> DataFrame:
     """Adds bill_context and the announced totals of each section's event, from the text before its first header.
 
     The context is in transcripts the last numbered agenda item, else the first phrase with such an ending; in
@@ -69,22 +76,20 @@ def with_contexts(rows: DataFrame, id_cols: Sequence[str], style: str, ends: Seq
     phrase = F.nullif(F.regexp_extract("before", rf"([가-힣\s]{{5,50}}{tail})", 1), F.lit(""))
     picked = F.coalesce(F.try_element_at(numbered, F.lit(-1)), phrase) if style == "inline" else F.get(numbered, 0)
     totals = r"재석\s*(\d+)\s*인\s*중\s*찬성\s*(\d+)\s*인"
-    about = F.struct(F.substring(F.trim(picked), 1, MOST_CONTEXT).alias("bill_context"), F.regexp_extract(near, totals, 1).try_cast("int").alias("agg_total"), F.regexp_extract(near, totals, 2).try_cast("int").alias("agg_yes"))
-    rows = rows.withColumn("_about", F.when(F.col("before").isNotNull(), about))
-    own = Window.partitionBy(*id_cols).orderBy("section")  # the order that sections are in already
-    return rows.withColumn("_about", F.last("_about", ignorenulls=True).over(own)).select(*rows.drop("_about", "before").columns, "_about.*")
+    about = {"bill_context": F.substring(F.trim(picked), 1, MOST_CONTEXT), "agg_total": F.regexp_extract(near, totals, 1).try_cast("int"), "agg_yes": F.regexp_extract(near, totals, 2).try_cast("int")}
+    return rows.withColumns(about).drop("before")
 
 
 def parse_votes(t: DataFrame, id_cols: Sequence[str], text: str, style: str = "inline", noise: Sequence[str] = (), headers: dict[str, str] | None = None, ends: Sequence[str] = V.AGENDA_ENDS) -> DataFrame:
     """A row per member and vote: id columns, event, vote, member_name, place, bill_context, agg_total, agg_yes.
 
     headers maps the section headers that count to votes; an event ends where the next one's first header stands. Texts
-    that are null or have no header give no rows. Texts are read once and shuffled once, by their ids.
+    that are null or have no header give no rows. Texts are read once and never shuffled.
     """
     headers = headers or V.VOTE_LABELS
     every = list(dict.fromkeys([*headers, V.SKIPPED_HEADER])) if headers is V.VOTE_LABELS else list(headers)
     rows = sections(t.where(F.col(text).isNotNull()), id_cols, text, style, every)
-    found = names(with_contexts(rows, id_cols, style, ends), noise, headers)
+    found = names(with_contexts(rows, style, ends), noise, headers)
     return found.select(*id_cols, "event", "section", recoded("header", headers).alias("vote"), F.posexplode("names").alias("place", "member_name"), "bill_context", "agg_total", "agg_yes")
 
 

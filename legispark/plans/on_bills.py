@@ -123,8 +123,9 @@ def duration_percentiles(spark, d):
 
 @query(f"WITH {LIFE} SELECT term, count(*) AS n, count(*) FILTER (bill_kind = '{LAW}') AS n_laws, round(avg(passed), 6) AS passed_rate, round(avg(enacted), 6) AS enacted_rate, round(median(days_to_proc), 6) AS median_days, min(year(ppsl_dt))::INT AS first_year, max(year(ppsl_dt))::INT AS last_year FROM life GROUP BY term")
 def term_summary(spark, d):
-    out = lifecycle(spark, d).groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("bill_kind") == LAW).alias("n_laws"), F.avg("passed").alias("passed_rate"), F.avg("enacted").alias("enacted_rate"), F.median("days_to_proc").alias("median_days"), F.min(F.year("ppsl_dt")).alias("first_year"), F.max(F.year("ppsl_dt")).alias("last_year"))
-    return rounded(out)
+    rows = lifecycle(spark, d)
+    out = rows.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("bill_kind") == LAW).alias("n_laws"), F.avg("passed").alias("passed_rate"), F.avg("enacted").alias("enacted_rate"), F.min(F.year("ppsl_dt")).alias("first_year"), F.max(F.year("ppsl_dt")).alias("last_year"))
+    return rounded(stats.with_median(out, rows, ["term"], "days_to_proc", "median_days"))
 
 
 @query(f"WITH {BILLS} SELECT date_trunc('month', ppsl_dt)::DATE AS period, count(*) AS n FROM bills GROUP BY ALL")
@@ -290,8 +291,9 @@ def sponsor_extremism(spark, d):
     """Bills with their sponsor's score of the same term, by how far it is from the middle."""
     points = scores(spark, d).select(F.col("member").alias("sponsor"), "term", F.abs(F.col("aligned") - 5).alias("extremism"))
     rows = lifecycle(spark, d).join(points, ["sponsor", "term"])
-    out = stats.quantile_bins(rows, "extremism", 10).groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.avg("extremism").alias("mean_extremism"), F.avg("enacted").alias("enacted_rate"), F.median("days_to_proc").alias("median_days"))
-    return rounded(out)
+    rows = stats.quantile_bins(rows, "extremism", 10)
+    out = rows.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.avg("extremism").alias("mean_extremism"), F.avg("enacted").alias("enacted_rate"))
+    return rounded(stats.with_median(out, rows, ["bin"], "days_to_proc", "median_days"))
 
 
 @query(f"WITH {BILLS} SELECT count(*) AS led, sum(enacted)::BIGINT AS enacted, (sum(passed) - sum(enacted))::BIGINT AS reflected, sponsor::VARCHAR AS mona_cd, round(100.0::DOUBLE * sum(enacted) / count(*), 6) AS enacted_rate FROM bills WHERE sponsor = 37 GROUP BY sponsor")

@@ -116,16 +116,13 @@ def parsed_summary(parsed: DataFrame, term: str = "term", event: str = "vote_eve
     return parsed.groupBy(term).agg(F.countDistinct(event).alias("vote_events"), F.count(member).alias("total_records"), F.countDistinct(member).alias("unique_members"))
 
 
-def ideal_points(votes: DataFrame, terms: list[int], base: int, iters: int = 6) -> DataFrame:
-    """member_id, term, score, aligned out of roll calls: per-term scaling, then alignment over bridging members."""
-    out = None
-    for term in terms:
-        own = votes.where(F.col("term") == term)
-        cells = rollcall.matrix(own.withColumn("item", F.concat_ws("_", F.col("term").cast("string"), "bill_id")), "member_id", "item", "vote", V.VOTE_CODES, ["vote"])
-        cells = cells.withColumn("yes", F.when(F.col("code") == 1, 1).when(F.col("code") == 6, 0))
-        score = rollcall.scale_1d(rollcall.prepared(cells, "member_id", "item", "yes"), "member_id", "item", "yes", iters).withColumn("term", F.lit(term))
-        out = score if out is None else out.unionByName(score)
-    return rollcall.align_terms(out, "member_id", "term", "score", base)
+def ideal_points(votes: DataFrame, terms: list[int], base: int, iters: int = rollcall.MOST_ROUNDS, min_votes: int = 20) -> DataFrame:
+    """member_id, term, score, rounds, aligned out of roll calls: scaling of all terms at once, then alignment over bridging members."""
+    own = votes.where(F.col("term").isin(*terms)).withColumn("item", F.concat_ws("_", F.col("term").cast("string"), F.col("bill_id").cast("string")))
+    cells = rollcall.matrix(own, "member_id", "item", "vote", V.VOTE_CODES, ["vote"], ["term"])
+    cells = cells.withColumn("yes", F.when(F.col("code") == 1, 1).when(F.col("code") == 6, 0))
+    cells = rollcall.prepared(cells, "member_id", "item", "yes", min_votes=min_votes, by=["term"])
+    return rollcall.align_terms(rollcall.scale_terms(cells, "term", "member_id", "item", "yes", most_rounds=iters), "member_id", "term", "score", base)
 
 
 def ideology_table(points: DataFrame, name: str | None = None, party: str | None = None, term: int | None = None, order: str = "rank", ascending: bool = True) -> DataFrame:

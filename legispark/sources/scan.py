@@ -60,20 +60,25 @@ def conformed(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[(F.col(f"`{have[names[f.name]]}`").cast(f.dataType) if names[f.name] in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema])
 
 
-def scan(spark: SparkSession, root: str, table: str, terms: Sequence[int] | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+def scan(spark: SparkSession, root: str, table: str, terms: Sequence[int] | None = None, columns: Sequence[str] | None = None, foreign: bool = False) -> DataFrame:
     """A table of the data set, some terms or all (None), some columns or all; empty if the path isn't there.
 
-    The term is a partition column, so other terms' files aren't read; columns are pruned down to the files.
+    The term is a partition column, so other terms' files aren't read; columns are pruned down to the files. The schema
+    is the declared one, so no file is opened to plan a scan; columns that a file lacks are null. Files of other types
+    than declared are foreign: their own schemas are merged, from the footers of all files, and cast. Open tables are
+    read like that too, as only the files know their columns.
     """
     path, schema = f"{root}/{table}", SCHEMAS[table]
     if not exists(spark, path):
         df = empty(spark, table)
-    else:
+    elif foreign or table in OPEN:
         found = spark.read.option("mergeSchema", "true").parquet(path)
         if table in OPEN:
             known = {n.lower() for n in schema.names}
             schema = T.StructType([*schema.fields, *(T.StructField(f.name.lower(), f.dataType) for f in found.schema if f.name.lower() not in known)])
         df = conformed(found, schema)
+    else:
+        df = spark.read.schema(schema).parquet(path).select(*schema.names)
     if terms is not None and table in PARTITIONS:
         df = df.where(F.col(PARTITIONS[table]).isin(*terms))
     known = [c for c in columns or [] if c in schema.names]
