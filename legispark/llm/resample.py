@@ -127,37 +127,33 @@ def noise(id_: Column, seed: str = SEED) -> Column:
     return F.floor(-1000 * F.log(-F.log(uniform))).cast("long")
 
 
-def _place(rows: DataFrame, column: str, k: int, highest: bool) -> tuple[int, int]:
-    """The value of the k-th row of rows by a whole-number column, from the highest or the least, and how many rows of that value are to be taken."""
-    least, most = rows.agg(F.min(column), F.max(column)).first()
+def _place(rows: DataFrame, column: str, k: int, highest: bool) -> tuple[int, int, int]:
+    """Of rows ordered by a whole-number column, from the highest or the least: the value of the k-th, how many of its value are among the first k, and how many there are."""
     sign = -1 if highest else 1
-    low, high = sorted((sign * least, sign * most))  # the place lies in low..high, ascending
-    value, below = sign * F.col(column), 0
-    while low < high:
-        pivots = sorted({low + (high - low) * i // (PIVOTS + 1) for i in range(1, PIVOTS + 1)} | {low})
-        counts = rows.agg(*[F.count_if(value <= F.lit(p)).alias(f"n{i}") for i, p in enumerate(pivots)]).first()
-        first = next((i for i, n in enumerate(counts) if n >= k), None)
-        if first is None:
-            low = pivots[-1] + 1
-        else:
-            low, high = (pivots[first - 1] + 1 if first else low), pivots[first]
-    below = rows.agg(F.count_if(value < F.lit(low))).first()[0]
-    return sign * low, k - below
+    value, (least, most) = sign * F.col(column), rows.agg(F.min(column), F.max(column)).first()
+    low, high = sorted((sign * least, sign * most))  # the place lies in low..high
+    while True:
+        pivots = sorted({low + (high - low) * i // (PIVOTS + 1) for i in range(PIVOTS + 2)})
+        counts = rows.agg(*[F.count_if(value <= F.lit(p)).alias(f"n{i}") for i, p in enumerate(pivots)], F.count_if(value < F.lit(low)).alias("below")).first()
+        first = next(i for i, n in enumerate(counts) if n >= k)
+        before = counts[first - 1] if first else counts["below"]
+        if not first or pivots[first - 1] + 1 == pivots[first]:
+            return sign * pivots[first], k - before, counts[first] - before
+        low, high = pivots[first - 1] + 1, pivots[first]
 
 
 def highest(rows: DataFrame, k: int) -> DataFrame:
     """Of rows (_score, _order, _row, all long, _row a row's own number) the k of highest score; ties go to the least _order, then _row."""
-    if k <= 0:
-        return rows.where(F.lit(False))
-    tied, taken = rows, F.lit(False)
-    for column, from_top in (("_score", True), ("_order", False), ("_row", False)):
-        cut, k = _place(tied, column, k, from_top)
-        beyond = F.col(column) > cut if from_top else F.col(column) < cut
-        same = F.col(column) == cut
-        taken = (taken, beyond, same) if column == "_score" else (*taken, beyond, same)
-        tied = tied.where(same)
-    _, over, equal, before, there, first, last = taken
-    return rows.where(over | (equal & (before | (there & (first | last)))))
+    taken, tied = F.lit(False), F.lit(True)
+    if k > 0:
+        for column, from_top in (("_score", True), ("_order", False), ("_row", False)):
+            cut, k, n = _place(rows.where(tied), column, k, from_top)
+            taken = taken | (tied & (F.col(column) > cut if from_top else F.col(column) < cut))
+            tied = tied & (F.col(column) == cut)
+            if k == n:  # all that tie are taken
+                taken = taken | tied
+                break
+    return rows.where(taken)
 
 
 def resampled(spark: SparkSession, docs: DataFrame, target: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS, n: int = BUCKETS, longest: int = LONGEST, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text", target_col: str = "text") -> DataFrame:
