@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from legispark.llm.storage import written
 
-QUOTE = r"^[ \t]*(?:>[ \t]?)+"
+#: Possessive, so that Java repeats it in a loop: marks may be any number.
+QUOTE = r"^[ \t]*(?:>[ \t]?)++"
 #: Lines that announce a quote, dropped where a quote follows.
-LEAD = r"(?i)^.{0,200}\b(?:wrote|writes|said|schrieb|escribió|a écrit)\s*:\s*$"
+LEAD = r"(?i)^.*\b(?:wrote|writes|said|schrieb|escribió|a écrit)\s*:\s*$"
 #: Rounds of pointer doubling; each doubles the length of reply chains that are followed to their start.
 MOST_ROUNDS = 40
 #: Turns that are numbered in one window.
@@ -47,8 +48,10 @@ def passages(rows: DataFrame) -> DataFrame:
     inner = F.array_sort(F.collect_list(F.struct("line", "norm")))
     parts = full.groupBy("msg", "conv", "turn", "level", "run", "part").agg(inner.alias("inner"))
     runs = parts.groupBy("msg", "conv", "turn", "level", "run").agg(F.array_sort(F.flatten(F.collect_list("inner"))).alias("whole"), F.collect_list("inner").alias("parts"))
-    single = F.transform("whole", lambda x: F.array(x))
-    runs = runs.select("msg", "conv", "turn", "level", F.explode(F.array_distinct(F.concat(F.array("whole"), F.col("parts"), single))).alias("x"))
+    none = F.slice("parts", 1, 0)
+    some = F.when(F.size("parts") > 1, F.filter("parts", lambda x: F.size(x) > 1)).otherwise(none)  # a single part is the run, a part of one line is that line
+    single = F.when(F.size("whole") > 1, F.transform("whole", lambda x: F.array(x))).otherwise(none)
+    runs = runs.select("msg", "conv", "turn", "level", F.explode(F.concat(F.array("whole"), some, single)).alias("x"))
     return runs.select("msg", "conv", "turn", "level", F.sha2(F.array_join(F.col("x.norm"), " "), 256).alias("hash"), F.col("x.line").alias("lines"))
 
 
@@ -61,7 +64,9 @@ def reply_links(rows: DataFrame) -> DataFrame:
     """
     found = passages(rows).where("conv is not null and turn is not null")
     own = found.select("conv", "turn", "level", "hash").distinct()
-    quoted = found.where("level > 0").select("conv", "hash", F.explode(F.sequence(F.lit(0), F.col("level") - 1)).alias("from_level"), "turn", "msg", "level", "lines", F.lit(None).cast("long").alias("from_turn"))
+    levels = own.groupBy("conv", "hash").agg(F.collect_set("level").alias("levels"))  # at which a passage occurs, not all up to the quote's
+    quoted = found.where("level > 0").join(levels, ["conv", "hash"])
+    quoted = quoted.select("conv", "hash", F.explode(F.filter("levels", lambda x: x < F.col("level"))).alias("from_level"), "turn", "msg", "level", "lines", F.lit(None).cast("long").alias("from_turn"))
     origin = own.select("conv", "hash", F.col("level").alias("from_level"), "turn", F.lit(None).cast("string").alias("msg"), F.lit(None).cast("int").alias("level"), F.lit(None).cast("array<int>").alias("lines"), F.col("turn").alias("from_turn"))
     # the latest earlier turn in one sorted pass, as a common passage would join with all its quotes
     earlier = Window.partitionBy("conv", "hash", "from_level").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
@@ -95,7 +100,8 @@ def conversations(spark: SparkSession, messages: DataFrame) -> DataFrame:
     length of the chain. position numbers a conversation's messages from 0 by thread, turn, text: every reply follows
     what it replies to. Quoted lines and a line that announces them are dropped, the rest is trimmed. Null texts are
     empty; null conversations or turns link with nothing and their messages are ordered first. Messages that repeat a
-    turn share its links and each have a row. An empty table gives an empty result. Other columns are ignored.
+    turn share its links and each have a row. A text of any length is split in one task, and quoted at any number of levels. An empty table gives an
+    empty result. Other columns are ignored.
     """
     rows = messages.select(F.col("conv_id").cast("long").alias("conv"), F.col("turn").cast("long").alias("turn"), "role", "text")
     rows = rows.withColumn("msg", F.sha2(F.to_json(F.struct("conv", "turn", "role", "text")), 256))  # no two rows of different fields have one
