@@ -43,10 +43,14 @@ NAMES = {
 }
 #: Words after these in a name say what a layout has or lacks, not what the element is.
 MODIFIERS = {"has", "with", "no", "without"}
+#: Words that say what a thing is like, not what it is; a compound name counts only if all its other words are known.
+PLAIN = {"site", "page", "global", "primary", "secondary", "left", "right", "bottom", "upper", "lower", "inner", "outer", "box", "bar", "block", "area", "wrap", "wrapper", "container", "list", "item", "items", "section", "column", "col", "row", "button", "buttons", "icons", "slot", "unit", "form", "field", "posts", "articles", "stories", "media", "center", "fixed", "sticky", "mobile", "desktop"}
 #: Names and elements of lists of short texts, which may be articles themselves.
 LISTS = {"comment", "comments", "disqus", "reply", "replies", "related", "recommended", "promo", "sponsor", "sponsored", "ad", "ads", "advert", "adverts", "advertisement", "newsletter", "aside", "nav", "footer", "menu", "dialog"}
 #: An element of this weight or less, or hidden, is boilerplate whatever holds it.
 BOILERPLATE, HIDDEN, NOTHING = -2.4, -3.0, -20.0
+#: What all blocks get on a page without any element for content.
+BARE = 0.6
 #: Log odds at most, of either sign.
 MOST_ODDS = 20.0
 NAME_WEIGHT = {name: w for w, names in NAMES.items() for name in names}
@@ -54,10 +58,11 @@ BIAS, PER_LINK, PER_WORD, MOST_WORDS, PER_STOP = -0.6, -1.6, 0.03, 40, 0.3
 #: Edges: to the block before, for steps between the two in the tree; what entering or leaving boilerplate counts as in steps; to the last of its kind.
 ADJACENT, BOUNDARY, KIN = 2.4, 8, 0.4
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+_OPENING = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][a-zA-Z0-9:-]*))", re.S)
+_MARK = re.compile(r"[>\"']")
 _END_OF = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I) for name in RAW}
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _PART = re.compile(r"[a-z0-9]+")
 _SPACE = re.compile(r"\s+")
 _STOP = re.compile(r"[.!?…:;](?:\s|$)")
@@ -77,14 +82,43 @@ class Block:
         return _SPACE.sub(" ", html.unescape("".join(self.parts))).strip()
 
 
+class Tags:
+    """Finds a page's tags, in one pass: a quote opens an attribute's value after a = alone, and if it is closed; a tag that isn't closed ends with the page."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.quotes = {'"': True, "'": True}  # whether any may still come
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """From there on: start, end, whether it is an end tag, name (lowered; empty for comments and the like), attributes."""
+        m = _OPENING.search(self.page, at)
+        if not m or not m[2]:
+            return m and (m.start(), m.end(), False, "", "")
+        at = m.end()
+        while mark := _MARK.search(self.page, at):
+            at = mark.end()
+            if mark[0] == ">":
+                return m.start(), at, bool(m[1]), m[2].lower(), self.page[m.end() : at - 1]
+            before = mark.start() - 1
+            while before > m.end() and self.page[before].isspace():
+                before -= 1
+            if self.quotes[mark[0]] and self.page[before] == "=":
+                close = self.page.find(mark[0], at)
+                self.quotes[mark[0]] = close >= 0
+                at = close + 1 if close >= 0 else at
+        return m.start(), len(self.page), bool(m[1]), m[2].lower(), self.page[m.end() :]
+
+
 def _names(tag: str, attributes: str) -> set[str]:
-    """Known words of an element's classes, id and roles."""
+    """Known words of an element's classes, id and roles: whole names, and compounds that are nothing else."""
     names: set[str] = set()
     if "=" in attributes and tag not in ("html", "body"):
         for m in _NAMED.finditer(attributes):
             for word in (m[1] or m[2] or m[3] or "").lower().split():
                 parts = _PART.findall(word)
-                names.update(parts[: next((k for k, part in enumerate(parts) if part in MODIFIERS), len(parts))])
+                parts = parts[: next((k for k, part in enumerate(parts) if part in MODIFIERS), len(parts))]
+                if all(part in NAME_WEIGHT or part in PLAIN or part.isdigit() for part in parts):
+                    names.update(parts)
     return names & NAME_WEIGHT.keys()
 
 
@@ -117,13 +151,15 @@ def _weigh(nodes: list[tuple[int, str, str]], found: list[Block]) -> None:
     names = [_names(tag, attributes) for _, tag, attributes in nodes]
     wrappers = _wrappers(nodes, names, sizes)
     weights, bad = [0.0] * len(nodes), [0] * len(nodes)
+    if not any(sizes[k] and (nodes[k][1] in CONTAINERS or any(NAME_WEIGHT[n] > 0 for n in names[k])) for k in range(len(nodes))):
+        weights[0] = BARE
     for k, (up, tag, attributes) in enumerate(nodes[1:], 1):
         place = PLACES.get(tag, 0.0)
         known = [NAME_WEIGHT[n] for n in names[k]]
         named = min(known) if known and min(known) < 0 else max(known, default=0.0)
-        if k in wrappers:
+        if k in wrappers or tag == "form" and 2 * sizes[k] > sizes[0]:  # a page within one form
             place, named = 0.0 if tag == "form" else place, max([w for w in known if w > 0], default=0.0)
-        hidden = HIDDEN if "=" in attributes and tag not in ("html", "body") and _HIDDEN.search(attributes) else 0.0
+        hidden = HIDDEN if tag not in ("html", "body") and _HIDDEN.search(attributes) else 0.0
         own = NOTHING if tag in NEVER else min(place, 0.0) + min(named, 0.0) + hidden
         if tag in NEVER or min(place, named, hidden) <= BOILERPLATE:
             weights[k], bad[k] = min(weights[up], 0.0) + own, k
@@ -154,12 +190,14 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     nodes = [(0, "", "")]  # number of the element above, name, attributes
     stack: list[tuple[str, int]] = [("", 0)]  # name, number
+    inside = {0}  # numbers of the open elements
     opened: Counter[str] = Counter()
     at, current = 0, None
 
     def close(k: int) -> None:
         """Ends the k-th open element and all within it."""
         opened.subtract(name for name, _ in stack[k:])
+        inside.difference_update(n for _, n in stack[k:])
         del stack[k:]
 
     def add(text: str) -> None:
@@ -172,25 +210,29 @@ def blocks(page: str) -> list[Block]:
             near = next((s for s in reversed(stack) if s[0] in BLOCKS), stack[0])
             current = Block(near[1], stack[-1][1], near[0])
             out.append(current)
+        if not text.isspace():
+            while current.node not in inside:  # the least element that holds all of the block's text
+                current.node = nodes[current.node][0]
         current.parts.append(text)
         if opened["a"]:
             current.linked += len(text)
 
-    while m := _MARKUP.search(page, at):
-        add(page[at : m.start()])
-        at = m.end()
-        if not m[2]:
+    found = Tags(page)
+    while tag := found.next(at):
+        start, end, ends, name, attributes = tag
+        add(page[at:start])
+        at = end
+        if not name:
             continue
-        name = m[2].lower()
         if name in BLOCKS:
             current = None
-        if m[1]:
+        if ends:
             if opened[name]:
                 close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name))
             continue
-        if name in RAW and not (m[3].endswith("/") and any(s[0] in FOREIGN for s in stack)):
-            end = _END_OF[name].search(page, at)
-            at = end.end() if end else len(page)
+        if name in RAW and not (attributes.endswith("/") and any(opened[x] for x in FOREIGN)):
+            over = _END_OF[name].search(page, at)
+            at = over.end() if over else len(page)
             continue
         if name in VOID:
             continue
@@ -205,11 +247,12 @@ def blocks(page: str) -> list[Block]:
                 close(k)
             elif stack[k][0] in BLOCKS and stack[k][0] not in TEXT_BLOCKS:
                 break
-        if m[3].endswith("/"):
+        if attributes.endswith("/"):
             continue
         opened[name] += 1
-        nodes.append((stack[-1][1], name, m[3]))
+        nodes.append((stack[-1][1], name, attributes))
         stack.append((name, len(nodes) - 1))
+        inside.add(len(nodes) - 1)
     add(page[at:])
     _weigh(nodes, out)
     return out

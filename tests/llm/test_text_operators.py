@@ -743,6 +743,33 @@ def noisy_page(rng):
     return "".join(out), " ".join(want)
 
 
+@pytest.mark.parametrize(("page", "want"), [
+    ("<article><p><label>Note</label> The rain in Spain stays mainly in the plain.</p><p>It did so for days on end.</p></article>", "Note The rain in Spain stays mainly in the plain. It did so for days on end."),
+    ("<article><p><span class=share>Share</span> The council met on Monday and agreed on a plan.</p></article>", "Share The council met on Monday and agreed on a plan."),
+    ("<article><p>The council met on Monday and agreed on a plan.</p><p><span class=share>Share this</span></p></article>", "The council met on Monday and agreed on a plan."),
+    ("<article><section id='social-policy'><p>Policy is a long matter of words.</p></section><div id='notice-period'><p>The notice period is three months.</p></div><div class='related-work'><p>Others have done so before us.</p></div><div id='search-engines'><p>Engines index the web each day.</p></div></article>", "Policy is a long matter of words. The notice period is three months. Others have done so before us. Engines index the web each day."),
+    ("<article><p>The council met on Monday and agreed.</p></article><div class='site-footer'><p>All rights are reserved here.</p></div><div class='cookie-banner'><p>We use cookies on this site.</p></div><div id='ad-slot-2'>Buy now.</div>", "The council met on Monday and agreed."),
+    ("<form id=f><div class='nav-bar'><a href=/>Home</a></div><div class='content'><p>The council met on Monday and agreed.</p><p>It was late when they left the hall.</p></div><div class=footer>Copyright</div></form>", "The council met on Monday and agreed. It was late when they left the hall."),
+    ("<body><h1>News</h1><p>It rained today.</p><p>It will rain tomorrow.</p></body>", "News It rained today. It will rain tomorrow."), ("<p>Hello</p>", "Hello"),
+    ("<article><p>The council met on Monday and agreed.</p><div hidden>Secret words that nobody sees here.</div><p hidden>Nor these ones.</p></article>", "The council met on Monday and agreed."),
+    ("<article><p title=\"a>b\">One two three four five.</p><p data-x='>'>Six seven eight nine.</p><p><a href=x\">link</a> and text. <b class=\"y\">bold</b></p></article>", "One two three four five. Six seven eight nine. link and text. bold"),
+    ("<article><p>One two three four.</p><script>if (a<b && c=\"x) { '</script><p>Five six seven eight.</p></article>", "One two three four. Five six seven eight."),
+])
+def test_blocks_names_and_quotes(page, want):
+    assert extract.main_text(page) == want
+
+
+@pytest.mark.parametrize("part", ["<a ", '<a href="', "<a x='y'", '<a x=" ', "<!--", "<i>a", '<a "', "<p class=x", "<script>"])
+def test_tags_are_found_in_one_pass(part):
+    took = []
+    for n in (2000, 32_000):
+        page = part * n + "'\""
+        begun = time.process_time()
+        extract.main_text(page)
+        took.append(time.process_time() - begun)
+    assert took[1] < 80 * max(took[0], 0.01)
+
+
 def test_noisy_pages():
     """Main texts of nested pages; the classifier alone gets fewer right than the cut."""
     rng = random.Random(1)
@@ -806,6 +833,16 @@ def test_conversations(spark):
     assert quotes.conversations(spark, df.limit(0)).count() == 0
 
 
+def test_deep_and_long_quotes(spark):
+    """Marks by the hundred thousand, and a message of megabytes, are rows like others."""
+    deep, long = ">" * 100_000 + " hello there", "\n".join(f"line {i} of a long message" for i in range(100_000))
+    data = [(1, 0, "user", "hello there"), (1, 1, "user", deep), (1, 2, "user", "> " * 3 + "hello there\nyes"), (2, 0, "user", long), (2, 1, "user", "x" * 5000 + " wrote:\n> line 77 of a long message\nyes")]
+    got = {(r["conv_id"], r["turn"]): r for r in collected(quotes.conversations(spark, spark.createDataFrame(data, "conv_id long, turn long, role string, text string")))}
+    assert got[1, 1]["reply_to"] == 0 and got[1, 1]["n_quoted"] == 1 and got[1, 1]["text"] == ""
+    assert got[1, 2]["reply_to"] == 0 and got[1, 2]["text"] == "yes"
+    assert got[2, 0]["text"] == long and got[2, 1]["reply_to"] == 0 and got[2, 1]["text"] == "yes"
+
+
 def test_quotes_of_parts_of_messages(spark):
     """Some lines, some paragraphs, lines that later turns repeat, and a nested quote whose carrier left it out."""
     talks = {
