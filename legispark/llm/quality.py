@@ -27,6 +27,8 @@ SAMPLE_ROWS, SAMPLE_BYTES = 2000, 1 << 16
 THRESHOLD = 0.7
 #: Text that is scored at once, in bytes.
 SLICE = 2 << 20
+#: Bytes of a longer text that are looked at together; its pieces overlap so that the maxima are those of the whole.
+PIECE = 1 << 20
 #: What each step takes off the filters, so that they keep what many texts share.
 DECAY = 3e-3
 #: The byte that fills short texts up; UTF-8 has no such byte.
@@ -95,7 +97,31 @@ class Network:
     def compared(self, shares: np.ndarray) -> np.ndarray:
         return np.maximum(shares - self.levels, 0) @ self.lags
 
-    def pooled(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    def pooled(self, data: np.ndarray, at: np.ndarray, piece: int = PIECE) -> np.ndarray:
+        """Each filter's largest answer on each text, 0 at least. Long texts go piece by piece: memory doesn't grow with a text."""
+        long = np.flatnonzero(np.diff(at) > piece)
+        parts = [], []
+        for a, b in zip(np.append(0, long + 1), np.append(long, len(at) - 1), strict=True):
+            parts[0].append(self._maxima(data[at[a] : at[b]], at[a : b + 1] - at[a]))
+            parts[1].append(self._of_pieces(data[at[b] : at[b + 1]], piece) if b < len(at) - 1 else np.zeros((0, FILTERS + COMPARING)))
+        return np.concatenate([x for both in zip(*parts, strict=True) for x in both])
+
+    def _of_pieces(self, data: np.ndarray, piece: int) -> np.ndarray:
+        """piece is a multiple of STRIDE and HALF, so chunks start where those of the whole do."""
+        n, best = len(data), np.zeros((1, FILTERS + COMPARING))
+        for s in range(0, n, piece):
+            own = data[min(s, n - WIDTH) : min(n, s + piece + WIDTH - STRIDE)]
+            best[0, :FILTERS] = np.maximum(best[0, :FILTERS], self.answers(own, _chunks(own, np.array([0, len(own)]))[0]).max(axis=0))
+            begin = max(0, s - HALF)  # what the first chunk compares with
+            own = data[begin : min(n, s + piece + HALF)]
+            shares = likeness(own, np.array([0, len(own)]))[0][1 if s else 0 :]
+            if len(shares):
+                best[0, FILTERS:] = np.maximum(best[0, FILTERS:], self.compared(shares).max(axis=0))
+        return best
+
+    def _maxima(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        if len(at) < 2:
+            return np.zeros((0, FILTERS + COMPARING))
         starts, to = _chunks(data, at)
         top = [np.maximum.reduceat(self.answers(data, starts[to[a] : to[b]]), to[a:b] - to[a]) for a, b in _steps(to)]
         shares, to = likeness(data, at)
@@ -211,7 +237,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, most_bytes:
 def scored(spark: SparkSession, docs: DataFrame, model: Network, threshold: float = THRESHOLD, text_col: str = "text", drop_text: bool = True, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
     """docs' columns (the text only if asked for), and score (0 to 1, higher: label 1 likelier), predicted.
 
-    Null and empty texts are scored as filled up to one chunk. Rows that repeat get equal scores; an empty table gives
+    Null and empty texts are scored as filled up to one chunk, long ones piece by piece. Rows that repeat get equal scores; an empty table gives
     an empty result. The new columns, whose names may be given, replace columns of docs that have them.
     """
     shared = spark.sparkContext.broadcast(model)  # fixed size

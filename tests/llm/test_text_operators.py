@@ -558,6 +558,16 @@ def test_quality_learns():
     assert 0.5 < only.score(pa.array(["x"]))[0] < 1
 
 
+def test_quality_of_pieces():
+    """A text in pieces has the maxima of the whole."""
+    rng = random.Random(8)
+    net = quality.train([prose(rng, 50) for _ in range(40)], [i % 2 for i in range(40)], epochs=1)
+    for n in (8, 127, 128, 129, 255, 256, 263, 300, 1000, 4096, 5001):
+        texts = ["short one", prose(rng, 3000, 200)[:n], "", "x" * n, "tail"]
+        data, at = quality._padded(pa.array(texts))
+        assert np.allclose(net.pooled(data, at), net.pooled(data, at, 128), atol=1e-6)
+
+
 def test_quality_sees_the_whole_text():
     model = quality.Network(np.zeros((quality.WIDTH, 256, quality.FILTERS), np.float32), np.zeros((len(quality.LAGS), quality.COMPARING)), np.ones(len(quality.LAGS)), np.zeros(quality.FILTERS + quality.COMPARING), 2.0)
     model.tables[:, ord("%"), 0] = 1
