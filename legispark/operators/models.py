@@ -20,9 +20,9 @@ def kaplan_meier(t: DataFrame, group: str, duration: str, event: str) -> DataFra
     Windows run over a group's distinct times, after aggregation.
     """
     times = t.dropna(subset=[group, duration]).groupBy(group, duration).agg(F.count(F.lit(1)).alias("_n"), F.sum(event).alias("events"))
-    later = Window.partitionBy(group).orderBy(duration).rowsBetween(0, Window.unboundedFollowing)
+    before = Window.partitionBy(group).orderBy(duration).rowsBetween(Window.unboundedPreceding, -1)
     so_far = Window.partitionBy(group).orderBy(duration).rowsBetween(Window.unboundedPreceding, 0)
-    times = times.withColumn("at_risk", F.sum("_n").over(later))
+    times = times.withColumn("at_risk", F.sum("_n").over(Window.partitionBy(group)) - F.coalesce(F.sum("_n").over(before), F.lit(0)))
     left = 1 - F.col("events") / F.col("at_risk")
     times = times.withColumns({"_ln": F.when(left > 0, F.log(left)), "_none": F.when(left > 0, 0).otherwise(1)})
     alive = F.when(F.max("_none").over(so_far) == 1, 0.0).otherwise(F.exp(F.coalesce(F.sum("_ln").over(so_far), F.lit(0.0))))

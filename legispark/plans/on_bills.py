@@ -8,6 +8,7 @@ from legispark.functions import vocabulary as V
 from legispark.operators import checks, models, stats, tables
 from legispark.plans.bills import lite_summary, timeline
 from legispark.plans.bindings import BILLS, COMMITTEE, LAW, LIFE, SCORES, bills, committee, lifecycle, query, read, rounded, scores
+from legispark.sources.kept import kept
 
 KINDS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 STATUS = ["F", "O", "P"]
@@ -291,7 +292,7 @@ def sponsor_extremism(spark, d):
     """Bills with their sponsor's score of the same term, by how far it is from the middle."""
     points = scores(spark, d).select(F.col("member").alias("sponsor"), "term", F.abs(F.col("aligned") - 5).alias("extremism"))
     rows = lifecycle(spark, d).join(points, ["sponsor", "term"])
-    rows = stats.quantile_bins(rows, "extremism", 10)
+    rows = stats.quantile_bins(kept(rows.select("extremism", "enacted", "days_to_proc"), "extremism"), "extremism", 10)  # read thrice
     out = rows.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.avg("extremism").alias("mean_extremism"), F.avg("enacted").alias("enacted_rate"))
     return rounded(stats.with_median(out, rows, ["bin"], "days_to_proc", "median_days"))
 

@@ -172,3 +172,73 @@ def ideal_points(spark, d):
     t = votes(spark, d).select("term", F.col("item").alias("bill_id"), F.col("member").cast("string").alias("member_id"), _coded(CAST, "vote").alias("vote"))
     out = vote_plans.ideal_points(t, [1996, 1997, 1998], 1998)
     return rounded(out.select("term", "member_id", "score", "rounds", "aligned"), 4)
+
+
+@query(f"WITH {SCORES} SELECT member, term, party, aligned, rank() OVER (PARTITION BY term ORDER BY aligned DESC) + (count(*) OVER (PARTITION BY term, aligned) - 1) // 2 AS rank, count(*) OVER (PARTITION BY term) AS group_size FROM scores QUALIFY contains(lower(party), '_1') AND term >= 1997")
+def ideology_rows(spark, d):
+    """Rows of the ideology table's plan, found by part of a party's name, of two terms."""
+    points = scores(spark, d).select(F.col("member").alias("member_id"), F.col("member").cast("string").alias("member_name"), "term", "party", "aligned")
+    out = vote_plans.ideology_table(points, party="_1")
+    return out.where("term >= 1997").select(F.col("member_id").alias("member"), "term", "party", "aligned", "rank", "group_size")
+
+
+@query("SELECT c_mktsegment AS party, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, c_mktsegment)::INT AS shown FROM customer GROUP BY c_mktsegment UNION ALL SELECT '무소속', count(*), 0 FROM supplier")
+def party_legend(spark, d):
+    """Parties in display order through the plan: a known family before the segments, these by number and name."""
+    points = read(spark, d, "customer").select(F.col("c_mktsegment").alias("party")).unionByName(read(spark, d, "supplier").select(F.lit("무소속").alias("party")))
+    return ranks.numbered(vote_plans.party_legend(points), ["place", F.desc("n"), "party"]).select("party", "n", (F.col("number") - 1).cast("int").alias("shown"))
+
+
+@query("""WITH s AS (SELECT event_id, user_id AS meeting_id, month(ts)::INT AS term, event_type, ts::DATE AS date FROM events), m AS (SELECT DISTINCT month(o_orderdate)::INT AS term, o_orderdate::DATE + INTERVAL 8766 DAY AS date FROM orders),
+b AS (SELECT term, date::DATE AS date FROM m)
+SELECT 'speeches' AS part, term, event_type AS kind, count(DISTINCT meeting_id) AS a, count(*) AS b FROM s GROUP BY term, event_type
+UNION ALL SELECT 'hearings', term, NULL, count(DISTINCT (meeting_id, date)), count(*) FROM s GROUP BY term
+UNION ALL SELECT 'overlap', term, NULL, count(x), count(CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN 1 END) FROM (SELECT DISTINCT term, date, 1 AS x FROM s) FULL JOIN (SELECT DISTINCT term, date, 1 AS y FROM b) USING (term, date) GROUP BY term""")
+def speech_linkage(spark, d):
+    """Events as speeches through the linkage plan: per term and kind, hearings, and dates shared with committee meetings (orders' dates, moved)."""
+    s = read(spark, d, "events").select(F.col("user_id").alias("meeting_id"), F.month("ts").alias("term"), F.to_date("ts").alias("date"), F.lit("c").alias("committee"), F.col("event_type").alias("hearing_type"), F.col("event_id").alias("speaker"), F.lit("p").alias("party"))
+    meetings = read(spark, d, "orders").select(F.month("o_orderdate").alias("age"), F.date_add(F.to_date("o_orderdate"), 8766).alias("jrcmit_conf_dt"))
+    found = vote_plans.link_speeches(s, meetings)
+    row = lambda part, t, kind, a, b: t.select(F.lit(part).alias("part"), "term", kind.cast("string").alias("kind"), a.cast("long").alias("a"), b.cast("long").alias("b"))
+    hearings = found["hearings"].groupBy("term").agg(F.count_distinct("meeting_id", "date").alias("a"), F.sum("n_speeches").alias("b"))
+    out = row("speeches", found["speeches"], F.col("hearing_type"), F.col("n_meetings"), F.col("n_speeches"))
+    return out.unionByName(row("hearings", hearings, F.lit(None), F.col("a"), F.col("b"))).unionByName(row("overlap", found["overlap"], F.lit(None), F.col("n_left"), F.col("n_both")))
+
+
+@query(f"""WITH {VOTES}, seats AS (SELECT member, list_sort(list(DISTINCT term)) AS terms FROM votes GROUP BY member)
+SELECT member::VARCHAR AS mona_cd, '{{}}' || member AS member_name, 1997 AS age, 'p' || (list_position(terms, 1997) - 1 + member) AS party FROM seats WHERE list_contains(terms, 1997)""".replace("'{}' || member", "'M' || member"))
+def members_of_term(spark, d):
+    """Members of one term out of a feed with lists of terms and parties, through the plan."""
+    seats = votes(spark, d).groupBy("member").agg(F.array_sort(F.collect_set("term")).alias("terms"))
+    label = F.array_join(F.transform("terms", lambda t: F.concat(F.lit("제"), t.cast("string"), F.lit("대"))), ", ")
+    party = F.array_join(F.transform("terms", lambda t, i: F.concat(F.lit("p"), (i + F.col("member")).cast("string"))), "/")
+    blank = [F.lit("").alias(c) for c in (*V.MEMBER_FEED, *V.MEMBER_LISTS) if c not in ("NAAS_CD", "NAAS_NM", "PLPT_NM")]
+    feed = seats.select(F.col("member").cast("string").alias("NAAS_CD"), F.concat(F.lit("M"), F.col("member").cast("string")).alias("NAAS_NM"), label.alias(V.MEMBER_TERMS), party.alias("PLPT_NM"), *blank)
+    return vote_plans.members_of_term(feed, 1997).select("mona_cd", "member_name", "age", "party")
+
+
+@query(f"""WITH {VOTES}, s AS (SELECT item, term, vote, {NAMED} AS name FROM votes)
+SELECT item AS meeting_id, dense_rank() OVER (PARTITION BY item ORDER BY term)::INT AS vote_event, {_case(CAST, "vote")} AS vote, name AS member_name, '1.제' || term || '호 결의안' AS bill_context FROM s""")
+def appendix_votes(spark, d):
+    """Each meeting's votes as an appendix, headers spaced and in wide brackets, an event for each year; parsed in the style of appendices."""
+    spaced = {k: " ".join(h) for k, h in HEADER.items()}
+    groups = votes(spark, d).groupBy("item", "term", "vote").agg(F.array_join(F.array_sort(F.collect_list(named())), " ").alias("names"), F.count(F.lit(1)).alias("n"))
+    line = F.concat(_coded(spaced, "vote"), F.lit(" （"), F.col("n").cast("string"), F.lit(" 인）\n"), "names")
+    speech = groups.groupBy("item", "term").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("body"))
+    head = F.concat(F.lit("1.제"), F.col("term").cast("string"), F.lit("호 결의안\n"))
+    speech = speech.select(F.col("item").alias("meeting_id"), "term", F.make_date("term", F.lit(1), F.lit(1)).alias("date"), F.col("term").alias("speech_order"), F.lit(V.PLENARY).alias("hearing_type"), F.concat(head, "body").alias("speech_text"))
+    return vote_plans.parse_speeches(speech, "appendix", []).select("meeting_id", "vote_event", "vote", "member_name", "bill_context")
+
+
+@query(f"WITH {SCORES} SELECT 'csv' AS source, member::VARCHAR AS member_id, term, round(aligned, 6) AS aligned FROM scores UNION ALL SELECT 'json', o_orderkey::VARCHAR, year(o_orderdate)::INT, round(o_totalprice, 6) FROM orders")
+def files_read_back(spark, d):
+    """Scores as CSV, one folder for all terms, and bills as an array in JSON, written and read back by the scans; the sign is turned twice."""
+    root = kept_path(spark, "files")
+    points = scores(spark, d).select(F.col("member").cast("string").alias("member_id"), "term", (-F.col("aligned")).alias("coord1D"), F.lit(None).cast("double").alias("se1D"), F.lit(None).cast("string").alias("member_name"), "party")
+    sinks.score_files(points, root, "term", [1998])
+    csv = scan.scores(spark, f"{root}/ideal_points_all").select(F.lit("csv").alias("source"), "member_id", "term", "aligned")
+    t = bills(spark, d).select(F.col("bill_id").cast("string").alias("bill_id"), F.col("term").cast("string").alias("age"), "price")
+    sinks.charts({"proposals": t}, root)
+    lines = spark.read.schema("bill_id string, age string, price double").json(f"{root}/proposals")
+    json = lines.select(F.lit("json").alias("source"), F.col("bill_id").alias("member_id"), F.col("age").try_cast("int").alias("term"), F.col("price").alias("aligned"))
+    return rounded(csv.unionByName(json))
