@@ -86,7 +86,7 @@ def distribution(t: DataFrame, by: Sequence[str], value: str, probs: Sequence[fl
     spread = F.sqrt(F.try_divide(F.sum(many * (v - F.col("_mean")) ** 2), F.max("_n") - 1)).alias("sd")
     found = rows.groupBy(*by).agg(F.max("_n").alias("_n"), F.max("_mean").alias("mean"), spread, F.min(value).alias("least"), F.max(value).alias("greatest"), *ends)
     low, high = ([F.col(f"_{side}{i}") for i in range(len(probs))] for side in ("low", "high"))
-    parts = [F.when(a == F.floor(a), lo).otherwise((F.ceil(a) - a) * lo + (a - F.floor(a)) * hi) for a, lo, hi in zip(at, low, high, strict=True)]
+    parts = [lo + (a - F.floor(a)) * (hi - lo) for a, lo, hi in zip(at, low, high, strict=True)]  # between equal values it is exactly these
     return found.select(*by, F.coalesce("_n", F.lit(0)).alias("n"), "mean", "sd", "least", "greatest", F.array(*parts).alias("percentiles"))
 
 
