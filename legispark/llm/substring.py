@@ -7,7 +7,7 @@ as long as a passage at least, merge into maximal intervals of words.
 
 Within a slice only the windows of a hash's least document are sent; the others repeat it already. So a passage that
 many documents share arrives once from each slice, not once from each document. Windows travel as packed numbers, about
-ten bytes each.
+fourteen bytes each.
 """
 
 from __future__ import annotations
@@ -31,21 +31,20 @@ from legispark.llm.storage import written
 WINDOW = 50
 #: Text of one slice, and text whose windows meet in one range of hashes, in bytes.
 SLICE, RANGE = 8 << 20, 12 << 20
-#: An odd multiplier of the rolling hash, and its inverse modulo 2**64.
-BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 1 << 64)
+#: Odd multipliers of the rolling hash and of the one that checks it.
+BASE, CHECK_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
 
-def windows(code: np.ndarray, window: int = WINDOW) -> np.ndarray:
+def windows(code: np.ndarray, window: int = WINDOW, base: int = BASE) -> np.ndarray:
     """The hash of each run of so many words, from 64-bit hashes of the words, by prefix sums modulo 2**64."""
     n = len(code)
     if n < window:
         return np.zeros(0, np.uint64)
-    power = np.full(n, INVERSE, np.uint64)
+    power = np.full(n, pow(base, -1, 1 << 64), np.uint64)
     power[0] = 1
-    power = np.cumprod(power)  # BASE**-i
+    power = np.cumprod(power)  # base**-i
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code * power)])
-    back = np.full(n - window + 1, BASE, np.uint64)
+    back = np.full(n - window + 1, base, np.uint64)
     back[0] = 1
     return T.mixed((total[window:] - total[:-window]) * np.cumprod(back))
 
@@ -75,27 +74,33 @@ class Slice:
         data, bounds = T.raw(text)
         self.prints = np.array([zlib.crc32(data[bounds[i] : bounds[i + 1]]) for i in np.flatnonzero(full)], np.int64)
         self.starts, self.sizes = at[:-1][full], np.diff(at)[full] - window + 1  # of windows
-        found = windows(T.mixed(T.hashed(known))[code], window)
+        coded = T.mixed(T.hashed(known))
+        found, check = windows(coded[code], window), windows(T.mixed(~coded)[code], window, CHECK_BASE)
         self.spot = T.spread(self.starts, self.sizes)
         self.doc = np.repeat(np.arange(len(self.ids)), self.sizes)
-        self.hash = found[self.spot] if len(self.spot) else np.zeros(0, np.uint64)
+        self.hash = found[self.spot] if len(self.spot) else found[:0]
+        self.check = (check[self.spot] >> np.uint64(32)).astype(np.uint32) if len(self.spot) else np.zeros(0, np.uint32)
         self.words = np.diff(at)[full]
         self.name = int.from_bytes(hashlib.blake2b(np.stack([self.ids, self.prints]).tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _later(hashes: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Whether each entry has one of the same hash and a smaller id."""
-    order = np.argsort(hashes, kind="stable")
-    ranked = hashes[order]
-    head = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else np.zeros(0, np.int64)
+def _later(hashes: np.ndarray, checks: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Whether each entry has one of the same hash and check and a smaller id."""
     out = np.zeros(len(hashes), bool)
-    if len(head):
-        least = np.minimum.reduceat(ids[order], head)
-        out[order] = ids[order] > np.repeat(least, np.diff(np.append(head, len(ranked))))
+    if not len(hashes):
+        return out
+    order = np.argsort(hashes, kind="stable")
+    again = hashes[order[1:]] == hashes[order[:-1]]
+    if (again & (checks[order[1:]] != checks[order[:-1]])).any():  # unlike windows of one hash
+        order = np.lexsort((checks, hashes))
+        again = (hashes[order[1:]] == hashes[order[:-1]]) & (checks[order[1:]] == checks[order[:-1]])
+    head = np.flatnonzero(np.concatenate([[True], ~again]))
+    least = np.minimum.reduceat(ids[order], head)
+    out[order] = ids[order] > np.repeat(least, np.diff(np.append(head, len(order))))
     return out
 
 
-_DEALT = "part int, slice long, ids binary, counts binary, spots binary, hashes binary"
+_DEALT = "part int, slice long, ids binary, counts binary, spots binary, hashes binary, checks binary"
 
 
 def _dealt(parts: int, window: int, limit: int):
@@ -109,9 +114,9 @@ def _dealt(parts: int, window: int, limit: int):
             s = Slice(batch, window)
             if not len(s.hash):
                 continue
-            gone = _later(s.hash, s.ids[s.doc])
+            gone = _later(s.hash, s.check, s.ids[s.doc])
             table = np.stack([s.ids, s.prints, s.starts, s.words])
-            rows = [(abs(s.name) % parts, s.name, _packed(table.ravel()), b"", _packed(s.spot[gone]), None)]
+            rows = [(abs(s.name) % parts, s.name, _packed(table.ravel()), b"", _packed(s.spot[gone]), None, None)]
             left = np.flatnonzero(~gone)
             part = ((s.hash[left] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
             order = np.argsort(part.astype(np.uint16 if parts <= 1 << 16 else np.int64), kind="stable")
@@ -119,9 +124,9 @@ def _dealt(parts: int, window: int, limit: int):
             for p in np.flatnonzero(np.diff(bounds)):
                 own = left[bounds[p] : bounds[p + 1]]
                 doc, count = np.unique(s.doc[own], return_counts=True)
-                rows.append((int(p), s.name, _packed(s.ids[doc]), _packed(count), _packed(s.spot[own]), s.hash[own].tobytes()))
+                rows.append((int(p), s.name, _packed(s.ids[doc]), _packed(count), _packed(s.spot[own]), s.hash[own].tobytes(), s.check[own].tobytes()))
             for k in range(0, len(rows), 64):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 64], strict=True), (pa.int32(), pa.int64(), *[pa.binary()] * 4), strict=True)], names=[f.split()[0] for f in _DEALT.split(", ")])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 64], strict=True), (pa.int32(), pa.int64(), *[pa.binary()] * 5), strict=True)], names=[f.split()[0] for f in _DEALT.split(", ")])
 
     return run
 
@@ -137,7 +142,8 @@ def _met(table: pa.Table) -> pa.Table:
     if rows:
         hashes = np.concatenate([np.frombuffer(r["hashes"], np.uint64) for r in rows])
         ids = np.concatenate([np.repeat(_unpacked(r["ids"]), _unpacked(r["counts"])) for r in rows])
-        gone, a = _later(hashes, ids), 0
+        checks = np.concatenate([np.frombuffer(r["checks"], np.uint32) for r in rows])
+        gone, a = _later(hashes, checks, ids), 0
         for r in rows:
             b = a + len(r["hashes"]) // 8
             if gone[a:b].any():
@@ -189,8 +195,8 @@ def deduplicated(spark: SparkSession, docs: DataFrame, window: int = WINDOW, id_
     A word goes if a window that covers it also starts in a document with a smaller id; windows are those of the whole
     input. Null and empty texts have no words and come out empty; texts shorter than a window stay whole. Rows without
     an id neither lose words nor make others lose any; ids are whole numbers, and rows that share one don't repeat each
-    other (texts of one id are told apart by their CRC-32). Windows are compared by 64-bit hashes: n windows hold n**2 /
-    2**65 unlike pairs of one hash, less than one on 30 GB of text. An empty table gives an empty one. A text longer
+    other (texts of one id are told apart by their CRC-32). Windows are compared by a 64-bit hash and a 32-bit check
+    of another base: n windows hold n**2 / 2**97 unlike pairs that agree in both, 0.002 on 100 TB of text. An empty table gives an empty one. A text longer
     than slice_bytes is a slice of its own. Columns of docs named like the new ones are replaced, all others stay.
     """
     spans = intervals(docs, window, id_col, text_col, slice_bytes, range_bytes)

@@ -224,6 +224,17 @@ def test_hashes_of_windows():
     assert len(substring.windows(code[:49], 50)) == 0 and len(substring.windows(code[:50], 50)) == 1
 
 
+def test_unlike_windows_of_one_hash_stay_apart():
+    rng = np.random.default_rng(5)
+    hashes, checks, ids = (rng.integers(0, n, 500).astype(t) for n, t in ((20, np.uint64), (3, np.uint32), (40, np.int64)))
+    got = substring._later(hashes, checks, ids)
+    least = {}
+    for key in zip(hashes.tolist(), checks.tolist(), ids.tolist(), strict=True):
+        least[key[:2]] = min(least.get(key[:2], key[2]), key[2])
+    assert got.tolist() == [i > least[h, c] for h, c, i in zip(hashes.tolist(), checks.tolist(), ids.tolist(), strict=True)]
+    assert not substring._later(hashes[:0], checks[:0], ids[:0]).any()
+
+
 def test_a_passage_that_many_share_travels_once_a_slice(spark):
     passage = prose(random.Random(1), 80, 3000)
     t = spark.range(0, 600, 1, 2).select(F.col("id").alias("doc_id"), F.lit(passage).alias("text"))
