@@ -15,7 +15,7 @@ from legispark.sources.kept import kept, kept_path, removed
 from legispark.sources.sinks import bucketed, dropped
 
 #: A term's scores have converged when a round adds a smaller share to what they explain; rounds after which none goes on.
-TOLERANCE, MOST_ROUNDS = 1e-4, 60
+TOLERANCE, MOST_ROUNDS = 1e-3, 60
 
 
 def matrix(votes: DataFrame, member: str, item: str, vote: str, codes: Mapping[str, int], order: list[str], by: Sequence[str] = ()) -> DataFrame:

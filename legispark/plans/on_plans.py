@@ -168,9 +168,12 @@ def sketched_sponsors(spark, d):
 
 @query()
 def ideal_points(spark, d):
-    """Votes of three years through the plan: contested items, active members, one scaling run, alignment; tested on planted positions instead of SQL."""
-    t = votes(spark, d).select("term", F.col("item").alias("bill_id"), F.col("member").cast("string").alias("member_id"), _coded(CAST, "vote").alias("vote"))
-    out = vote_plans.ideal_points(t, [1996, 1997, 1998], 1998)
+    """Votes of three years through the plan, a month's lines of a number as one roll call: contested items, active members, one scaling run, alignment.
+
+    Tested on planted positions and against numpy instead of SQL.
+    """
+    t = votes(spark, d).select("term", F.concat_ws("_", F.month("date"), "line").alias("bill_id"), F.col("member").cast("string").alias("member_id"), _coded(CAST, "vote").alias("vote"))
+    out = vote_plans.ideal_points(t, [1996, 1997, 1998], 1998, iters=12)
     return rounded(out.select("term", "member_id", "score", "rounds", "aligned"), 4)
 
 
