@@ -3,7 +3,8 @@
 The sketch (Dahlgaard, Knudsen and Thorup, 2017) throws every shingle into one of t bins, round after round, and keeps
 each bin's least (round, value); rounds t to 2t - 1 throw everything into one bin each, so all bins fill. Rows of bins
 are hashed to bands. Exact copies of a set are one node. A bucket of few nodes is paired; a larger one is dealt in
-chunks over tasks that intersect whole sets and return only the links of a spanning forest.
+chunks over tasks that intersect whole sets and return only the links of a spanning forest. Chunks differ from bucket
+to bucket, so these links join most groups whole; what they leave apart in a bucket is then compared across its chunks.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from legispark.llm import text as T
@@ -106,8 +107,8 @@ def similar(n_a: int, n_b: int, both: int, percent: int) -> bool:
     return 100 * both >= percent * (n_a + n_b - both)
 
 
-def forest(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links of a spanning forest of the pairs that are similar: of different sides if two are there, else of any.
+def forest(sets: list[np.ndarray], percent: int, side: np.ndarray | None = None, part: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links of a spanning forest of the pairs that are similar, of different sides only and between parts only if these are given.
 
     Intersections come from products of the sets' incidence matrix, shingles that only one set has left out.
     """
@@ -125,8 +126,10 @@ def forest(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple
         m[row[own], code[own] - a] = 1
         both += m @ m.T
     ok = np.triu(100 * both.astype(np.int64) >= percent * (n[:, None] + n[None, :] - both.astype(np.int64)), 1)
-    if side.any() and not side.all():
+    if side is not None:
         ok &= side[:, None] != side[None, :]
+    part = np.arange(len(sets)) if part is None else np.unique(part, return_inverse=True)[1]
+    ok &= part[:, None] != part[None, :]
     root = list(range(len(sets)))
 
     def find(x: int) -> int:
@@ -137,7 +140,7 @@ def forest(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple
 
     links = []
     for a, b in zip(*np.nonzero(ok), strict=True):
-        x, y = find(int(a)), find(int(b))
+        x, y = find(int(part[a])), find(int(part[b]))
         if x != y:
             root[max(x, y)] = min(x, y)
             links.append((int(a), int(b)))
@@ -168,18 +171,42 @@ def _paired(small: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.select("a", "b", "s", "t").mapInArrow(verify, "a long, b long")
 
 
-def _chunked(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links within buckets of many nodes: each pair of chunks is a task's group of at most about 2 * CHUNK nodes."""
-    chunks = F.ceil(F.col("in_bucket") / CHUNK).cast("long")
-    rows = large.withColumn("c", F.pmod(F.xxhash64("id"), chunks)).withColumn("d", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
-    rows = rows.select("key", F.least("c", "d").alias("i"), F.greatest("c", "d").alias("j"), (F.col("c") > F.col("d")).alias("side"), "id").join(sets, "id")
+def _chunks(nodes: str, by: str) -> Column:
+    """A node's chunk among those of so many nodes, other ones in each bucket."""
+    return F.pmod(F.xxhash64(by, "key"), F.ceil(F.col(nodes) / CHUNK).cast("long"))
 
-    def link(table: pa.Table) -> pa.Table:
-        ids = table.column("id").to_pylist()
-        found = forest([np.frombuffer(x, np.uint64) for x in table.column("items").to_pylist()], table.column("side").to_numpy(), percent)
-        return pa.table({"a": pa.array([ids[a] for a, _ in found], pa.int64()), "b": pa.array([ids[b] for _, b in found], pa.int64())})
 
-    return rows.select("key", "i", "j", "side", "id", "items").groupBy("key", "i", "j").applyInArrow(link, "a long, b long")
+def _links(table: pa.Table, percent: int) -> pa.Table:
+    ids = table.column("id").to_pylist()
+    side, part = (table.column(c).to_numpy() if c in table.column_names else None for c in ("side", "part"))
+    found = forest([np.frombuffer(x, np.uint64) for x in table.column("items").to_pylist()], percent, side, part)
+    return pa.table({"a": pa.array([ids[a] for a, _ in found], pa.int64()), "b": pa.array([ids[b] for _, b in found], pa.int64())})
+
+
+def _within(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links within the chunks of buckets of many nodes; a bucket sends each of its sets once."""
+    rows = large.select("key", _chunks("in_bucket", "id").alias("c"), "id").join(sets, "id")
+    return rows.select("key", "c", "id", "items").groupBy("key", "c").applyInArrow(lambda t: _links(t, percent), "a long, b long")
+
+
+def _across(wide: DataFrame, sets: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Links between what `known` (node, component) leaves apart in buckets of several chunks.
+
+    Of two such nodes one at least is outside the bucket's largest part. The nodes outside are dealt in chunks too, and
+    each of these meets each chunk of the bucket, so a bucket of one part sends nothing, and one with few nodes outside
+    sends its sets once. Only buckets of unlike sets go by pairs of chunks, as they must.
+    """
+    placed = wide.join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("component", "id"))
+    parts = placed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("m"))
+    most = parts.groupBy("key").agg(F.max(F.struct("m", "part")).alias("most"), F.sum("m").alias("all")).select("key", F.col("most.part").alias("main"), (F.col("all") - F.col("most.m")).alias("outside"))
+    rows = placed.join(most.where("outside > 0"), "key").withColumn("own", F.when(F.col("part") != F.col("main"), _chunks("outside", "id")))
+    rows = rows.withColumns({"c": _chunks("in_bucket", "id"), "chunks": F.ceil(F.col("in_bucket") / CHUNK).cast("long"), "others": F.ceil(F.col("outside") / CHUNK).cast("long")})
+    zero = F.lit(0).cast("long")
+    left = rows.where("own is not null").select("key", F.col("own").alias("i"), F.explode(F.sequence(zero, F.col("chunks") - 1)).alias("j"), F.lit(True).alias("side"), "part", "id")
+    # two nodes outside meet once: in the lesser of their chunks
+    right = rows.select("key", F.explode(F.sequence(zero, F.coalesce("own", F.col("others") - 1))).alias("i"), F.col("c").alias("j"), F.lit(False).alias("side"), "part", "id")
+    met = left.unionByName(right).join(sets, "id").select("key", "i", "j", "side", "part", "id", "items")
+    return met.groupBy("key", "i", "j").applyInArrow(lambda t: _links(t, percent), "a long, b long")
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -238,13 +265,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int = SHINGLE, perc
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([s.tobytes() for s in _sets(batch, k)], pa.binary())], names=["id", "items"])
 
     sets = written(rows.join(wanted, "id", "left_semi").mapInArrow(whole, "id long, items binary"), "sets")
-    links = _paired(met.where(F.col("in_bucket") <= PAIRED), sets, percent).unionByName(_chunked(met.where(F.col("in_bucket") > PAIRED), sets, percent))
+    links = _paired(met.where(F.col("in_bucket") <= PAIRED), sets, percent).unionByName(_within(met.where(F.col("in_bucket") > PAIRED), sets, percent))
     reps = all_.select("id", "n_shingles", "h1", "h2").join(classes.drop("bands"), ["h1", "h2", "n_shingles"], "left").select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("rep")).alias("rep"))
     reps = written(reps, "reps")
     # copies need no links: a class is one node; an id with several texts ties their classes
     several = reps.where("rep is not null").groupBy("id").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most")
     ties = reps.join(several.select("id", "least"), "id").where("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
     found = components(links.unionByName(ties), "links")
+    wide = met.where(F.col("in_bucket") > CHUNK)
+    if not wide.isEmpty():
+        more = written(_across(wide, sets, found, percent), "across")
+        if not more.isEmpty():
+            found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), "links")
     out = reps.join(found.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.coalesce("component", "rep", "id")
     return out.select(F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

@@ -227,6 +227,37 @@ def test_near_duplicates(spark, docs, none, k, monkeypatch):
     assert neardup.near_duplicates(spark, none, k).count() == 0
 
 
+def test_links_across_chunks(spark, monkeypatch):
+    """Sets in one bucket of many chunks: whatever is known before, all that are similar end up joined, and what is joined sends nothing."""
+    monkeypatch.setattr(neardup, "CHUNK", 4)
+    rng = np.random.default_rng(4)
+    bases = [rng.integers(0, 2**63, 60, np.int64).astype(np.uint64) for _ in range(5)]
+    sets = {}
+    for i in range(60):  # groups of 20, 16, 12, 8, and 4, each with two changes
+        own = bases[np.searchsorted([20, 36, 48, 56], i, side="right")].copy()
+        own[rng.integers(0, 60, 2)] = rng.integers(0, 2**63, 2, np.int64).astype(np.uint64)
+        sets[i] = np.unique(own)
+    want = {(a, b) for a, b in combinations(sets, 2) if neardup.similar(len(sets[a]), len(sets[b]), len(np.intersect1d(sets[a], sets[b])), 80)}
+    parent = graph_parts(sets, want)
+    table = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in sets.items()], "id long, items binary")
+    wide = spark.createDataFrame([(7, i, len(sets)) for i in sets], "key long, id long, in_bucket long")
+    whole = {i: p for i, p in parent.items() if i != p}
+    assert len(whole) == 55
+    for known in ({}, {i: p for i, p in whole.items() if i % 3}, whole):
+        found = neardup._across(wide, table, spark.createDataFrame(list(known.items()), "node long, component long"), 80).collect()
+        links = {(min(r.a, r.b), max(r.a, r.b)) for r in found}
+        assert links <= want and graph_parts(sets, links | {(p, i) for i, p in known.items()}) == parent
+        assert bool(links) == (known != whole)
+
+
+def graph_parts(nodes, links):
+    part = {i: i for i in nodes}
+    for a, b in links:
+        x, y = sorted((part[a], part[b]))
+        part = {i: x if p == y else p for i, p in part.items()}
+    return part
+
+
 def test_without_copies(spark, docs):
     left = collected(neardup.without_copies(spark, docs))
     ids = Counter(r["doc_id"] for r in left)
