@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from legispark.functions import vocabulary as V
 from legispark.functions.scalar import recoded
 
-CUT, END = "\u0001", "\u0002"
+CUT, END, REST = "\u0001", "\u0002", 2**31 - 1
 #: Distances in characters: between headers of one vote, and of the last section.
 GAPS = {"inline": 1500, "appendix": 3000}
 LAST = {"inline": 2000, "appendix": 3000}
@@ -19,10 +19,17 @@ NAME = "[가-힣]{2,4}"
 
 
 def _header(style: str, headers: Sequence[str]) -> str:
+    """Looks at one range of first characters before it tries all headers."""
+    firsts = f"(?=[{min(headers)[0]}-{max(headers)[0]}])"
     if style == "inline":
-        return r"(" + "|".join(headers) + r")\s*\((\d+)인\)"
+        return firsts + r"(" + "|".join(headers) + r")\s*\((\d+)인\)"
     spaced = "|".join(r"\s*".join(h) for h in headers)
-    return rf"({spaced})\s*[(（]?\s*(\d+)\s*인\s*[)）]?"
+    return firsts + rf"({spaced})\s*[(（]?\s*(\d+)\s*인\s*[)）]?"
+
+
+def _tail(text: str | Column, n: int) -> Column:
+    """The last n characters. F.right works its text out twice."""
+    return F.substring(text, -n, REST)
 
 
 def _sums(values: str | Column) -> Column:
@@ -30,29 +37,46 @@ def _sums(values: str | Column) -> Column:
     return F.aggregate(values, F.array(F.lit(0)), lambda sums, x: F.array_append(sums, F.element_at(sums, -1) + x))
 
 
-def sections(t: DataFrame, id_cols: Sequence[str], text: str, style: str, headers: Sequence[str] = V.VOTE_HEADERS) -> DataFrame:
-    """A row per vote header: id columns, section (from 1), header, expected, begin (offset from 0), body, event, before.
+def _events(t: DataFrame, id_cols: Sequence[str], text: str, style: str, headers: Sequence[str]) -> DataFrame:
+    """A row per event: id columns, event (from 1), first (its first section), pieces (from a header to the next), is_end (the text's last), before, _begins.
 
-    body runs to the next header of any event, the last one's LAST characters at most. Headers whose distance stays
-    under the gap are one event. before has the CONTEXT characters ahead of the first header of the section's event; no
-    gap is shorter than that, so one piece of text holds them. All is folded over the pieces of a text within its row:
-    texts aren't shuffled, and only sections leave the row.
+    Headers whose distance stays under the gap are one event: a piece longer than that ends its event. No gap is shorter
+    than CONTEXT, so one piece of text holds what stands before an event. All is folded within the text's row, in time
+    that grows with the text; _begins (the offsets of all sections) alone takes longer, and goes where it isn't asked for.
     """
-    marked = F.regexp_replace(F.regexp_replace(F.col(text), f"[{CUT}{END}]", ""), _header(style, headers), f"{CUT}$0{END}")
+    plain = F.replace(F.replace(F.col(text), F.lit(CUT), F.lit("")), F.lit(END), F.lit(""))
+    marked = F.regexp_replace(plain, _header(style, headers), f"{CUT}$0{END}")
     rows = t.select(*id_cols, F.split(marked, CUT).alias("_pieces"))
     rows = rows.withColumn("_begins", _sums(F.transform("_pieces", lambda p, i: F.length(p) - (i > 0).cast("int"))))
     places = F.slice(F.sequence(F.lit(0), F.size("_pieces") - 1), F.lit(2), F.size("_pieces"))  # from 1, none without a header
-    far = lambda i: (F.get("_begins", i) - F.get("_begins", i - 1) >= GAPS[style]) | (i == 1)
-    rows = rows.withColumn("_firsts", F.filter(places, far)).withColumn("_events", _sums(F.transform(places, lambda i: far(i).cast("int"))))
-    section = lambda i: F.struct(
-        i.alias("section"), F.get("_pieces", i).alias("piece"), F.get("_begins", i).alias("begin"), F.get("_events", i).alias("event"), (i == F.size("_pieces") - 1).alias("is_last"),
-        F.right(F.regexp_replace(F.right(F.get("_pieces", F.get("_firsts", F.get("_events", i) - 1) - 1), F.lit(CONTEXT + 1)), END, ""), F.lit(CONTEXT)).alias("before"),
+    rows = rows.withColumn("_firsts", F.filter(places, lambda i: (i == 1) | (F.length(F.get("_pieces", i - 1)) > GAPS[style])))
+    event = lambda first, k: F.struct(
+        (k + 1).alias("event"), first.alias("first"), F.get("_firsts", k + 1).isNull().alias("is_end"),
+        F.slice("_pieces", first + 1, F.coalesce(F.get("_firsts", k + 1), F.size("_pieces")) - first).alias("pieces"),
+        _tail(F.replace(_tail(F.get("_pieces", first - 1), CONTEXT + 1), F.lit(END), F.lit("")), CONTEXT).alias("before"),
     )
-    rows = rows.select(*id_cols, F.explode(F.transform(places, section)).alias("_s")).select(*id_cols, "_s.*")
-    head = F.substring_index("piece", END, 1)
-    body = F.substring("piece", F.length(head) + 2, F.length("piece"))
-    rows = rows.withColumns({"header": F.regexp_replace(F.regexp_extract(head, _header(style, headers), 1), r"\s+", ""), "expected": F.regexp_extract(head, r"(\d+)", 1).try_cast("int"), "body": F.when(F.col("is_last"), F.substring(body, 1, LAST[style])).otherwise(body)})
-    return rows.drop("is_last", "piece")
+    return rows.select(*id_cols, "_begins", F.explode(F.transform("_firsts", event)).alias("_e")).select(*id_cols, "_begins", "_e.*")
+
+
+def _split(events: DataFrame, style: str, headers: Sequence[str]) -> DataFrame:
+    """A row per section of the events, with header, expected, begin and body."""
+    kept = [c for c in events.columns if c not in ("first", "pieces", "is_end", "_begins")]
+    rows = events.select(*kept, "first", "is_end", "_begins", F.size("pieces").alias("_n"), F.posexplode("pieces").alias("_k", "_piece"))
+    section, head = F.col("first") + F.col("_k"), F.substring_index("_piece", END, 1)
+    is_last = F.col("is_end") & (F.col("_k") == F.col("_n") - 1)
+    body = F.substring("_piece", F.length(head) + 2, F.when(is_last, LAST[style]).otherwise(REST))
+    header = F.regexp_replace(F.regexp_extract(head, _header(style, headers), 1), r"\s+", "")
+    return rows.select(*kept, section.alias("section"), F.get("_begins", section).alias("begin"), header.alias("header"), F.regexp_extract(head, r"(\d+)", 1).try_cast("int").alias("expected"), body.alias("body"))
+
+
+def sections(t: DataFrame, id_cols: Sequence[str], text: str, style: str, headers: Sequence[str] = V.VOTE_HEADERS) -> DataFrame:
+    """A row per vote header: id columns, section (from 1), header, expected, begin (offset from 0), body, event, before.
+
+    body runs to the next header of any event, the last one's LAST characters at most. Headers whose distance stays
+    under the gap are one event. before has the CONTEXT characters ahead of the first header of the section's event.
+    Texts aren't shuffled, and only sections leave the row.
+    """
+    return _split(_events(t, id_cols, text, style, headers), style, headers)
 
 
 def names(rows: DataFrame, noise: Sequence[str], headers: dict[str, str]) -> DataFrame:
@@ -70,7 +94,7 @@ def with_contexts(rows: DataFrame, style: str, ends: Sequence[str] = V.AGENDA_EN
     The context is in transcripts the last numbered agenda item, else the first phrase with such an ending; in
     appendices the first numbered phrase with such an ending, its number included.
     """
-    near = F.right("before", F.lit(TOTALS))
+    near = _tail("before", TOTALS)
     tail = "(?:" + "|".join(ends) + ")"
     numbered = F.regexp_extract_all("before", F.lit(r"(?m)^\s*\d+\.\s+([^(\n]+)" if style == "inline" else rf"(\d+\.[^\n]+?{tail})"), 1)
     phrase = F.nullif(F.regexp_extract("before", rf"([가-힣\s]{{5,50}}{tail})", 1), F.lit(""))
@@ -80,17 +104,28 @@ def with_contexts(rows: DataFrame, style: str, ends: Sequence[str] = V.AGENDA_EN
     return rows.withColumns(about).drop("before")
 
 
+def voted(t: DataFrame, id_cols: Sequence[str], text: str, style: str = "inline", noise: Sequence[str] = (), headers: dict[str, str] | None = None, ends: Sequence[str] = V.AGENDA_ENDS) -> DataFrame:
+    """A row per section that counts: id columns, event, section, vote, names, bill_context, agg_total, agg_yes. Contexts are found once an event."""
+    headers = headers or V.VOTE_LABELS
+    every = list(dict.fromkeys([*headers, V.SKIPPED_HEADER])) if headers is V.VOTE_LABELS else list(headers)
+    events = with_contexts(_events(t.where(F.col(text).isNotNull()), id_cols, text, style, every), style, ends)
+    found = names(_split(events, style, every), noise, headers)
+    return found.select(*id_cols, "event", "section", recoded("header", headers).alias("vote"), "names", "bill_context", "agg_total", "agg_yes")
+
+
+def members(rows: DataFrame) -> DataFrame:
+    """A row per name, with its place. Outer, as Spark would else find all names once more to tell which rows have none."""
+    return rows.select("*", F.posexplode_outer("names").alias("place", "member_name")).where(F.col("place").isNotNull()).drop("names")
+
+
 def parse_votes(t: DataFrame, id_cols: Sequence[str], text: str, style: str = "inline", noise: Sequence[str] = (), headers: dict[str, str] | None = None, ends: Sequence[str] = V.AGENDA_ENDS) -> DataFrame:
     """A row per member and vote: id columns, event, vote, member_name, place, bill_context, agg_total, agg_yes.
 
     headers maps the section headers that count to votes; an event ends where the next one's first header stands. Texts
     that are null or have no header give no rows. Texts are read once and never shuffled.
     """
-    headers = headers or V.VOTE_LABELS
-    every = list(dict.fromkeys([*headers, V.SKIPPED_HEADER])) if headers is V.VOTE_LABELS else list(headers)
-    rows = sections(t.where(F.col(text).isNotNull()), id_cols, text, style, every)
-    found = names(with_contexts(rows, style, ends), noise, headers)
-    return found.select(*id_cols, "event", "section", recoded("header", headers).alias("vote"), F.posexplode("names").alias("place", "member_name"), "bill_context", "agg_total", "agg_yes")
+    rows = members(voted(t, id_cols, text, style, noise, headers, ends))
+    return rows.select(*id_cols, "event", "section", "vote", "place", "member_name", "bill_context", "agg_total", "agg_yes")
 
 
 def mismatches(t: DataFrame, id_cols: Sequence[str], text: str, style: str, noise: Sequence[str] = (), headers: dict[str, str] | None = None) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,21 @@ def committee(spark: SparkSession, d: str) -> DataFrame:
 COMMITTEE = "committee AS (SELECT c_custkey AS sponsor, c_mktsegment AS committee, n_name AS party, r_name AS bloc, c_acctbal AS score FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"
 
 
+#: Rows in a part of tables that are dealt by hand: parts grow in number, not in size.
+PART_ROWS = 250_000
+
+
+def dealt(t: DataFrame, key: str) -> DataFrame:
+    """t dealt once by a key, in more parts the more rows it has; groups of this key and others need no further shuffle."""
+    n = int(t.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return t.repartition(max(n, -(-t.count() // PART_ROWS)), key)
+
+
+def listed(marks: Iterable[str], mark: str, name: Column) -> list[Column]:
+    """Aggregates, one column for each mark: the sorted names of rows that have it."""
+    return [F.array_sort(F.collect_list(F.when(F.col(mark) == m, name))).alias(m) for m in marks]
+
+
 def votes(spark: SparkSession, d: str) -> DataFrame:
     """item, member, vote (A, N, R), source, date, line, and yes: 1, 0 or null."""
     x = read(spark, d, "lineitem")

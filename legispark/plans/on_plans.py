@@ -10,7 +10,7 @@ from legispark.functions import vocabulary as V
 from legispark.operators import ranks, stats, tables
 from legispark.plans import bills as bill_plans
 from legispark.plans import votes as vote_plans
-from legispark.plans.bindings import BILLS, COMMITTEE, LIFE, SCORES, VOTES, bills, committee, lifecycle, query, read, rounded, scores, stages, votes
+from legispark.plans.bindings import BILLS, COMMITTEE, LIFE, SCORES, VOTES, bills, committee, dealt, lifecycle, listed, query, read, rounded, scores, stages, votes
 from legispark.sources import scan, sinks
 from legispark.sources.kept import kept_path
 
@@ -52,13 +52,18 @@ def consolidated_votes(spark, d):
     return out.select("term", "source", "bill_id", "meeting_id", "vote_event", "vote", "date", "member_id")
 
 
+def _lines(headers: dict[str, str], opened: str, closed: str):
+    """A line for each list of names that has any: its header, their number and the names; by header."""
+    line = lambda k, h: F.when(F.size(k) > 0, F.concat(F.lit(h + opened), F.size(k).cast("string"), F.lit(closed), F.array_join(k, " ")))
+    return F.concat_ws("\n", *[line(k, h) for k, h in sorted(headers.items(), key=lambda x: x[1])])
+
+
 @query(f"""WITH {VOTES}, m AS (SELECT *, {NAMED} AS name FROM votes), s AS (SELECT term, item, source, vote, name FROM m)
 SELECT item AS meeting_id, term, dense_rank() OVER (PARTITION BY item ORDER BY term, source)::INT AS vote_event, {_case(CAST, "vote")} AS vote, name AS member_name, source || ' 법률안' AS bill_context, 7 AS agg_total, 5 AS agg_yes FROM s""")
 def plenary_votes(spark, d):
     """Each meeting's votes as speeches of the plenary, one of each year and source, parsed by parse_speeches; events go through a meeting."""
-    groups = votes(spark, d).groupBy("item", "term", "source", "vote").agg(F.array_join(F.array_sort(F.collect_list(named())), " ").alias("names"), F.count(F.lit(1)).alias("n"))
-    line = F.concat(_coded(HEADER, "vote"), F.lit("("), F.col("n").cast("string"), F.lit("인)\n"), "names")
-    speech = groups.groupBy("item", "term", "source").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("body"))
+    groups = dealt(votes(spark, d), "item").groupBy("item", "term", "source").agg(*listed(HEADER, "vote", named()))
+    speech = groups.select("item", "term", "source", _lines(HEADER, "(", "인)\n").alias("body"))
     head = F.concat(F.lit("3. "), "source", F.lit(" 법률안\n재석 7인 중 찬성 5인\n"))
     speech = speech.select(F.col("item").alias("meeting_id"), "term", F.make_date("term", F.lit(1), F.lit(1)).alias("date"), (2 * F.col("term") + (F.col("source") == "O").cast("int")).alias("speech_order"), F.lit(V.PLENARY).alias("hearing_type"), F.concat(head, "body").alias("speech_text"))
     out = vote_plans.parse_speeches(speech, "inline", [])

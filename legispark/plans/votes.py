@@ -32,15 +32,17 @@ def consolidate(api: DataFrame, inline: DataFrame, appendix: DataFrame, by_name:
 
 
 def parse_speeches(speeches: DataFrame, style: str, noise: list[str], plenary_only: bool = True) -> DataFrame:
-    """Members' votes out of speeches; events are numbered per meeting by speech and place in it."""
+    """Members' votes out of speeches; events are numbered per meeting by speech and place in it.
+
+    Speeches are parsed once. Events are numbered while their names are still together, so sections move, not votes; those
+    without a name don't count.
+    """
     if plenary_only:
         speeches = speeches.where(F.col("hearing_type") == V.PLENARY)
     ids = ["meeting_id", "term", "date", "speech_order"]
-    rows = textvotes.parse_votes(speeches.select(*ids, "speech_text"), ids, "speech_text", style, noise)
-    events = rows.select("meeting_id", "speech_order", "event").distinct()
-    number = F.dense_rank().over(Window.partitionBy("meeting_id").orderBy("speech_order", "event"))  # a row per event
-    events = events.withColumn("vote_event", number)
-    return rows.join(events, ["meeting_id", "speech_order", "event"]).drop("event", "section", "place")
+    rows = textvotes.voted(speeches.dropna(subset=["meeting_id", "speech_order"]).select(*ids, "speech_text"), ids, "speech_text", style, noise)
+    number = F.dense_rank().over(Window.partitionBy("meeting_id", F.size("names") > 0).orderBy("speech_order", "event"))  # a row per section
+    return textvotes.members(rows.withColumn("vote_event", number)).select("meeting_id", "speech_order", "term", "date", "vote", "member_name", "bill_context", "agg_total", "agg_yes", "vote_event")
 
 
 def appendix_meetings(speeches: DataFrame, term: int | None = None, phrase: str = V.APPENDIX_PHRASE) -> DataFrame:

@@ -231,6 +231,37 @@ def test_speeches_number_events_by_meeting(spark):
     assert got == [("m1", 1, "홍길동"), ("m1", 2, "김철수"), ("m2", 1, "이영희")]
 
 
+def test_events_without_names_do_not_count(spark):
+    """Events are numbered over speeches, by those that have names; a speech's row that lacks its place goes."""
+    far = "-" * 1600
+    first = f"찬성의원(0인)\n{far}\n반대의원(1인)\n홍길동\n찬성의원(1인)\n김철수{far}\n기권의원(1인)\n이영희"
+    rows_ = [("m1", 22, "2024-01-01", 2, first, V.PLENARY), ("m1", 22, "2024-01-01", 7, "찬성의원(1인)\n박민수", V.PLENARY), ("m1", 22, "2024-01-01", None, "찬성의원(1인)\n최유리", V.PLENARY)]
+    df = spark.createDataFrame(rows_, "meeting_id string, term int, date string, speech_order int, speech_text string, hearing_type string")
+    got = sorted(rows(P.parse_speeches(df, "inline", []).select("vote_event", "member_name")))
+    assert got == [(1, "김철수"), (1, "홍길동"), (2, "이영희"), (3, "박민수")]
+
+
+def test_speeches_are_parsed_once(spark):
+    """Neither the numbering of events nor the rows of names parse texts again; votes aren't shuffled."""
+    df = spark.createDataFrame([("m1", 22, "2024-01-01", 2, "찬성의원(1인)\n홍길동", V.PLENARY)], "meeting_id string, term int, date string, speech_order int, speech_text string, hearing_type string")
+    plan = P.parse_speeches(df, "inline", [])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("[가-힣]{2,4}") == 1 and plan.count("Exchange") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("style", ["inline", "appendix"])
+def test_sections_of_long_texts(spark, style):
+    """Thousands of headers, near and far, against a plain search: the time grows with the text."""
+    import re
+
+    deal = random.Random(5)
+    text = "".join(f"{deal.choice(['찬성의원', '반대의원'])}({i}인)\n가나다" + "x" * deal.choice([0, 5, 1480, 3000]) for i in range(2000))
+    found = [m.start() for m in re.finditer(r"(?:찬성|반대)의원\(\d+인\)", text)]
+    far = [i == 0 or found[i] - found[i - 1] >= textvotes.GAPS[style] for i in range(len(found))]
+    expected = [(i + 1, b, sum(far[: i + 1]), i) for i, b in enumerate(found)]
+    df = spark.createDataFrame([(1, text)], "id int, t string")
+    assert sorted(rows(textvotes.sections(df, ["id"], "t", style).select("section", "begin", "event", "expected"))) == expected
+
+
 # people
 
 
