@@ -230,9 +230,8 @@ SELECT item AS meeting_id, dense_rank() OVER (PARTITION BY item ORDER BY term)::
 def appendix_votes(spark, d):
     """Each meeting's votes as an appendix, headers spaced and in wide brackets, an event for each year; parsed in the style of appendices."""
     spaced = {k: " ".join(h) for k, h in HEADER.items()}
-    groups = votes(spark, d).groupBy("item", "term", "vote").agg(F.array_join(F.array_sort(F.collect_list(named())), " ").alias("names"), F.count(F.lit(1)).alias("n"))
-    line = F.concat(_coded(spaced, "vote"), F.lit(" （"), F.col("n").cast("string"), F.lit(" 인）\n"), "names")
-    speech = groups.groupBy("item", "term").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("body"))
+    groups = dealt(votes(spark, d), "item").groupBy("item", "term").agg(*listed(HEADER, "vote", named()))
+    speech = groups.select("item", "term", _lines(spaced, " （", " 인）\n").alias("body"))
     head = F.concat(F.lit("1.제"), F.col("term").cast("string"), F.lit("호 결의안\n"))
     speech = speech.select(F.col("item").alias("meeting_id"), "term", F.make_date("term", F.lit(1), F.lit(1)).alias("date"), F.col("term").alias("speech_order"), F.lit(V.PLENARY).alias("hearing_type"), F.concat(head, "body").alias("speech_text"))
     return vote_plans.parse_speeches(speech, "appendix", []).select("meeting_id", "vote_event", "vote", "member_name", "bill_context")
