@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from legispark.functions.scalar import share
 from legispark.operators import people, rollcall, stats, tables, textvotes
-from legispark.plans.bindings import SCORES, VOTES, query, read, rounded, scores, votes
+from legispark.plans.bindings import SCORES, VOTES, dealt, listed, query, read, rounded, scores, votes
 from legispark.plans.votes import parsed_summary
 
 ITEMS = "items AS (SELECT item, count(yes) AS n, coalesce(avg(yes), 0.0) AS yes_share FROM votes GROUP BY item), contested AS (SELECT item, n, yes_share, CASE WHEN n > 0 THEN least(yes_share, 1 - yes_share) ELSE 0.0 END AS minority FROM items)"
@@ -155,16 +155,19 @@ NOISE = ["결의안", "재석", "찬성"]
 RENDER = {"A": "VOTEYES", "N": "VOTENO", "R": "VOTEABS"}
 
 
+NAME = F.translate(F.lpad(F.col("member").cast("string"), 4, "0"), "0123456789", "가나다라마바사아자차")
+
+
+def _line(names: str, vote: str, said: Column) -> Column:
+    """A header with the number announced, then the names; null without names."""
+    return F.when(F.size(names) > 0, F.concat(F.lit(f"{RENDER[vote]}("), said.cast("string"), F.lit("인)\n"), F.array_join(names, " ")))
+
+
 def vote_texts(spark, d):
     """Each item's votes rendered as a transcript: a header with the number for each vote, then syllable names."""
-    t = votes(spark, d)
-    name = F.translate(F.lpad(F.col("member").cast("string"), 4, "0"), "0123456789", "가나다라마바사아자차")
-    groups = t.groupBy("item", "vote").agg(F.array_join(F.array_sort(F.collect_list(name)), " ").alias("names"), F.count(F.lit(1)).alias("n"))
-    header = F.element_at(F.create_map(*[F.lit(x) for kv in RENDER.items() for x in kv]), F.col("vote"))
-    line = F.concat(header, F.lit("("), F.col("n").cast("string"), F.lit("인)\n"), F.col("names"))
-    body = groups.groupBy("item").agg(F.array_join(F.array_sort(F.collect_list(F.struct("vote", line.alias("line")))).getField("line"), "\n").alias("body"))
+    groups = dealt(votes(spark, d), "item").groupBy("item").agg(*listed(RENDER, "vote", NAME))
     head = F.concat(F.lit("12. "), F.col("item").cast("string"), F.lit(" 동의안\n재석 9인 중 찬성 5인\n"))
-    return body.select("item", F.concat(head, "body").alias("text"))
+    return groups.select("item", F.concat(head, F.concat_ws("\n", *[_line(v, v, F.size(v)) for v in RENDER])).alias("text"))
 
 
 @query(f"WITH {VOTES} SELECT item, vote, translate(lpad(member::VARCHAR, 4, '0'), '0123456789', '가나다라마바사아자차') AS member_name, count(*) AS n, item || ' 동의안' AS bill_context, 9 AS agg_total, 5 AS agg_yes FROM votes GROUP BY ALL")

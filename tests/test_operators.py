@@ -526,3 +526,14 @@ def test_open_tables(spark, tmp_path):
     assert scan.scan(spark, root, "legislator_map").columns == ["mona_cd", "member_name"] and scan.scan(spark, root, "legislator_map").count() == 0
     spark.createDataFrame([("c1", "n", True)], "mona_cd string, member_name string, in_bills boolean").write.parquet(f"{root}/legislator_map")
     assert rows(scan.scan(spark, root, "legislator_map")) == [("c1", "n", True)]
+
+
+def test_texts_take_one_shuffle(spark):
+    """Texts of votes are made, parsed and counted in one shuffle, whose parts grow in number with the rows."""
+    from legispark.plans import bindings, on_plans, on_votes
+
+    data = "/root/testdata/sf0.001"
+    for f in (on_votes.vote_text_roundtrip, on_votes.vote_text_events, on_votes.vote_text_mismatches, on_plans.plenary_votes, on_plans.appendix_votes):
+        assert f(spark, data)._jdf.queryExecution().executedPlan().toString().count("Exchange hash") == 1, f.__name__
+    parts = bindings.dealt(spark.range(5 * bindings.PART_ROWS), "id").rdd.getNumPartitions()
+    assert parts == 5
