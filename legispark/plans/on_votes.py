@@ -185,15 +185,15 @@ def vote_sections(spark, d):
 
 def event_texts(spark, d):
     """Each item's votes as a text with an event for each source, far apart; abstentions are announced as one, noes as ten more than there are."""
-    t = votes(spark, d)
-    name = F.translate(F.lpad(F.col("member").cast("string"), 4, "0"), "0123456789", "가나다라마바사아자차")
-    groups = t.groupBy("item", "source", "vote").agg(F.array_join(F.array_sort(F.collect_list(name)), " ").alias("names"), F.count(F.lit(1)).alias("n"))
-    header = F.element_at(F.create_map(*[F.lit(x) for kv in RENDER.items() for x in kv]), F.col("vote"))
-    said = F.when(F.col("vote") == "R", 1).when(F.col("vote") == "N", F.col("n") + 10).otherwise(F.col("n"))
-    line = F.concat(header, F.lit("("), said.cast("string"), F.lit("인)\n"), F.col("names"))
-    lines = groups.groupBy("item", "source").agg(F.array_join(F.array_sort(F.collect_list(F.struct("vote", line.alias("line")))).getField("line"), "\n").alias("body"))
-    body = F.concat(F.lit("7. "), "source", F.lit(" 결의안\n재석 8인 중 찬성 "), F.when(F.col("source") == "F", "3").otherwise("4"), F.lit("인\n"), "body", F.lit("\n" + "-" * 1510))
-    return lines.groupBy("item").agg(F.array_join(F.array_sort(F.collect_list(F.struct("source", body.alias("body")))).getField("body"), "\n").alias("text"))
+    t = dealt(votes(spark, d), "item").withColumn("group", F.concat("source", "vote"))
+    groups = t.groupBy("item").agg(*listed([s + v for s in "FO" for v in RENDER], "group", NAME))
+    said = {"A": F.size, "N": lambda names: F.size(names) + 10, "R": lambda names: F.lit(1)}
+
+    def event(source: str, yes: int) -> Column:
+        body = F.concat_ws("\n", *[_line(source + v, v, said[v](source + v)) for v in RENDER])
+        return F.when(F.length(body) > 0, F.concat(F.lit(f"7. {source} 결의안\n재석 8인 중 찬성 {yes}인\n"), body, F.lit("\n" + "-" * 1510)))
+
+    return groups.select("item", F.concat_ws("\n", event("F", 3), event("O", 4)).alias("text"))
 
 
 EVENTS = "named AS (SELECT item, source, vote, translate(lpad(member::VARCHAR, 4, '0'), '0123456789', '가나다라마바사아자차') AS member_name FROM votes), placed AS (SELECT *, row_number() OVER (PARTITION BY item, source, vote ORDER BY member_name) AS place, dense_rank() OVER (PARTITION BY item ORDER BY source) AS event FROM named)"
