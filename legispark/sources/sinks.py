@@ -15,6 +15,8 @@ from legispark.sources.scan import PARTITIONS
 #: Columns by which single rows are looked up, the first also in order; distinct values that a file's filter is sized for.
 LOOKUPS = {"bills": ["bill_no", "bill_id"], "bill_texts": ["bill_id"], "roll_calls": ["bill_id"], "members": ["mona_cd"]}
 BLOOM_VALUES = 1_000_000
+#: Rows that a task sorts and writes: as many as fit its memory with all columns, however well they compress.
+FILE_ROWS = 250_000
 
 
 def _flat(df: DataFrame) -> DataFrame:
@@ -26,10 +28,13 @@ def write_table(df: DataFrame, root: str, table: str, mode: str = "overwrite", w
     """A table of the data set as Parquet, partitioned by its term where it has one; a term's rows go to few files.
 
     overwrite replaces the terms that df has and leaves all others alone; whole replaces the table. Files are sorted by
-    the columns that LOOKUPS names, and have Bloom filters of them, so a search for one value skips what lacks it.
+    the columns that LOOKUPS names, and have Bloom filters of them, so a search for one value skips what lacks it. With
+    such columns the rows are counted first and dealt in ranges of about FILE_ROWS, so tasks grow in number, not in size.
     """
     keys, part = [c for c in LOOKUPS.get(table, []) if c in df.columns], PARTITIONS.get(table)
-    if part:
+    if part and keys:
+        df = df.repartitionByRange(max(1, -(-df.count() // FILE_ROWS)), part, *keys)
+    elif part:
         df = df.hint("rebalance", part)
     if part or keys:
         df = df.sortWithinPartitions(*([part] if part else []), *keys)

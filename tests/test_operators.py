@@ -537,3 +537,13 @@ def test_texts_take_one_shuffle(spark):
         assert f(spark, data)._jdf.queryExecution().executedPlan().toString().count("Exchange hash") == 1, f.__name__
     parts = bindings.dealt(spark.range(5 * bindings.PART_ROWS), "id").rdd.getNumPartitions()
     assert parts == 5
+
+
+def test_written_files_are_bounded(spark, tmp_path, monkeypatch):
+    """A term of many rows goes to several tasks, each with a range of its lookups' values, however small its rows are on disk."""
+    monkeypatch.setattr(sinks, "FILE_ROWS", 1000, raising=False)
+    t = spark.range(5000).select(F.col("id").cast("string").alias("bill_id"), F.col("id").cast("string").alias("bill_no"), F.lit(22).alias("age"))
+    sinks.write_table(scan.conformed(t, scan.SCHEMAS["bills"]), str(tmp_path), "bills")
+    per = scan.scan(spark, str(tmp_path), "bills").groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n"), F.min("bill_no").alias("a"), F.max("bill_no").alias("z")).orderBy("a").collect()
+    assert len(per) == 5 and sum(p["n"] for p in per) == 5000 and max(p["n"] for p in per) < 1500
+    assert all(x["z"] < y["a"] for x, y in zip(per, per[1:]))
