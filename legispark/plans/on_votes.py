@@ -155,7 +155,9 @@ NOISE = ["결의안", "재석", "찬성"]
 RENDER = {"A": "VOTEYES", "N": "VOTENO", "R": "VOTEABS"}
 
 
-NAME = F.translate(F.lpad(F.col("member").cast("string"), 4, "0"), "0123456789", "가나다라마바사아자차")
+def _name() -> Column:
+    """A member's number as four syllables."""
+    return F.translate(F.lpad(F.col("member").cast("string"), 4, "0"), "0123456789", "가나다라마바사아자차")
 
 
 def _line(names: str, vote: str, said: Column) -> Column:
@@ -165,7 +167,7 @@ def _line(names: str, vote: str, said: Column) -> Column:
 
 def vote_texts(spark, d):
     """Each item's votes rendered as a transcript: a header with the number for each vote, then syllable names."""
-    groups = dealt(votes(spark, d), "item").groupBy("item").agg(*listed(RENDER, "vote", NAME))
+    groups = dealt(votes(spark, d), "item").groupBy("item").agg(*listed(RENDER, "vote", _name()))
     head = F.concat(F.lit("12. "), F.col("item").cast("string"), F.lit(" 동의안\n재석 9인 중 찬성 5인\n"))
     return groups.select("item", F.concat(head, F.concat_ws("\n", *[_line(v, v, F.size(v)) for v in RENDER])).alias("text"))
 
@@ -186,7 +188,7 @@ def vote_sections(spark, d):
 def event_texts(spark, d):
     """Each item's votes as a text with an event for each source, far apart; abstentions are announced as one, noes as ten more than there are."""
     t = dealt(votes(spark, d), "item").withColumn("group", F.concat("source", "vote"))
-    groups = t.groupBy("item").agg(*listed([s + v for s in "FO" for v in RENDER], "group", NAME))
+    groups = t.groupBy("item").agg(*listed([s + v for s in "FO" for v in RENDER], "group", _name()))
     said = {"A": F.size, "N": lambda names: F.size(names) + 10, "R": lambda names: F.lit(1)}
 
     def event(source: str, yes: int) -> Column:
