@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from legispark.functions import scalar as S
@@ -16,6 +16,8 @@ from legispark.sources.sinks import bucketed, dropped
 
 #: A term's scores have converged when a round adds a smaller share to what they explain; rounds after which none goes on.
 TOLERANCE, MOST_ROUNDS = 1e-3, 60
+#: Cells in a part of the scaling's tables: parts grow in number, not in size.
+PART_CELLS = 500_000
 
 
 def matrix(votes: DataFrame, member: str, item: str, vote: str, codes: Mapping[str, int], order: list[str], by: Sequence[str] = ()) -> DataFrame:
@@ -27,20 +29,30 @@ def matrix(votes: DataFrame, member: str, item: str, vote: str, codes: Mapping[s
 def contested(t: DataFrame, item: str, yes: str, min_minority: float = 0.025) -> DataFrame:
     """Per item: n (yes or no), yes_share, minority, is_contested; yes is 1, 0 or null for neither."""
     out = t.groupBy(item).agg(F.count(yes).alias("n"), F.coalesce(F.avg(F.col(yes).cast("double")), F.lit(0.0)).alias("yes_share"))
-    out = out.withColumn("minority", F.when(F.col("n") > 0, F.least("yes_share", 1 - F.col("yes_share"))).otherwise(0.0))
+    out = out.withColumn("minority", F.when(F.col("n") > 0, _minority(F.col("yes_share"))).otherwise(0.0))
     return out.withColumn("is_contested", F.col("minority") >= min_minority)
 
 
+def _minority(yes_share: Column) -> Column:
+    return F.least(yes_share, 1 - yes_share)
+
+
 def active(t: DataFrame, member: str, yes: str, min_votes: int = 20, by: Sequence[str] = ()) -> DataFrame:
     """Members (of each group) with so many yes or no votes, and how many."""
     return t.groupBy(*by, member).agg(F.count(yes).alias("n_votes")).where(F.col("n_votes") >= min_votes)
 
 
 def prepared(t: DataFrame, member: str, item: str, yes: str, min_minority: float = 0.025, min_votes: int = 20, by: Sequence[str] = ()) -> DataFrame:
-    """The cells of contested items, then of members who are active on those, within each group."""
-    items = contested(t, item, yes, min_minority).where("is_contested").select(item)
-    t = t.join(items, item, "left_semi")
-    return t.join(active(t, member, yes, min_votes, by).select(*by, member), [*by, member], "left_semi")
+    """The cells of contested items, then of members who are active on those, within each group.
+
+    An item's and a member's figures are added to their cells, so each step shuffles the cells once, instead of
+    making them again for every join with a list.
+    """
+    per_item, per_member = Window.partitionBy(item), Window.partitionBy(*by, member)
+    t = t.where(F.col(item).isNotNull()).withColumn("_share", F.coalesce(F.avg(F.col(yes).cast("double")).over(per_item), F.lit(0.0)))
+    t = t.where(_minority(F.col("_share")) >= min_minority).drop("_share")
+    t = t.dropna(subset=[*by, member]).withColumn("_n", F.count(yes).over(per_member))
+    return t.where(F.col("_n") >= min_votes).drop("_n")
 
 
 def matrix_summary(t: DataFrame, member: str, item: str, yes: str, min_minority: float = 0.025) -> DataFrame:
@@ -59,6 +71,7 @@ def scale_terms(t: DataFrame, group: str, member: str, item: str, yes: str, anch
 
     One power iteration for all groups: a round averages scores to item weights and weights to scores. The cells stand
     in two saved tables, bucketed by item and by member, so a round moves sums of members and of items, never cells.
+    Their buckets hold about PART_CELLS cells, and the rounds' shuffles have as many parts, in a session of their own.
     It ends when in every group what the scores explain grows by a smaller share than tol; rounds is null where a group
     isn't that far after most_rounds. The sign makes the anchor's members (member column) positive on average; without
     one, the group's member with the most votes (the least of them). Items are of one group. A group in which nobody
@@ -66,17 +79,22 @@ def scale_terms(t: DataFrame, group: str, member: str, item: str, yes: str, anch
     """
     spark = t.sparkSession
     cells = t.where(F.col(yes).isNotNull()).dropna(subset=[group, member, item]).select(F.col(group).alias("_g"), F.col(member).alias("_m"), F.col(item).alias("_i"), (2.0 * F.col(yes) - 1).alias("_v"))
-    centre = cells.groupBy("_g", "_i").agg(F.avg("_v").alias("_c"))
-    cells = cells.join(centre, ["_g", "_i"]).select("_g", "_m", "_i", (F.col("_v") - F.col("_c")).alias("_v"))
-    name, n = f"cells_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
-    by_item = bucketed(cells, f"{name}_items", ["_g", "_i"], n, kept_path(spark, name))
-    by_member = bucketed(by_item, f"{name}_members", ["_g", "_m"], n, kept_path(spark, name))
-    lead = _anchors(by_member, member, anchor)
+    cells = kept(cells, "cells")
+    n = max(spark.sparkContext.defaultParallelism, -(-cells.count() // PART_CELLS))
+    name, own = f"cells_{uuid.uuid4().hex}", _session(spark, n)
+    centred = own.read.schema(cells.schema).parquet(cells.written_to).repartition(n, "_g", "_i").withColumn("_v", F.col("_v") - F.avg("_v").over(Window.partitionBy("_g", "_i")))
+    by_item = bucketed(centred, f"{name}_items", ["_g", "_i"], n, kept_path(own, name), dealt=True)
+    removed(cells)
+    by_member = bucketed(by_item, f"{name}_members", ["_g", "_m"], n, kept_path(own, name))
+    if anchor is not None:
+        anchor = kept(anchor.select(member), "anchor")
+        anchor = own.read.schema(anchor.schema).parquet(anchor.written_to)
+    lead = kept(_anchors(by_member, member, anchor), "lead")
     start = F.avg(F.col("_v") * (1e-3 * (F.pmod(F.xxhash64("_m"), F.lit(1009)) / 1009.0 - 0.5) + F.coalesce("_lead", F.lit(0))))
     weights = by_member.join(lead, ["_g", "_m"], "left").groupBy("_g", "_i").agg(start.alias("_w"))
     scores, explained, done = None, {}, {}
     for k in range(1, most_rounds + 1):
-        raw = by_item.join(weights, ["_g", "_i"]).groupBy("_g", "_m").agg(F.avg(F.col("_v") * F.col("_w")).alias("_s"))
+        raw = by_item.join(weights.hint("shuffle_hash"), ["_g", "_i"]).groupBy("_g", "_m").agg(F.avg(F.col("_v") * F.col("_w")).alias("_s"))
         raw = kept(raw, "scaling")
         norm = raw.groupBy("_g").agg(F.avg("_s").alias("_a"), F.stddev_pop("_s").alias("_d"))  # a row per group
         now = {g: d for g, _, d in norm.collect()}
@@ -87,14 +105,21 @@ def scale_terms(t: DataFrame, group: str, member: str, item: str, yes: str, anch
         level = raw.join(F.broadcast(norm), "_g").select("_g", "_m", S.share(F.col("_s") - F.col("_a"), F.col("_d")).alias("_s"))
         if len(done) == len(now):
             break
-        weights = by_member.join(level, ["_g", "_m"]).groupBy("_g", "_i").agg(F.avg(F.col("_v") * F.col("_s")).alias("_w"))
+        weights = by_member.join(level.hint("shuffle_hash"), ["_g", "_m"]).groupBy("_g", "_i").agg(F.avg(F.col("_v") * F.col("_s")).alias("_w"))
     sign = level.join(lead, ["_g", "_m"]).groupBy("_g").agg(F.when(F.avg("_s") < 0, -1.0).otherwise(1.0).alias("_sign"))
     rounds = F.create_map(*[F.lit(x) for item in done.items() for x in item])[F.col("_g")] if done else F.lit(None).cast("int")
     out = level.join(F.broadcast(sign), "_g", "left").select(F.col("_g").alias(group), F.col("_m").alias(member), (F.col("_s") * F.coalesce("_sign", F.lit(1.0))).alias("score"), rounds.alias("rounds"))
     out = kept(out, "scaled")
     for table in ("items", "members"):
-        dropped(spark, f"{name}_{table}")
-    return out
+        dropped(own, f"{name}_{table}")
+    return spark.read.schema(out.schema).parquet(out.written_to)
+
+
+def _session(spark: SparkSession, parts: int) -> SparkSession:
+    """A session of the same application that shuffles into so many parts; the caller's settings stay as they are."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", parts)
+    return own
 
 
 def _anchors(cells: DataFrame, member: str, anchor: DataFrame | None) -> DataFrame:

@@ -122,7 +122,7 @@ def ideal_points(votes: DataFrame, terms: list[int], base: int, iters: int = rol
     """member_id, term, score, rounds, aligned out of roll calls: scaling of all terms at once, then alignment over bridging members."""
     own = votes.where(F.col("term").isin(*terms)).withColumn("item", F.concat_ws("_", F.col("term").cast("string"), F.col("bill_id").cast("string")))
     cells = rollcall.matrix(own, "member_id", "item", "vote", V.VOTE_CODES, ["vote"], ["term"])
-    cells = cells.withColumn("yes", F.when(F.col("code") == 1, 1).when(F.col("code") == 6, 0))
+    cells = cells.withColumn("yes", F.when(F.col("code") == 1, 1).when(F.col("code") == 6, 0)).where("yes is not null")
     cells = rollcall.prepared(cells, "member_id", "item", "yes", min_votes=min_votes, by=["term"])
     return rollcall.align_terms(rollcall.scale_terms(cells, "term", "member_id", "item", "yes", most_rounds=iters), "member_id", "term", "score", base)
 

@@ -1,6 +1,7 @@
 """What has to hold at any size: ranks, percentiles, saved tables, lookups, scaling of all terms, single passes."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -253,6 +254,32 @@ def test_all_terms_are_scaled_at_once(spark):
     assert spark.catalog.listTables() == [] or not [x for x in spark.catalog.listTables() if x.name.startswith("cells_")]
 
 
+def test_cells_are_prepared_in_one_pass(spark, tmp_path):
+    """The votes are read once, and shuffled once by item and once by member."""
+    rng = random.Random(11)
+    data = [(rng.choice(["a", "b", None]), rng.choice([*range(12), None]), rng.choice([*range(40), None]), rng.choice([0, 1, 1, 1, None])) for _ in range(1500)]
+    spark.createDataFrame(data, "term string, m int, item int, yes int").write.parquet(f"{tmp_path}/cells")
+    got = rollcall.prepared(spark.read.parquet(f"{tmp_path}/cells"), "m", "item", "yes", 0.2, 15, ["term"])
+    assert plan(got).count("FileScan") == 1 and plan(got).count("Exchange hashpartitioning") == 2
+    own = {i: [y for _, _, j, y in data if j == i and y is not None] for i in range(40)}
+    cells = [r for r in data if r[2] is not None and min(x := sum(own[r[2]]) / len(own[r[2]]), 1 - x) >= 0.2]
+    votes = Counter((t, m) for t, m, _, y in cells if y is not None)
+    assert Counter(rows(got)) == Counter(r for r in cells if None not in r[:2] and votes[r[:2]] >= 15)
+    assert 0 < got.count() < len(cells) < len(data)
+
+
+def test_parts_of_the_scaling_follow_the_cells(spark, monkeypatch):
+    """Buckets and shuffles of the rounds have as many parts as the cells need, whatever the session's number; its settings stay."""
+    cells = [(m, i, int((m * 7 + i * 3) % 11 > 4)) for m in range(30) for i in range(20)]
+    t = spark.createDataFrame(cells, "m int, item int, yes int")
+    want, buckets, given = dict(rows(rollcall.scale_1d(t, "m", "item", "yes", 3))), [], rollcall.bucketed
+    monkeypatch.setattr(rollcall, "PART_CELLS", 100)
+    monkeypatch.setattr(rollcall, "bucketed", lambda df, name, keys, n, *a, **k: buckets.append((n, df.sparkSession.conf.get("spark.sql.shuffle.partitions"))) or given(df, name, keys, n, *a, **k))
+    got = dict(rows(rollcall.scale_1d(t, "m", "item", "yes", 3)))
+    assert buckets == [(6, "6")] * 2 and spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert got.keys() == want.keys() and all(abs(got[m] - want[m]) < 1e-9 for m in want)
+
+
 def test_terms_align_along_chains(spark):
     rng = random.Random(8)
     true = {m: rng.uniform(-1, 1) for m in range(60)}
