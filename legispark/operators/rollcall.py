@@ -16,8 +16,8 @@ from legispark.sources.sinks import bucketed, dropped
 
 #: A term's scores have converged when a round adds a smaller share to what they explain; rounds after which none goes on.
 TOLERANCE, MOST_ROUNDS = 1e-3, 60
-#: Cells in a part of the scaling's tables: parts grow in number, not in size.
-PART_CELLS = 500_000
+#: Cells in a part of the scaling's tables at most, about: parts grow in number, not in size.
+PART_CELLS = 1_000_000
 
 
 def matrix(votes: DataFrame, member: str, item: str, vote: str, codes: Mapping[str, int], order: list[str], by: Sequence[str] = ()) -> DataFrame:
@@ -71,7 +71,8 @@ def scale_terms(t: DataFrame, group: str, member: str, item: str, yes: str, anch
 
     One power iteration for all groups: a round averages scores to item weights and weights to scores. The cells stand
     in two saved tables, bucketed by item and by member, so a round moves sums of members and of items, never cells.
-    Their buckets hold about PART_CELLS cells, and the rounds' shuffles have as many parts, in a session of their own.
+    Their buckets hold about PART_CELLS cells at most, and the rounds' shuffles have as many parts, in a session of their
+    own. Nothing is sorted: buckets meet hash tables of their scores or weights; an item's mean goes with its weight.
     It ends when in every group what the scores explain grows by a smaller share than tol; rounds is null where a group
     isn't that far after most_rounds. The sign makes the anchor's members (member column) positive on average; without
     one, the group's member with the most votes (the least of them). Items are of one group. A group in which nobody
@@ -80,21 +81,23 @@ def scale_terms(t: DataFrame, group: str, member: str, item: str, yes: str, anch
     spark = t.sparkSession
     cells = t.where(F.col(yes).isNotNull()).dropna(subset=[group, member, item]).select(F.col(group).alias("_g"), F.col(member).alias("_m"), F.col(item).alias("_i"), (2.0 * F.col(yes) - 1).alias("_v"))
     cells = kept(cells, "cells")
-    n = max(spark.sparkContext.defaultParallelism, -(-cells.count() // PART_CELLS))
+    cores = spark.sparkContext.defaultParallelism
+    n = cores * max(1, -(-cells.count() // (PART_CELLS * cores)))
     name, own = f"cells_{uuid.uuid4().hex}", _session(spark, n)
-    centred = own.read.schema(cells.schema).parquet(cells.written_to).repartition(n, "_g", "_i").withColumn("_v", F.col("_v") - F.avg("_v").over(Window.partitionBy("_g", "_i")))
-    by_item = bucketed(centred, f"{name}_items", ["_g", "_i"], n, kept_path(own, name), dealt=True)
+    by_item = bucketed(own.read.schema(cells.schema).parquet(cells.written_to), f"{name}_items", ["_g", "_i"], n, kept_path(own, name), ordered=False)
     removed(cells)
-    by_member = bucketed(by_item, f"{name}_members", ["_g", "_m"], n, kept_path(own, name))
+    centre = by_item.groupBy("_g", "_i").agg(F.avg("_v").alias("_c"))
+    by_member = bucketed(by_item.join(centre.hint("shuffle_hash"), ["_g", "_i"]), f"{name}_members", ["_g", "_m"], n, kept_path(own, name), ordered=False)
     if anchor is not None:
         anchor = kept(anchor.select(member), "anchor")
         anchor = own.read.schema(anchor.schema).parquet(anchor.written_to)
     lead = kept(_anchors(by_member, member, anchor), "lead")
-    start = F.avg(F.col("_v") * (1e-3 * (F.pmod(F.xxhash64("_m"), F.lit(1009)) / 1009.0 - 0.5) + F.coalesce("_lead", F.lit(0))))
-    weights = by_member.join(lead, ["_g", "_m"], "left").groupBy("_g", "_i").agg(start.alias("_w"))
+    centred = F.col("_v") - F.col("_c")
+    start = F.avg(centred * (1e-3 * (F.pmod(F.xxhash64("_m"), F.lit(1009)) / 1009.0 - 0.5) + F.coalesce("_lead", F.lit(0))))
+    weights = by_member.join(lead, ["_g", "_m"], "left").groupBy("_g", "_i").agg(start.alias("_w"), F.max("_c").alias("_c"))
     scores, explained, done = None, {}, {}
     for k in range(1, most_rounds + 1):
-        raw = by_item.join(weights.hint("shuffle_hash"), ["_g", "_i"]).groupBy("_g", "_m").agg(F.avg(F.col("_v") * F.col("_w")).alias("_s"))
+        raw = by_item.join(weights.hint("shuffle_hash"), ["_g", "_i"]).groupBy("_g", "_m").agg(F.avg(centred * F.col("_w")).alias("_s"))
         raw = kept(raw, "scaling")
         norm = raw.groupBy("_g").agg(F.avg("_s").alias("_a"), F.stddev_pop("_s").alias("_d"))  # a row per group
         now = {g: d for g, _, d in norm.collect()}
@@ -105,7 +108,7 @@ def scale_terms(t: DataFrame, group: str, member: str, item: str, yes: str, anch
         level = raw.join(F.broadcast(norm), "_g").select("_g", "_m", S.share(F.col("_s") - F.col("_a"), F.col("_d")).alias("_s"))
         if len(done) == len(now):
             break
-        weights = by_member.join(level.hint("shuffle_hash"), ["_g", "_m"]).groupBy("_g", "_i").agg(F.avg(F.col("_v") * F.col("_s")).alias("_w"))
+        weights = by_member.join(level.hint("shuffle_hash"), ["_g", "_m"]).groupBy("_g", "_i").agg(F.avg(centred * F.col("_s")).alias("_w"), F.max("_c").alias("_c"))
     sign = level.join(lead, ["_g", "_m"]).groupBy("_g").agg(F.when(F.avg("_s") < 0, -1.0).otherwise(1.0).alias("_sign"))
     rounds = F.create_map(*[F.lit(x) for item in done.items() for x in item])[F.col("_g")] if done else F.lit(None).cast("int")
     out = level.join(F.broadcast(sign), "_g", "left").select(F.col("_g").alias(group), F.col("_m").alias(member), (F.col("_s") * F.coalesce("_sign", F.lit(1.0))).alias("score"), rounds.alias("rounds"))

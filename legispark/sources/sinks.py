@@ -46,13 +46,14 @@ def write_table(df: DataFrame, root: str, table: str, mode: str = "overwrite", w
     writer.parquet(f"{root}/{table}")
 
 
-def bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None, mode: str = "overwrite", dealt: bool = False) -> DataFrame:
-    """df as a saved table, a file per bucket of its keys and sorted by them; without a path in the warehouse.
+def bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None, mode: str = "overwrite", ordered: bool = True) -> DataFrame:
+    """df as a saved table, a file per bucket of its keys and, if ordered, sorted by them; without a path in the warehouse.
 
-    dealt: df has been repartitioned into so many parts by these keys already. Tables of as many buckets join, and aggregate, on these keys without a shuffle. It takes part in SQL under its name.
+    Tables of as many buckets join, and aggregate, on these keys without a shuffle. It takes part in SQL under its name.
     """
     spark = df.sparkSession
-    writer = (df if dealt else df.repartition(buckets, *keys)).write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys)
+    writer = df.repartition(buckets, *keys).write.mode(mode).bucketBy(buckets, *keys)
+    writer = writer.sortBy(*keys) if ordered else writer
     (writer.option("path", path) if path else writer).saveAsTable(name)
     return spark.table(name)
 

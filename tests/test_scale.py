@@ -269,14 +269,14 @@ def test_cells_are_prepared_in_one_pass(spark, tmp_path):
 
 
 def test_parts_of_the_scaling_follow_the_cells(spark, monkeypatch):
-    """Buckets and shuffles of the rounds have as many parts as the cells need, whatever the session's number; its settings stay."""
+    """Buckets and shuffles of the rounds have as many parts as 600 cells need, a whole number to each core; the session's settings stay."""
     cells = [(m, i, int((m * 7 + i * 3) % 11 > 4)) for m in range(30) for i in range(20)]
     t = spark.createDataFrame(cells, "m int, item int, yes int")
     want, buckets, given = dict(rows(rollcall.scale_1d(t, "m", "item", "yes", 3))), [], rollcall.bucketed
     monkeypatch.setattr(rollcall, "PART_CELLS", 100)
     monkeypatch.setattr(rollcall, "bucketed", lambda df, name, keys, n, *a, **k: buckets.append((n, df.sparkSession.conf.get("spark.sql.shuffle.partitions"))) or given(df, name, keys, n, *a, **k))
     got = dict(rows(rollcall.scale_1d(t, "m", "item", "yes", 3)))
-    assert buckets == [(6, "6")] * 2 and spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert buckets == [(8, "8")] * 2 and spark.conf.get("spark.sql.shuffle.partitions") == "4"
     assert got.keys() == want.keys() and all(abs(got[m] - want[m]) < 1e-9 for m in want)
 
 
